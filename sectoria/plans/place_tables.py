@@ -17,6 +17,7 @@ from ..functions.text import (
 from ..operators.cleaning import arranged, with_overrides
 from ..operators.places import all_places, code_chains, latest_codes, merge_place_lists, search_table
 from ..operators.positions import with_position
+from ..session import small_table
 
 # The three agglomerations that the yearly list names without district.
 AGGLOMERATIONS = [
@@ -84,7 +85,7 @@ def yearly_places(raw: DataFrame) -> DataFrame:
         .withColumn("latitude", F.lit(0.0))
         .withColumn("longitude", F.lit(0.0))
     )
-    overrides = raw.sparkSession.createDataFrame(AGGLOMERATIONS, AGGLOMERATION_SCHEMA)
+    overrides = small_table(raw.sparkSession, AGGLOMERATIONS, AGGLOMERATION_SCHEMA)
     return with_overrides(places, "num_insee", overrides).dropDuplicates()
 
 

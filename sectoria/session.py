@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8, driver_memory: str = "8g") -> SparkSession:
@@ -37,3 +40,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="sectoria-checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """Fixed rows as a local relation, whose known size lets the optimizer broadcast it."""
+    names = T.StructType.fromDDL(schema).names
+    columns = {name: list(values) for name, values in zip(names, zip(*rows, strict=True), strict=True)}
+    return spark.createDataFrame(pa.table(columns)).to(T.StructType.fromDDL(schema))
