@@ -1,89 +1,96 @@
 """p-values for result rows.
 
-Spark SQL has no normal, beta or gamma tail function. These helpers turn one
-test statistic into one p-value and only ever see aggregated rows.
+Spark SQL has no normal, beta or gamma tail function. Each helper turns one
+test statistic into one p-value and only ever sees aggregated rows. The
+functions are nested so that they travel to the executors by value and need
+no installed package there.
 """
 
 from __future__ import annotations
 
 import math
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-
-
-def _fraction(numerators, limit: int = 100_000, tolerance: float = 1e-16) -> float:
-    """Value of 1 + a1/(1 + a2/(1 + ...)) by Lentz's method."""
-    tiny = 1e-300
-    value, c, d = 1.0, 1.0, 0.0
-    for step in range(1, limit):
-        a = numerators(step)
-        d = 1.0 / ((1.0 + a * d) or tiny)
-        c = (1.0 + a / c) or tiny
-        value *= c * d
-        if abs(c * d - 1.0) < tolerance:
-            break
-    return value
-
-
-def beta_tail(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta function I_x(a, b)."""
-    if x <= 0.0 or x >= 1.0:
-        return min(max(x, 0.0), 1.0)
-    if x > (a + 1.0) / (a + b + 2.0):
-        return 1.0 - beta_tail(b, a, 1.0 - x)
-
-    def numerator(step: int) -> float:
-        k = step // 2
-        if step % 2 == 0:
-            return k * (b - k) * x / ((a + 2 * k - 1) * (a + 2 * k))
-        return -(a + k) * (a + b + k) * x / ((a + 2 * k) * (a + 2 * k + 1))
-
-    front = math.exp(
-        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    )
-    return front / (a * _fraction(numerator))
-
-
-def gamma_upper(a: float, x: float) -> float:
-    """Regularised upper incomplete gamma function Q(a, x)."""
-    if x <= 0.0:
-        return 1.0
-    front = math.exp(a * math.log(x) - x - math.lgamma(a))
-    if x < a + 1.0:
-        term = total = 1.0 / a
-        k = a
-        while term > total * 1e-17:
-            k += 1.0
-            term *= x / k
-            total += term
-        return 1.0 - front * total
-
-    def numerator(step: int) -> float:
-        k = (step + 1) // 2
-        return ((k - a) if step % 2 == 1 else k) / x
-
-    return front / (x * _fraction(numerator))
-
-
-@F.udf("double")
-def normal_two_sided(z):
-    return None if z is None else math.erfc(abs(z) / math.sqrt(2.0))
-
-
-@F.udf("double")
-def normal_upper(z):
-    return None if z is None else 0.5 * math.erfc(z / math.sqrt(2.0))
-
-
-@F.udf("double")
-def student_two_sided(t, degrees):
-    if t is None or degrees is None or degrees < 1:
-        return None
-    return 0.0 if math.isinf(t) else beta_tail(degrees / 2.0, 0.5, degrees / (degrees + t * t))
-
-
-@F.udf("double")
-def chi_square_upper(statistic, degrees):
-    if statistic is None or degrees is None:
-        return None
-    return 1.0 if degrees == 0 else gamma_upper(degrees / 2.0, statistic / 2.0)
+from pyspark.sql import types as T
+
+
+def normal_two_sided(z: Column) -> Column:
+    def tail(value):
+        return None if value is None else math.erfc(abs(value) / math.sqrt(2.0))
+
+    return F.udf(tail, T.DoubleType())(z)
+
+
+def normal_upper(z: Column) -> Column:
+    def tail(value):
+        return None if value is None else 0.5 * math.erfc(value / math.sqrt(2.0))
+
+    return F.udf(tail, T.DoubleType())(z)
+
+
+def student_two_sided(t: Column, degrees: Column) -> Column:
+    """Two-sided tail of Student's t: the regularised incomplete beta function by its continued fraction."""
+
+    def beta(a, b, x):
+        if x <= 0.0 or x >= 1.0:
+            return min(max(x, 0.0), 1.0)
+        if x > (a + 1.0) / (a + b + 2.0):
+            return 1.0 - beta(b, a, 1.0 - x)
+        tiny = 1e-300
+        value, c, d = 1.0, 1.0, 0.0
+        for step in range(1, 1_000_000):
+            k = step // 2
+            if step % 2 == 0:
+                term = k * (b - k) * x / ((a + 2 * k - 1) * (a + 2 * k))
+            else:
+                term = -(a + k) * (a + b + k) * x / ((a + 2 * k) * (a + 2 * k + 1))
+            d = 1.0 / ((1.0 + term * d) or tiny)
+            c = (1.0 + term / c) or tiny
+            value *= c * d
+            if abs(c * d - 1.0) < 1e-16:
+                break
+        log_front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
+        return math.exp(log_front) / (a * value)
+
+    def tail(value, freedom):
+        if value is None or freedom is None or freedom < 1:
+            return None
+        return beta(freedom / 2.0, 0.5, freedom / (freedom + value * value))
+
+    return F.udf(tail, T.DoubleType())(t, degrees)
+
+
+def chi_square_upper(statistic: Column, degrees: Column) -> Column:
+    """Upper tail of chi-square: the regularised incomplete gamma function by series or continued fraction."""
+
+    def gamma(a, x):
+        if x <= 0.0:
+            return 1.0
+        front = math.exp(a * math.log(x) - x - math.lgamma(a))
+        if x < a + 1.0:
+            term = total = 1.0 / a
+            k = a
+            while term > total * 1e-17:
+                k += 1.0
+                term *= x / k
+                total += term
+            return 1.0 - front * total
+        tiny = 1e-300
+        value, c, d = 1.0, 1.0, 0.0
+        for step in range(1, 1_000_000):
+            k = (step + 1) // 2
+            term = ((k - a) if step % 2 == 1 else k) / x
+            d = 1.0 / ((1.0 + term * d) or tiny)
+            c = (1.0 + term / c) or tiny
+            value *= c * d
+            if abs(c * d - 1.0) < 1e-16:
+                break
+        return front / (x * value)
+
+    def tail(value, freedom):
+        if value is None or freedom is None:
+            return None
+        return 1.0 if freedom == 0 else gamma(freedom / 2.0, value / 2.0)
+
+    return F.udf(tail, T.DoubleType())(statistic, degrees)

@@ -342,7 +342,7 @@ def chi_square(df: DataFrame, rows: str, column: str) -> DataFrame:
     )
     statistic = F.when(F.col("ddl") == 1, F.col("yates")).otherwise(F.col("plain"))
     return sums.withColumn("khi2", statistic).select(
-        "effectif", "khi2", "ddl", chi_square_upper("khi2", "ddl").alias("p_value"), "nb_cellules_inf5"
+        "effectif", "khi2", "ddl", chi_square_upper(F.col("khi2"), F.col("ddl")).alias("p_value"), "nb_cellules_inf5"
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -23,22 +24,28 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, driver_memory:
     )
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder named by ``spark.checkpoint.dir``.
+def checkpoint_root(spark: SparkSession) -> str:
+    """Folder named by ``spark.checkpoint.dir``.
 
-    The result keeps its partitioning and survives the loss of any executor.
     Only a local session may fall back to a temporary folder; on a cluster a
     missing shared folder is an error.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
+    folder = context.getCheckpointDir()
+    if folder is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
             if not context.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="sectoria-checkpoint-")
         context.setCheckpointDir(folder)
+        folder = context.getCheckpointDir()
+    return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint: the result keeps its partitioning and survives the loss of any executor."""
+    checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -47,3 +54,9 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
     names = T.StructType.fromDDL(schema).names
     columns = {name: list(values) for name, values in zip(names, zip(*rows, strict=True), strict=True)}
     return spark.createDataFrame(pa.table(columns)).to(T.StructType.fromDDL(schema))
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """New folder below the shared checkpoint folder, for tables handed from one step to the next."""
+    root = checkpoint_root(spark)
+    return f"{root}/{name}-{uuid.uuid4().hex}"

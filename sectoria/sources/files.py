@@ -61,11 +61,16 @@ def read_delimited(spark: SparkSession, path: str | list[str], schema: str | T.S
     return spark.read.schema(schema).csv(path, header=True, sep=sep, encoding="UTF-8")
 
 
-def read_zipped(spark: SparkSession, path: str, schema: str | T.StructType, chunk: int = 50_000) -> DataFrame:
-    """First member of each zip archive as a delimited file with header.
+def read_zipped(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """First member of each zip archive of a folder as a delimited file with header."""
+    return unzip_rows(spark.read.format("binaryFile").load(path).select("content"), schema)
 
-    An archive cannot be split, so each one is a task of its own; it is read
-    in chunks, and the casts to the schema happen in Spark.
+
+def unzip_rows(archives: DataFrame, schema: str | T.StructType, chunk: int = 50_000) -> DataFrame:
+    """Rows of the first member of each archive in the column ``content``.
+
+    An archive cannot be split, so one task reads it, in chunks; the casts to
+    the schema happen in Spark.
     """
     target = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in target.fields])
@@ -78,7 +83,6 @@ def read_zipped(spark: SparkSession, path: str, schema: str | T.StructType, chun
                         for part in pd.read_csv(member, dtype=str, chunksize=chunk):
                             yield part.reindex(columns=texts.names).astype(object).where(part.notna(), None)
 
-    archives = spark.read.format("binaryFile").load(path).select("content")
     rows = archives.mapInPandas(unpack, texts)
     return rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target.fields])
 
