@@ -80,19 +80,23 @@ class Rule:
     allowed: tuple[str, ...] = ()
     default: str | None = None
 
-    def failure(self) -> Column:
-        """Struct describing the failure, null when the field is valid."""
+    def checks(self) -> list[tuple[Column, str]]:
+        """Conditions under which the field fails, with the kind of failure; the first one that holds counts."""
         value = F.col(self.field)
-
-        def report(kind: str) -> Column:
-            return F.struct(F.lit(self.field).alias("champ"), F.lit(kind).alias("type"))
-
-        bad = F.when(value.isNull(), report("missing")) if self.default is None else F.when(F.lit(False), report("x"))
+        found = [] if self.default is not None else [(value.isNull(), "missing")]
         if self.pattern is not None:
-            bad = bad.when(~value.rlike(self.pattern), report("string_pattern_mismatch"))
+            found.append((~value.rlike(self.pattern), "string_pattern_mismatch"))
         if self.allowed:
-            bad = bad.when(~value.isin(*self.allowed), report("literal_error"))
-        return bad
+            found.append((~value.isin(*self.allowed), "literal_error"))
+        return found
+
+    def failure(self) -> Column:
+        """Struct describing the failure, null when the field is valid."""
+        report = F.lit(None).cast("struct<champ:string,type:string>")
+        for condition, kind in reversed(self.checks()):
+            named = F.struct(F.lit(self.field).alias("champ"), F.lit(kind).alias("type"))
+            report = F.when(condition, named).otherwise(report)
+        return report
 
 
 # Contract of a parsed death record.
@@ -109,14 +113,22 @@ PERSON_CONTRACT = [
 ]
 
 
+def with_defaults(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    return df.fillna({r.field: r.default for r in rules if r.default is not None})
+
+
 def with_contract(df: DataFrame, rules: Sequence[Rule], name: str = "erreurs") -> DataFrame:
     """Fill the defaults and list all failures of each row (empty for a valid row)."""
-    defaults = {r.field: r.default for r in rules if r.default is not None}
-    return df.fillna(defaults).withColumn(name, F.array_compact(F.array(*[r.failure() for r in rules])))
+    return with_defaults(df, rules).withColumn(name, F.array_compact(F.array(*[r.failure() for r in rules])))
 
 
-def valid_rows(checked: DataFrame, name: str = "erreurs") -> DataFrame:
-    return checked.where(F.size(name) == 0).drop(name)
+def valid_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Rows that meet every rule, defaults filled; plain predicates, no list of failures is built."""
+    kept = with_defaults(df, rules)
+    for rule in rules:
+        for condition, _ in rule.checks():
+            kept = kept.where(~condition)
+    return kept
 
 
 def rejected_rows(checked: DataFrame, name: str = "erreurs") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,29 +49,36 @@ def quantiles(
     return picked.select(*by, F.array(*results).alias(name))
 
 
-def with_quantile_class(
-    df: DataFrame, column: str, classes: int, label: str, order: str | None = None
-) -> DataFrame:
-    """Put a column into equally frequent classes ``]low,high]`` (lowest value included).
+def with_quantile_classes(df: DataFrame, classes: Mapping[str, int], labels: Mapping[str, str]) -> DataFrame:
+    """Put columns into equally frequent classes ``]low,high]`` (lowest value included).
 
-    The label shows whole numbers with a space between thousands; ``order``
-    names an extra column with the number of the class.
+    ``classes`` gives the number of classes of each column, ``labels`` the name
+    of its class column. A label shows whole numbers with a space between
+    thousands; ``<label>_ordre`` holds the number of the class. The edges of
+    all columns come from one pass.
     """
-    edges = quantiles(df, column, [i / classes for i in range(classes + 1)]).scalar()
-    number = F.lit(None).cast("int")
-    for i in reversed(range(1, classes + 1)):
-        number = F.when(F.col(column) <= F.element_at("_edges", i + 1), i).otherwise(number)
-    text = F.concat(
-        F.lit("]"),
-        group_thousands(F.element_at("_edges", F.col("_number"))),
-        F.lit(","),
-        group_thousands(F.element_at("_edges", F.col("_number") + 1)),
-        F.lit("]"),
-    )
-    result = df.withColumn("_edges", edges).withColumn("_number", number).withColumn(label, text)
-    if order:
-        result = result.withColumn(order, F.col("_number"))
-    return result.drop("_edges", "_number")
+    levels = sorted({i / n for n in classes.values() for i in range(n + 1)})
+    long = df.unpivot([], [F.col(c).cast("double").alias(c) for c in classes], "variable", "value")
+    edges = quantiles(long, "value", levels, by=["variable"])
+    table = edges.agg(F.map_from_entries(F.collect_list(F.struct("variable", "quantiles")))).scalar()
+    result = df.withColumn("_table", table)
+    for column, n in classes.items():
+        found = F.col("_table")[column]
+        edge = [found[levels.index(i / n)] for i in range(n + 1)]
+        label, number = F.lit(None).cast("string"), F.lit(None).cast("int")
+        for i in reversed(range(1, n + 1)):
+            inside = F.col(column) <= edge[i]
+            text = F.concat(
+                F.lit("]"), group_thousands(edge[i - 1]), F.lit(","), group_thousands(edge[i]), F.lit("]")
+            )
+            label, number = F.when(inside, text).otherwise(label), F.when(inside, i).otherwise(number)
+        result = result.withColumn(labels[column], label).withColumn(f"{labels[column]}_ordre", number)
+    return result.drop("_table")
+
+
+def with_quantile_class(df: DataFrame, column: str, classes: int, label: str) -> DataFrame:
+    """One column of :func:`with_quantile_classes`."""
+    return with_quantile_classes(df, {column: classes}, {column: label})
 
 
 def iqr_outliers(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:

@@ -20,23 +20,37 @@ LEVEL_FLAGS = {
 PAGE_SIZE = 20
 
 
-def national_baseline(df: DataFrame) -> DataFrame:
-    """One row: mean and sample deviation of ln(1+distance) and the extremes of the native distances."""
+def _log_moments(weight: Column | None) -> list[Column]:
+    """Mean and sample deviation of ln(1+distance), each row counted ``weight`` times."""
     log = log_distance(F.col("distance"))
+    if weight is None:
+        return [F.avg(log).alias("moy_distance"), F.stddev_samp(log).alias("std_distance")]
+    weight = F.when(F.col("distance").isNotNull(), weight)
+    n, total, squares = F.sum(weight), F.sum(weight * log), F.sum(weight * log * log)
+    spread = F.greatest(squares - total * total / n, F.lit(0.0))
+    return [
+        F.try_divide(total, n).alias("moy_distance"),
+        F.sqrt(F.try_divide(spread, (n - 1).cast("double"))).alias("std_distance"),
+    ]
+
+
+def national_baseline(df: DataFrame, weight: Column | None = None) -> DataFrame:
+    """One row: mean and sample deviation of ln(1+distance) and the extremes of the native distances.
+
+    ``weight`` is the number of persons of each row when the rows are counted cells.
+    """
     department = F.col("origine_departement") == "O"
     return df.agg(
-        F.avg(log).alias("moy_distance"),
-        F.stddev_samp(log).alias("std_distance"),
+        *_log_moments(weight),
         F.min(F.when(department, F.col("distance"))).alias("distance_dep_min"),
         F.max(F.when(department, F.col("distance"))).alias("distance_dep_max"),
         F.max(F.when(F.col("origine_nationale") == "O", F.col("distance"))).alias("distance_nat_max"),
     )
 
 
-def age_baseline(df: DataFrame, age_class: str = "classe_age") -> DataFrame:
+def age_baseline(df: DataFrame, weight: Column | None = None) -> DataFrame:
     """Mean and sample deviation of ln(1+distance) of each age class."""
-    log = log_distance(F.col("distance"))
-    return df.groupBy(age_class).agg(F.avg(log).alias("moy_distance"), F.stddev_samp(log).alias("std_distance"))
+    return df.groupBy("classe_age").agg(*_log_moments(weight))
 
 
 def level_keys(level: str) -> list[str]:
@@ -93,24 +107,35 @@ def _with_baseline(sectors: DataFrame, baseline: DataFrame, by_age: bool) -> Dat
     )
 
 
-def sector_scores(df: DataFrame, level: str, baseline: DataFrame, by_age: bool = False) -> DataFrame:
+def _own_baseline(cells: DataFrame, by_age: bool) -> DataFrame:
+    """Baseline of the counted cells themselves, so the persons are read once for both."""
+    moments = _log_moments(F.col("n"))
+    return cells.groupBy("classe_age").agg(*moments) if by_age else cells.agg(*moments)
+
+
+def sector_scores(
+    df: DataFrame, level: str, baseline: DataFrame | None = None, by_age: bool = False
+) -> DataFrame:
     """Score of every sector of a level: deaths, natives and outsiders, distances, TAFV, mobility and IMD.
 
     ``baseline`` is :func:`national_baseline`, or :func:`age_baseline` when the
-    score is split by age class. ``rang_deces`` ranks the sectors by deaths
-    over all ages.
+    score is split by age class; without it, the given persons are their own
+    baseline. ``rang_deces`` ranks the sectors by deaths over all ages.
     """
     keys = level_keys(level)
     flag = LEVEL_FLAGS[level]
     groups = [*keys, "classe_age"] if by_age else keys
     cells = distance_cells(df, groups, [flag])
+    baseline = _own_baseline(cells, by_age) if baseline is None else baseline
     sectors = cells.groupBy(*groups).agg(*_score_columns(F.col(flag)))
     scored = _with_indices(_with_baseline(sectors, baseline, by_age))
+    if not by_age:
+        return with_death_rank(scored, [])
     ranks = with_death_rank(sectors.groupBy(*keys).agg(F.sum("deces").alias("deces")), [])
     return scored.join(ranks.drop("deces"), keys, "inner")
 
 
-def all_level_scores(df: DataFrame, baseline: DataFrame) -> DataFrame:
+def all_level_scores(df: DataFrame, baseline: DataFrame | None = None) -> DataFrame:
     """Scores of all levels from one reading of the persons.
 
     The persons are counted once at the closest level; the wider levels are
@@ -119,6 +144,7 @@ def all_level_scores(df: DataFrame, baseline: DataFrame) -> DataFrame:
     levels = LEVELS[1:]
     flags = [LEVEL_FLAGS[level] for level in levels]
     cells = distance_cells(df, LEVELS, flags)
+    baseline = _own_baseline(cells, by_age=False) if baseline is None else baseline
     views = []
     for depth, level in enumerate(levels, start=2):
         names = [F.col(c).alias(c) if i < depth else F.lit(None).cast("string").alias(c) for i, c in enumerate(LEVELS)]

@@ -17,7 +17,8 @@ from ..operators.coverage import (
     without_population_gaps,
     yearly_coverage,
 )
-from ..operators.quantiles import with_quantile_class
+from ..operators.quantiles import with_quantile_classes
+from ..session import cut_lineage
 
 UNUSED = ["PARNAME", "TX", "DATE", "Q_TX", "TIME", "STAID_num", "SOUID", "NB_HAB_BRUT"]
 
@@ -45,17 +46,15 @@ def selected_measurements(days: DataFrame, lower: str, upper: str, years: int =
 
 
 def city_classes(days: DataFrame) -> DataFrame:
-    """One row per city with the quantile class of each measure."""
+    """One row per city with the quantile class of each measure; stored, since every test reads it."""
     keys = ["CITY", "CN", "CN_NAME", "CAPITALE", "LAT_degre", "LON_degre", "HGHT_num"]
     cities = (
         days.dropna(subset=keys)
         .groupBy(*keys)
         .agg(F.avg("TEMPERATURE").alias("TEMPERATURE"), F.avg("NB_HAB").alias("NB_HAB"))
     )
-    for column, classes in CLASSES.items():
-        name = "classe_HAB" if column == "NB_HAB" else f"classe_{column}"
-        cities = with_quantile_class(cities, column, classes, name)
-    return cities
+    labels = {c: "classe_HAB" if c == "NB_HAB" else f"classe_{c}" for c in CLASSES}
+    return cut_lineage(with_quantile_classes(cut_lineage(cities), CLASSES, labels))
 
 
 def population_tests(cities: DataFrame) -> DataFrame:

@@ -7,12 +7,17 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import imd, log_distance
 from ..operators.profiles import sector_statistics
-from ..operators.scores import LEVELS, age_baseline, national_baseline, pages, sector_scores
+from ..operators.scores import LEVELS, national_baseline, pages, sector_scores
 
 
-def sector_pages(df: DataFrame, level: str, by_age: bool = False, max_pages: int | None = 3) -> DataFrame:
-    """Scores of a level in pages of ranked sectors."""
-    baseline = age_baseline(df) if by_age else national_baseline(df)
+def sector_pages(
+    df: DataFrame,
+    level: str,
+    by_age: bool = False,
+    max_pages: int | None = 3,
+    baseline: DataFrame | None = None,
+) -> DataFrame:
+    """Scores of a level in pages of ranked sectors; ``baseline`` as in :func:`sector_scores`."""
     return pages(sector_scores(df, level, baseline, by_age), max_pages=max_pages)
 
 

@@ -46,7 +46,7 @@ def checked_records(lines: DataFrame, year: str = "annee") -> DataFrame:
 
 def death_people(lines: DataFrame, year: str = "annee") -> DataFrame:
     """Clean person table of all years: valid rows, date gates per year, repairs, ages and ids."""
-    records = valid_rows(checked_records(lines, year))
+    records = valid_rows(parse_death_lines(lines, keep=(year,)), PERSON_CONTRACT)
     dated = repaired_places(checked_dates(records, F.col(year), by=[year]))
     aged = dated.withColumn("age", age_in_years(F.col("date_naissance_dt"), F.col("date_deces_dt")))
     order = ["date_deces_dt", "nom", "prenom", "date_naissance_dt", "num_insee_naissance", "num_insee_deces"]

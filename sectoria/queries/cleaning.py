@@ -120,17 +120,18 @@ _CUSTOMER_RULES = [
 ]
 
 
-def _customers(spark, folder):
+def _customer_records(spark, folder):
     balance = F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal"))
     country = F.when(F.col("c_nationkey") > 3, F.col("c_nationkey").cast("string"))
-    return C.with_contract(
-        table(spark, folder, "customer").select(
-            "c_custkey", "c_name", "c_mktsegment", balance.alias("balance"), country.alias("country")
-        ),
-        _CUSTOMER_RULES,
+    return table(spark, folder, "customer").select(
+        "c_custkey", "c_name", "c_mktsegment", balance.alias("balance"), country.alias("country")
     )
 
 
+def _customers(spark, folder):
+    return C.with_contract(_customer_records(spark, folder), _CUSTOMER_RULES)
+
+
 _CHECKED_CUSTOMERS = """WITH checked AS (SELECT c_custkey, CASE WHEN c_nationkey > 3 THEN CAST(c_nationkey AS VARCHAR)
     ELSE 'FRANCE' END AS country,
   NOT regexp_matches(c_name, '^Customer#[0-9]*[02468]$') AS e1,
@@ -139,7 +140,7 @@ _CHECKED_CUSTOMERS = """WITH checked AS (SELECT c_custkey, CASE WHEN c_nationkey
 
 @query("P10", _CHECKED_CUSTOMERS + "SELECT c_custkey, country FROM checked WHERE NOT (e1 OR e2 OR e3)")
 def contract_valid_rows(spark, folder):
-    return C.valid_rows(_customers(spark, folder)).select("c_custkey", "country")
+    return C.valid_rows(_customer_records(spark, folder), _CUSTOMER_RULES).select("c_custkey", "country")
 
 
 @query(
@@ -378,14 +379,14 @@ def _thousands(value: str) -> str:
 @query(
     "P21",
     f"""WITH q AS (SELECT quantile_cont(l_extendedprice, [0, 1/3.0, 2/3.0, 1]) AS e FROM lineitem)
-  SELECT l_orderkey, l_linenumber, l_partkey, CAST(k AS INTEGER) AS ordre,
+  SELECT l_orderkey, l_linenumber, l_partkey, CAST(k AS INTEGER) AS classe_ordre,
     ']' || {_thousands("e[k]")} || ',' || {_thousands("e[k + 1]")} || ']' AS classe
   FROM (SELECT *, CASE WHEN l_extendedprice <= e[2] THEN 1 WHEN l_extendedprice <= e[3] THEN 2 ELSE 3 END AS k
     FROM lineitem, q)""",
 )
 def quantile_classes(spark, folder):
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    return with_quantile_class(lines, "l_extendedprice", 3, "classe", "ordre").drop("l_extendedprice")
+    return with_quantile_class(lines, "l_extendedprice", 3, "classe").drop("l_extendedprice")
 
 
 @query(

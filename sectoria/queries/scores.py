@@ -48,7 +48,7 @@ _ALL_LEVELS = " UNION ALL ".join(
 def territory_scores(spark, folder):
     """Flagship: scores and ranks of the sectors of every level."""
     people = persons(spark, folder)
-    return _tidy(S.all_level_scores(people, S.national_baseline(people)))
+    return _tidy(S.all_level_scores(people))
 
 
 @query(
@@ -86,7 +86,7 @@ _AGE_SCORES = f"""SELECT x.*, r.rang_deces FROM ({scored_sql(", ".join([*DEP, "c
 def age_scores(spark, folder):
     """Department scores split by age class, each class against its own baseline."""
     people = persons(spark, folder)
-    return _tidy(S.sector_scores(people, "nom_departement_deces", S.age_baseline(people), by_age=True))
+    return _tidy(S.sector_scores(people, "nom_departement_deces", by_age=True))
 
 
 _CITY_RANKED = _rank_sql(_level_sql(CITY, "origine_ville"))
@@ -200,7 +200,7 @@ _SCORED = f", scored AS ({_ALL_LEVELS})\n"
 )
 def overall_states(spark, folder):
     people = persons(spark, folder)
-    scored = S.all_level_scores(people, S.national_baseline(people))
+    scored = S.all_level_scores(people)
     parts = [
         S.overall_state(scored, m, by=["niveau"]).select(F.lit(m).alias("indicateur"), "*") for m in ("TAFV", "IMD")
     ]
@@ -214,7 +214,7 @@ def overall_states(spark, folder):
 )
 def sectors_without_natives(spark, folder):
     people = persons(spark, folder)
-    return S.sectors_without_natives(S.sector_scores(people, "ville_deces", S.national_baseline(people)))
+    return S.sectors_without_natives(S.sector_scores(people, "ville_deces"))
 
 
 _STATS = """SELECT nom_departement_deces,

@@ -58,17 +58,9 @@ _LINES_SQL = """, lines AS (SELECT annee, CAST(idligne AS VARCHAR) AS k, idligne
 def written_lines(spark, folder):
     """The lines as Latin-1 text files, one folder per year, read back with the year of the folder."""
     path = shared_folder(spark, "lignes")
-    death_lines(spark, folder).write.partitionBy("annee").options(
-        encoding="ISO-8859-1", sep="\u0001", quote="", quoteAll="false", emptyValue=""
-    ).csv(path)
-    years = [r["annee"] for r in spark.read.options(sep="\u0001").csv(path).select("annee").distinct().collect()]
-    lines = [
-        files.read_lines(spark, f"{path}/annee={year}").withColumn("annee", F.lit(str(year))) for year in sorted(years)
-    ]
-    result = lines[0]
-    for part in lines[1:]:
-        result = result.unionByName(part)
-    return result
+    lines = death_lines(spark, folder).write.partitionBy("annee")
+    lines.options(encoding="ISO-8859-1", sep="\u0001", quote="").csv(path)
+    return files.read_lines(spark, path, keep=("annee",))
 
 
 @query(
@@ -94,7 +86,7 @@ _VALID_SQL = """, valid AS (SELECT * FROM lines WHERE sex IN ('1', '2') AND rege
   UNION ALL SELECT 'date_naissance', count(*) FILTER (WHERE date_naissance = '1960x101') FROM lines)""",
 )
 def line_errors(spark, folder):
-    return error_counts(mortality.checked_records(death_lines(spark, folder)))
+    return error_counts(mortality.checked_records(written_lines(spark, folder)))
 
 
 _PEOPLE_SQL = (
@@ -117,7 +109,7 @@ _PEOPLE_SQL = (
 @query("P10 P11 P12 P13 P14 P16 P17 P18 P6", PERSONS + _LINES_SQL + _PEOPLE_SQL + "SELECT * FROM people")
 def death_people(spark, folder):
     """Clean person table from the lines (ids are checked by ``yearly_ids``)."""
-    return mortality.death_people(death_lines(spark, folder)).drop("idligne")
+    return mortality.death_people(written_lines(spark, folder)).drop("idligne")
 
 
 def _code_places(spark, folder):
@@ -163,7 +155,7 @@ def _code_places(spark, folder):
 )
 def yearly_refresh(spark, folder):
     """The whole yearly refresh: lines to clean persons, places, distances and yearly profiles, stored by year."""
-    profiles = mortality.yearly_profiles(mortality.death_people(death_lines(spark, folder)), _code_places(spark, folder))
+    profiles = mortality.yearly_profiles(mortality.death_people(written_lines(spark, folder)), _code_places(spark, folder))
     path = shared_folder(spark, "profils")
     tables.replace_years(profiles, path)
     return (

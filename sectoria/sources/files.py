@@ -14,14 +14,21 @@ from pyspark.sql import types as T
 LINE_WIDTH = 200
 
 
-def read_lines(spark: SparkSession, path: str | list[str], encoding: str = "ISO-8859-1", width: int = LINE_WIDTH) -> DataFrame:
-    """Fixed-position lines as one trimmed column ``value``; files stay splittable."""
-    lines = (
-        spark.read.schema("value string")
-        .options(encoding=encoding, sep="\u0001", quote="", mode="PERMISSIVE")
-        .csv(path)
+def read_lines(
+    spark: SparkSession,
+    path: str | list[str],
+    encoding: str = "ISO-8859-1",
+    width: int = LINE_WIDTH,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """Fixed-position lines as one trimmed column ``value``; files stay splittable.
+
+    ``keep`` names columns taken from folder names, such as ``annee=2024``.
+    """
+    lines = spark.read.schema("value string").options(encoding=encoding, sep="\u0001", quote="").csv(path)
+    return lines.select(
+        *[F.col(c).cast("string").alias(c) for c in keep], F.trim(F.substring("value", 1, width)).alias("value")
     )
-    return lines.select(F.trim(F.substring("value", 1, width)).alias("value"))
 
 
 def parse_death_lines(lines: DataFrame, line: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
