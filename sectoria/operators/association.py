@@ -7,6 +7,7 @@ statistic to its p-value, runs on the few result rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from .positions import with_position, with_running_total
 
 ALPHA = 0.05
 PAIR = ["variable_x", "variable_y"]
+_DIGIT_BITS = 3
+_DIGITS = 2**_DIGIT_BITS
 
 
 def _polynomial(coefficients: Sequence[float], x: Column) -> Column:
@@ -213,34 +216,61 @@ def spearman(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 
 
 def _discordant_pairs(cells: DataFrame) -> DataFrame:
-    """Number of discordant pairs of observations, counted bit by bit.
-
-    Two observations with different y differ first in one binary digit of the
-    rank of y: they share all higher digits, and the larger y has a 1 there.
-    The pair is discordant if the larger y comes with the smaller x. So, for
-    every digit and every value of the higher digits, each 0 counts the 1s at
-    smaller x. One running total over (digit, higher digits, x) counts all
-    digits together; a cell is repeated once per digit, never per partner.
+    """Number of discordant pairs of observations, counted digit by digit.
+
+    Two observations with different y differ first in one base-8 digit of the
+    position of y: they share all higher digits, and the larger y has the
+    larger digit there. The pair is discordant if the larger y comes with the
+    smaller x. So, for every digit place and every value of the higher digits,
+    each observation counts the larger digits at smaller x. One running total
+    over (place, higher digits, x) serves all places together; a cell is
+    repeated once per digit, never per partner.
     """
-    codes = with_position(cells.select(*PAIR, "y").distinct(), ["y"], name="code", by=PAIR).withColumn(
-        "code", F.col("code") - 1
+    sizes = cells.groupBy(*PAIR, "x").agg(F.lit(1)).groupBy(*PAIR).agg(F.count(F.lit(1)).alias("size_x"))
+    sizes = sizes.join(
+        cells.groupBy(*PAIR, "y").agg(F.lit(1)).groupBy(*PAIR).agg(F.count(F.lit(1)).alias("size_y")), PAIR
     )
-    top = codes.agg(F.length(F.bin(F.max("code"))) - 1).scalar()
-    coded = cells.join(codes, [*PAIR, "y"]).select(*PAIR, "x", "n", "code", F.explode(F.sequence(F.lit(0), top)).alias("bit"))
-    one = F.call_function("shiftright", F.col("code"), F.col("bit")) % 2 == 1
-    levels = coded.groupBy(
-        *PAIR, "bit", F.call_function("shiftright", F.col("code"), F.col("bit") + 1).alias("prefix"), "x"
-    ).agg(
-        F.sum(F.when(one, F.col("n")).otherwise(0)).alias("ones"),
-        F.sum(F.when(one, 0).otherwise(F.col("n"))).alias("zeros"),
+    # The count is the same with x and y exchanged; the column with fewer values needs fewer digits.
+    turned = F.col("size_x") < F.col("size_y")
+    oriented = cells.join(F.broadcast(sizes), PAIR).select(
+        *PAIR,
+        F.when(turned, F.col("y")).otherwise(F.col("x")).alias("x"),
+        F.when(turned, F.col("x")).otherwise(F.col("y")).alias("y"),
+        "n",
+        F.least("size_x", "size_y").alias("size"),
+    )
+    codes = with_position(oriented.select(*PAIR, "y").distinct(), ["y"], name="code", by=PAIR)
+    codes = codes.withColumn("code", F.col("code") - 1)
+    last_place = F.floor((F.length(F.bin(F.col("size") - 1)) - 1) / _DIGIT_BITS).cast("int")
+    coded = oriented.join(codes, [*PAIR, "y"]).select(
+        *PAIR, "x", "n", "code", F.explode(F.sequence(F.lit(0), last_place)).alias("place")
     )
-    running = with_running_total(levels, [*PAIR, "bit", "prefix", "x"], ["ones"])
-    zeros, before = F.col("zeros").cast("decimal(19,0)"), F.col("before_ones").cast("decimal(19,0)")
-    groups = running.groupBy(*PAIR, "bit", "prefix").agg(
-        F.sum(zeros * before).alias("weighted"), F.sum("zeros").alias("zeros"), F.min("before_ones").alias("base")
+
+    def shifted(by: Column) -> Column:
+        return F.call_function("shiftright", F.col("code"), by)
+
+    digit = shifted(F.col("place") * _DIGIT_BITS) % _DIGITS
+    names = [f"d{d}" for d in range(_DIGITS)]
+    levels = coded.groupBy(
+        *PAIR, "place", shifted((F.col("place") + 1) * _DIGIT_BITS).alias("prefix"), "x"
+    ).agg(*[F.sum(F.when(digit == d, F.col("n")).otherwise(0)).alias(names[d]) for d in range(_DIGITS)])
+    running = with_running_total(levels, [*PAIR, "place", "prefix", "x"], names[1:])
+
+    def exact(name: str) -> Column:
+        return F.col(name).cast("decimal(19,0)")
+
+    def above(d: int, prefix: str) -> Column:
+        return reduce(lambda a, b: a + b, [F.col(f"{prefix}_d{e}") for e in range(d + 1, _DIGITS)]).cast("decimal(19,0)")
+
+    lower = range(_DIGITS - 1)
+    weighted = reduce(lambda a, b: a + b, [exact(names[d]) * above(d, "before") for d in lower])
+    groups = running.groupBy(*PAIR, "place", "prefix").agg(
+        F.sum(weighted).alias("weighted"),
+        *[F.sum(names[d]).alias(names[d]) for d in lower],
+        *[F.min(f"before_{n}").alias(f"base_{n}") for n in names[1:]],
     )
-    inside = F.col("weighted") - zeros * F.col("base").cast("decimal(19,0)")
-    return groups.groupBy(*PAIR).agg(F.sum(inside).cast("decimal(38,0)").alias("discordant"))
+    outside = reduce(lambda a, b: a + b, [exact(names[d]) * above(d, "base") for d in lower])
+    return groups.groupBy(*PAIR).agg(F.sum(F.col("weighted") - outside).cast("decimal(38,0)").alias("discordant"))
 
 
 def _tie_sums(counts: DataFrame, name: str) -> DataFrame:

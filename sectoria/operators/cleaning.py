@@ -279,17 +279,31 @@ def repaired_places(
     country: str = "pays_naissance",
     code: str = "num_insee_naissance",
 ) -> DataFrame:
-    """Set country and code from words in the city name; the last matching rule wins."""
+    """Set country and code from words in the city name; the last matching rule wins.
 
-    def mentions(words: Sequence[str]) -> Column:
-        return reduce(lambda a, b: a | b, [F.col(city).contains(w) for w in words])
+    The rules are one array value; only cities with a word that opens some rule look into it.
+    """
+
+    def words(listed: Sequence[str]) -> Column:
+        return F.array(*[F.lit(w) for w in listed])
+
+    table = F.array(
+        *[
+            F.struct(
+                words(first).alias("first"), words(second).alias("second"), F.lit(name).alias("country"), F.lit(number).alias("code")
+            )
+            for first, second, name, number in rules
+        ]
+    )
+
+    def mentioned(listed: Column) -> Column:
+        return F.exists(listed, lambda word: F.contains(F.col(city), word))
 
-    target = F.lit(None).cast("struct<country:string,code:string>")
-    for first, second, name, number in rules:
-        found = F.struct(F.lit(name).alias("country"), F.lit(number).alias("code"))
-        target = F.when(mentions(first) & mentions(second), found).otherwise(target)
+    openers = sorted({word for first, _, _, _ in rules for word in first})
+    opens = reduce(lambda a, b: a | b, [F.col(city).contains(w) for w in openers])
+    matching = F.filter(table, lambda rule: mentioned(rule["first"]) & mentioned(rule["second"]))
     return (
-        df.withColumn("_target", target)
+        df.withColumn("_target", F.when(opens, F.try_element_at(matching, F.lit(-1))))
         .withColumn(country, F.coalesce("_target.country", country))
         .withColumn(code, F.coalesce("_target.code", code))
         .drop("_target")

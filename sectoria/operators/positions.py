@@ -1,8 +1,9 @@
 """Global row numbers and running totals without a single-task window.
 
-The rows are range-partitioned and sorted, checkpointed so that both later
-passes see the same partitions, and numbered inside each partition. Only the
-per-partition totals (one row per partition) are brought together.
+The rows are range-partitioned, sorted, and stamped with the number of their
+slice (partition) and their place in it. The stamped rows are stored, so every
+later pass sees the same slices. Only the totals per slice, one row each, are
+brought together.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-_STAMP, _SLICE, _OFFSET, _LOCAL = "_stamp", "_slice", "_offset", "_local"
+_STAMP, _SLICE, _OFFSET = "_stamp", "_slice", "_offset"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 
 
@@ -33,11 +34,11 @@ def _sorted_slices(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     return cut_lineage(ordered)
 
 
-def _slice_offsets(slices: DataFrame, measure: Column) -> DataFrame:
-    """Total of all earlier slices; as many rows as there are partitions."""
-    totals = slices.groupBy(_SLICE).agg(measure.alias("_total"))
+def _slice_offsets(slices: DataFrame, measures: dict[str, Column]) -> DataFrame:
+    """Totals of all earlier slices; as many rows as there are slices."""
+    totals = slices.groupBy(_SLICE).agg(*[m.alias(name) for name, m in measures.items()])
     earlier = Window.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select(_SLICE, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias(_OFFSET))
+    return totals.select(_SLICE, *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(n) for n in measures])
 
 
 def with_position(
@@ -50,7 +51,7 @@ def with_position(
     neighbouring ranges of the same global order.
     """
     slices = _sorted_slices(df, [*by, *order])
-    offsets = _slice_offsets(slices, F.count(F.lit(1)))
+    offsets = _slice_offsets(slices, {_OFFSET: F.count(F.lit(1))})
     local = F.col(_STAMP) - F.shiftleft(F.col(_SLICE).cast("bigint"), _ROW_BITS)
     numbered = (
         slices.join(F.broadcast(offsets), _SLICE)
@@ -77,17 +78,13 @@ def with_running_total(
     """
     slices = _sorted_slices(df, [*by, *order])
     inside = Window.partitionBy(_SLICE).orderBy(_STAMP).rowsBetween(Window.unboundedPreceding, -1)
-    result = slices
-    for weight in weights:
-        earlier = F.coalesce(F.sum(weight).over(inside), F.lit(0))
-        offsets = _slice_offsets(slices, F.sum(weight)).withColumnRenamed(_OFFSET, f"_{weight}")
-        result = (
-            result.withColumn(f"before_{weight}", earlier)
-            .join(F.broadcast(offsets), _SLICE)
-            .withColumn(f"before_{weight}", F.col(f"before_{weight}") + F.col(f"_{weight}"))
-            .drop(f"_{weight}")
-        )
-    result = result.drop(_STAMP, _SLICE)
+    offsets = _slice_offsets(slices, {f"_{w}": F.sum(w) for w in weights})
+    result = slices.withColumns(
+        {f"before_{w}": F.coalesce(F.sum(w).over(inside), F.lit(0)) for w in weights}
+    ).join(F.broadcast(offsets), _SLICE)
+    result = result.withColumns({f"before_{w}": F.col(f"before_{w}") + F.col(f"_{w}") for w in weights}).drop(
+        _STAMP, _SLICE, *[f"_{w}" for w in weights]
+    )
     if not by:
         for weight in weights if totals else ():
             result = result.withColumn(f"total_{weight}", slices.agg(F.sum(weight)).scalar())

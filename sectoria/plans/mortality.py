@@ -19,6 +19,7 @@ from ..operators.cleaning import (
 )
 from ..operators.places import analysis_view, locate_persons
 from ..operators.profiles import commune_year_profile
+from ..session import cut_lineage
 from ..sources.files import parse_death_lines
 
 PERSON_COLUMNS = [
@@ -45,8 +46,12 @@ def checked_records(lines: DataFrame, year: str = "annee") -> DataFrame:
 
 
 def death_people(lines: DataFrame, year: str = "annee") -> DataFrame:
-    """Clean person table of all years: valid rows, date gates per year, repairs, ages and ids."""
-    records = valid_rows(parse_death_lines(lines, keep=(year,)), PERSON_CONTRACT)
+    """Clean person table of all years: valid rows, date gates per year, repairs, ages and ids.
+
+    The valid records are stored by year, so the text is parsed once and the
+    gates read only the date columns.
+    """
+    records = cut_lineage(valid_rows(parse_death_lines(lines, keep=(year,)), PERSON_CONTRACT), [year])
     dated = repaired_places(checked_dates(records, F.col(year), by=[year]))
     aged = dated.withColumn("age", age_in_years(F.col("date_naissance_dt"), F.col("date_deces_dt")))
     order = ["date_deces_dt", "nom", "prenom", "date_naissance_dt", "num_insee_naissance", "num_insee_deces"]

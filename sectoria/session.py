@@ -25,7 +25,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, driver_memory:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``.
+    """Folder for intermediate tables, as named by ``spark.checkpoint.dir``.
 
     Only a local session may fall back to a temporary folder; on a cluster a
     missing shared folder is an error.
@@ -43,10 +43,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result keeps its partitioning and survives the loss of any executor."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write the rows to the shared folder and read them back.
+
+    The stored table survives the loss of any executor, later passes read only
+    the columns they need, and its size is known to the optimizer.
+    """
+    path = shared_folder(df.sparkSession, "etape")
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
 
 
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
