@@ -43,7 +43,8 @@ def file_year_flag(text: Column, year: Column | str) -> Column:
 
 
 def age_in_years(birth: Column, death: Column) -> Column:
-    return F.greatest(F.floor(F.datediff(death, birth) / 365).cast("int"), F.lit(0))
+    years = F.floor(F.datediff(death, birth) / 365).cast("int")
+    return F.when(years < 0, 0).otherwise(years)
 
 
 def month_label(day: Column) -> Column:

@@ -34,7 +34,7 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     chord = F.sin(half_lat) * F.sin(half_lat) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.sin(
         half_lon
     ) * F.sin(half_lon)
-    return F.asin(F.least(F.sqrt(chord), F.lit(1.0))) * (2 * EARTH_RADIUS_KM)
+    return F.asin(F.sqrt(F.when(chord > 1.0, 1.0).otherwise(chord))) * (2 * EARTH_RADIUS_KM)
 
 
 def imd(mean: Column, std: Column, mobility: Column, digits: int) -> Column:

@@ -18,7 +18,7 @@ from .positions import with_position, with_running_total
 
 ALPHA = 0.05
 PAIR = ["variable_x", "variable_y"]
-_DIGIT_BITS = 3
+_DIGIT_BITS = 2
 _DIGITS = 2**_DIGIT_BITS
 
 
@@ -30,6 +30,11 @@ def _polynomial(coefficients: Sequence[float], x: Column) -> Column:
     return value
 
 
+def _within_one(value: Column) -> Column:
+    """Cut rounding noise beyond -1 and 1; null stays null."""
+    return F.when(value > 1.0, 1.0).when(value < -1.0, -1.0).otherwise(value)
+
+
 # Published rational approximation of the normal quantile (algorithm AS 241), rising order.
 _CENTRE_UP = [
     3.3871328727963666080e0,
@@ -145,7 +150,7 @@ def shapiro_wilk(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .withColumn("a1", a1)
         .withColumn("a2", a2)
         .withColumn("phi", F.when(n > 5, phi_two).when(n > 3, phi_one).otherwise(F.lit(1.0)))
-        .withColumn("W", F.least(F.try_divide(slope * slope, F.col("spread")), F.lit(1.0)))
+        .withColumn("W", _within_one(F.try_divide(slope * slope, F.col("spread"))))
     )
     x = F.log(n.cast("double"))
     size = n.cast("double")
@@ -207,7 +212,7 @@ def spearman(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     degrees = F.col("effectif") - 2
     t = F.col("coefficient") * F.sqrt(F.try_divide(degrees.cast("double"), 1 - F.pow("coefficient", F.lit(2.0))))
     exact = F.abs("coefficient") >= 1.0
-    return sums.withColumn("coefficient", F.least(F.greatest(rho, F.lit(-1.0)), F.lit(1.0))).select(
+    return sums.withColumn("coefficient", _within_one(rho)).select(
         *PAIR,
         "effectif",
         "coefficient",
@@ -218,7 +223,7 @@ def spearman(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 def _discordant_pairs(cells: DataFrame) -> DataFrame:
     """Number of discordant pairs of observations, counted digit by digit.
 
-    Two observations with different y differ first in one base-8 digit of the
+    Two observations with different y differ first in one base-4 digit of the
     position of y: they share all higher digits, and the larger y has the
     larger digit there. The pair is discordant if the larger y comes with the
     smaller x. So, for every digit place and every value of the higher digits,
@@ -307,7 +312,7 @@ def kendall(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
         + F.coalesce(F.try_divide(F.col("cube_x") * F.col("cube_y"), 9 * m * (n - 2)), F.lit(0.0))
     )
     z = F.try_divide(balance / 2, F.sqrt(variance))
-    tau = F.try_divide(balance, F.sqrt(free_x) * F.sqrt(free_y))
+    tau = _within_one(F.try_divide(balance, F.sqrt(free_x) * F.sqrt(free_y)))
     return table.where(F.col("effectif") > 1).select(
         *PAIR, "effectif", tau.alias("coefficient"), normal_two_sided(z).alias("p_value")
     )

@@ -7,7 +7,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,26 +41,30 @@ def parse_death_lines(lines: DataFrame, line: str = "value", keep: tuple[str, ..
     """
     text = F.col(line)
     star, slash = F.instr(text, "*"), F.instr(text, "/")
-    rest = F.trim(text.substr(slash + 1, F.length(text)))
     gap = "   "
-
-    def part(start: int, length: int) -> Column:
-        return F.substring(rest, start, length)
-
-    abroad = F.substring(text, 125, 76)
-    country = F.when(abroad.rlike(r"^\p{L}"), F.substring(F.substring_index(abroad, gap, 1), 1, 30)).otherwise("FRANCE")
-    return lines.select(
+    cut = lines.select(
         *keep,
-        F.substring_index(text, "*", 1).alias("nom"),
-        text.substr(star + 1, slash - star - 1).alias("prenom"),
-        part(1, 1).alias("sex"),
-        part(2, 8).alias("date_naissance"),
-        part(10, 5).alias("num_insee_naissance"),
-        F.substring_index(part(15, LINE_WIDTH), gap, 1).alias("ville_naissance"),
-        country.alias("pays_naissance"),
-        F.substring(text, 155, 8).alias("date_deces"),
-        F.substring(text, 163, 5).alias("num_insee_deces"),
+        text.alias("_text"),
+        F.trim(text.substr(slash + 1, F.length(text))).alias("_rest"),
+        F.substring(text, 125, 76).alias("_abroad"),
+        star.alias("_star"),
+        slash.alias("_slash"),
     )
+    text = F.col("_text")
+    country = F.substring(F.substring_index("_abroad", gap, 1), 1, 30)
+    fields = {
+        "nom": F.substring_index(text, "*", 1),
+        "prenom": text.substr(F.col("_star") + 1, F.col("_slash") - F.col("_star") - 1),
+        "sex": F.substring("_rest", 1, 1),
+        "date_naissance": F.substring("_rest", 2, 8),
+        "num_insee_naissance": F.substring("_rest", 10, 5),
+        "ville_naissance": F.substring_index(F.substring("_rest", 15, LINE_WIDTH), gap, 1),
+        "pays_naissance": F.when(F.col("_abroad").rlike(r"^\p{L}"), country).otherwise("FRANCE"),
+        "date_deces": F.substring(text, 155, 8),
+        "num_insee_deces": F.substring(text, 163, 5),
+    }
+    # One-element inline: later filters see finished fields and do not repeat the parse for each check.
+    return cut.select(*keep, F.inline(F.array(F.struct(*[value.alias(name) for name, value in fields.items()]))))
 
 
 def read_delimited(spark: SparkSession, path: str | list[str], schema: str | T.StructType, sep: str = ",") -> DataFrame:
