@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.conditions import all_present
 from ..functions.inference import chi_square_upper, normal_two_sided, normal_upper, student_two_sided
 from ..session import cut_lineage
 from .positions import with_position, with_running_total
@@ -185,7 +186,7 @@ def pair_cells(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
         )
         for a, b in pairs
     ]
-    long = df.select(F.explode(F.array(*structs)).alias("p")).select("p.*").dropna(subset=["x", "y"])
+    long = df.select(F.explode(F.array(*structs)).alias("p")).select("p.*").where(all_present(["x", "y"]))
     return long.groupBy(*PAIR, "x", "y").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -347,16 +348,16 @@ def expected_counts(df: DataFrame, rows: str, column: str) -> DataFrame:
     is paired with: the result is the table itself.
     """
     cells = cut_lineage(
-        df.dropna(subset=[rows, column]).groupBy(rows, column).agg(F.count(F.lit(1)).alias("observe"))
+        df.where(all_present([rows, column])).groupBy(rows, column).agg(F.count(F.lit(1)).alias("observe"))
     )
-    by_row = cells.groupBy(rows).agg(F.sum("observe").alias("r"))
-    by_column = cells.groupBy(column).agg(F.sum("observe").alias("c"))
-    listed = by_column.agg(F.collect_list(F.struct(F.col(column).alias("k"), "c"))).scalar()
+    by_row = cells.groupBy(rows).agg(F.sum("observe").alias("_r"))
+    by_column = cells.groupBy(column).agg(F.sum("observe").alias("_c"))
+    listed = by_column.agg(F.collect_list(F.struct(F.col(column).alias("k"), F.col("_c").alias("c")))).scalar()
     total = cells.agg(F.sum("observe")).scalar()
     grid = (
         by_row.withColumn("_k", F.explode(listed))
-        .select(rows, F.col("_k.k").alias(column), "r", F.col("_k.c").alias("c"))
-        .withColumn("attendu", F.col("r").cast("double") * F.col("c") / total)
+        .select(rows, F.col("_k.k").alias(column), "_r", F.col("_k.c").alias("_c"))
+        .withColumn("attendu", F.col("_r").cast("double") * F.col("_c") / total)
     )
     return grid.join(cells, [rows, column], "left").select(
         rows, column, F.coalesce("observe", F.lit(0)).alias("observe"), "attendu"

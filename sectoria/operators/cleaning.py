@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.conditions import all_present
 from ..functions import dates
 from .positions import with_position
 
@@ -50,8 +51,8 @@ def to_number(df: DataFrame, column: str, sentinels: Sequence[str]) -> DataFrame
 def complete_rows(df: DataFrame, required: Sequence[str], not_equal: Mapping[str, str] | None = None) -> DataFrame:
     """Rows with every required column; ``not_equal`` excludes a fixed value (a missing value is kept)."""
     for column, value in (not_equal or {}).items():
-        df = df.where(~F.col(column).eqNullSafe(F.lit(value)))
-    return df.dropna(subset=list(required))
+        df = df.where(F.col(column).isNull() | (F.col(column) != value))
+    return df.where(all_present(required))
 
 
 # The strict and the relaxed list of columns a located person must have.
@@ -213,7 +214,7 @@ def checked_dates(df: DataFrame, year: Column | str, limit: float = 5.0, by: Seq
         through_gates(df, date_flags(year), "nom", limit, by)
         .withColumn("date_naissance_dt", dates.lenient_date(F.col("date_naissance")))
         .withColumn("date_deces_dt", dates.lenient_date(F.col("date_deces")))
-        .dropna(subset=["date_naissance_dt", "date_deces_dt"])
+        .where(all_present(["date_naissance_dt", "date_deces_dt"]))
     )
     return dated.dropDuplicates()
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.conditions import all_present
 from ..functions.dates import season
 from ..functions.numeric import round_even
 from ..functions.text import dms_to_degrees
@@ -86,7 +87,7 @@ def city_days(df: DataFrame, city: Sequence[str] = CITY, day: Sequence[str] = ("
     place = ["LAT_degre", "LON_degre", "HGHT_num"]
     keys = [*city, *day]
     daily = (
-        df.dropna(subset=keys)
+        df.where(all_present(keys))
         .groupBy(*keys)
         .agg(
             *[F.sum(c).alias(f"_s_{c}") for c in place],
@@ -152,7 +153,7 @@ def longest_run(periods: DataFrame, label: str, measure: str) -> DataFrame:
 
 def city_year_coverage(df: DataFrame, lower: str, upper: str, city: Sequence[str] = CITY) -> DataFrame:
     """Per city: first and last year, years with all 12 months, and months and rows of those years."""
-    window = df.where(F.col("DATE_str_YEAR").between(lower, upper)).dropna(subset=list(city))
+    window = df.where(F.col("DATE_str_YEAR").between(lower, upper)).where(all_present(city))
     years = (
         window.groupBy(*city, "DATE_str_YEAR", "DATE_str_MONTH")
         .agg(F.count("DATE_dt").alias("n"))

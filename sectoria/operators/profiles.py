@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.conditions import all_present
 from ..functions.classes import AGE_CLASSES_4, age_class, mobility_class
 from ..functions.dates import MONTHS
 from ..functions.numeric import log_distance, rate, round_even
@@ -62,7 +63,7 @@ def commune_year_profile(df: DataFrame, keys: Sequence[str] = ("annee", "num_ins
         lengths[f"distance_tot_{CLASS_SUFFIXES[name]}"] = F.col("classe_4") == name
     sums = [F.sum(F.when(c, F.col("distance"))).alias(name) for name, c in lengths.items()]
     per_name = (
-        df.dropna(subset=list(keys))
+        df.where(all_present(keys))
         .withColumn("classe_4", label)
         .groupBy(*keys, "sex", "prenom")
         .agg(F.count("prenom").alias("_n"), *counts, *sums)
@@ -80,7 +81,7 @@ def month_pivot(df: DataFrame, keys: Sequence[str], day: str = "date_deces_dt",
     """Counts per month as twelve columns; the labels are fixed, so the schema is too."""
     label = F.element_at(F.array(*[F.lit(m) for m in MONTHS]), F.month(day))
     return (
-        df.dropna(subset=list(keys))
+        df.where(all_present(keys))
         .groupBy(*keys)
         .agg(*[F.count(F.when(label == m, F.col(measured))).alias(m) for m in MONTHS])
     )

@@ -19,9 +19,9 @@ def small_domain_quantiles(
     Meant for whole kilometres, ages or years: the aggregate holds one entry
     per distinct value, so its size does not grow with the rows.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.where(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("_n"))
     levels = F.array(*[F.lit(float(p)) for p in probabilities])
-    return counts.groupBy(*by).agg(F.percentile(column, levels, F.col("n")).alias(name))
+    return counts.groupBy(*by).agg(F.percentile(column, levels, F.col("_n")).alias(name))
 
 
 def quantiles(
@@ -33,19 +33,19 @@ def quantiles(
     global order, and each quantile is read from the two rows around its
     position. No task ever holds a whole group.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("n"))
-    running = with_running_total(counts, [column], ["n"], by=by, totals=True)
+    counts = df.where(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("_n"))
+    running = with_running_total(counts, [column], ["_n"], by=by, totals=True)
     value = F.col(column).cast("double")
     picks: list[Column] = []
     results: list[Column] = []
     for i, p in enumerate(probabilities):
-        position = (F.col("total_n") - 1) * F.lit(float(p))
+        position = (F.col("total__n") - 1) * F.lit(float(p))
         for side, index in (("low", F.floor(position)), ("high", F.ceil(position))):
-            holds = (F.col("before_n") <= index) & (index < F.col("before_n") + F.col("n"))
+            holds = (F.col("before__n") <= index) & (index < F.col("before__n") + F.col("_n"))
             picks.append(F.max(F.when(holds, value)).alias(f"_{side}_{i}"))
         fraction = (F.col("_total") - 1) * F.lit(float(p)) - F.floor((F.col("_total") - 1) * F.lit(float(p)))
         results.append(F.col(f"_low_{i}") + (F.col(f"_high_{i}") - F.col(f"_low_{i}")) * fraction)
-    picked = running.groupBy(*by).agg(F.max("total_n").alias("_total"), *picks)
+    picked = running.groupBy(*by).agg(F.max("total__n").alias("_total"), *picks)
     return picked.select(*by, F.array(*results).alias(name))
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.conditions import all_present
 from ..functions.numeric import rate
 from .quantiles import quantiles
 
@@ -104,20 +105,20 @@ def pivot_table(
     fill: float | None = None,
 ) -> DataFrame:
     """One column per listed category holding the aggregate ``value``; the list fixes the schema."""
-    table = df.dropna(subset=list(index)).groupBy(*index).pivot(category, list(categories)).agg(value)
+    table = df.where(all_present(index)).groupBy(*index).pivot(category, list(categories)).agg(value)
     return table if fill is None else table.fillna(fill, subset=list(categories))
 
 
 def contingency(df: DataFrame, rows: str, column: str, categories: Sequence[str]) -> DataFrame:
     """Counts of ``rows`` by ``column`` as a table, absent combinations as 0."""
-    complete = df.dropna(subset=[rows, column])
+    complete = df.where(all_present([rows, column]))
     return pivot_table(complete, [rows], column, categories, F.count(F.lit(1)), fill=0)
 
 
 def share_in_category(df: DataFrame, category: str, part: str) -> DataFrame:
     """Share of each ``part`` among the rows of its category."""
-    counts = df.dropna(subset=[category, part]).groupBy(category, part).agg(F.count(F.lit(1)).alias("n"))
-    totals = df.dropna(subset=[category]).groupBy(category).agg(F.count(F.lit(1)).alias("total"))
+    counts = df.where(all_present([category, part])).groupBy(category, part).agg(F.count(F.lit(1)).alias("n"))
+    totals = df.where(all_present([category])).groupBy(category).agg(F.count(F.lit(1)).alias("total"))
     return counts.join(totals, category).select(category, part, "n", rate(F.col("n"), F.col("total")).alias("part"))
 
 
@@ -137,4 +138,4 @@ def top_groups(df: DataFrame, key: str, measure: Column, n: int, name: str = "va
 
 def group_summary(df: DataFrame, keys: Sequence[str], measures: Sequence[Column]) -> DataFrame:
     """Group aggregates without the groups whose key is missing."""
-    return df.dropna(subset=list(keys)).groupBy(*keys).agg(*measures)
+    return df.where(all_present(keys)).groupBy(*keys).agg(*measures)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.conditions import all_present
 from ..operators.association import chi_square
 from ..operators.coverage import (
     city_days,
@@ -49,7 +50,7 @@ def city_classes(days: DataFrame) -> DataFrame:
     """One row per city with the quantile class of each measure; stored, since every test reads it."""
     keys = ["CITY", "CN", "CN_NAME", "CAPITALE", "LAT_degre", "LON_degre", "HGHT_num"]
     cities = (
-        days.dropna(subset=keys)
+        days.where(all_present(keys))
         .groupBy(*keys)
         .agg(F.avg("TEMPERATURE").alias("TEMPERATURE"), F.avg("NB_HAB").alias("NB_HAB"))
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.conditions import all_present
 from ..functions.classes import AGE_CLASSES_7, age_class, national_flag
 from ..functions.dates import age_in_years
 from ..functions.numeric import haversine_km, round_even
@@ -75,13 +76,13 @@ def with_distance(df: DataFrame) -> DataFrame:
 def yearly_profiles(people: DataFrame, search: DataFrame) -> DataFrame:
     """Yearly profile of every death place."""
     view = analysis_view(locate_persons(people, search))
-    usable = located_only(view).dropna(subset=["nom_departement_deces"])
+    usable = located_only(view).where(all_present(["nom_departement_deces"]))
     return commune_year_profile(with_distance(usable))
 
 
 def dashboard_persons(view: DataFrame) -> DataFrame:
     """Persons as the dashboard uses them: relaxed place filter, national flag, distance and age class."""
-    usable = located_only(view, strict=False).dropna(subset=["nom_departement_deces"])
+    usable = located_only(view, strict=False).where(all_present(["nom_departement_deces"]))
     return (
         with_distance(usable)
         .withColumn("origine_nationale", national_flag(F.col("pays_naissance")))

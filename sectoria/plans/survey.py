@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.conditions import all_present
 from ..functions.classes import harmonise
 from ..functions.numeric import round_even
 from ..functions.text import clock_hour, clock_label
@@ -33,7 +34,7 @@ def clean_observations(raw: DataFrame) -> DataFrame:
 
 def groups_per_day(rows: DataFrame, size: str = "Nombre d'individus") -> DataFrame:
     """Groups, individuals and mean group size of each day."""
-    return rows.dropna(subset=["Jour"]).groupBy("Jour").agg(
+    return rows.where(all_present(["Jour"])).groupBy("Jour").agg(
         F.sum(f"`{size}`").alias("individus"),
         F.count(f"`{size}`").alias("groupes"),
         round_even(F.try_divide(F.sum(f"`{size}`"), F.count(f"`{size}`"))).alias("individus_par_groupe"),
