@@ -19,6 +19,7 @@ from .positions import with_position, with_running_total
 
 ALPHA = 0.05
 PAIR = ["variable_x", "variable_y"]
+_CHUNK = 65_536
 _DIGIT_BITS = 2
 _DIGITS = 2**_DIGIT_BITS
 
@@ -111,12 +112,35 @@ def normal_quantile(p: Column) -> Column:
     return F.when(F.abs(q) <= 0.425, centre).when(q < 0, -tail).otherwise(tail)
 
 
+def _ordered_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Every value of each column with its position ``i`` in ascending order, the size ``n`` and the mean.
+
+    Only counted distinct values are put in order. The positions of equal
+    values are generated afterwards, in chunks spread over all tasks, so a
+    value that a third of the rows hold is no burden for one of them.
+    """
+    long = df.unpivot([], [F.col(f"`{c}`").cast("double").alias(c) for c in columns], "variable", "x")
+    counts = long.where(F.col("x").isNotNull()).groupBy("variable", "x").agg(F.count(F.lit(1)).alias("t"))
+    running = with_running_total(counts.withColumn("s", F.col("x") * F.col("t")), ["x"], ["t", "s"], by=["variable"], totals=True)
+    first = F.col("before_t") + F.col("chunk") * _CHUNK + 1
+    chunks = running.withColumn(
+        "chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("t") - 1) / _CHUNK).cast("int")))
+    ).select(
+        "variable",
+        "x",
+        F.col("total_t").alias("n"),
+        (F.col("total_s") / F.col("total_t")).alias("mean"),
+        first.alias("first"),
+        F.least(first + _CHUNK - 1, F.col("before_t") + F.col("t")).alias("last"),
+    )
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = chunks.repartition(tasks, "variable", "first")
+    return spread.select("variable", "x", "n", "mean", F.explode(F.sequence("first", "last")).alias("i"))
+
+
 def shapiro_wilk(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """W and p per column. The p-value is published for 3 to 5000 values; beyond it is null."""
-    long = df.unpivot([], [F.col(f"`{c}`").cast("double").alias(c) for c in columns], "variable", "x")
-    values = long.where(F.col("x").isNotNull())
-    sizes = values.groupBy("variable").agg(F.count("x").alias("n"))
-    placed = with_position(values, ["x"], name="i", by=["variable"]).join(F.broadcast(sizes), "variable")
+    placed = _ordered_values(df, columns)
     scored = placed.withColumn("m", normal_quantile((F.col("i") - 0.375) / (F.col("n") + 0.25)))
 
     def at(name: str, index: Column) -> Column:
@@ -126,7 +150,7 @@ def shapiro_wilk(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     row = scored.groupBy("variable", "n").agg(
         F.sum(F.col("m") * F.col("m")).alias("s"),
         F.sum(F.col("m") * F.col("x")).alias("mx"),
-        (F.var_pop("x") * F.count("x")).alias("spread"),
+        F.sum(F.pow(F.col("x") - F.col("mean"), F.lit(2.0))).alias("spread"),
         at("m", n).alias("m1"),
         at("m", n - 1).alias("m2"),
         at("x", n).alias("high1"),

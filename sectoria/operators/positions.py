@@ -46,9 +46,9 @@ def with_position(
 ) -> DataFrame:
     """Number the rows from 1 in ``order``; with ``by``, from 1 inside each group.
 
-    The order of the listed columns decides; rows equal on all of them are
-    numbered in an arbitrary order. A group may be of any size: groups are
-    neighbouring ranges of the same global order.
+    A group may be of any size: groups are neighbouring ranges of the same
+    global order. List enough columns to tell the rows apart: rows equal on
+    all of them are numbered in an arbitrary order and stay in one slice.
     """
     slices = _sorted_slices(df, [*by, *order])
     offsets = _slice_offsets(slices, {_OFFSET: F.count(F.lit(1))})

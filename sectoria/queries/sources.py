@@ -188,7 +188,7 @@ def csv_round_trip(spark, folder):
 
 @query("S4", "SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part")
 def zipped_csv(spark, folder):
-    """Parts as zip archives, one per brand, written by the tasks and read back."""
+    """Parts as zip archives of a thousand keys each, written by the tasks and read back."""
     import io
     import zipfile
 
@@ -197,12 +197,13 @@ def zipped_csv(spark, folder):
         buffer = io.BytesIO()
         with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as target:
             target.writestr("part.csv", text)
-        return pdf.head(1)[["p_brand"]].assign(content=[buffer.getvalue()])
+        return pdf.head(1)[["lot"]].assign(content=[buffer.getvalue()])
 
     path = shared_folder(spark, "zip")
     part = table(spark, folder, "part")
     columns = "p_partkey bigint, p_name string, p_brand string, p_size int, p_retailprice double"
-    packed = part.repartition("p_brand").groupBy("p_brand").applyInPandas(archive, "p_brand string, content binary")
+    lots = part.withColumn("lot", F.floor(F.col("p_partkey") / 1000).cast("bigint"))
+    packed = lots.groupBy("lot").applyInPandas(archive, "lot bigint, content binary")
     packed.write.parquet(f"{path}/packed")
 
     return files.unzip_rows(spark.read.parquet(f"{path}/packed").select("content"), columns)
@@ -223,27 +224,23 @@ def file_family(spark, folder):
 
 
 def _catalogues(spark, folder):
-    """One catalogue document per customer: a resource per order, some with foreign titles or no address."""
+    """One catalogue document per order: a foreign title and a yearly file, some without address."""
     k = F.col("o_orderkey")
-    year = F.date_format("o_orderdate", "yyyy")
-    title = F.when(k % 10 == 0, "deces-1999-T1.txt").otherwise(F.concat(F.lit("deces-"), year, F.lit(".txt")))
+    title = F.concat(F.lit("deces-"), F.date_format("o_orderdate", "yyyy"), F.lit(".txt"))
     latest = F.when(k % 3 == 0, F.concat(F.lit("latest/"), k.cast("string"))).when(k % 3 == 1, "")
     url = F.when(k % 4 > 0, F.concat(F.lit("url/"), k.cast("string")))
-    resource = F.struct(k.alias("k"), title.alias("title"), latest.alias("latest"), url.alias("url"))
-    return (
-        table(spark, folder, "orders")
-        .groupBy("o_custkey")
-        .agg(F.sort_array(F.collect_list(resource)).alias("resources"))
-        .select("o_custkey", F.to_json(F.struct("resources")).alias("doc"))
+    foreign = F.struct(
+        F.lit("deces-1999-T1.txt").alias("title"), F.lit("x").alias("latest"), F.lit("y").alias("url")
     )
+    listed = F.array(foreign, F.struct(title.alias("title"), latest.alias("latest"), url.alias("url")))
+    return table(spark, folder, "orders").select("o_custkey", F.to_json(F.struct(listed.alias("resources"))).alias("doc"))
 
 
-_FILES = """WITH listed AS (SELECT o_custkey, year(o_orderdate) AS annee_file, o_orderkey,
+_FILES = """WITH listed AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS annee_file,
     'deces-' || CAST(year(o_orderdate) AS VARCHAR) || '.txt' AS nom_fichier, CASE WHEN o_orderkey % 3 = 0
       THEN 'latest/' || CAST(o_orderkey AS VARCHAR) WHEN o_orderkey % 4 > 0 THEN 'url/' || CAST(o_orderkey AS VARCHAR)
-      ELSE '' END AS url_file FROM orders WHERE o_orderkey % 10 <> 0),
-  files AS (SELECT o_custkey, CAST(annee_file AS INTEGER) AS annee_file, nom_fichier, url_file FROM (SELECT *,
-    row_number() OVER (PARTITION BY o_custkey, annee_file ORDER BY o_orderkey) AS k FROM listed) WHERE k = 1)
+      ELSE '' END AS url_file FROM orders),
+  files AS (SELECT o_custkey, annee_file, nom_fichier, min(url_file) AS url_file FROM listed GROUP BY ALL)
 """
 
 

@@ -20,6 +20,9 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, driver_memory:
         .config("spark.driver.memory", driver_memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        # Small data: keep all cores busy instead of merging little partitions and files into one task.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        .config("spark.sql.files.openCostInBytes", "65536")
         .getOrCreate()
     )
 
