@@ -214,10 +214,11 @@ def with_native_flags(located: DataFrame) -> DataFrame:
         "origine_departement": "nom_departement",
         "origine_region": "nom_region",
     }
+    flags = {}
     for flag, name in pairs.items():
         same = F.col(f"{name}_naissance") == F.col(f"{name}_deces")
-        located = located.withColumn(flag, F.when(same, "O").otherwise("N"))
-    return located
+        flags[flag] = F.when(same, "O").otherwise("N")
+    return located.withColumns(flags)
 
 
 def analysis_view(located: DataFrame) -> DataFrame:

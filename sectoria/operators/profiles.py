@@ -176,11 +176,20 @@ def dominant_profile(df: DataFrame, sector: str, flag: str, by: Sequence[str] =
     )
 
 
-def sector_statistics(df: DataFrame, flag: str, by: Sequence[str] = ()) -> DataFrame:
-    """Shares, rate, median distances, mean ages and mean ln(1+distance) of each group."""
-    cells = df.groupBy(*by, flag, "distance").agg(
+def statistic_cells(df: DataFrame, flag: str, by: Sequence[str] = ()) -> DataFrame:
+    """Persons and ages counted per group, flag and whole kilometre."""
+    return df.groupBy(*by, flag, "distance").agg(
         F.count(F.lit(1)).alias("n"), F.sum("age").alias("age_sum"), F.count("age").alias("age_n")
     )
+
+
+def sector_statistics(df: DataFrame, flag: str, by: Sequence[str] = ()) -> DataFrame:
+    """Shares, rate, median distances, mean ages and mean ln(1+distance) of each group."""
+    return statistics_of_cells(statistic_cells(df, flag, by), flag, by)
+
+
+def statistics_of_cells(cells: DataFrame, flag: str, by: Sequence[str] = ()) -> DataFrame:
+    """:func:`sector_statistics` of persons already counted by :func:`statistic_cells`."""
     native, outsider = F.col(flag) == "O", F.col(flag) == "N"
     n, km = F.col("n"), F.col("distance")
 

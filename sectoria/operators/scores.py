@@ -20,7 +20,7 @@ LEVEL_FLAGS = {
 PAGE_SIZE = 20
 
 
-def _log_moments(weight: Column | None) -> list[Column]:
+def log_moments(weight: Column | None) -> list[Column]:
     """Mean and sample deviation of ln(1+distance), each row counted ``weight`` times."""
     log = log_distance(F.col("distance"))
     if weight is None:
@@ -41,7 +41,7 @@ def national_baseline(df: DataFrame, weight: Column | None = None) -> DataFrame:
     """
     department = F.col("origine_departement") == "O"
     return df.agg(
-        *_log_moments(weight),
+        *log_moments(weight),
         F.min(F.when(department, F.col("distance"))).alias("distance_dep_min"),
         F.max(F.when(department, F.col("distance"))).alias("distance_dep_max"),
         F.max(F.when(F.col("origine_nationale") == "O", F.col("distance"))).alias("distance_nat_max"),
@@ -50,7 +50,7 @@ def national_baseline(df: DataFrame, weight: Column | None = None) -> DataFrame:
 
 def age_baseline(df: DataFrame, weight: Column | None = None) -> DataFrame:
     """Mean and sample deviation of ln(1+distance) of each age class."""
-    return df.groupBy("classe_age").agg(*_log_moments(weight))
+    return df.groupBy("classe_age").agg(*log_moments(weight))
 
 
 def level_keys(level: str) -> list[str]:
@@ -99,17 +99,13 @@ def _with_baseline(sectors: DataFrame, baseline: DataFrame, by_age: bool) -> Dat
     if by_age:
         return sectors.join(baseline.select("classe_age", "moy_distance", "std_distance"), "classe_age", "left")
     moments = baseline.select(F.struct("moy_distance", "std_distance").alias("m")).scalar()
-    return (
-        sectors.withColumn("_m", moments)
-        .withColumn("moy_distance", F.col("_m.moy_distance"))
-        .withColumn("std_distance", F.col("_m.std_distance"))
-        .drop("_m")
-    )
+    columns = [F.col(f"_m.{c}").alias(c) for c in ("moy_distance", "std_distance")]
+    return sectors.withColumn("_m", moments).select(*sectors.columns, *columns)
 
 
 def _own_baseline(cells: DataFrame, by_age: bool) -> DataFrame:
     """Baseline of the counted cells themselves, so the persons are read once for both."""
-    moments = _log_moments(F.col("n"))
+    moments = log_moments(F.col("n"))
     return cells.groupBy("classe_age").agg(*moments) if by_age else cells.agg(*moments)
 
 

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import imd, log_distance
-from ..operators.profiles import sector_statistics
-from ..operators.scores import LEVELS, national_baseline, pages, sector_scores
+from ..operators.profiles import statistic_cells, statistics_of_cells
+from ..operators.scores import LEVELS, log_moments, pages, sector_scores
 
 
 def sector_pages(
@@ -27,10 +27,11 @@ def next_level(level: str) -> str:
 
 
 def with_sector_imd(df: DataFrame, flag: str, by: list[str]) -> DataFrame:
-    """Statistics of each group with its mobility index against all of ``df``."""
-    moments = national_baseline(df).select(F.struct("moy_distance", "std_distance").alias("m")).scalar()
+    """Statistics of each group with its mobility index against all of ``df``, from one count of the persons."""
+    cells = statistic_cells(df, flag, by)
+    moments = cells.agg(*log_moments(F.col("n"))).select(F.struct("moy_distance", "std_distance").alias("m")).scalar()
     return (
-        sector_statistics(df, flag, by)
+        statistics_of_cells(cells, flag, by)
         .withColumn("_m", moments)
         .withColumn("ind_IMD", imd(F.col("_m.moy_distance"), F.col("_m.std_distance"), F.col("log_distance_moy"), 2))
         .drop("_m")

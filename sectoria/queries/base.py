@@ -50,22 +50,30 @@ def persons(spark: SparkSession, folder: str, first_names: bool = False) -> Data
             table(spark, folder, "part").select("p_partkey", first_word(F.col("p_name")).alias("prenom")),
             F.col("l_partkey") == F.col("p_partkey"),
         )
-    people = (
-        lines.join(dated, F.col("l_orderkey") == F.col("o_orderkey"))
-        .withColumn("idligne", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
-        .withColumn("sex", F.when(F.col("l_linenumber") % 2 == 1, "1").otherwise("2"))
-        .withColumn("age", (F.col("l_quantity") * 2).cast("int"))
-        .withColumn("annee", F.year("o_orderdate").cast("string"))
-        .withColumn("date_deces_dt", F.col("o_orderdate").cast("date"))
-        .withColumn("pays_naissance", F.col("nom_departement_naissance"))
-        .withColumn("pays_deces", F.lit("FRANCE"))
+    sides = [
+        f"{name}_{side}"
+        for side in ("naissance", "deces")
+        for name in (
+            "num_insee ville code_departement nom_departement code_region nom_region latitude longitude".split()
+        )
+    ]
+    people = lines.join(dated, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        *sides,
+        *(["prenom"] if first_names else []),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("idligne"),
+        F.when(F.col("l_linenumber") % 2 == 1, "1").otherwise("2").alias("sex"),
+        (F.col("l_quantity") * 2).cast("int").alias("age"),
+        F.year("o_orderdate").cast("string").alias("annee"),
+        F.col("o_orderdate").cast("date").alias("date_deces_dt"),
+        F.col("nom_departement_naissance").alias("pays_naissance"),
+        F.lit("FRANCE").alias("pays_deces"),
     )
-    people = with_native_flags(with_distance(people))
-    return (
-        people.withColumn("origine_nationale", national_flag(F.col("nom_region_naissance"), home="EUROPE"))
-        .withColumn("classe_age", age_class(F.col("age")))
-        .withColumn("month_deces", month_label(F.col("date_deces_dt")))
-        .drop(*[c for c in people.columns if c[:2] in ("l_", "o_", "c_", "s_", "p_")])
+    return with_native_flags(with_distance(people)).withColumns(
+        {
+            "origine_nationale": national_flag(F.col("nom_region_naissance"), home="EUROPE"),
+            "classe_age": age_class(F.col("age")),
+            "month_deces": month_label(F.col("date_deces_dt")),
+        }
     )
 
 
