@@ -21,6 +21,11 @@ def rounded(name: str, digits: int, alias: str | None = None) -> Column:
     return round_even(F.col(name), digits).alias(alias or name)
 
 
+def iso(name: str) -> Column:
+    """Date as text, which both engines print alike."""
+    return F.date_format(name, "yyyy-MM-dd").alias(name)
+
+
 def persons(spark: SparkSession, folder: str, first_names: bool = False) -> DataFrame:
     """One person per order line: born at the supplier's place, died at the customer's."""
     places = table(spark, folder, "nation").join(

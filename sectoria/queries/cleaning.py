@@ -12,7 +12,7 @@ from ..operators.coverage import class_from_table, with_city_details, with_date_
 from ..operators.positions import with_position
 from ..operators.quantiles import with_quantile_class
 from ..session import small_table
-from .base import rounded, table
+from .base import iso, rounded, table
 from .registry import query
 
 
@@ -238,7 +238,7 @@ def gate_rates(spark, folder):
 
 @query(
     "P13",
-    """SELECT o_orderkey, CASE WHEN o_orderkey % 5 IN (0, 1) THEN NULL ELSE CAST(o_orderdate AS DATE) END AS d FROM orders""",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 5 IN (0, 1) THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS d FROM orders""",
 )
 def lenient_dates(spark, folder):
     """Dates outside the range and impossible days become null."""
@@ -247,7 +247,7 @@ def lenient_dates(spark, folder):
         .when(F.col("o_orderkey") % 5 == 1, "19950230")
         .otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
     )
-    return table(spark, folder, "orders").select("o_orderkey", dates.lenient_date(given).alias("d"))
+    return table(spark, folder, "orders").select("o_orderkey", dates.lenient_date(given).alias("d")).select("o_orderkey", iso("d"))
 
 
 _PLAIN_LINES = ["l_returnflag", "l_linestatus", "l_linenumber", "l_quantity", "l_suppkey"]
@@ -268,12 +268,13 @@ def duplicate_report(spark, folder):
 
 @query(
     "P15",
-    """SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM (SELECT *, row_number() OVER
+    """SELECT o_custkey, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_totalprice FROM (SELECT *, row_number() OVER
   (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS k FROM orders) WHERE k = 1""",
 )
 def first_per_key(spark, folder):
     orders = table(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
-    return C.first_per_key(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    first = C.first_per_key(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    return first.withColumn("o_orderdate", iso("o_orderdate"))
 
 
 _BEGINNINGS = ["DEPARTEMENT ", "ANCIEN ", "SUD ", "ANCIENNE ", ""]
@@ -391,7 +392,7 @@ def quantile_classes(spark, folder):
 
 @query(
     "P23 P24",
-    """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS "DATE_dt", strftime(o_orderdate, '%Y') AS "DATE_str_YEAR",
+    """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS "DATE_dt", strftime(o_orderdate, '%Y') AS "DATE_str_YEAR",
   strftime(o_orderdate, '%m') AS "DATE_str_MONTH", strftime(o_orderdate, '%d') AS "DATE_str_DAY",
   round_even(o_totalprice * 0.1, 4) AS "TEMPERATURE", CASE WHEN month(o_orderdate) IN (12, 1, 2) THEN 'hiver'
     WHEN month(o_orderdate) IN (3, 4, 5) THEN 'printemps' WHEN month(o_orderdate) IN (6, 7, 8) THEN 'ete'
@@ -403,7 +404,8 @@ def date_parts(spark, folder):
         F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("DATE"),
         F.col("o_totalprice").alias("TX"),
     )
-    return with_date_parts(raw).drop("DATE", "TX").withColumn("TEMPERATURE", rounded("TEMPERATURE", 4))
+    parts = with_date_parts(raw).drop("DATE", "TX")
+    return parts.withColumns({"TEMPERATURE": rounded("TEMPERATURE", 4), "DATE_dt": iso("DATE_dt")})
 
 
 @query(
@@ -500,11 +502,12 @@ def filtered_by_category(spark, folder):
 
 @query(
     "K2",
-    """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate,
+    """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,
   CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice FROM orders""",
 )
 def load_types(spark, folder):
     orders = table(spark, folder, "orders").withColumn(
         "o_totalprice", F.when(F.col("o_orderkey") % 10 == 0, float("nan")).otherwise(F.col("o_totalprice"))
     )
-    return C.load_types(orders, drop=["o_custkey", "o_orderstatus", "o_orderpriority", "absent"])
+    loaded = C.load_types(orders, drop=["o_custkey", "o_orderstatus", "o_orderpriority", "absent"])
+    return loaded.withColumn("o_orderdate", iso("o_orderdate"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import coverage as V
 from ..operators import quantiles as Q
 from ..plans import climate
-from .base import rounded, table
+from .base import iso, rounded, table
 from .registry import query
 
 
@@ -73,19 +73,22 @@ def _days(spark, folder):
     return days.withColumns({c: rounded(c, 6) for c in ("TEMPERATURE", "NB_HAB")})
 
 
-@query("A17", _DAYS + "SELECT * FROM days")
+_ISO = """strftime("DATE_dt", '%Y-%m-%d') AS "DATE_dt\""""
+
+
+@query("A17", _DAYS + f"SELECT * REPLACE ({_ISO}) FROM days")
 def city_days(spark, folder):
-    return _days(spark, folder)
+    return _days(spark, folder).withColumn("DATE_dt", iso("DATE_dt"))
 
 
 @query(
     "J11 A17",
     _DAYS
-    + """SELECT * REPLACE (round_even("LAT_degre", 5) AS "LAT_degre", round_even("LON_degre", 5) AS "LON_degre") FROM days
+    + f"""SELECT * REPLACE ({_ISO}, round_even("LAT_degre", 5) AS "LAT_degre", round_even("LON_degre", 5) AS "LON_degre") FROM days
   WHERE ("CITY", "CN", "CN_NAME") NOT IN (SELECT ("CITY", "CN", "CN_NAME") FROM days WHERE "NB_HAB" IS NULL)""",
 )
 def days_with_population(spark, folder):
-    return V.without_population_gaps(_days(spark, folder))
+    return V.without_population_gaps(_days(spark, folder)).withColumn("DATE_dt", iso("DATE_dt"))
 
 
 _COVERAGE = """SELECT "DATE_str_YEAR" AS "Annee", count("DATE_dt") AS nb_enreg, count(DISTINCT "DATE_str_MONTH") AS "nb_Mois",
@@ -156,12 +159,12 @@ def selected_cities(spark, folder):
 @query(
     "J12 A20",
     _RAW
-    + f"""SELECT "CITY", "CN", "DATE_dt", round_even("TEMPERATURE", 4) AS "TEMPERATURE" FROM raw
+    + f"""SELECT "CITY", "CN", {_ISO}, round_even("TEMPERATURE", 4) AS "TEMPERATURE" FROM raw
   WHERE "DATE_str_YEAR" BETWEEN '1995' AND '2000' AND ("CITY", "CN") IN (SELECT ("CITY", "CN") FROM ({_SELECTED}))""",
 )
 def selected_measurements(spark, folder):
     chosen = climate.selected_measurements(measurements(spark, folder), "1995", "2000", years=6, months=72)
-    return chosen.select("CITY", "CN", "DATE_dt", rounded("TEMPERATURE", 4))
+    return chosen.select("CITY", "CN", iso("DATE_dt"), rounded("TEMPERATURE", 4))
 
 
 @query(

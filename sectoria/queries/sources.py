@@ -10,7 +10,7 @@ from ..plans import climate, mortality, place_tables, survey
 from ..session import shared_folder
 from ..sources import documents as D
 from ..sources import files, tables
-from .base import PERSONS, persons, rounded, table
+from .base import PERSONS, iso, persons, rounded, table
 from .registry import query
 
 # ---------------------------------------------------------------- fixed-position lines
@@ -106,10 +106,13 @@ _PEOPLE_SQL = (
 )
 
 
-@query("P10 P11 P12 P13 P14 P16 P17 P18 P6", PERSONS + _LINES_SQL + _PEOPLE_SQL + "SELECT * FROM people")
+@query("P10 P11 P12 P13 P14 P16 P17 P18 P6", PERSONS + _LINES_SQL + _PEOPLE_SQL + """SELECT * REPLACE (
+  strftime(date_naissance_dt, '%Y-%m-%d') AS date_naissance_dt, strftime(date_deces_dt, '%Y-%m-%d') AS date_deces_dt)
+  FROM people""")
 def death_people(spark, folder):
     """Clean person table from the lines (ids are checked by ``yearly_ids``)."""
-    return mortality.death_people(written_lines(spark, folder)).drop("idligne")
+    people = mortality.death_people(written_lines(spark, folder)).drop("idligne")
+    return people.withColumns({c: iso(c) for c in ("date_naissance_dt", "date_deces_dt")})
 
 
 def _code_places(spark, folder):

@@ -129,3 +129,12 @@ def test_overrides_sentinels_and_missing(spark):
     assert C.located_only(people).count() == 0
     kept = C.located_only(people, strict=False).collect()
     assert [(r["month_deces"], r["day_deces"]) for r in kept] == [("Feb", 3)]
+
+
+def test_load_types(spark):
+    df = spark.createDataFrame([(1, float("nan"), "x"), (2, 1.5, None)], "k int, v double, t string").withColumn(
+        "d", F.lit("2024-02-03 10:00:00").cast("timestamp")
+    )
+    loaded = C.load_types(df, drop=["t", "absent"])
+    assert dict(loaded.dtypes) == {"k": "int", "v": "double", "d": "date"}
+    assert sorted([r["v"] for r in loaded.collect()], key=str) == [1.5, None]
