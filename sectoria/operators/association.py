@@ -245,7 +245,7 @@ def spearman(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     )
 
 
-def _discordant_pairs(cells: DataFrame) -> DataFrame:
+def _discordant_pairs(cells: DataFrame, sizes: DataFrame) -> DataFrame:
     """Number of discordant pairs of observations, counted digit by digit.
 
     Two observations with different y differ first in one base-4 digit of the
@@ -254,12 +254,9 @@ def _discordant_pairs(cells: DataFrame) -> DataFrame:
     smaller x. So, for every digit place and every value of the higher digits,
     each observation counts the larger digits at smaller x. One running total
     over (place, higher digits, x) serves all places together; a cell is
-    repeated once per digit, never per partner.
+    repeated once per digit, never per partner. ``sizes`` holds the number of
+    distinct values of both columns, one row per pair of columns.
     """
-    sizes = cells.groupBy(*PAIR, "x").agg(F.lit(1)).groupBy(*PAIR).agg(F.count(F.lit(1)).alias("size_x"))
-    sizes = sizes.join(
-        cells.groupBy(*PAIR, "y").agg(F.lit(1)).groupBy(*PAIR).agg(F.count(F.lit(1)).alias("size_y")), PAIR
-    )
     # The count is the same with x and y exchanged; the column with fewer values needs fewer digits.
     turned = F.col("size_x") < F.col("size_y")
     oriented = cells.join(F.broadcast(sizes), PAIR).select(
@@ -307,6 +304,8 @@ def _tie_sums(counts: DataFrame, name: str) -> DataFrame:
     t = F.col("t").cast("decimal(19,0)")
     d = F.col("t").cast("double")
     return counts.groupBy(*PAIR).agg(
+        F.sum("t").alias(f"sum_{name}"),
+        F.count(F.lit(1)).alias(f"size_{name}"),
         F.sum(t * (t - 1)).cast("decimal(38,0)").alias(f"pairs_{name}"),
         F.sum(d * (d - 1) * (d - 2)).alias(f"cube_{name}"),
         F.sum(d * (d - 1) * (2 * d + 5)).alias(f"var_{name}"),
@@ -316,12 +315,12 @@ def _tie_sums(counts: DataFrame, name: str) -> DataFrame:
 def kendall(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Tau-b of each pair of columns; the p-value is the tie-corrected normal approximation."""
     cells = cut_lineage(pair_cells(df, pairs))
-    table = cells.groupBy(*PAIR).agg(F.sum("n").alias("effectif"))
     by_x = cells.groupBy(*PAIR, "x").agg(F.sum("n").alias("t"))
     by_y = cells.groupBy(*PAIR, "y").agg(F.sum("n").alias("t"))
-    for counts, name in ((by_x, "x"), (by_y, "y"), (cells.withColumnRenamed("n", "t"), "xy")):
-        table = table.join(_tie_sums(counts, name), PAIR)
-    table = table.join(_discordant_pairs(cells), PAIR)
+    ties = _tie_sums(cells.withColumnRenamed("n", "t"), "xy")
+    ties = cut_lineage(ties.join(_tie_sums(by_x, "x"), PAIR).join(_tie_sums(by_y, "y"), PAIR))
+    discordant = _discordant_pairs(cells, ties.select(*PAIR, "size_x", "size_y"))
+    table = ties.join(discordant, PAIR).withColumnRenamed("sum_xy", "effectif")
     size = F.col("effectif").cast("decimal(19,0)")
     everything = (size * (size - 1)).cast("decimal(38,0)")
     # Every count of pairs is doubled here, so all of them stay whole numbers.
