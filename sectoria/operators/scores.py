@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.classes import AGE_CLASSES_7, class_rank
+from ..functions.conditions import all_present
 from ..functions.numeric import imd, log_distance, rate, round_even
 
 # Death-place hierarchy from the widest level to the closest, with its native flag.
@@ -127,8 +128,7 @@ def sector_scores(
     scored = _with_indices(_with_baseline(sectors, baseline, by_age))
     if not by_age:
         return with_death_rank(scored, [])
-    ranks = with_death_rank(sectors.groupBy(*keys).agg(F.sum("deces").alias("deces")), [])
-    return scored.join(ranks.drop("deces"), keys, "inner")
+    return with_rank_over_ages(scored, keys).where(all_present(keys))
 
 
 def all_level_scores(df: DataFrame, baseline: DataFrame | None = None) -> DataFrame:
@@ -162,6 +162,20 @@ def with_death_rank(sectors: DataFrame, by: Sequence[str], name: str = "rang_dec
     return sectors.withColumn(name, (first + (tied - 1) / 2).cast("bigint"))
 
 
+def with_rank_over_ages(scored: DataFrame, keys: Sequence[str], name: str = "rang_deces") -> DataFrame:
+    """The rank of :func:`with_death_rank` for rows split by age class: that of the sector's deaths over all ages.
+
+    One row of each sector stands for it in the counts, so no join back is needed.
+    """
+    sector = Window.partitionBy(*keys)
+    counted = scored.withColumn("_total", F.sum("deces").over(sector)).withColumn(
+        "_one", (F.row_number().over(sector.orderBy("classe_age")) == 1).cast("int")
+    )
+    down = Window.orderBy(F.desc("_total")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    reached, tied = F.sum("_one").over(down), F.sum("_one").over(Window.partitionBy("_total"))
+    return counted.withColumn(name, (reached - tied + 1 + (tied - 1) / 2).cast("bigint")).drop("_total", "_one")
+
+
 def pages(scored: DataFrame, page_size: int = PAGE_SIZE, max_pages: int | None = 3) -> DataFrame:
     """Number the pages of ranked sectors; ``max_pages`` limits the report, ``None`` keeps all."""
     paged = scored.withColumn("page", F.ceil(F.col("rang_deces") / page_size).cast("int"))

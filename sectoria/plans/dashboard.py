@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import imd, log_distance
 from ..operators.profiles import statistic_cells, statistics_of_cells
-from ..operators.scores import LEVELS, log_moments, pages, sector_scores
+from ..operators.scores import log_moments, pages, sector_scores
 
 
 def sector_pages(
@@ -21,11 +21,6 @@ def sector_pages(
     return pages(sector_scores(df, level, baseline, by_age), max_pages=max_pages)
 
 
-def next_level(level: str) -> str:
-    """Level below ``level`` in the hierarchy (the closest one stays)."""
-    return LEVELS[min(LEVELS.index(level) + 1, len(LEVELS) - 1)]
-
-
 def with_sector_imd(df: DataFrame, flag: str, by: list[str]) -> DataFrame:
     """Statistics of each group with its mobility index against all of ``df``, from one count of the persons."""
     cells = statistic_cells(df, flag, by)
