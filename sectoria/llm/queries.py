@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chosen_path import near_duplicates
 from .repeats import remove_repeats
 
 
@@ -15,6 +16,10 @@ def op2_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents"))
 
 
-QUERIES = {"op2_repeats": op2_repeats}
+def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
+QUERIES = {"op2_repeats": op2_repeats, "op9_near_duplicates": op9_near_duplicates}
 
 SQL: dict[str, str] = {}
