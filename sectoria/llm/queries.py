@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import encoded, encoding_digests
 from .chosen_path import near_duplicates
 from .repeats import remove_repeats
 
@@ -20,6 +21,10 @@ def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
-QUERIES = {"op2_repeats": op2_repeats, "op9_near_duplicates": op9_near_duplicates}
+def op10_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    return encoding_digests(encoded(table(spark, folder, "documents")))
+
+
+QUERIES = {"op2_repeats": op2_repeats, "op9_near_duplicates": op9_near_duplicates, "op10_encoding": op10_encoding}
 
 SQL: dict[str, str] = {}
