@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import encoded, encoding_digests
 from .chosen_path import near_duplicates
+from .packing import packed, token_pieces
 from .repeats import remove_repeats
 
 
@@ -25,6 +26,10 @@ def op10_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return encoding_digests(encoded(table(spark, folder, "documents")))
 
 
-QUERIES = {"op2_repeats": op2_repeats, "op9_near_duplicates": op9_near_duplicates, "op10_encoding": op10_encoding}
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed(token_pieces(table(spark, folder, "documents")))
+
+
+QUERIES = {"op2_repeats": op2_repeats, "op6_packing": op6_packing, "op9_near_duplicates": op9_near_duplicates, "op10_encoding": op10_encoding}
 
 SQL: dict[str, str] = {}
