@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import encoded, encoding_digests
+from .cascade import JUDGED_SQL, judged
 from .chosen_path import near_duplicates
 from .packing import packed, token_pieces
 from .repeats import remove_repeats
@@ -26,10 +27,14 @@ def op10_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return encoding_digests(encoded(table(spark, folder, "documents")))
 
 
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return judged(table(spark, folder, "documents"))
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(token_pieces(table(spark, folder, "documents")))
 
 
-QUERIES = {"op2_repeats": op2_repeats, "op6_packing": op6_packing, "op9_near_duplicates": op9_near_duplicates, "op10_encoding": op10_encoding}
+QUERIES = {"op2_repeats": op2_repeats, "op5_quality_rules": op5_quality_rules, "op6_packing": op6_packing, "op9_near_duplicates": op9_near_duplicates, "op10_encoding": op10_encoding}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op5_quality_rules": JUDGED_SQL}
