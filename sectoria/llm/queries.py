@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import encoded, encoding_digests
 from .cascade import JUDGED_SQL, judged
 from .chosen_path import near_duplicates
+from .languages import document_items, fused_languages, page_items
 from .packing import packed, token_pieces
 from .repeats import remove_repeats
 
@@ -27,6 +28,14 @@ def op10_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return encoding_digests(encoded(table(spark, folder, "documents")))
 
 
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    return fused_languages(document_items(table(spark, folder, "documents")), ["doc_id"])
+
+
+def page_languages(spark: SparkSession, folder: str) -> DataFrame:
+    return fused_languages(page_items(table(spark, folder, "pages")), ["page_id"])
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged(table(spark, folder, "documents"))
 
@@ -35,6 +44,14 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(token_pieces(table(spark, folder, "documents")))
 
 
-QUERIES = {"op2_repeats": op2_repeats, "op5_quality_rules": op5_quality_rules, "op6_packing": op6_packing, "op9_near_duplicates": op9_near_duplicates, "op10_encoding": op10_encoding}
+QUERIES = {
+    "op2_repeats": op2_repeats,
+    "op4_language": op4_language,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_packing": op6_packing,
+    "op9_near_duplicates": op9_near_duplicates,
+    "op10_encoding": op10_encoding,
+    "page_languages": page_languages,
+}
 
 SQL: dict[str, str] = {"op5_quality_rules": JUDGED_SQL}
