@@ -8,6 +8,7 @@ from .bpe import encoded, encoding_digests
 from .cascade import JUDGED_SQL, judged
 from .chosen_path import near_duplicates
 from .languages import document_items, fused_languages, page_items
+from .neighbours import quality_scores
 from .packing import packed, token_pieces
 from .repeats import remove_repeats
 
@@ -20,6 +21,10 @@ def op2_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents"))
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
@@ -49,6 +54,7 @@ QUERIES = {
     "op4_language": op4_language,
     "op5_quality_rules": op5_quality_rules,
     "op6_packing": op6_packing,
+    "op7_quality": op7_quality,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_encoding": op10_encoding,
     "page_languages": page_languages,
