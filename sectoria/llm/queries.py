@@ -10,6 +10,7 @@ from .chosen_path import near_duplicates
 from .languages import document_items, fused_languages, page_items
 from .neighbours import quality_scores
 from .packing import packed, token_pieces
+from .pages import extracted
 from .repeats import remove_repeats
 
 
@@ -25,6 +26,10 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op8_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extracted(table(spark, folder, "pages"))
+
+
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
@@ -55,6 +60,7 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_packing": op6_packing,
     "op7_quality": op7_quality,
+    "op8_extraction": op8_extraction,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_encoding": op10_encoding,
     "page_languages": page_languages,
