@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import encoded, encoding_digests
 from .cascade import JUDGED_SQL, judged
 from .chosen_path import near_duplicates
+from .kdtree import NEAREST_SQL, nearest
 from .languages import document_items, fused_languages, page_items
 from .neighbours import quality_scores
 from .packing import packed, token_pieces
@@ -38,6 +40,11 @@ def op10_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return encoding_digests(encoded(table(spark, folder, "documents")))
 
 
+def op3_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     return fused_languages(document_items(table(spark, folder, "documents")), ["doc_id"])
 
@@ -56,6 +63,7 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_repeats": op2_repeats,
+    "op3_nearest": op3_nearest,
     "op4_language": op4_language,
     "op5_quality_rules": op5_quality_rules,
     "op6_packing": op6_packing,
@@ -66,4 +74,4 @@ QUERIES = {
     "page_languages": page_languages,
 }
 
-SQL: dict[str, str] = {"op5_quality_rules": JUDGED_SQL}
+SQL: dict[str, str] = {"op3_nearest": NEAREST_SQL, "op5_quality_rules": JUDGED_SQL}
