@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .bpe import encoded, encoding_digests
 from .cascade import JUDGED_SQL, judged
+from .chats import CHATS_SQL, rendered_chats
 from .chosen_path import near_duplicates
 from .kdtree import NEAREST_SQL, nearest
 from .languages import document_items, fused_languages, page_items
@@ -20,6 +21,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_chats(spark: SparkSession, folder: str) -> DataFrame:
+    return rendered_chats(table(spark, folder, "conversations"))
+
+
 def op2_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents"))
 
@@ -62,6 +67,7 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chats": op1_chats,
     "op2_repeats": op2_repeats,
     "op3_nearest": op3_nearest,
     "op4_language": op4_language,
@@ -74,4 +80,4 @@ QUERIES = {
     "page_languages": page_languages,
 }
 
-SQL: dict[str, str] = {"op3_nearest": NEAREST_SQL, "op5_quality_rules": JUDGED_SQL}
+SQL: dict[str, str] = {"op1_chats": CHATS_SQL, "op3_nearest": NEAREST_SQL, "op5_quality_rules": JUDGED_SQL}
