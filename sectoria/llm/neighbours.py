@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .bytetext import Rolling, byte_column, word_spans
 
@@ -165,12 +166,18 @@ def _scores(shared):
             scores = np.zeros(batch.num_rows)
             for first, counts in count_blocks(batch.column("text")):
                 scores[first : first + len(counts)] = votes(shared.value, counts)
-            columns = {n: batch.column(n) for n in batch.schema.names if n != "text"}
-            yield pa.RecordBatch.from_pydict(columns | {"score": pa.array(scores)})
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, "score"])
 
     return run
 
 
+def scored(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> DataFrame:
+    """All columns of ``docs`` and its ``score``; a column of that name is replaced."""
+    model = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, bound))
+    rows = docs.drop("score")
+    return rows.mapInArrow(_scores(model), T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType())]))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> DataFrame:
     """Quality of every whole text: ``doc_id``, ``held_out``, ``score`` (0 to 1) and ``predicted`` (score >= THRESHOLD).
 
@@ -178,9 +185,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) ->
     counts, half counts as 1. Texts below three bytes and null get the share of label 1 in the sample; without labelled
     rows every score is 0.5. A null doc_id stays null, repeated rows get a row each, further columns are not looked at.
     """
-    model = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, bound))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scored = texts.mapInArrow(_scores(model), "doc_id long, score double")
-    return scored.select(
+    return scored(texts, labels, bound).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )

@@ -16,12 +16,13 @@ Corpus order then needs three steps, none of which holds all suffixes:
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 from .bytetext import BASE, CHUNK_BYTES, Rolling, byte_column, mixed, text_chunks
@@ -31,7 +32,7 @@ HELD = 400_000
 PLACE_BITS = 24
 RUN_BITS = 12
 PARSE = "trigger long, phrase long, doc_id long, run long, later boolean"
-REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+REMOVED = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
 def window_minima(keys: np.ndarray, width: int) -> np.ndarray:
@@ -170,7 +171,7 @@ def _suffixes(length: int):
                 text = text[owner]
                 at = places[text] + start - shift
                 inside = (at >= places[text]) & (at + length <= places[text + 1])
-                at, start, text = at[inside], start[inside], text[inside]
+                at, start, text, owner = at[inside], start[inside], text[inside], owner[inside]
                 if not len(at):
                     continue
                 rolling = Rolling(part)
@@ -183,10 +184,10 @@ def _suffixes(length: int):
                         pa.array(rolling.ranges(at, at + length).view(np.int64)),
                         pa.array((rolling.ranges(at, at + length // 2) >> np.uint64(33)).astype(np.int32)),
                         pa.array(doc),
-                        pa.array(start),
+                        pa.array((start << RUN_BITS) | 1),
                         pa.array(later_rows((rank,), doc, start)),
                     ],
-                    names=["suffix", "half", "doc_id", "start", "later"],
+                    names=["suffix", "half", "doc_id", "run", "later"],
                 )
 
     return run
@@ -201,11 +202,11 @@ def _covered(text: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[np.nda
     return gone, int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
 
 
-def _removal(length: int, with_text: bool):
+def _removal(length: int, with_text: bool, carried: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, text, runs in zip(*(batch.column(x).to_pylist() for x in ("doc_id", "text", "runs")), strict=True):
+            for text, runs in zip(*(batch.column(x).to_pylist() for x in ("text", "runs")), strict=True):
                 data = (text or "").encode()
                 kept, removed, spans = data, 0, 0
                 gone = None
@@ -216,16 +217,16 @@ def _removal(length: int, with_text: bool):
                     gone, spans = _covered(data, start, stop)
                     removed = int(gone.sum())
                     kept = np.frombuffer(data, dtype=np.uint8)[~gone].tobytes()
-                row = [doc, len(data), removed, spans, hashlib.sha256(kept).hexdigest()]
+                row = [len(data), removed, spans, hashlib.sha256(kept).hexdigest()]
                 if with_text:
                     row.append(text if gone is None else whole_characters(data, gone))
                 rows.append(row)
-            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"][: 5 + with_text]
-            kinds = [pa.int64()] * 4 + [pa.string()] * 2
+            names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"][: 4 + with_text]
+            kinds = [pa.int64()] * 3 + [pa.string()] * 2
             columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=k) for c, k in zip(columns, kinds[: len(names)], strict=True)], names=names
-            )
+            made = [pa.array(c, type=k) for c, k in zip(columns, kinds[: len(names)], strict=True)]
+            kept_columns = ["doc_id", *carried]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, kept_columns), *made], names=[*kept_columns, *names])
 
     return run
 
@@ -242,7 +243,7 @@ def whole_characters(data: bytes, gone: np.ndarray) -> str:
 
 
 def _place() -> Column:
-    return F.struct("doc_id", "start")
+    return F.struct("doc_id", F.shiftright("run", RUN_BITS).alias("start"))
 
 
 def repeated_runs(docs: DataFrame, length: int = 100) -> DataFrame:
@@ -274,17 +275,17 @@ def repeated_runs(docs: DataFrame, length: int = 100) -> DataFrame:
     marks = cut_lineage(ranked)
     open_runs = marks.where(~F.col("repeats")).groupBy("doc_id").agg(F.collect_list("run").alias("open"))
     suffixes = texts.join(open_runs, "doc_id").mapInArrow(
-        _suffixes(length), "suffix long, half int, doc_id long, start long, later boolean"
+        _suffixes(length), "suffix long, half int, doc_id long, run long, later boolean"
     )
     # As for phrases, suffixes settled inside a task are dealt out by their place.
     suffixes = suffixes.withColumn(
-        "suffix", F.when(F.col("later"), F.xxhash64("doc_id", "start")).otherwise(F.col("suffix"))
+        "suffix", F.when(F.col("later"), F.xxhash64("doc_id", "run")).otherwise(F.col("suffix"))
     )
     equal = Window.partitionBy("suffix", "half")
     late = (
         suffixes.withColumn("first", F.min(_place()).over(equal))
         .where(F.col("later") | (F.col("first") != _place()))
-        .select("doc_id", (F.shiftleft("start", RUN_BITS) + 1).alias("run"))
+        .select("doc_id", "run")
     )
     return (
         marks.where("repeats")
@@ -295,13 +296,18 @@ def repeated_runs(docs: DataFrame, length: int = 100) -> DataFrame:
     )
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, with_text: bool = False) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, length: int = 100, with_text: bool = False, carried: Sequence[str] = ()
+) -> DataFrame:
     """Every document with its repeated bytes taken out; see ``repeated_runs`` for what repeats.
 
-    ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and ``kept_sha256`` of the bytes left; with
-    ``with_text`` also ``kept_text``, in which a character stays unless all its bytes are removed. Other columns of
-    ``docs`` are not looked at. A row for each row of ``docs`` that has a doc_id.
+    ``doc_id``, the ``carried`` columns of ``docs``, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and
+    ``kept_sha256`` of the bytes left; with ``with_text`` also ``kept_text``, in which a character stays unless all its
+    bytes are removed. Other columns of ``docs`` are not looked at. A row for each row of ``docs`` that has a doc_id.
     """
-    texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    numbered = docs.where(F.col("doc_id").isNotNull()).withColumn("doc_id", F.col("doc_id").cast("long"))
+    texts = numbered.select("doc_id", "text", *carried)
     joined = texts.join(repeated_runs(docs, length), "doc_id", "left")
-    return joined.mapInArrow(_removal(length, with_text), REMOVED + (", kept_text string" if with_text else ""))
+    fields = [texts.schema[c] for c in ("doc_id", *carried)]
+    schema = T.StructType([*fields, *T.StructType.fromDDL(REMOVED + (", kept_text string" if with_text else ""))])
+    return joined.mapInArrow(_removal(length, with_text, list(carried)), schema)
