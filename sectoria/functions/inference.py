@@ -30,13 +30,17 @@ def normal_upper(z: Column) -> Column:
 
 
 def student_two_sided(t: Column, degrees: Column) -> Column:
-    """Two-sided tail of Student's t: the regularised incomplete beta function by its continued fraction."""
+    """Two-sided tail of Student's t: the regularised incomplete beta function by its continued fraction.
+
+    Null if the fraction does not settle.
+    """
 
     def beta(a, b, x):
         if x <= 0.0 or x >= 1.0:
             return min(max(x, 0.0), 1.0)
         if x > (a + 1.0) / (a + b + 2.0):
-            return 1.0 - beta(b, a, 1.0 - x)
+            rest = beta(b, a, 1.0 - x)
+            return None if rest is None else 1.0 - rest
         tiny = 1e-300
         value, c, d = 1.0, 1.0, 0.0
         for step in range(1, 1_000_000):
@@ -48,8 +52,10 @@ def student_two_sided(t: Column, degrees: Column) -> Column:
             d = 1.0 / ((1.0 + term * d) or tiny)
             c = (1.0 + term / c) or tiny
             value *= c * d
-            if abs(c * d - 1.0) < 1e-16:
+            if abs(c * d - 1.0) < 1e-15:
                 break
+        else:
+            return None
         log_front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
         return math.exp(log_front) / (a * value)
 
@@ -62,7 +68,10 @@ def student_two_sided(t: Column, degrees: Column) -> Column:
 
 
 def chi_square_upper(statistic: Column, degrees: Column) -> Column:
-    """Upper tail of chi-square: the regularised incomplete gamma function by series or continued fraction."""
+    """Upper tail of chi-square: the regularised incomplete gamma function by series or continued fraction.
+
+    Null if the fraction does not settle.
+    """
 
     def gamma(a, x):
         if x <= 0.0:
@@ -84,8 +93,10 @@ def chi_square_upper(statistic: Column, degrees: Column) -> Column:
             d = 1.0 / ((1.0 + term * d) or tiny)
             c = (1.0 + term / c) or tiny
             value *= c * d
-            if abs(c * d - 1.0) < 1e-16:
+            if abs(c * d - 1.0) < 1e-15:
                 break
+        else:
+            return None
         return front / (x * value)
 
     def tail(value, freedom):

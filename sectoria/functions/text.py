@@ -15,7 +15,7 @@ def pad_code(code: Column, width: int) -> Column:
     """Left-pad with zeros, never truncate; a leading sign stays in front."""
     signed = F.substring(code, 1, 1).isin("+", "-")
     padded = F.when(
-        signed, F.concat(F.substring(code, 1, 1), F.lpad(F.substring(code, 2, 2_000_000), width - 1, "0"))
+        signed, F.concat(F.substring(code, 1, 1), F.lpad(F.substr(code, F.lit(2)), width - 1, "0"))
     ).otherwise(F.lpad(code, width, "0"))
     return F.when(F.length(code) < width, padded).otherwise(code)
 

@@ -139,7 +139,7 @@ def _ordered_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def shapiro_wilk(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """W and p per column. The p-value is published for 3 to 5000 values; beyond it is null."""
+    """W and p per column; ``extrapolated`` tells that the formula of p is used beyond its published range of 5,000 values."""
     placed = _ordered_values(df, columns)
     scored = placed.withColumn("m", normal_quantile((F.col("i") - 0.375) / (F.col("n") + 0.25)))
 
@@ -195,7 +195,8 @@ def shapiro_wilk(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         "variable",
         "n",
         "W",
-        F.when(n == 3, p_three).when(n <= 5000, normal_upper(F.when((n > 3) & (n <= 5000), z))).alias("p_value"),
+        F.when(n == 3, p_three).otherwise(normal_upper(F.when(n > 3, z))).alias("p_value"),
+        (n > 5000).alias("extrapolated"),
     )
 
 

@@ -16,6 +16,9 @@ from .positions import with_position
 
 # ---------------------------------------------------------------- columns
 
+# Ten digits for the rows of a year: no year of any file reaches them, and year * YEAR_FACTOR stays far within 64 bits.
+YEAR_FACTOR = 10**10
+
 
 def arranged(df: DataFrame, renames: Mapping[str, str], keep: Sequence[str] | None = None, lower: bool = False) -> DataFrame:
     """Rename, optionally lower-case all names, keep and order the listed columns."""
@@ -191,14 +194,22 @@ def through_gates(
     decisions = gate_decisions(df, flags, counted, limit, by)
     answer = F.struct(*[c for c in decisions.columns if c not in by]).alias("_gate")
     if by:
-        kept = df.join(decisions.select(*by, answer), list(by), "left")
+        # One row per group: all decisions fit in one map, which every task looks up without a shuffle of the rows.
+        table = decisions.select(F.map_from_entries(F.collect_list(F.struct(_group_key(by), answer)))).scalar()
+        kept = df.withColumn("_gate", F.element_at(table, _group_key(by)))
     else:
         kept = df.withColumn("_gate", decisions.select(answer).scalar())
     for i, flag in enumerate(flags):
-        kept = kept.where((flag == "ok") | ~F.col(f"_gate.retire_{i}"))
+        kept = kept.where((flag == "ok") | ~F.coalesce(F.col(f"_gate.retire_{i}"), F.lit(False)))
     return kept.drop("_gate")
 
 
+def _group_key(by: Sequence[str]) -> Column:
+    """Text that tells groups apart, a null from any value too."""
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in by]
+    return F.concat_ws("\x1f", *parts)
+
+
 def date_flags(year: Column | str) -> list[Column]:
     """The three date checks of a death record, in order."""
     return [
@@ -315,16 +326,14 @@ def repaired_places(
 
 
 def with_yearly_ids(df: DataFrame, year: str, order: Sequence[str], name: str = "idligne") -> DataFrame:
-    """Ids ``year * 10^k + position`` (position from 0 inside the year).
+    """Ids ``year * YEAR_FACTOR + position`` (position from 0 inside the year).
 
-    ``k`` is 6 while every year has at most a million rows and grows with the
-    largest year, so ids of two years never collide.
+    The factor is the same for all data, so a year keeps its ids whatever the other years hold. The reference width of
+    six digits would let a year of more than a million rows run into the next one.
     """
     numbered = with_position(df, order, name="_position", by=[year])
-    largest = numbered.agg(F.max("_position").alias("m"))
-    digits = F.greatest(F.lit(6), F.length((F.col("m") - 1).cast("string")))
-    factor = largest.select(F.pow(F.lit(10.0), digits).cast("bigint").alias("f")).scalar()
-    return numbered.withColumn(name, F.col(year).cast("bigint") * factor + F.col("_position") - 1).drop("_position")
+    first = F.col(year).cast("bigint") * YEAR_FACTOR
+    return numbered.withColumn(name, first + F.col("_position") - 1).drop("_position")
 
 
 def load_types(df: DataFrame, drop: Sequence[str] = ()) -> DataFrame:

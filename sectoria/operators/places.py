@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_DEPTH = 5
+from ..session import cut_lineage
 
 
 def _merged(left: DataFrame, right: DataFrame, key: str, columns: Sequence[tuple[str, Column]]) -> DataFrame:
@@ -80,13 +80,12 @@ def all_places(main: DataFrame, overseas: DataFrame, countries: DataFrame) -> Da
     ).distinct()
 
 
-def code_chains(changes: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def code_chains(changes: DataFrame, max_depth: int | None = None) -> DataFrame:
     """All chains of code changes: origin, last code, length and path.
 
-    The depth is bounded, so the recursion is written as ``max_depth - 1``
-    equi-joins with the change table; a chain never returns to a code on its
-    path. (A recursive query in Spark SQL gives the same rows but stops at a
-    row limit.)
+    Chains are followed to their end, or to ``max_depth`` changes. Every level
+    is one equi-join of the stored level before with the stored changes; a
+    chain never returns to a code on its path, so the levels come to an end.
     """
     edges = changes.select(
         F.col("num_insee_avant").alias("avant"),
@@ -94,6 +93,7 @@ def code_chains(changes: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
         F.col("num_insee_apres").alias("apres"),
         F.col("nom_commune_en_clair_apres").alias("nom_apres"),
     ).distinct()
+    edges = cut_lineage(edges)
     level = edges.select(
         F.col("avant").alias("origine"),
         F.col("nom_avant").alias("nom_origine"),
@@ -102,9 +102,10 @@ def code_chains(changes: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
         F.lit(1).alias("niveau"),
         F.array("avant", "apres").alias("chemin"),
     )
-    chains = level
-    for depth in range(2, max_depth + 1):
-        level = (
+    chains, depth = level, 1
+    while depth != max_depth:
+        depth += 1
+        level = cut_lineage(
             level.join(edges, (F.col("actuel") == F.col("avant")) & ~F.array_contains("chemin", F.col("apres")))
             .select(
                 "origine",
@@ -116,6 +117,8 @@ def code_chains(changes: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
             )
             .distinct()
         )
+        if level.isEmpty():
+            break
         chains = chains.unionByName(level)
     return chains
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-_STAMP, _SLICE, _OFFSET = "_stamp", "_slice", "_offset"
+_STAMP, _SLICE, _OFFSET, _FIRST = "_stamp", "_slice", "_offset", "_first"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 
 
@@ -51,17 +51,20 @@ def with_position(
     all of them are numbered in an arbitrary order and stay in one slice.
     """
     slices = _sorted_slices(df, [*by, *order])
+    if by:
+        parts = _group_parts(slices, by, {_OFFSET: F.count(F.lit(1))})
+        return (
+            _join_on(slices, parts, [_SLICE, *by])
+            .withColumn(name, F.col(_STAMP) - F.col(_FIRST) + F.col(_OFFSET) + 1)
+            .drop(_STAMP, _SLICE, _OFFSET, _FIRST, *_names(_OFFSET))
+        )
     offsets = _slice_offsets(slices, {_OFFSET: F.count(F.lit(1))})
     local = F.col(_STAMP) - F.shiftleft(F.col(_SLICE).cast("bigint"), _ROW_BITS)
-    numbered = (
+    return (
         slices.join(F.broadcast(offsets), _SLICE)
         .withColumn(name, F.col(_OFFSET) + local + 1)
         .drop(_STAMP, _SLICE, _OFFSET)
     )
-    if not by:
-        return numbered
-    starts = numbered.groupBy(*by).agg((F.min(name) - 1).alias(_OFFSET))
-    return _join_on(numbered, starts, by).withColumn(name, F.col(name) - F.col(_OFFSET)).drop(_OFFSET)
 
 
 def with_running_total(
@@ -78,28 +81,55 @@ def with_running_total(
     """
     slices = _sorted_slices(df, [*by, *order])
     inside = Window.partitionBy(_SLICE).orderBy(_STAMP).rowsBetween(Window.unboundedPreceding, -1)
+    running = slices.withColumns({f"before_{w}": F.coalesce(F.sum(w).over(inside), F.lit(0)) for w in weights})
+    if by:
+        parts = _group_parts(slices, by, {f"_{w}": F.sum(w) for w in weights})
+        result = _join_on(running, parts, [_SLICE, *by])
+        for w in weights:
+            # In the slice, since the group began there; and in the slices before.
+            before = F.col(f"before_{w}") - F.col(f"_{w}_start") + F.col(f"_{w}")
+            result = result.withColumn(f"before_{w}", before)
+            if totals:
+                result = result.withColumn(f"total_{w}", F.col(f"_{w}_total"))
+        return result.drop(_STAMP, _SLICE, _FIRST, *[c for w in weights for c in (f"_{w}", *_names(f"_{w}"))])
     offsets = _slice_offsets(slices, {f"_{w}": F.sum(w) for w in weights})
-    result = slices.withColumns(
-        {f"before_{w}": F.coalesce(F.sum(w).over(inside), F.lit(0)) for w in weights}
-    ).join(F.broadcast(offsets), _SLICE)
+    result = running.join(F.broadcast(offsets), _SLICE)
     result = result.withColumns({f"before_{w}": F.col(f"before_{w}") + F.col(f"_{w}") for w in weights}).drop(
         _STAMP, _SLICE, *[f"_{w}" for w in weights]
     )
-    if not by:
-        for weight in weights if totals else ():
-            result = result.withColumn(f"total_{weight}", slices.agg(F.sum(weight)).scalar())
-        return result
-    measures = [F.min(f"before_{w}").alias(f"_{w}") for w in weights]
-    if totals:
-        measures += [F.sum(w).alias(f"total_{w}") for w in weights]
-    result = _join_on(result, result.groupBy(*by).agg(*measures), by)
-    for weight in weights:
-        result = result.withColumn(f"before_{weight}", F.col(f"before_{weight}") - F.col(f"_{weight}")).drop(
-            f"_{weight}"
-        )
+    for weight in weights if totals else ():
+        result = result.withColumn(f"total_{weight}", slices.agg(F.sum(weight)).scalar())
     return result
 
 
+def _names(measure: str) -> tuple[str, str]:
+    return f"{measure}_start", f"{measure}_total"
+
+
+def _group_parts(slices: DataFrame, by: Sequence[str], measures: dict[str, Column]) -> DataFrame:
+    """For every group in every slice: its first stamp there, and of each measure the sum over the group's earlier slices,
+    over the groups before it in the slice (``_start``) and over the whole group (``_total``).
+
+    A slice holds whole neighbouring groups and parts of two, so there are at most as many rows as slices and groups
+    together; rows find theirs by slice and group, which no large group can crowd.
+    """
+    parts = slices.groupBy(_SLICE, *by).agg(
+        F.min(_STAMP).alias(_FIRST), *[m.alias(f"{n}_part") for n, m in measures.items()]
+    )
+    group = Window.partitionBy(*by)
+    earlier = group.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy(_SLICE).orderBy(_FIRST).rowsBetween(Window.unboundedPreceding, -1)
+    columns = []
+    for name in measures:
+        own = F.sum(f"{name}_part")
+        columns += [
+            F.coalesce(own.over(earlier), F.lit(0)).alias(name),
+            F.coalesce(own.over(ahead), F.lit(0)).alias(f"{name}_start"),
+            own.over(group).alias(f"{name}_total"),
+        ]
+    return parts.select(_SLICE, *by, _FIRST, *columns)
+
+
 def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Equi join in which a null key matches a null key."""
     renamed = right.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in right.columns if c not in keys])

@@ -176,7 +176,7 @@ def with_rank_over_ages(scored: DataFrame, keys: Sequence[str], name: str = "ran
     return counted.withColumn(name, (reached - tied + 1 + (tied - 1) / 2).cast("bigint")).drop("_total", "_one")
 
 
-def pages(scored: DataFrame, page_size: int = PAGE_SIZE, max_pages: int | None = 3) -> DataFrame:
+def pages(scored: DataFrame, page_size: int = PAGE_SIZE, max_pages: int | None = None) -> DataFrame:
     """Number the pages of ranked sectors; ``max_pages`` limits the report, ``None`` keeps all."""
     paged = scored.withColumn("page", F.ceil(F.col("rang_deces") / page_size).cast("int"))
     return paged if max_pages is None else paged.where(F.col("page") <= max_pages)

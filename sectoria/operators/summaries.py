@@ -76,22 +76,26 @@ def missing_profile(df: DataFrame) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
-    """Equal-width bins from the least to the greatest value, the last one closed; empty bins stay out."""
+    """Equal-width bins from the least to the greatest value, the last one closed; empty bins count 0.
+
+    If all values are equal, all fall in the first of ``bins`` bins of width 0; without values there are no bins.
+    """
     ends = df.agg(F.struct(F.min(column).alias("low"), F.max(column).alias("high")).alias("e")).scalar()
     placed = df.where(F.col(column).isNotNull()).select(F.col(column).alias("v"), ends.alias("e"))
     width = (F.col("e.high") - F.col("e.low")) / bins
     number = F.when(width == 0, 0).otherwise(
         F.least(F.floor(F.try_divide(F.col("v") - F.col("e.low"), width)).cast("int"), F.lit(bins - 1))
     )
+    counts = placed.select(number.alias("classe")).groupBy("classe").agg(F.count(F.lit(1)).alias("effectif"))
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("classe"), ends.alias("e"))
     return (
-        placed.select(number.alias("classe"), "e", width.alias("w"))
-        .groupBy("classe", "e", "w")
-        .agg(F.count(F.lit(1)).alias("effectif"))
+        every.where(F.col("e.low").isNotNull())
+        .join(counts, "classe", "left")
         .select(
             (F.col("classe") + 1).alias("classe"),
-            (F.col("e.low") + F.col("classe") * F.col("w")).alias("debut"),
-            (F.col("e.low") + (F.col("classe") + 1) * F.col("w")).alias("fin"),
-            "effectif",
+            (F.col("e.low") + F.col("classe") * width).alias("debut"),
+            (F.col("e.low") + (F.col("classe") + 1) * width).alias("fin"),
+            F.coalesce("effectif", F.lit(0)).alias("effectif"),
         )
     )
 

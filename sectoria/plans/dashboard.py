@@ -14,7 +14,7 @@ def sector_pages(
     df: DataFrame,
     level: str,
     by_age: bool = False,
-    max_pages: int | None = 3,
+    max_pages: int | None = None,
     baseline: DataFrame | None = None,
 ) -> DataFrame:
     """Scores of a level in pages of ranked sectors; ``baseline`` as in :func:`sector_scores`."""

@@ -337,8 +337,7 @@ def ages(spark, folder):
 
 @query(
     "P18 X1",
-    """SELECT o_orderkey, CAST(year(o_orderdate) AS VARCHAR) AS annee, CAST(year(o_orderdate) * pow(10, greatest(6,
-    (SELECT max(length(CAST(n - 1 AS VARCHAR))) FROM (SELECT count(*) AS n FROM orders GROUP BY year(o_orderdate)))))
+    """SELECT o_orderkey, CAST(year(o_orderdate) AS VARCHAR) AS annee, CAST(year(o_orderdate) * 10000000000
     + row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderdate, o_orderkey) - 1 AS BIGINT) AS idligne
   FROM orders""",
 )

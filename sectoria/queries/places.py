@@ -132,7 +132,6 @@ def _changes(spark, folder):
     edges = F.when(k % 97 == 0, F.array(forth, back)).otherwise(F.array(forth))
     return (
         table(spark, folder, "part")
-        .where(k > 0)
         .select(F.explode(edges).alias("e"))
         .select(
             _code(F.col("e.a"), 9).alias("num_insee_avant"),
@@ -143,20 +142,25 @@ def _changes(spark, folder):
     )
 
 
-_CHAINS = """edges AS (SELECT DISTINCT lpad(CAST(a AS VARCHAR), 9, '0') AS avant, n AS nom_avant,
+def _chains_sql(depth: str = "") -> str:
+    """``depth`` limits the number of changes."""
+    return f"""edges AS (SELECT DISTINCT lpad(CAST(a AS VARCHAR), 9, '0') AS avant, n AS nom_avant,
     lpad(CAST(b AS VARCHAR), 9, '0') AS apres, upper(n) AS nom_apres FROM (
-    SELECT p_partkey AS a, p_partkey // 2 AS b, p_name AS n FROM part WHERE p_partkey > 0
-    UNION ALL SELECT p_partkey // 2, p_partkey, 'retour ' || p_name FROM part WHERE p_partkey > 0 AND p_partkey % 97 = 0)),
+    SELECT p_partkey AS a, p_partkey // 2 AS b, p_name AS n FROM part
+    UNION ALL SELECT p_partkey // 2, p_partkey, 'retour ' || p_name FROM part WHERE p_partkey % 97 = 0)),
   chains AS (SELECT avant AS origine, nom_avant AS nom_origine, apres AS actuel, nom_apres AS nom_actuel, 1 AS niveau,
       [avant, apres] AS chemin FROM edges
     UNION ALL SELECT c.origine, c.nom_origine, e.apres, e.nom_apres, c.niveau + 1, list_append(c.chemin, e.apres)
-      FROM chains c JOIN edges e ON e.avant = c.actuel WHERE c.niveau < 5 AND NOT list_contains(c.chemin, e.apres)),
+      FROM chains c JOIN edges e ON e.avant = c.actuel WHERE {depth} NOT list_contains(c.chemin, e.apres)),
   latest AS (SELECT origine AS num_insee_invalide, nom_origine AS nom_invalide, actuel AS num_insee_valide,
       nom_actuel AS nom_valide FROM (SELECT *, row_number() OVER (PARTITION BY origine
         ORDER BY niveau DESC, actuel, nom_actuel, nom_origine) AS k FROM chains) WHERE k = 1)
 """
 
 
+_CHAINS = _chains_sql()
+
+
 @query(
     "J3 U2",
     f"WITH RECURSIVE {_CHAINS} SELECT DISTINCT * REPLACE (array_to_string(chemin, '>') AS chemin) FROM chains",
@@ -166,6 +170,13 @@ def code_chains(spark, folder):
     return chains.withColumn("chemin", F.array_join("chemin", ">"))
 
 
+@query("J3", f"WITH RECURSIVE {_chains_sql('c.niveau < 5 AND')} SELECT DISTINCT * REPLACE (array_to_string(chemin, '>') AS chemin) FROM chains")
+def code_chains_of_five(spark, folder):
+    """The bound of five changes that the analysed scripts set."""
+    chains = L.code_chains(_changes(spark, folder), max_depth=5)
+    return chains.withColumn("chemin", F.array_join("chemin", ">"))
+
+
 @query("J4 J3", f"WITH RECURSIVE {_CHAINS} SELECT * FROM latest")
 def latest_codes(spark, folder):
     return L.latest_codes(L.code_chains(_changes(spark, folder)))

@@ -96,7 +96,7 @@ _CITY_RANKED = _rank_sql(_level_sql(CITY, "origine_ville"))
     "W2 A14 O1",
     PERSONS
     + BASELINE
-    + f"SELECT *, CAST(ceil(rang_deces / 20.0) AS INTEGER) AS page FROM ({_CITY_RANKED}) WHERE rang_deces <= 60",
+    + f"SELECT *, CAST(ceil(rang_deces / 20.0) AS INTEGER) AS page FROM ({_CITY_RANKED})",
 )
 def city_pages(spark, folder):
     return _tidy(sector_pages(persons(spark, folder), "ville_deces"))

@@ -290,10 +290,10 @@ def default_files(spark, folder):
     r"""SELECT page_id, CAST(i - 1 AS INTEGER) AS ligne, regexp_extract(r, '(?s)<a href="([^"]*)">(.*?)</a>', 2) AS nom,
   regexp_extract(r, '(?s)<a href="([^"]*)">(.*?)</a>', 1) AS lien
   FROM (SELECT page_id, unnest(rows) AS r, generate_subscripts(rows, 1) AS i
-    FROM (SELECT page_id, regexp_extract_all(html, '(?s)<li>(.*?)</li>', 1) AS rows FROM pages)) WHERE i > 1""",
+    FROM (SELECT page_id, regexp_extract_all(html, '(?s)<li>(.*?)</li>', 1) AS rows FROM pages))""",
 )
 def html_rows(spark, folder):
-    """List items of whole pages as rows (the pages hold lists, not tables); the first one is the header."""
+    """List items of whole pages as rows (the pages hold lists, not tables, and no header row)."""
     pages = table(spark, folder, "pages")
     return D.html_rows(
         pages,
@@ -303,6 +303,7 @@ def html_rows(spark, folder):
         table="",
         row=r"(?s)<li>(.*?)</li>",
         cell=r'(?s)(?:<a href="|">)(.*?)(?="|</a>)',
+        skip=0,
     )
 
 

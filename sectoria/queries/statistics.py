@@ -103,12 +103,15 @@ def value_counts(spark, folder):
 
 @query(
     "A32",
-    """WITH e AS (SELECT min(value) AS low, max(value) AS high FROM events)
-  SELECT CAST(least(floor((value - low) / ((high - low) / 20)), 19) + 1 AS INTEGER) AS classe, count(*) AS effectif
-  FROM events, e GROUP BY 1""",
+    """WITH e AS (SELECT min(value) AS low, max(value) AS high FROM events),
+  counts AS (SELECT least(floor((value - low) / ((high - low) / 20)), 19) AS k, count(*) AS n FROM events, e GROUP BY 1)
+  SELECT CAST(i + 1 AS INTEGER) AS classe, round_even(low + i * ((high - low) / 20), 6) AS debut,
+    round_even(low + (i + 1) * ((high - low) / 20), 6) AS fin, coalesce(n, 0) AS effectif
+  FROM e, range(20) AS r(i) LEFT JOIN counts ON k = i""",
 )
 def histogram(spark, folder):
-    return U.histogram(table(spark, folder, "events"), "value", bins=20).select("classe", "effectif")
+    found = U.histogram(table(spark, folder, "events"), "value", bins=20)
+    return found.select("classe", rounded("debut", 6), rounded("fin", 6), "effectif")
 
 
 @query(

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,10 +110,34 @@ def test_first_per_key_and_duplicates(spark):
 def test_yearly_ids_of_small_and_large_years(spark):
     df = spark.createDataFrame([("2023", 5), ("2024", 9), ("2024", 7)], "annee string, k int")
     ids = {r["k"]: r["idligne"] for r in C.with_yearly_ids(df, "annee", ["k"]).collect()}
-    assert ids == {5: 2023000000, 7: 2024000000, 9: 2024000001}
-    large = spark.range(1_000_001).select(F.lit("2024").alias("annee"), "id")
-    row = C.with_yearly_ids(large, "annee", ["id"]).agg(F.min("idligne"), F.max("idligne")).first()
-    assert tuple(row) == (20240000000, 20241000000)
+    assert ids == {5: 20230000000000, 7: 20240000000000, 9: 20240000000001}
+    large = spark.range(1_000_001).select(F.lit("2022").alias("annee"), F.col("id").cast("int").alias("k"))
+    both = C.with_yearly_ids(df.unionByName(large), "annee", ["k"])
+    assert {r["k"]: r["idligne"] for r in both.where("annee > '2022'").collect()} == ids
+    row = both.where("annee = '2022'").agg(F.min("idligne"), F.max("idligne")).first()
+    assert tuple(row) == (20220000000000, 20220001000000)
+
+
+def test_gates_and_ids_deal_no_rows_by_year(spark):
+    rows = [(y, "ok" if i % 50 else "ko", i) for y in ("2001", "2002", None) for i in range(200)]
+    df = spark.createDataFrame(rows, "year string, flag string, id int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        gated = C.through_gates(df, [F.col("flag")], "id", by=["year"])
+        numbered = C.with_yearly_ids(df, "year", ["id"])
+        for result in (gated, numbered):
+            result.collect()
+            plan = result._jdf.queryExecution().executedPlan().toString()
+            final = plan.split("Initial Plan")[0]
+            # Rows are never dealt by the year alone, only its counts are: those shuffles hold no "id".
+            by_year = [line for line in final.splitlines() if re.search(r"hashpartitioning\(year#\d+, ", line)]
+            assert len(by_year) <= (1 if result is gated else 2)
+        assert "Join" not in gated._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert gated.where("year is null").count() == 196
+    kept = C.through_gates(df, [F.when(F.col("id") % 2 == 0, "ko").otherwise("ok")], "id", by=["year"])
+    assert kept.where("year is null").count() == 200
 
 
 def test_overrides_sentinels_and_missing(spark):
