@@ -365,45 +365,103 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str) -> Da
     return mirrored.unionByName(diagonal)
 
 
+def _class_cells(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Counts of the filled cells of the contingency tables of all pairs, from one pass over the rows."""
+    structs = [
+        F.struct(
+            F.lit(a).alias("variable_x"),
+            F.lit(b).alias("variable_y"),
+            F.col(f"`{a}`").cast("string").alias("x"),
+            F.col(f"`{b}`").cast("string").alias("y"),
+        )
+        for a, b in pairs
+    ]
+    long = df.select(F.explode(F.array(*structs)).alias("p")).select("p.*").where(all_present(["x", "y"]))
+    return cut_lineage(long.groupBy(*PAIR, "x", "y").agg(F.count(F.lit(1)).alias("o")))
+
+
 def expected_counts(df: DataFrame, rows: str, column: str) -> DataFrame:
     """Observed and expected count of every cell of a contingency table, empty cells included.
 
-    The class totals of the columns are one short list, which every row class
-    is paired with: the result is the table itself.
+    The whole table is the result, so each row class meets each column class here; the test does without.
     """
     cells = cut_lineage(
         df.where(all_present([rows, column])).groupBy(rows, column).agg(F.count(F.lit(1)).alias("observe"))
     )
+    total = cells.agg(F.sum("observe")).scalar()
     by_row = cells.groupBy(rows).agg(F.sum("observe").alias("_r"))
     by_column = cells.groupBy(column).agg(F.sum("observe").alias("_c"))
-    listed = by_column.agg(F.collect_list(F.struct(F.col(column).alias("k"), F.col("_c").alias("c")))).scalar()
-    total = cells.agg(F.sum("observe")).scalar()
-    grid = (
-        by_row.withColumn("_k", F.explode(listed))
-        .select(rows, F.col("_k.k").alias(column), "_r", F.col("_k.c").alias("_c"))
-        .withColumn("attendu", F.col("_r").cast("double") * F.col("_c") / total)
-    )
+    grid = by_row.crossJoin(by_column).withColumn("attendu", F.col("_r").cast("double") * F.col("_c") / total)
     return grid.join(cells, [rows, column], "left").select(
         rows, column, F.coalesce("observe", F.lit(0)).alias("observe"), "attendu"
     )
 
 
-def chi_square(df: DataFrame, rows: str, column: str) -> DataFrame:
-    """Test of independence: statistic (Yates-corrected for one degree), p, degrees and small expected cells."""
-    grid = expected_counts(df, rows, column)
-    gap = F.abs(F.col("observe") - F.col("attendu"))
-    corrected = gap - F.least(gap, F.lit(0.5))
-    sums = grid.agg(
-        F.sum(gap * gap / F.col("attendu")).alias("plain"),
-        F.sum(corrected * corrected / F.col("attendu")).alias("yates"),
-        ((F.count_distinct(rows) - 1) * (F.count_distinct(column) - 1)).alias("ddl"),
-        F.count_if(F.col("attendu") < 5).alias("nb_cellules_inf5"),
-        F.sum("observe").alias("effectif"),
+def _small_expected(totals: DataFrame) -> DataFrame:
+    """Cells of each pair whose expected count is below 5, from the totals of rows and columns.
+
+    ``totals`` has the pair, ``side`` (x or y), ``t`` and the pair's ``n``. A row class of total r has its small cells
+    in the column classes of at most (5n - 1) div r, which one running count over the sorted totals finds.
+    """
+    limit = F.expr("(5 * n - 1) div t")
+    marks = totals.select(
+        *PAIR,
+        F.when(F.col("side") == "y", F.col("t")).otherwise(limit).alias("place"),
+        F.when(F.col("side") == "y", 0).otherwise(1).alias("asks"),
     )
-    statistic = F.when(F.col("ddl") == 1, F.col("yates")).otherwise(F.col("plain"))
-    return sums.withColumn("khi2", statistic).select(
-        "effectif", "khi2", "ddl", chi_square_upper(F.col("khi2"), F.col("ddl")).alias("p_value"), "nb_cellules_inf5"
+    counted = marks.groupBy(*PAIR, "place", "asks").agg(F.count(F.lit(1)).alias("classes"))
+    columns = F.when(F.col("asks") == 0, F.col("classes")).otherwise(0)
+    ranked = with_running_total(counted.withColumn("columns", columns), ["place", "asks"], ["columns"], by=PAIR)
+    return ranked.where("asks = 1").groupBy(*PAIR).agg(
+        F.sum(F.col("classes") * F.col("before_columns")).alias("nb_cellules_inf5")
+    )
+
+
+def chi_squares(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Tests of independence of pairs of columns: statistic (Yates-corrected for one degree), p, degrees, small cells.
+
+    Over the filled cells alone, chi-square is ``n * sum(o^2 / (r c)) - n``. In a table of two by two classes all gaps
+    between observed and expected counts are equal, and the corrected statistic follows from one of them.
+    """
+    cells = _class_cells(df, pairs)
+    sides = [
+        cells.groupBy(*PAIR, F.col(s).alias("k")).agg(F.sum("o").alias("t")).withColumn("side", F.lit(s)) for s in ("x", "y")
+    ]
+    totals = cut_lineage(sides[0].unionByName(sides[1]))
+    sizes = totals.where("side = 'x'").groupBy(*PAIR).agg(F.sum("t").alias("n"))
+
+    def side(name: str, total: str) -> DataFrame:
+        return totals.where(F.col("side") == name).select(*PAIR, F.col("k").alias(name), F.col("t").alias(total))
+
+    joined = cells.join(side("x", "r"), [*PAIR, "x"]).join(side("y", "c"), [*PAIR, "y"]).join(F.broadcast(sizes), list(PAIR))
+    o, r, c, n = (F.col(k).cast("double") for k in "orcn")
+    sums = joined.groupBy(*PAIR, "n").agg(
+        F.sum(o * o / (r * c)).alias("share"), F.first(F.abs(o - r * c / n)).alias("gap")
     )
+    classes = totals.groupBy(*PAIR).agg(
+        ((F.count_if(F.col("side") == "x") - 1) * (F.count_if(F.col("side") == "y") - 1)).alias("ddl"),
+        F.sum(F.when(F.col("side") == "x", 1.0 / F.col("t"))).alias("rows_inverse"),
+        F.sum(F.when(F.col("side") == "y", 1.0 / F.col("t"))).alias("columns_inverse"),
+    )
+    small = _small_expected(totals.join(F.broadcast(sizes), list(PAIR)))
+    corrected = F.col("gap") - F.least("gap", F.lit(0.5))
+    yates = corrected * corrected * F.col("n") * F.col("rows_inverse") * F.col("columns_inverse")
+    plain = F.greatest(F.col("n") * F.col("share") - F.col("n"), F.lit(0.0))
+    statistic = F.when(F.col("ddl") == 1, yates).otherwise(plain)
+    tested = sums.join(F.broadcast(classes), list(PAIR)).join(F.broadcast(small), list(PAIR)).withColumn("khi2", statistic)
+    return tested.select(
+        *PAIR,
+        F.col("n").alias("effectif"),
+        "khi2",
+        "ddl",
+        chi_square_upper(F.col("khi2"), F.col("ddl")).alias("p_value"),
+        "nb_cellules_inf5",
+    )
+
+
+def chi_square(df: DataFrame, rows: str, column: str) -> DataFrame:
+    """Test of independence of one pair of columns; see :func:`chi_squares`."""
+    return chi_squares(df, [(rows, column)]).drop(*PAIR)
 
 
 def decision(p_value: Column, rejected: str, kept: str, alpha: float = ALPHA) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.conditions import all_present
-from ..operators.association import chi_square
+from ..operators.association import chi_squares
 from ..operators.coverage import (
     city_days,
     city_year_coverage,
@@ -60,8 +60,6 @@ def city_classes(days: DataFrame) -> DataFrame:
 
 def population_tests(cities: DataFrame) -> DataFrame:
     """Independence of the population class and the temperature, latitude and longitude classes."""
-    tests = [
-        chi_square(cities, column, "classe_HAB").select(F.lit(column).alias("variable"), "*")
-        for column in ("classe_TEMPERATURE", "classe_LAT_degre", "classe_LON_degre")
-    ]
-    return tests[0].unionByName(tests[1]).unionByName(tests[2])
+    measures = ("classe_TEMPERATURE", "classe_LAT_degre", "classe_LON_degre")
+    tests = chi_squares(cities, [(column, "classe_HAB") for column in measures])
+    return tests.withColumnRenamed("variable_x", "variable").drop("variable_y")

@@ -280,8 +280,8 @@ def _big_lines(spark, folder):
 
 def _chi_squares(spark, folder):
     lines = _big_lines(spark, folder)
-    parts = [A.chi_square(lines, a, b).select(F.lit(a).alias("x"), F.lit(b).alias("y"), "*") for a, b in _TABLES]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    found = A.chi_squares(lines, _TABLES)
+    return found.withColumnsRenamed({"variable_x": "x", "variable_y": "y"})
 
 
 @query("T5", " UNION ALL ".join(_chi_square_sql(a, b) for a, b in _TABLES))

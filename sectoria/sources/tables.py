@@ -5,6 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Tasks that share the rows of one year when years are written.
+YEAR_FILES = 8
 
 
 def read_table(spark: SparkSession, name: str, columns: Sequence[str]) -> DataFrame:
@@ -44,8 +48,14 @@ def replace_csv(df: DataFrame, path: str, **options: str) -> None:
 
 
 def replace_years(df: DataFrame, path: str, year: str = "annee") -> None:
-    """Replace only the years present in ``df``; other years of the folder stay."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year).parquet(path)
+    """Replace only the years present in ``df``; other years of the folder stay.
+
+    Rows of a year are brought to ``YEAR_FILES`` tasks, which keeps the files few and a large year spread.
+    """
+    others = [F.col(f"`{c}`") for c in df.columns if c != year]
+    share = F.pmod(F.xxhash64(*others), F.lit(YEAR_FILES)) if others else F.lit(0)
+    grouped = df.repartition(F.col(year), share)
+    grouped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year).parquet(path)
 
 
 def publish_view(df: DataFrame, name: str) -> None:

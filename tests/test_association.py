@@ -126,3 +126,24 @@ def test_expected_counts_include_empty_cells(spark):
 def test_decisions(spark):
     df = spark.createDataFrame([(0.01,), (0.05,), (None,)], "p double")
     assert [r[0] for r in df.select(A.decision(F.col("p"), "rejet", "non")).collect()] == ["rejet", "non", None]
+
+
+def test_chi_squares_equal_the_whole_table(spark):
+    """Statistic, degrees and small cells against the expected counts of every cell, empty ones included."""
+    rng = random.Random(12)
+    rows = [
+        ("abcde"[min(4, int(rng.expovariate(0.7)))], "uvwxyz"[min(5, int(rng.expovariate(0.5)))], rng.random() < 0.4, "one")
+        for _ in range(240)
+    ] + [(None, "u", True, "one")]
+    df = spark.createDataFrame(rows, "a string, b string, c boolean, d string").withColumn("e", F.col("b") < "v")
+    pairs = [("a", "b"), ("c", "e"), ("b", "c"), ("a", "d")]
+    found = {(r.variable_x, r.variable_y): r for r in A.chi_squares(df, pairs).collect()}
+    assert set(found) == set(pairs)
+    for (x, y), r in found.items():
+        table = A.expected_counts(df, x, y).collect()
+        ddl = (len({t[0] for t in table}) - 1) * (len({t[1] for t in table}) - 1)
+        gaps = [(abs(t.observe - t.attendu), t.attendu) for t in table]
+        statistic = sum((g - (min(g, 0.5) if ddl == 1 else 0)) ** 2 / e for g, e in gaps)
+        assert (r.ddl, r.effectif) == (ddl, sum(t.observe for t in table))
+        assert r.khi2 == pytest.approx(statistic, abs=1e-9)
+        assert r.nb_cellules_inf5 == sum(t.attendu < 5 for t in table)
