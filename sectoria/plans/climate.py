@@ -35,8 +35,8 @@ def city_measurements(raw: DataFrame) -> DataFrame:
 
 
 def coverage_runs(days: DataFrame) -> DataFrame:
-    """Longest run of well-covered years by rows, cities and countries."""
-    years = yearly_coverage(days)
+    """Longest run of well-covered years by rows, cities and countries; the rows are read once, for the years."""
+    years = cut_lineage(yearly_coverage(days))
     runs = [longest_run(years, "Annee", c) for c in ("nb_enreg", "nb_City", "nb_CN")]
     return runs[0].unionByName(runs[1]).unionByName(runs[2])
 

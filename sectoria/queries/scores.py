@@ -8,6 +8,7 @@ from ..functions.classes import mobility_class
 from ..functions.numeric import log_distance
 from ..operators import scores as S
 from ..plans.dashboard import sector_pages, with_person_imd, with_sector_imd
+from ..session import cut_lineage
 from .base import BASELINE, PERSONS, indices_sql, persons, rounded, scored_sql, sector_sql
 from .registry import query
 
@@ -200,7 +201,7 @@ _SCORED = f", scored AS ({_ALL_LEVELS})\n"
 )
 def overall_states(spark, folder):
     people = persons(spark, folder)
-    scored = S.all_level_scores(people)
+    scored = cut_lineage(S.all_level_scores(people))
     parts = [
         S.overall_state(scored, m, by=["niveau"]).select(F.lit(m).alias("indicateur"), "*") for m in ("TAFV", "IMD")
     ]

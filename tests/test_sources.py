@@ -88,6 +88,11 @@ def test_replace_years_keeps_the_others(spark, tmp_path):
     tables.replace_years(spark.createDataFrame([(1, "2023"), (2, "2024")], "k int, annee string"), path)
     tables.replace_years(spark.createDataFrame([(9, "2024")], "k int, annee string"), path)
     assert sorted(r["k"] for r in spark.read.parquet(path).collect()) == [1, 9]
+    many = spark.range(5000).selectExpr("CAST(id AS INT) AS k", "CAST(2020 + id % 3 AS STRING) AS annee").repartition(40)
+    tables.replace_years(many, path)
+    written = [f for y in (2020, 2021, 2022) for f in (tmp_path / "years" / f"annee={y}").glob("*.parquet")]
+    assert 3 <= len(written) <= 3 * tables.YEAR_FILES
+    assert spark.read.parquet(path).where("annee < 2023").count() == 5000
 
 
 @pytest.mark.parametrize(
