@@ -13,6 +13,7 @@ from ..operators.cleaning import (
     PERSON_CONTRACT,
     checked_dates,
     located_only,
+    rejected_rows,
     repaired_places,
     valid_rows,
     with_contract,
@@ -23,6 +24,7 @@ from ..operators.profiles import commune_year_profile
 from ..session import cut_lineage
 from ..sources.files import parse_death_lines
 
+# Columns of the person table, in the order of its source.
 PERSON_COLUMNS = [
     "idligne",
     "nom",
@@ -49,10 +51,19 @@ def checked_records(lines: DataFrame, year: str = "annee") -> DataFrame:
 def death_people(lines: DataFrame, year: str = "annee") -> DataFrame:
     """Clean person table of all years: valid rows, date gates per year, repairs, ages and ids.
 
-    The valid records are stored by year, so the text is parsed once and the
-    gates read only the date columns.
+    The valid records are stored, so the text is parsed once and the gates read only the date columns.
     """
-    records = cut_lineage(valid_rows(parse_death_lines(lines, keep=(year,)), PERSON_CONTRACT), [year])
+    return people_of(cut_lineage(valid_rows(parse_death_lines(lines, keep=(year,)), PERSON_CONTRACT)), year)
+
+
+def refresh(lines: DataFrame, year: str = "annee") -> tuple[DataFrame, DataFrame]:
+    """Clean person table and the rejected records with their failures (``erreurs``), both from one stored parse."""
+    records = cut_lineage(checked_records(lines, year))
+    return people_of(records.where(F.size("erreurs") == 0).drop("erreurs"), year), rejected_rows(records)
+
+
+def people_of(records: DataFrame, year: str = "annee") -> DataFrame:
+    """Persons from valid records, which should be stored: date gates per year, repairs, ages and ids."""
     dated = repaired_places(checked_dates(records, F.col(year), by=[year]))
     aged = dated.withColumn("age", age_in_years(F.col("date_naissance_dt"), F.col("date_deces_dt")))
     order = ["date_deces_dt", "nom", "prenom", "date_naissance_dt", "num_insee_naissance", "num_insee_deces"]

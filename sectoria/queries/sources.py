@@ -115,6 +115,24 @@ def death_people(spark, folder):
     return people.withColumns({c: iso(c) for c in ("date_naissance_dt", "date_deces_dt")})
 
 
+@query(
+    "P10 A28",
+    PERSONS
+    + _LINES_SQL
+    + _PEOPLE_SQL
+    + """SELECT annee, 'rejete' AS statut, champs, count(*) AS nb FROM (SELECT annee, concat_ws('+', CASE WHEN sex = '3' THEN 'sex' END,
+    CASE WHEN date_naissance = '1960x101' THEN 'date_naissance' END) AS champs FROM lines) WHERE champs <> '' GROUP BY ALL
+  UNION ALL SELECT annee, 'garde', '', count(*) FROM people GROUP BY annee""",
+)
+def refresh_with_rejects(spark, folder):
+    """Rows kept and rejected by one parse of the lines, by year and faulty fields."""
+    people, rejected = mortality.refresh(written_lines(spark, folder))
+    faulty = rejected.withColumn("champs", F.array_join("erreurs.champ", "+")).groupBy("annee", "champs")
+    kept = people.groupBy("annee").agg(F.lit("").alias("champs"), F.count(F.lit(1)).alias("nb"))
+    both = faulty.agg(F.count(F.lit(1)).alias("nb")).select("annee", F.lit("rejete").alias("statut"), "champs", "nb")
+    return both.unionByName(kept.select("annee", F.lit("garde").alias("statut"), "champs", "nb"))
+
+
 def _code_places(spark, folder):
     """One place per code, from the customers' nations."""
     nation, k = F.col("c_nationkey"), F.col("c_custkey")
