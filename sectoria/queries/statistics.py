@@ -289,6 +289,22 @@ def chi_square_statistics(spark, folder):
     return _chi_squares(spark, folder).drop("p_value").withColumn("khi2", rounded("khi2", 7))
 
 
+# Upper 5 % points of chi-square by degrees of freedom.
+_CRITICAL = {1: 3.841458820694124, 2: 5.991464547107979, 3: 7.814727903251179, 4: 9.487729036781154, 6: 12.591587243743977}
+
+
+@query(
+    "T5 T6",
+    f"""SELECT x, y, ddl, CASE WHEN khi2 > CASE ddl {" ".join(f"WHEN {d} THEN {v!r}::DOUBLE" for d, v in _CRITICAL.items())} END
+  THEN 'variables dependantes' ELSE 'variables independantes' END AS decision
+  FROM ({" UNION ALL ".join(_chi_square_sql(a, b) for a, b in _TABLES)})""",
+)
+def chi_square_decisions(spark, folder):
+    """Decisions by p-value; the SQL takes them by the critical value."""
+    tested = chi_square_tests(spark, folder)
+    return tested.select("x", "y", "ddl", "decision")
+
+
 @query("T5 T6")
 def chi_square_tests(spark, folder):
     return _chi_squares(spark, folder).withColumn(
