@@ -3,9 +3,11 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sectoria.llm import bytetext, repeats
 from sectoria.llm.repeats import remove_repeats
 
 from .brute import removed_bytes
@@ -45,14 +47,27 @@ def test_repeats_equal_brute_force(documents, name, parts):
         assert row.kept_sha256 == hashlib.sha256(kept).hexdigest()
 
 
-def test_long_texts_are_parsed_in_parts(documents, monkeypatch):
+def test_parts_of_long_texts_hold_every_start_once(monkeypatch):
+    monkeypatch.setattr(repeats, "CHUNK_BYTES", 100)
+    monkeypatch.setattr(repeats, "text_chunks", lambda offsets: bytetext.text_chunks(offsets, 100))
+    sizes = [0, 30, 500, 201, 199, 7, 300, 90, 0]
+    offsets = np.cumsum([0, *sizes])
+    data = np.arange(offsets[-1]) % 251
+    found = []
+    for first, shift, part, places in repeats.slices(data, offsets, 20):
+        for i, (low, high) in enumerate(zip(places, places[1:])):
+            start = offsets[first + i] + shift
+            assert (data[start : start + high - low] == part[low:high]).all()
+            found += [(first + i, shift + at) for at in range(max(0, high - low - 19))]
+    assert sorted(found) == [(i, at) for i, n in enumerate(sizes) for at in range(max(0, n - 19))]
+
+
+def test_a_text_longer_than_a_part(documents):
     rng = random.Random(9)
-    long = words(rng, 4000)
-    rows = [(0, long), (1, "start " + long[1000:9000]), (2, long[-50:] + long[:300])]
-    monkeypatch.setattr("sectoria.llm.bytetext.CHUNK_BYTES", 5000)
-    found = {r.doc_id: r for r in remove_repeats(documents(*rows)).collect()}
-    for doc, (_, gone, spans) in removed_bytes(rows).items():
-        assert (found[doc].n_removed, found[doc].n_spans) == (sum(gone), spans)
+    long = "".join(chr(rng.randrange(97, 123)) for _ in range(1_200_000))
+    rows = remove_repeats(documents((0, long), (1, "new " + long[450_000:600_000]), (2, long[700_000:] + long[:150]))).collect()
+    found = {r.doc_id: (r.n_removed, r.n_spans) for r in rows}
+    assert found == {0: (0, 0), 1: (150_000, 1), 2: (500_150, 1)}
 
 
 def test_clashing_columns_null_ids_and_no_rows(documents):
