@@ -9,7 +9,8 @@ import numpy as np
 import pyarrow as pa
 
 BASE = 0x9E3779B97F4A7C15 | 1
-CHUNK_BYTES = 2_000_000
+# Texts are worked on in parts of about so many bytes; a task needs some hundred times as much at most.
+CHUNK_BYTES = 500_000
 # The bytes that separate words, space and 0x09 to 0x0D.
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 

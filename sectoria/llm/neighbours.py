@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bytetext import Rolling, byte_column, word_spans
+from .bytetext import Rolling, byte_column, text_chunks, word_spans
 
 BUCKETS = 4096
 # One more feature counts the words that repeat the word before; it weighs as much as so many trigrams.
@@ -63,10 +63,12 @@ def feature_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def count_blocks(column: pa.Array, size: int = BLOCK) -> Iterator[tuple[int, np.ndarray]]:
+    """Counts of at most ``size`` texts at a time, whose bytes are bounded too."""
     data, offsets = byte_column(column)
-    for first in range(0, len(offsets) - 1, size):
-        places = offsets[first : first + size + 1]
-        yield first, feature_counts(data[places[0] : places[-1]], places - places[0])
+    for low, high in text_chunks(offsets):
+        for first in range(low, high, size):
+            places = offsets[first : min(first + size, high) + 1]
+            yield first, feature_counts(data[places[0] : places[-1]], places - places[0])
 
 
 def weighted(counts: np.ndarray, rarity: np.ndarray) -> np.ndarray:
