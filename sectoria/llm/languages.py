@@ -220,8 +220,11 @@ def fused_languages(items: DataFrame, ids: Sequence[str]) -> DataFrame:
     )
     size = len(languages)
     shares, declared, suffixes, hosts = evidence_tables(decided, size)
+    # Declarations are codes of two or three letters, so at most 26^2 + 26^3 rows go to every task.
     known = (
-        decided.join(declared, "declared", "left").join(suffixes, "suffix", "left").join(hosts, "host", "left")
+        decided.join(F.broadcast(declared), "declared", "left")
+        .join(suffixes, "suffix", "left")
+        .join(hosts, "host", "left")
     )
     nothing = F.array(*[F.lit(0.0)] * size)
     overall = F.array(*[F.lit(math.log(s)) for s in shares])
