@@ -234,17 +234,19 @@ def _counted(rows: DataFrame) -> DataFrame:
 
 def _chunks(crowd: DataFrame) -> DataFrame:
     """Large nodes dealt into random chunks, each with the member that agrees best with most bits of the node."""
-    bits = FUNCTIONS // 2 * SKETCH_BITS
+    # One bit of every token is enough to tell the member that agrees with most.
+    bits = range(0, FUNCTIONS // 2 * SKETCH_BITS, SKETCH_BITS)
     sketches = ("sketch_a", "sketch_b")
-    sums = [F.sum(F.shiftright(s, i).bitwiseAND(F.lit(1))).alias(f"{s}_{i}") for s in sketches for i in range(bits)]
+    sums = [F.sum(F.shiftright(s, i).bitwiseAND(F.lit(1))).alias(f"{s}_{i}") for s in sketches for i in bits]
     counted = crowd.groupBy("node").agg(F.count(F.lit(1)).alias("all"), *sums)
 
     def majority(sketch: str):
-        each = [F.when(F.col(f"{sketch}_{i}") * 2 > F.col("all"), F.lit(1 << i)).otherwise(F.lit(0)) for i in range(bits)]
-        return reduce(lambda x, y: x.bitwiseOR(y), each).cast("long").alias(f"most_{sketch}")
+        each = [F.when(F.col(f"{sketch}_{i}") * 2 > F.col("all"), 1 << i).otherwise(0).cast("long") for i in bits]
+        return sum(each[1:], each[0]).alias(f"most_{sketch}")
 
     consensus = cut_lineage(counted.select("node", *[majority(s) for s in sketches]))
-    distance = sum(F.bit_count(F.col(s).bitwiseXOR(F.col(f"most_{s}"))) for s in sketches)
+    mask = F.lit(sum(1 << i for i in bits))
+    distance = sum(F.bit_count(F.col(s).bitwiseXOR(F.col(f"most_{s}")).bitwiseAND(mask)) for s in sketches)
     columns = ("rep", "n_shingles", "sketch_a", "sketch_b")
     nearest = F.min_by(F.struct(*columns), F.struct(distance, "rep")).alias("pivot")
     pivots = crowd.join(consensus, "node").groupBy("node").agg(nearest)
