@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from ..session import cut_lineage
 from .bytetext import BASE, CHUNK_BYTES, Rolling, byte_column, mixed, text_chunks
 
-GRAM = 40
+GRAM = 48
 HELD = 400_000
 PLACE_BITS = 24
 RUN_BITS = 12
@@ -179,13 +179,20 @@ def _suffixes(length: int):
                 suffix = np.lib.stride_tricks.sliding_window_view(part, length)[at].view(f"S{length}").ravel()
                 _, rank = np.unique(suffix, return_inverse=True)
                 doc = ids[first + text].astype(np.int64)
+                later = later_rows((rank,), doc, start)
+                # Settled suffixes in a row become one run; the others go on one by one.
+                new = np.ones(len(at), dtype=bool)
+                new[1:] = ~(later[1:] & later[:-1] & (at[1:] == at[:-1] + 1) & (owner[1:] == owner[:-1]))
+                head = np.flatnonzero(new)
+                count = np.diff(np.append(head, len(at)))
+                at, doc, start, later = at[head], doc[head], start[head], later[head]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(rolling.ranges(at, at + length).view(np.int64)),
                         pa.array((rolling.ranges(at, at + length // 2) >> np.uint64(33)).astype(np.int32)),
                         pa.array(doc),
-                        pa.array((start << RUN_BITS) | 1),
-                        pa.array(later_rows((rank,), doc, start)),
+                        pa.array((start << RUN_BITS) | count),
+                        pa.array(later),
                     ],
                     names=["suffix", "half", "doc_id", "run", "later"],
                 )
