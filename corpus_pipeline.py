@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sectoria.llm.chosen_path import near_duplicates
+from sectoria.llm.chosen_path import near_duplicates, of_ids
 from sectoria.llm.languages import document_items, fused_languages
 from sectoria.llm.neighbours import THRESHOLD, scored
 from sectoria.llm.packing import packed, token_pieces
@@ -21,8 +21,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Documents whose id is not rejected; the stored ids are sent to all tasks only if they are few."""
-    return docs.join(cut_lineage(rejected.select("doc_id").distinct()), "doc_id", "left_anti").select(*COLUMNS)
+    """Documents whose id is not rejected."""
+    return of_ids(docs, rejected, "left_anti").select(*COLUMNS)
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

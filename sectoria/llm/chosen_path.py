@@ -8,8 +8,9 @@ consensus, and compared exhaustively within the chunk.
 
 At similarity s a tree of one level keeps a pair together with probability s, every further level with
 ``1 - (1 - s) ** BRANCHES``. With s = 0.85, ``TREES`` = 8 trees miss a linked pair with probability below 3e-7 if its
-nodes are small at once, and below 2e-6 after all levels. A pair in different chunks of one crowd is found by its links
-to the consensus and to other members. Links are confirmed on whole sets, never on sketches.
+nodes are small at once, and below 2e-6 after all levels. Inside a crowd no such bound holds for a single pair: two members
+in different chunks come together through the consensus, through other members, or in another tree. Links are confirmed
+on whole sets, never on sketches.
 
 The first tree alone is compared and linked first; of the other trees only nodes with classes that are not linked yet are
 looked at.
@@ -34,6 +35,8 @@ LEVELS = 3
 BRANCHES = 2
 SMALL = 16
 CHUNK = 10
+# Ids that may be sent to every task: at most some 20 MB.
+FEW_IDS = 1_000_000
 PER_TREE = 1 + (LEVELS - 1) * BRANCHES
 FUNCTIONS = TREES * PER_TREE
 # Three bits of every minwise token make a sketch of 2 * 60 bits. At similarity 0.85 about 9 of them differ, with a
@@ -317,13 +320,19 @@ def _close_pairs(groups: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def of_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Semi- or anti-join with distinct ids. At most ``FEW_IDS`` go to every task, so that no text is shuffled; more are joined."""
+    ids = cut_lineage(ids.select("doc_id").distinct())
+    return docs.join(F.broadcast(ids) if ids.count() <= FEW_IDS else ids, "doc_id", how)
+
+
 def linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """Component of every class that has a link: columns ``v``, ``component``."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = cut_lineage(_close_pairs(compared_groups(classes), percent))
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = cut_lineage(docs.join(wanted, "doc_id").mapInArrow(_sets(width), "rep long, shingles binary"))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+    sets = cut_lineage(of_ids(docs, wanted, "left_semi").mapInArrow(_sets(width), "rep long, shingles binary"))
 
     def compare(rows: DataFrame) -> DataFrame:
         members = rows.select("node", F.explode(F.array("a", "b")).alias("rep")).distinct()
