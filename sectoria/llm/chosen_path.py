@@ -4,13 +4,13 @@ Documents are sets of word shingles; equal sets are one class. Every tree branch
 goes down the path that starts with its smallest shingle under a hash function of the tree. Nodes of at most ``SMALL``
 classes are compared exhaustively. Larger nodes branch again, by ``BRANCHES`` tokens at every further level. What is still
 large at the last level is a crowd of copies: it is dealt into random chunks, each with the member next to the crowd's
-consensus, and compared exhaustively within the chunk.
+consensus, and compared exhaustively within the chunk. That links most of a crowd cheaply; the members of crowds that are
+not in one component then go through an exact join (``crowd_links``).
 
 At similarity s a tree of one level keeps a pair together with probability s, every further level with
 ``1 - (1 - s) ** BRANCHES``. With s = 0.85, ``TREES`` = 8 trees miss a linked pair with probability below 3e-7 if its
-nodes are small at once, and below 2e-6 after all levels. Inside a crowd no such bound holds for a single pair: two members
-in different chunks come together through the consensus, through other members, or in another tree. Links are confirmed
-on whole sets, never on sketches.
+nodes are small at once, and below 2e-6 after all levels, inside a crowd as outside. Links are confirmed on whole sets,
+never on sketches.
 
 The first tree alone is compared and linked first; of the other trees only nodes with classes that are not linked yet are
 looked at.
@@ -35,6 +35,10 @@ LEVELS = 3
 BRANCHES = 2
 SMALL = 16
 CHUNK = 10
+# The exact join takes a shingle as common if its bucket, of 2 ** BUCKET_BITS, stands in more than COMMON members of crowds.
+COMMON = 64
+BUCKET_BITS = 26
+BLOCK = 2000
 # Ids that may be sent to every task: at most some 20 MB.
 FEW_IDS = 1_000_000
 PER_TREE = 1 + (LEVELS - 1) * BRANCHES
@@ -270,8 +274,11 @@ def _chunks(crowd: DataFrame) -> DataFrame:
     )
 
 
-def compared_groups(classes: DataFrame) -> DataFrame:
-    """Groups whose members are compared with each other: ``tree``, ``node``, ``members`` (id, size and sketch)."""
+def compared_groups(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Groups whose members are compared with each other: ``tree``, ``node``, ``members`` (id, size and sketch).
+
+    The second table has the members of the crowds: ``node``, ``rep``.
+    """
     rows = classes.select(
         "rep",
         "n_shingles",
@@ -300,10 +307,11 @@ def compared_groups(classes: DataFrame) -> DataFrame:
     members = F.sort_array(F.collect_list(F.struct("rep", "n_shingles", "sketch_a", "sketch_b"))).alias("members")
     merged = reduce(DataFrame.unionByName, groups).groupBy("tree", "node").agg(members)
     # The same members often meet in several trees; the first of them stands for all.
-    return cut_lineage(
+    groups = cut_lineage(
         merged.groupBy("members").agg(F.min_by(F.struct("tree", "node"), F.struct("tree", "node")).alias("at"))
         .select("at.*", "members")
     )
+    return groups, crowd.select("node", "rep")
 
 
 def _close_pairs(groups: DataFrame, percent: int) -> DataFrame:
@@ -326,16 +334,193 @@ def of_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     return docs.join(F.broadcast(ids) if ids.count() <= FEW_IDS else ids, "doc_id", how)
 
 
+def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        tokens = np.frombuffer(b"".join(batch.column("shingles").to_pylist()), dtype=np.uint64)
+        buckets, n = np.unique(tokens >> np.uint64(64 - BUCKET_BITS), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(buckets.astype(np.int32)), pa.array(n)], names=["bucket", "n"])
+
+
+def common_buckets(sets: DataFrame) -> np.ndarray:
+    """One bit for every bucket: whether its shingles stand in more than ``COMMON`` of the sets."""
+    counts = sets.mapInArrow(_bucket_counts, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    common = counts.where(F.col("n") > COMMON).select("bucket").toPandas()["bucket"].to_numpy()
+    bits = np.zeros(1 << BUCKET_BITS, dtype=bool)
+    bits[common] = True
+    return np.packbits(bits, bitorder="little")
+
+
+PROFILE = "rep long, n long, rare array<long>, digest binary, n_core long, core binary"
+
+
+def _profile(percent: int, common):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rare shingles of each prefix; the core of common shingles where that alone may give a link."""
+        bits = common.value
+        for batch in batches:
+            rows = []
+            for rep, shingles in zip(batch.column("rep").to_pylist(), batch.column("shingles").to_pylist(), strict=True):
+                tokens = np.frombuffer(shingles, dtype=np.uint64)
+                bucket = tokens >> np.uint64(64 - BUCKET_BITS)
+                hot = (bits[bucket >> np.uint64(3)] >> (bucket & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+                n, core = len(tokens), tokens[hot]
+                least = -(-percent * n // 100)
+                rare = tokens[~hot][: n - least + 1].view(np.int64)
+                alone = core.tobytes() if len(core) >= least else None
+                rows.append((rep, n, rare, alone and hashlib.md5(alone).digest(), len(core), alone))
+            types = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.int64(), pa.binary())
+            columns = zip(*rows) if rows else [()] * len(types)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), type=t) for c, t in zip(columns, types)],
+                names=["rep", "n", "rare", "digest", "n_core", "core"],
+            )
+
+    return run
+
+
+def core_links(rows: list, heads: list, percent: int) -> Iterator[tuple[int, int]]:
+    """Links that the cores alone give between ``rows`` and ``heads`` (id, component, size, core) of two components."""
+    sizes = np.array([len(r[3]) for r in rows])
+    vocabulary, codes = np.unique(np.concatenate([r[3] for r in rows]), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    components, n = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    for rep, component, size, core in heads:
+        at = np.searchsorted(vocabulary, core)
+        at[at == len(vocabulary)] = 0
+        mark = np.zeros(len(vocabulary), dtype=np.int32)
+        mark[at[vocabulary[at] == core]] = 1
+        both = np.add.reduceat(mark[codes], starts).astype(np.int64)
+        for i in np.flatnonzero((100 * both >= percent * (n + size - both)) & (components != component)):
+            yield rows[i][0], rep
+
+
+def _core_blocks(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come in the order of their pair of blocks."""
+        pair, sides = None, ([], [])
+
+        def links() -> pa.RecordBatch:
+            # Of the links of a pair of blocks, those that connect its components are enough.
+            found, parents = [], {}
+            if all(sides):
+                of = {r[0]: r[1] for side in sides for r in side}
+                for a, b in core_links(*sides, percent):
+                    x, y = of[a], of[b]
+                    while parents.get(x, x) != x:
+                        x = parents[x]
+                    while parents.get(y, y) != y:
+                        y = parents[y]
+                    if x != y:
+                        parents[x] = y
+                        found.append((a, b))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([f[k] for f in found], type=pa.int64()) for k in (0, 1)], names=["a", "b"]
+            )
+
+        for batch in batches:
+            names = ("row_block", "head_block", "head", "rep", "component", "n", "core")
+            for i, j, head, *row, core in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                if (i, j) != pair:
+                    yield links()
+                    pair, sides = (i, j), ([], [])
+                sides[head].append((*row, np.frombuffer(core, dtype=np.uint64)))
+        yield links()
+
+    return run
+
+
+def _core_pairs(alone: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
+    """Links between members of different cores, each of the members compared with the heads of the other cores.
+
+    A link of a with b means one of a with the head of b's core, which is no larger than b, and one of b with the head of
+    a's core; so links to heads connect the same. Of the members of one core in one component the smallest is enough, and the largest
+    component is not compared with itself.
+    """
+    parts = int(alone.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = F.min(F.struct("n", "rep", "core")).alias("least")
+    rows = cut_lineage(alone.groupBy("digest", "component").agg(least).select("digest", "component", "least.*"))
+    largest = rows.groupBy("component").count().orderBy(F.desc("count"), "component").first()
+    heads = heads.select(F.col("head").alias("rep")).join(alone, "rep").dropDuplicates(["rep"])
+
+    def blocks(of: DataFrame) -> tuple[DataFrame, list[int]]:
+        # Blocks of the largest component have odd numbers.
+        few = max(1, -(-of.count() // BLOCK))
+        block = F.pmod(F.xxhash64("rep"), F.lit(few)) * 2 + (F.col("component") == largest.component).cast("int")
+        return of.select("rep", "component", "n", "core", block.alias("block")), list(range(2 * few))
+
+    left, left_blocks = blocks(rows)
+    right, right_blocks = blocks(cut_lineage(heads))
+
+    def against(of: DataFrame, head: int, mine: str, others: str, numbers: list[int]) -> DataFrame:
+        each = of.withColumn(others, F.explode(F.array(*[F.lit(k) for k in numbers])))
+        each = each.where((F.col("block") % 2 == 0) | (F.col(others) % 2 == 0))
+        return each.select(
+            F.col("block").cast("int").alias(mine), F.col(others).cast("int").alias(others), F.lit(head).alias("head"),
+            "rep", "component", "n", "core",
+        )
+
+    return (
+        against(left, 0, "row_block", "head_block", right_blocks)
+        .unionByName(against(right, 1, "head_block", "row_block", left_blocks))
+        .repartition(parts, "row_block", "head_block")
+        .sortWithinPartitions("row_block", "head_block")
+        .mapInArrow(_core_blocks(percent), "a long, b long")
+    )
+
+
+def crowd_links(sets: DataFrame, links: DataFrame, compare, percent: int) -> DataFrame:
+    """Links that connect all that ``links`` leave apart among ``sets`` (``rep``, ``shingles``), without loss.
+
+    Shingles are ordered rare ones first, so two linked sets share one in their prefixes. Is it rare, they meet under it,
+    with at most ``COMMON`` others. Otherwise they share common shingles only: equal cores of common shingles link each
+    member with the smallest one, which keeps the components, and different cores are compared in blocks.
+    """
+    bits = sets.sparkSession.sparkContext.broadcast(common_buckets(sets))
+    profiles = cut_lineage(sets.mapInArrow(_profile(percent, bits), PROFILE))
+
+    def labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+        known = rows.join(connected(links).withColumnRenamed("v", "rep"), "rep", "left")
+        return known.withColumn("component", F.coalesce("component", "rep"))
+
+    apart = F.min("component") != F.max("component")
+    met = (
+        labelled(profiles.select("rep", F.explode("rare").alias("node")), links)
+        .groupBy("node")
+        .agg(F.sort_array(F.collect_set("rep")).alias("members"), apart.alias("apart"))
+        .where("apart")
+        .groupBy("members")
+        .agg(F.min("node").alias("node"))
+        .select("node", F.explode("members").alias("rep"))
+    )
+    links = links.unionByName(cut_lineage(compare(met)))
+    alone = profiles.where(F.col("core").isNotNull()).drop("rare")
+    heads = cut_lineage(
+        alone.groupBy("digest").agg(F.min(F.struct("n", "rep")).alias("least")).select(
+            "digest", F.col("least.rep").alias("head"), F.col("least.n").alias("head_n")
+        )
+    )
+    near = F.col("n_core") * 100 >= (F.col("n") + F.col("head_n") - F.col("n_core")) * percent
+    equal = alone.join(heads, "digest").where(near & (F.col("rep") != F.col("head")))
+    links = cut_lineage(links.unionByName(equal.select(F.col("head").alias("a"), F.col("rep").alias("b"))).distinct())
+    if heads.count() < 2:
+        return links
+    alone = cut_lineage(labelled(alone, links))
+    if not alone.agg(apart.alias("apart")).first().apart:
+        return links
+    return links.unionByName(cut_lineage(_core_pairs(alone, heads, percent)))
+
+
 def linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """Component of every class that has a link: columns ``v``, ``component``."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pairs = cut_lineage(_close_pairs(compared_groups(classes), percent))
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
-    sets = cut_lineage(of_ids(docs, wanted, "left_semi").mapInArrow(_sets(width), "rep long, shingles binary"))
+    groups, crowd = compared_groups(classes)
+    pairs = cut_lineage(_close_pairs(groups, percent))
 
-    def compare(rows: DataFrame) -> DataFrame:
-        members = rows.select("node", F.explode(F.array("a", "b")).alias("rep")).distinct()
+    def sets_of(ids: DataFrame) -> DataFrame:
+        return cut_lineage(of_ids(docs, ids, "left_semi").mapInArrow(_sets(width), "rep long, shingles binary"))
+
+    def compare(members: DataFrame, sets: DataFrame) -> DataFrame:
         return (
             members.join(sets, "rep")
             .repartition(parts, "node")
@@ -344,7 +529,11 @@ def linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int
             .distinct()
         )
 
-    first = cut_lineage(compare(pairs.where("tree = 0")))
+    def members(rows: DataFrame) -> DataFrame:
+        return rows.select("node", F.explode(F.array("a", "b")).alias("rep")).distinct()
+
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")))
+    first = cut_lineage(compare(members(pairs.where("tree = 0")), sets))
     labels = connected(first)
 
     def named(vertex: str, name: str) -> DataFrame:
@@ -356,7 +545,16 @@ def linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int
         .join(named("b", "at_b"), "b", "left")
         .where(F.coalesce("at_a", "a") != F.coalesce("at_b", "b"))
     )
-    return connected(first.unionByName(compare(apart)))
+    links = cut_lineage(first.unionByName(compare(members(apart), sets)))
+    labels = connected(links)
+    # Crowds whose members are in one component need no further links.
+    inside = crowd.join(named("rep", "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    split = inside.groupBy("node").agg((F.min("component") != F.max("component")).alias("split")).where("split")
+    left = cut_lineage(crowd.join(split, "node", "left_semi").select(F.col("rep").alias("doc_id")).distinct())
+    if not left.limit(1).count():
+        return labels
+    crowded = sets_of(left)
+    return connected(crowd_links(crowded, links, lambda rows: compare(rows, crowded), percent))
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataFrame:

@@ -83,3 +83,35 @@ def test_connected_follows_chains_to_the_end(spark, size):
 def test_target_recall():
     miss = 1 - 0.85 * (1 - 0.15**chosen_path.BRANCHES) ** (chosen_path.LEVELS - 1)
     assert miss**chosen_path.TREES < 2e-6
+
+
+def crowd_of_pairs(rng, pairs, shared, own, apart):
+    """Pairs that share ``own`` shingles besides the ``shared`` words of all; each text ends with ``apart`` words of its own."""
+    template = [f"t{k}" for k in range(shared)]
+    made = []
+    for i in range(pairs):
+        pair = [f"p{i}x{k}" for k in range(own)]
+        made += [" ".join(template + pair + [f"o{i}y{j}z{k}" for k in range(apart)]) for j in range(2)]
+    rng.shuffle(made)
+    return made
+
+
+def test_pairs_inside_a_crowd_just_below_the_threshold(documents):
+    texts = crowd_of_pairs(random.Random(11), 100, 184, 4, 14)
+    check(documents, texts)
+    assert len({c for _, c in components(list(enumerate(texts))).values()}) == 100
+
+
+def test_links_of_a_crowd_by_common_shingles_only(documents, monkeypatch):
+    """Variants of a template, each in many texts with words of their own: links go over the cores, also over different ones."""
+    rng = random.Random(12)
+    texts = []
+    for v in range(4):
+        template = [f"t{k}" for k in range(200)]
+        template[20 * v : 20 * v + 3 * v] = [f"v{v}x{k}" for k in range(3 * v)]
+        for i in range(30):
+            texts.append(" ".join(template + [f"o{v}y{i}z{k}" for k in range(rng.choice((0, 12, 17, 25, 33)))]))
+    rng.shuffle(texts)
+    monkeypatch.setattr(chosen_path, "BLOCK", 20)
+    monkeypatch.setattr(chosen_path, "COMMON", 20)
+    check(documents, texts)
