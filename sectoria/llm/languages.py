@@ -7,6 +7,9 @@ Four kinds of evidence add up as logarithms for every language:
 - the address suffix: how often texts of a language stand under it;
 - the host: languages of its texts, smoothed towards its domain, which is smoothed towards the whole corpus.
 
+A background of evenly spread trigrams stands against the languages: texts of other languages and texts of none are more
+likely under it than under any language, and get none.
+
 The last three are grouped counts of the decisions that the text alone gives. They settle short texts; long ones speak for
 themselves.
 """
@@ -31,6 +34,8 @@ BUCKETS = 1 << 14
 TEXT_SCALE = 1 / 3
 # A language needs this share of the declared rows, which bounds the model to 1 / LEAST_SHARE languages.
 LEAST_SHARE = 0.001
+# Share of the rows that the background is given beforehand.
+BACKGROUND = 0.001
 SMOOTHING = 20.0
 LEAST_CONFIDENCE = 0.5
 EVIDENCE = ("declared", "suffix", "host")
@@ -119,6 +124,7 @@ def _likelihoods(model):
             data, offsets = byte_column(batch.column("text"))
             sums = np.zeros((batch.num_rows, table.shape[1]))
             letters = np.zeros(batch.num_rows, dtype=np.int64)
+            places = np.maximum(np.diff(offsets) - 2, 0).astype(np.int64)
             full = np.diff(offsets) > 0
             for first, last in text_chunks(offsets):
                 low, high = int(offsets[first]), int(offsets[last])
@@ -132,7 +138,8 @@ def _likelihoods(model):
                     sums[rows, language] = np.add.reduceat(table[codes, language].astype(np.float64), starts)
             ends = np.arange(batch.num_rows + 1, dtype=np.int32) * table.shape[1]
             columns = {n: batch.column(n) for n in batch.schema.names if n != "text"}
-            columns |= {"letters": pa.array(letters), "texts_log": pa.ListArray.from_arrays(ends, sums.ravel())}
+            columns |= {"letters": pa.array(letters), "trigrams": pa.array(places)}
+            columns |= {"texts_log": pa.ListArray.from_arrays(ends, sums.ravel())}
             yield pa.RecordBatch.from_pydict(columns)
 
     return run
@@ -188,8 +195,8 @@ def fused_languages(items: DataFrame, ids: Sequence[str]) -> DataFrame:
     """Language of every row of ``items``: columns ``ids``, ``text``, ``declared``, ``suffix``, ``host``.
 
     Returns ``ids``, ``declared`` (as a code, null if it is none), ``language``, ``confidence`` (posterior share of the
-    language) and ``kept``. A row without any letter, or of no language with at least ``LEAST_CONFIDENCE``, is not kept;
-    without letters the language is null and the confidence 0. Null evidence adds nothing, null text has no letters. If no
+    language) and ``kept``. A row without any letter, or of no language with at least ``LEAST_CONFIDENCE``, is not kept.
+    The language is null and the confidence 0 without letters, and where the background is more likely than every language. Null evidence adds nothing, null text has no letters. If no
     row declares a language, none is known and no row is kept. Ties go to the first language in alphabetical order.
     """
     spark = items.sparkSession
@@ -210,12 +217,15 @@ def fused_languages(items: DataFrame, ids: Sequence[str]) -> DataFrame:
             F.lit(False).alias("kept"),
         )
     model = spark.sparkContext.broadcast(text_model(items, languages))
-    schema = items.drop("text").schema.add("letters", T.LongType()).add("texts_log", T.ArrayType(T.DoubleType()))
+    schema = items.drop("text").schema.add("letters", T.LongType()).add("trigrams", T.LongType())
+    schema = schema.add("texts_log", T.ArrayType(T.DoubleType()))
     scored = items.mapInArrow(_likelihoods(model), schema)
     best = (F.array_position("texts_log", F.array_max("texts_log")) - 1).cast("int")
+    background = F.col("trigrams") * F.lit(-math.log(BUCKETS) * TEXT_SCALE) + F.lit(math.log(BACKGROUND))
+    speaks = (F.col("letters") > 0) & (F.array_max("texts_log") * F.lit(TEXT_SCALE) >= background)
     decided = cut_lineage(
         scored.withColumns(
-            {"decided": F.when(F.col("letters") > 0, best), "domain": domain_of(F.col("host"))}
+            {"decided": F.when(speaks, best), "domain": domain_of(F.col("host"))}
         )
     )
     size = len(languages)
@@ -236,17 +246,17 @@ def fused_languages(items: DataFrame, ids: Sequence[str]) -> DataFrame:
     ]
     fused = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), parts)
     top = F.array_max("fused")
-    lettered = F.col("letters") > 0
+    told = (F.col("letters") > 0) & (F.col("top") >= F.col("background"))
     names = F.array(*[F.lit(x) for x in languages])
     share = F.lit(1.0) / F.aggregate("fused", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
     return (
-        known.select(*ids, "declared", "letters", fused.alias("fused"))
+        known.select(*ids, "declared", "letters", background.alias("background"), fused.alias("fused"))
         .withColumn("top", top)
         .select(
             *ids,
             "declared",
-            F.when(lettered, F.element_at(names, F.array_position("fused", F.col("top")).cast("int"))).alias("language"),
-            F.when(lettered, share).otherwise(0.0).alias("confidence"),
+            F.when(told, F.element_at(names, F.array_position("fused", F.col("top")).cast("int"))).alias("language"),
+            F.when(told, share).otherwise(0.0).alias("confidence"),
         )
         .withColumn("kept", F.col("language").isNotNull() & (F.col("confidence") >= LEAST_CONFIDENCE))
     )

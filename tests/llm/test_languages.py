@@ -130,3 +130,17 @@ def test_addresses(spark, url, host, suffix, domain):
     df = spark.createDataFrame([(url,)], "url string").select(L.host_of(F.col("url")).alias("host"))
     row = df.select("host", L.suffix_of(F.col("host")).alias("s"), L.domain_of(F.col("host")).alias("d")).first()
     assert tuple(row) == (host, suffix, domain)
+
+
+def test_foreign_scripts_and_random_letters_are_of_no_language(spark, folder):
+    rng = np.random.default_rng(7)
+    russian = "В начале было слово, и это слово знали все люди, которые жили тогда в нашем старом городе у большой реки."
+    chinese = "天下大势分久必合合久必分周末七国分争并入于秦及秦灭之后楚汉分争又并入于汉"
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")
+    other = [russian, chinese] + ["".join(rng.choice(letters, n)) for n in (50, 200) for _ in range(20)]
+    docs = L.document_items(spark.read.parquet(f"{folder}/documents.parquet"))
+    made = spark.createDataFrame([(-1 - i, t, None, None, None) for i, t in enumerate(other)], SCHEMA)
+    rows = L.fused_languages(docs.unionByName(made), ["doc_id"]).collect()
+    foreign = [r for r in rows if r.doc_id < 0]
+    assert len(foreign) == len(other) and not any(r.kept or r.language for r in foreign)
+    assert all(r.kept for r in rows if r.doc_id >= 0)
