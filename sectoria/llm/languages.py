@@ -32,8 +32,8 @@ from .bytetext import LOWER, byte_column, text_chunks
 BUCKETS = 1 << 14
 # Every byte stands in three trigrams, so a third of their sum is taken as independent.
 TEXT_SCALE = 1 / 3
-# A language needs this share of the declared rows, which bounds the model to 1 / LEAST_SHARE languages.
-LEAST_SHARE = 0.001
+# A declared code needs this many trigrams of text in all rows together to be modelled as a language.
+LEAST_TRIGRAMS = 256
 # Share of the rows that the background is given beforehand.
 BACKGROUND = 0.001
 SMOOTHING = 20.0
@@ -145,12 +145,12 @@ def _likelihoods(model):
     return run
 
 
-def declared_languages(items: DataFrame) -> list[str]:
-    """Languages that at least ``LEAST_SHARE`` of the declaring rows declare."""
-    counts = items.where(F.col("declared").isNotNull()).groupBy("declared").agg(F.count(F.lit(1)).alias("n"))
-    counts = cut_lineage(counts)
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    return sorted(r.declared for r in counts.where(F.col("n") >= LEAST_SHARE * total).collect())
+def declared_languages(items: DataFrame) -> tuple[list[str], list[str]]:
+    """Declared codes with at least ``LEAST_TRIGRAMS`` trigrams of text, and those with less."""
+    trigrams = F.greatest(F.octet_length(F.coalesce("text", F.lit(""))) - 2, F.lit(0)).cast("long")
+    counts = items.where(F.col("declared").isNotNull()).groupBy("declared").agg(F.sum(trigrams).alias("n")).collect()
+    enough = sorted(r.declared for r in counts if r.n >= LEAST_TRIGRAMS)
+    return enough, sorted(r.declared for r in counts if r.n < LEAST_TRIGRAMS)
 
 
 def _votes(size: int) -> Column:
@@ -196,7 +196,8 @@ def fused_languages(items: DataFrame, ids: Sequence[str]) -> DataFrame:
 
     Returns ``ids``, ``declared`` (as a code, null if it is none), ``language``, ``confidence`` (posterior share of the
     language) and ``kept``. A row without any letter, or of no language with at least ``LEAST_CONFIDENCE``, is not kept.
-    The language is null and the confidence 0 without letters, and where the background is more likely than every language. Null evidence adds nothing, null text has no letters. If no
+    The language is null and the confidence 0 without letters, where the background is more likely than every language, and
+    where the declared code has less than ``LEAST_TRIGRAMS`` trigrams of text, so that it can't be told from others. Null evidence adds nothing, null text has no letters. If no
     row declares a language, none is known and no row is kept. Ties go to the first language in alphabetical order.
     """
     spark = items.sparkSession
@@ -207,7 +208,7 @@ def fused_languages(items: DataFrame, ids: Sequence[str]) -> DataFrame:
         F.col("suffix").cast("string").alias("suffix"),
         F.col("host").cast("string").alias("host"),
     )
-    languages = declared_languages(items)
+    languages, scarce = declared_languages(items)
     if not languages:
         return items.select(
             *ids,
@@ -247,6 +248,8 @@ def fused_languages(items: DataFrame, ids: Sequence[str]) -> DataFrame:
     fused = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), parts)
     top = F.array_max("fused")
     told = (F.col("letters") > 0) & (F.col("top") >= F.col("background"))
+    if scarce:
+        told &= F.col("declared").isNull() | ~F.col("declared").isin(scarce)
     names = F.array(*[F.lit(x) for x in languages])
     share = F.lit(1.0) / F.aggregate("fused", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
     return (

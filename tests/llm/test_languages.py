@@ -144,3 +144,14 @@ def test_foreign_scripts_and_random_letters_are_of_no_language(spark, folder):
     foreign = [r for r in rows if r.doc_id < 0]
     assert len(foreign) == len(other) and not any(r.kept or r.language for r in foreign)
     assert all(r.kept for r in rows if r.doc_id >= 0)
+
+
+def test_rare_declarations_keep_their_language_or_get_none(spark):
+    """Far fewer than one in a thousand rows declare Finnish; Basque has too little text to be told."""
+    finnish = "ja on ei se että hän oli mutta niin kuin myös vain tämä ovat".split()
+    rng = np.random.default_rng(5)
+    made = [(1000 + i, t, "en", None, None) for i in range(250) for _, t, d, _, _ in rows()[:60] if d == "en"]
+    made += rows() + [(-1 - i, " ".join(rng.choice(finnish, size=60)), "fi", None, None) for i in range(2)]
+    found = {r.doc_id: r for r in L.fused_languages(spark.createDataFrame(made + [(-9, "eta da", "eu", None, None)], SCHEMA), ["doc_id"]).collect()}
+    assert all(found[i].language == "fi" and found[i].kept for i in (-1, -2))
+    assert (found[-9].language, found[-9].confidence, found[-9].kept, found[-9].declared) == (None, 0.0, False, "eu")
