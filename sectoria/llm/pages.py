@@ -4,6 +4,9 @@ Each page is read once into containers and text blocks. Every container is score
 for its best containers by their path: tags with their classes, digits generalised. Spark sums the votes per host; the path
 with most votes is read from all pages of the host. Pages that lack it, and pages without a host, fall back to their own
 best container.
+
+Names of classes and forms only make a container suspect. It is left out if it holds less than half of the page's text or if
+enough sentences stand outside; a wrapper of the article is not, nor is an article or what the host's pages agree on.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ CONTAINERS = frozenset(
     "fieldset menu".split()
 )
 BREAKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th caption figcaption pre hr address summary legend".split())
-NEVER = frozenset("head nav footer aside form dialog menu fieldset".split())
+NEVER = frozenset("head nav footer aside dialog menu fieldset".split())
 # Words of classes, ids and roles that name what is not the article.
 BESIDE = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar side aside menu nav navbar "
@@ -37,6 +40,9 @@ BESIDE = frozenset(
     "newsletter subscribe subscription signup login search complementary alert dialog toolbar pagination pager skip masthead "
     "widget trending popular".split()
 )
+# A suspect with most of the text is left out if sentences of this share of it stand outside.
+OUTSIDE = 0.1
+WEAK, STRONG = 1, 2
 LIKELY = frozenset("article content entry main post story text".split())
 
 TOKEN = re.compile(
@@ -57,6 +63,8 @@ class Container:
     beside: bool
     likely: float
     depth: int
+    hidden: bool
+    suspect: int
 
 
 @dataclass(slots=True)
@@ -65,10 +73,11 @@ class Page:
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
 
 
-def _described(tag: str, rest: str, in_article: bool) -> tuple[str, bool, float]:
-    """Generalised name of an element, whether it stands beside the article, and a factor for likely names."""
+def _described(tag: str, rest: str, in_article: bool) -> tuple[str, bool, int, float]:
+    """Generalised name of an element, whether it is never read, whether it is suspect, and a factor for likely names."""
     names: list[str] = []
     label = tag
+    suspect = WEAK if tag == "form" else 0
     beside = tag in NEVER or (tag == "header" and not in_article)
     if rest:
         for kind, *values in ATTRIBUTE.findall(rest):
@@ -80,16 +89,72 @@ def _described(tag: str, rest: str, in_article: bool) -> tuple[str, bool, float]
             else:
                 words = NAME.findall(CAMEL.sub(r"\1 \2", value).lower())
                 names += words
+                for name in CAMEL.sub(r"\1 \2", value).lower().split() if tag not in ("article", "main", "body", "html") else ():
+                    parts = NAME.findall(name)
+                    if not BESIDE.isdisjoint(parts):
+                        # "comment-list" names a box beside, "has-comments" may name a layout.
+                        suspect = max(suspect, STRONG if parts[0] in BESIDE else WEAK)
                 if kind == "class":
                     label += "".join("." + re.sub(r"\d+", "#", c) for c in sorted(set(value.lower().split())))
-    beside |= tag not in ("main", "body", "html") and not BESIDE.isdisjoint(names)
     factor = 1.6 if tag in ("article", "main") or "main" in names else 1.3 if not LIKELY.isdisjoint(names) else 1.0
-    return label, beside, factor
+    if suspect or (tag == "article" and not BESIDE.isdisjoint(names)):
+        factor = 1.0
+    return label, beside, suspect, factor
+
 
+def _is_sentence(words: str) -> bool:
+    return len(words) >= 60 or words[-1] in ".!?…:;\"'»”"
 
-def read_page(html: str) -> Page:
+
+def _below(page: Page, tops: set[int]) -> list[bool]:
+    within = [False] * len(page.containers)
+    for i, c in enumerate(page.containers):
+        within[i] = i in tops or (c.parent >= 0 and within[c.parent])
+    return within
+
+
+def settle(page: Page, path: str | None) -> None:
+    """Decides which suspect containers stand beside the article; those around ``path`` and on it do not."""
+    containers = page.containers
+    suspects = [
+        i
+        for i, c in enumerate(containers)
+        if c.suspect and not c.hidden and (path is None or not f"{path}>".startswith(f"{c.path}>"))
+    ]
+    blocks = [b for b in page.blocks if not containers[b[0]].hidden]
+    text, links = [0] * len(containers), [0] * len(containers)
+    for place, words, linked in blocks if suspects else ():
+        while place >= 0:
+            text[place] += len(words)
+            links[place] += linked
+            place = containers[place].parent
+
+    def sentences(left_out: set[int], articles: bool) -> int:
+        out = _below(page, left_out)
+        main = _below(page, {i for i, c in enumerate(containers) if c.tag in ("article", "main")} if articles else {0})
+        return sum(len(words) for place, words, _ in blocks if main[place] and not out[place] and _is_sentence(words))
+
+    out = {i for i in suspects if 2 * text[i] < text[0]}
+    # Outer ones first: what stands outside a wrapper says nothing about the boxes in it.
+    for i in suspects:
+        if i not in out and text[i]:
+            outside = sentences(out | {i}, containers[i].suspect == WEAK)
+            if outside and (outside >= OUTSIDE * text[i] or 2 * links[i] > text[i]):
+                out.add(i)
+    if out and sentences(out, False) < OUTSIDE * text[0]:
+        # Names of layouts on all parts of the text.
+        out = {i for i in out if containers[i].suspect == STRONG}
+        beside = _below(page, out)
+        if all(beside[place] for place, _, _ in blocks):
+            out = set()
+    below = _below(page, out)
+    for i, c in enumerate(containers):
+        c.beside = c.hidden or below[i]
+
+
+def read_page(html: str, path: str | None = None) -> Page:
     """Containers and text blocks of a page in one pass; what is left open is closed by what contains it."""
-    page = Page([Container("", "", -1, False, 1.0, 0)])
+    page = Page([Container("", "", -1, False, 1.0, 0, False, 0)])
     stack = [0]
     text: list[str] = []
     linked = 0
@@ -140,14 +205,17 @@ def read_page(html: str) -> Page:
                     stack.pop()
             above = page.containers[stack[-1]]
             inside = any(page.containers[i].tag == "article" for i in stack)
-            label, beside, likely = _described(tag, token["rest"] or "", inside)
+            label, beside, suspect, likely = _described(tag, token["rest"] or "", inside)
             page.containers.append(
-                Container(f"{above.path}>{label}", tag, stack[-1], above.beside or beside, likely, above.depth + 1)
+                Container(
+                    f"{above.path}>{label}", tag, stack[-1], False, likely, above.depth + 1, above.hidden or beside, suspect
+                )
             )
             if not token["rest"].endswith("/"):
                 stack.append(len(page.containers) - 1)
     add(html[end:])
     flush()
+    settle(page, path)
     return page
 
 
@@ -157,8 +225,7 @@ def container_scores(page: Page) -> list[float]:
     for place, words, linked in page.blocks:
         if page.containers[place].beside:
             continue
-        sentence = len(words) >= 60 or words[-1] in ".!?…:;\"'»”"
-        weight = len(words) - 3.0 * linked if sentence or not linked else -2.0 * linked
+        weight = len(words) - 3.0 * linked if _is_sentence(words) or not linked else -2.0 * linked
         while place >= 0:
             scores[place] += weight
             place = page.containers[place].parent
@@ -193,13 +260,11 @@ def page_votes(html: str) -> dict[str, float]:
 
 def main_text(html: str, path: str | None) -> str:
     """Blocks below all containers on ``path``, or else below the page's best container; what stands beside is left out."""
-    page = read_page(html)
+    page = read_page(html, path)
     chosen = {i for i, c in enumerate(page.containers) if path is not None and c.path == path and not c.beside}
     if not chosen:
         chosen = {i for _, i in ranked_containers(page)[:1]}
-    within = [False] * len(page.containers)
-    for i, container in enumerate(page.containers):
-        within[i] = i in chosen or (container.parent >= 0 and within[container.parent])
+    within = _below(page, chosen)
     return "\n\n".join(words for place, words, _ in page.blocks if within[place] and not page.containers[place].beside)
 
 

@@ -88,3 +88,24 @@ def test_nulls_repeats_clashing_columns_and_no_rows(spark):
     found = sorted(((r.page_id or 0), r.text, r.n_chars) for r in extracted(pages).collect())
     assert found == [(0, TEXT, len(TEXT)), (1, "", 0), (2, TEXT, len(TEXT)), (2, TEXT, len(TEXT))]
     assert extracted(pages.where("false")).collect() == []
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        f"<div class='content with-sidebar'>{ARTICLE}</div>",
+        f"<div class='sidebar-right'><div>{ARTICLE}</div><div class='sidebar'><p>Side text.</p></div></div>",
+        f"<article class='post has-comments'>{ARTICLE}</article><div id='comments'><p>{'Great text! ' * 40}</p></div>",
+        f"<div class='post-share-enabled'>{ARTICLE}</div><p>Small print.</p>",
+        f"<form action='/x'><div id='wrap'>{ARTICLE}</div></form>",
+        f"<form><div class='menu-open'><main>{ARTICLE}</main><div class='ad'>Buy it now.</div></div></form>",
+        f"<div>{ARTICLE}</div><div class='comment-list'><p>{'Great text! ' * 20}</p></div>",
+    ],
+)
+def test_names_of_layouts_and_forms_around_the_article(body):
+    assert main_text(page(body), None) in (TEXT, f"{TEXT}\n\nSmall print.")
+
+
+def test_the_path_of_the_host_is_not_left_out():
+    html = page(f"<div class='promo-1'>{ARTICLE}</div><div class='x'><p>{'Another long box of text stands here. ' * 9}</p></div>")
+    assert main_text(html, ">html>body>div.promo-#") == TEXT
