@@ -9,8 +9,11 @@ Corpus order then needs three steps, none of which holds all suffixes:
 
 1. A phrase that stands in the dictionary already repeats all its strings: only its first place in the parse counts.
 2. Dictionary entries whose trigger hangs on one entry only share no string with another one and are settled.
-3. The suffixes of the other entries, cut to ``length`` bytes, are put in order: each task builds the suffix array of its
-   own share and keeps the first place of each run of equal suffixes; the shares meet by suffix.
+3. The suffixes of the other entries, cut to ``length`` bytes, are put in order: each task sorts those of one
+   slice of texts at a time and keeps the first place of equal ones; the slices meet by a hash of 95 bits.
+
+There is no suffix array of the parse or of the dictionary and no order over the corpus: strings of one fixed length need
+only their equals, and a grouping by hash finds these without a global sort.
 """
 
 from __future__ import annotations
