@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from .bpe import encoded, encoding_digests
 from .cascade import JUDGED_SQL, judged
+from .centroids import clustered, clustered_sql
 from .chats import CHATS_SQL, rendered_chats
 from .chosen_path import near_duplicates
+from .fingerprints import near_fingerprints
 from .kdtree import NEAREST_SQL, nearest
 from .languages import document_items, fused_languages, page_items
+from .manifest import manifest, manifest_sql
 from .neighbours import quality_scores
 from .packing import packed, token_pieces
 from .pages import extracted
@@ -66,6 +69,18 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(token_pieces(table(spark, folder, "documents")))
 
 
+def op11_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return clustered(table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vector")))
+
+
+def op12_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest(table(spark, folder, "documents"))
+
+
+def op13_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return near_fingerprints(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_chats": op1_chats,
     "op2_repeats": op2_repeats,
@@ -77,7 +92,16 @@ QUERIES = {
     "op8_extraction": op8_extraction,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_encoding": op10_encoding,
+    "op11_clusters": op11_clusters,
+    "op12_manifest": op12_manifest,
+    "op13_fingerprints": op13_fingerprints,
     "page_languages": page_languages,
 }
 
-SQL: dict[str, str] = {"op1_chats": CHATS_SQL, "op3_nearest": NEAREST_SQL, "op5_quality_rules": JUDGED_SQL}
+SQL: dict[str, str] = {
+    "op1_chats": CHATS_SQL,
+    "op3_nearest": NEAREST_SQL,
+    "op5_quality_rules": JUDGED_SQL,
+    "op11_clusters": clustered_sql(),
+    "op12_manifest": manifest_sql(),
+}
