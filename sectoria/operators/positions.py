@@ -54,7 +54,7 @@ def with_position(
     if by:
         parts = _group_parts(slices, by, {_OFFSET: F.count(F.lit(1))})
         return (
-            _join_on(slices, parts, [_SLICE, *by])
+            join_on(slices, parts, [_SLICE, *by])
             .withColumn(name, F.col(_STAMP) - F.col(_FIRST) + F.col(_OFFSET) + 1)
             .drop(_STAMP, _SLICE, _OFFSET, _FIRST, *_names(_OFFSET))
         )
@@ -84,7 +84,7 @@ def with_running_total(
     running = slices.withColumns({f"before_{w}": F.coalesce(F.sum(w).over(inside), F.lit(0)) for w in weights})
     if by:
         parts = _group_parts(slices, by, {f"_{w}": F.sum(w) for w in weights})
-        result = _join_on(running, parts, [_SLICE, *by])
+        result = join_on(running, parts, [_SLICE, *by])
         for w in weights:
             # In the slice, since the group began there; and in the slices before.
             before = F.col(f"before_{w}") - F.col(f"_{w}_start") + F.col(f"_{w}")
@@ -130,7 +130,7 @@ def _group_parts(slices: DataFrame, by: Sequence[str], measures: dict[str, Colum
     return parts.select(_SLICE, *by, _FIRST, *columns)
 
 
-def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Equi join in which a null key matches a null key."""
     renamed = right.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     condition = F.lit(True)

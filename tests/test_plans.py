@@ -51,3 +51,16 @@ def test_position_has_no_single_partition_over_rows(spark):
     plan = plan_of(with_position(spark.range(1000).withColumn("v", F.col("id") % 7), ["v", "id"]))
     for block in plan.split("Exchange SinglePartition")[1:]:
         assert "_slice" in block.splitlines()[1]
+
+
+def test_quantiles_order_no_rows(spark, folder, monkeypatch):
+    """Brackets hold so few values that nothing is put into a global order."""
+    from sectoria.operators import quantiles as Q
+
+    def refuse(*_, **__):
+        raise AssertionError("all rows are ordered")
+
+    monkeypatch.setattr(Q, "with_running_total", refuse)
+    for name in ("quantile_classes", "iqr_outliers", "describe"):
+        plan = plan_of(REGISTRY[name].run(spark, folder))
+        assert "rangepartitioning" not in plan and "CartesianProduct" not in plan

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -58,6 +59,41 @@ def test_quantiles_match_linear_interpolation(skewed):
         assert row["quantiles"] == pytest.approx(np.quantile([r[1] for r in rows if r[0] == row["g"]], levels))
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_quantiles_by_every_path(spark, monkeypatch, seed):
+    """Brackets that hold few, many or none of the values, groups of one value, null keys and odd numbers."""
+    rng = random.Random(seed)
+    rows = [("many", rng.gauss(0, 1)) for _ in range(5000)] + [("ties", float(rng.randint(0, 3))) for _ in range(500)]
+    rows += [("one", 7.0), ("two", -1.0), ("two", 5.0), (None, 2.0), (None, 4.0), (None, None), ("none", None)]
+    rows += [("edge", x) for x in (math.inf, -math.inf, 0.0, -0.0, 1e300)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    levels = [0.0, 0.1, 1 / 3, 0.5, 0.9995, 1.0]
+    plain = {}
+    for g, v in rows:
+        plain.setdefault(g, []).append(v)
+    for accuracy, near in ((1000, 100_000), (1000, 2), (10, 50), (10, 0)):
+        monkeypatch.setattr(Q, "ACCURACY", accuracy)
+        monkeypatch.setattr(Q, "NEAR", near)
+        found = {r["g"]: r["quantiles"] for r in Q.quantiles(df, "v", levels, by=["g"]).collect()}
+        assert set(found) == {"many", "ties", "one", "two", "edge", None}
+        for g in ("many", "ties", "one", "two", None):
+            assert found[g] == pytest.approx(np.quantile([v for v in plain[g] if v is not None], levels))
+        assert found["edge"][0] == -math.inf and found["edge"][3] == 0.0 and found["edge"][5] == math.inf
+
+
+def test_quantiles_whose_brackets_miss(spark, monkeypatch):
+    """Approximate quantiles of another column: every rank lies outside its bracket."""
+    df = spark.range(2000).select(F.col("id").cast("double").alias("v"))
+    monkeypatch.setattr(Q.F, "percentile_approx", lambda c, p, a: F.first(F.transform(p, lambda x: x * 10)))
+    assert Q.quantiles(df, "v", [0.25, 0.5]).first()[0] == pytest.approx([499.75, 999.5])
+
+
+def test_quantiles_without_values(spark):
+    none = spark.createDataFrame([(None, "a")], "v double, g string")
+    assert Q.quantiles(none, "v", [0.5]).collect()[0][0] == [None]
+    assert Q.quantiles(none, "v", [0.5], by=["g"]).collect() == []
+
+
 def test_both_quantile_paths_agree(skewed):
     _, df = skewed
     small = {r["g"]: r["quantiles"] for r in Q.small_domain_quantiles(df, "v", [0.3, 0.5], by=["g"]).collect()}
