@@ -29,12 +29,43 @@ def normal_upper(z: Column) -> Column:
     return F.udf(tail, T.DoubleType())(z)
 
 
+def inversions_two_sided(discordant: Column, size: Column) -> Column:
+    """Two-sided probability of at most (or at least) so many discordant pairs among all orders of ``size`` values.
+
+    The number of orders by their inversions grows from value to value: the k-th value adds 0 to k - 1 of them. Beyond
+    171 values the probability of any count that is asked for here (0 or 1) is below the least double.
+    """
+
+    def tail(count, n):
+        if count is None or n is None or n < 2:
+            return None
+        fewer = int(min(count, n * (n - 1) // 2 - count))
+        if fewer <= 1:
+            return 2.0 / math.factorial(n - fewer) if n <= 171 else 0.0
+        orders = [1] + [0] * fewer
+        for k in range(2, n + 1):
+            total, grown = 0, []
+            for i in range(fewer + 1):
+                total += orders[i] - (orders[i - k] if i >= k else 0)
+                grown.append(total)
+            orders = grown
+        return min(1.0, 2 * sum(orders) / math.factorial(n))
+
+    return F.udf(tail, T.DoubleType())(discordant, size)
+
+
 def student_two_sided(t: Column, degrees: Column) -> Column:
     """Two-sided tail of Student's t: the regularised incomplete beta function by its continued fraction.
 
     Null if the fraction does not settle.
     """
 
+    def gamma_ratio(a, b):
+        """Log of gamma(a + b) / gamma(a); for a large a from Stirling's series, whose large terms cancel here by themselves."""
+        if a < 1e4:
+            return math.lgamma(a + b) - math.lgamma(a)
+        return (a - 0.5) * math.log1p(b / a) + b * math.log(a + b) - b + (1 / (a + b) - 1 / a) / 12
+
     def beta(a, b, x):
         if x <= 0.0 or x >= 1.0:
             return min(max(x, 0.0), 1.0)
@@ -56,7 +87,7 @@ def student_two_sided(t: Column, degrees: Column) -> Column:
                 break
         else:
             return None
-        log_front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
+        log_front = a * math.log(x) + b * math.log1p(-x) - math.lgamma(min(a, b)) + gamma_ratio(max(a, b), min(a, b))
         return math.exp(log_front) / (a * value)
 
     def tail(value, freedom):

@@ -6,19 +6,31 @@ statistic to its p-value, runs on the few result rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.conditions import all_present
-from ..functions.inference import chi_square_upper, normal_two_sided, normal_upper, student_two_sided
-from ..session import cut_lineage
-from .positions import with_position, with_running_total
+from ..functions.inference import (
+    chi_square_upper,
+    inversions_two_sided,
+    normal_two_sided,
+    normal_upper,
+    student_two_sided,
+)
+from ..session import cut_lineage, small_table
+from .positions import with_running_total
 
 ALPHA = 0.05
 PAIR = ["variable_x", "variable_y"]
+# Kendall's test without ties takes the exact distribution for at most so many rows.
+EXACT = 33
+# A value that more than one in so many rows holds is sent to every task; there are fewer than so many of them.
+FREQUENT = 1000
+_SPREAD = 1 << 16
 _CHUNK = 65_536
 _DIGIT_BITS = 2
 _DIGITS = 2**_DIGIT_BITS
@@ -200,39 +212,118 @@ def shapiro_wilk(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def pair_cells(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Counts of the distinct value pairs of each pair of columns (both present)."""
-    structs = [
-        F.struct(
-            F.lit(a).alias("variable_x"),
-            F.lit(b).alias("variable_y"),
-            F.col(f"`{a}`").cast("double").alias("x"),
-            F.col(f"`{b}`").cast("double").alias("y"),
-        )
-        for a, b in pairs
-    ]
-    long = df.select(F.explode(F.array(*structs)).alias("p")).select("p.*").where(all_present(["x", "y"]))
-    return long.groupBy(*PAIR, "x", "y").agg(F.count(F.lit(1)).alias("n"))
+@dataclass(frozen=True)
+class _Ranking:
+    """Rows of a data set with the codes and ranks of their values, for pairs of columns.
 
+    A pair is numbered; its columns are ranked among the rows in which both are present. Columns that lose no row to
+    their partner share one ranking, whatever the number of pairs. ``sides`` holds the rankings of each pair, ``rows`` has
+    ``code_<ranking>`` (from 0, dense) and ``rank_<ranking>`` (average rank less its mean), ``ranks`` the distinct values of all
+    rankings with their rows ``t``, and ``sizes`` the number of distinct values of each ranking.
+    """
 
-def _average_ranks(cells: DataFrame, value: str) -> DataFrame:
-    counts = cells.groupBy(*PAIR, value).agg(F.sum("n").alias("t"))
-    ranked = with_running_total(counts, [value], ["t"], by=PAIR, totals=True)
-    return ranked.select(
-        *PAIR, value, (F.col("before_t") + (F.col("t") + 1) / 2 - (F.col("total_t") + 1) / 2).alias(f"r_{value}")
+    pairs: list[tuple[str, str]]
+    sides: list[tuple[int, int]]
+    rows: DataFrame
+    ranks: DataFrame
+    sizes: dict[int, int]
+
+    def names(self) -> DataFrame:
+        """The pairs and their rankings, a row each."""
+        table = [(i, *pair, *side) for i, (pair, side) in enumerate(zip(self.pairs, self.sides, strict=True))]
+        kind = "pair int, variable_x string, variable_y string, ranking_x int, ranking_y int"
+        return small_table(self.rows.sparkSession, table, kind)
+
+    def of_pairs(self, fields: Callable[[int], dict[str, Column]]) -> DataFrame:
+        """A row for every row and pair that is present; ``fields`` gives its columns, null ones stand for no row."""
+        structs = [
+            F.struct(F.lit(i).alias("pair"), *[c.alias(n) for n, c in fields(i).items()]) for i in range(len(self.pairs))
+        ]
+        names = list(fields(0))
+        return self.rows.select(F.explode(F.array(*structs)).alias("p")).select("p.*").where(all_present(names))
+
+
+def _ranking(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> _Ranking:
+    """Every column put in order once, and its ranks brought back to the rows."""
+    columns = sorted({c for pair in pairs for c in pair})
+    place = {c: f"v{i}" for i, c in enumerate(columns)}
+    values = df.select(*[F.col(f"`{c}`").cast("double").alias(v) for c, v in place.items()])
+
+    def both(a: str, b: str) -> Column:
+        return F.col(place[a]).isNotNull() & F.col(place[b]).isNotNull()
+
+    present = values.agg(
+        *[F.count(place[c]).alias(place[c]) for c in columns],
+        *[F.count_if(both(a, b)).alias(f"p{i}") for i, (a, b) in enumerate(pairs)],
+    ).first()
+    # A column loses rows to a partner that is missing where the column is present.
+    rankings: dict[tuple[str, str], int] = {}
+    sides = []
+    for i, (a, b) in enumerate(pairs):
+        keys = [(c, c if present[f"p{i}"] == present[place[c]] else d) for c, d in ((a, b), (b, a))]
+        sides.append(tuple(rankings.setdefault(key, len(rankings)) for key in keys))
+    ranked = {n: F.when(both(c, d), F.col(place[c])) for (c, d), n in rankings.items()}
+
+    structs = [F.struct(F.lit(n).alias("ranking"), value.alias("value")) for n, value in ranked.items()]
+    long = values.select(F.explode(F.array(*structs)).alias("r")).select("r.*").where(F.col("value").isNotNull())
+    counts = long.groupBy("ranking", "value").agg(F.count(F.lit(1)).alias("t")).withColumn("one", F.lit(1))
+    running = with_running_total(counts, ["value"], ["t", "one"], by=["ranking"], totals=True)
+    rank = F.col("before_t") + (F.col("t") + 1) / 2 - (F.col("total_t") + 1) / 2
+    ranks = cut_lineage(
+        running.select(
+            "ranking",
+            "value",
+            "t",
+            F.col("before_one").cast("long").alias("code"),
+            rank.alias("rank"),
+            (F.col("t") * FREQUENT > F.col("total_t")).alias("frequent"),
+        )
+    )
+    sizes = {r.ranking: r.n for r in ranks.groupBy("ranking").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = values.select(*values.columns, *[value.alias(f"value_{n}") for n, value in ranked.items()])
+    for n in ranked:
+        rows = _looked_up(rows, ranks.where(F.col("ranking") == n), n, values.columns)
+    return _Ranking(list(pairs), sides, rows, ranks, sizes)
+
+
+def _looked_up(rows: DataFrame, ranks: DataFrame, n: int, others: Sequence[str]) -> DataFrame:
+    """Code and rank of one column. Its frequent values, fewer than FREQUENT, go to every task; so no join is crowded by one."""
+    found = F.struct("code", "rank")
+    frequent = ranks.where("frequent").select(F.col("value").alias("_value"), found.alias("_frequent"))
+    rare = ranks.where("NOT frequent").select(
+        F.col("value").alias("_key"), found.alias("_rare"), F.lit(0).cast("long").alias("_zero")
     )
+    met = rows.join(F.broadcast(frequent), F.col(f"value_{n}") == F.col("_value"), "left")
+    key = F.when(F.col("_frequent").isNull(), F.col(f"value_{n}"))
+    # Rows without a key meet nothing; they are spread over all tasks.
+    spread = F.when(key.isNull(), F.pmod(F.xxhash64(*others), F.lit(_SPREAD)) + 1).otherwise(0)
+    met = met.withColumns({"_asked": key, "_spread": spread}).join(
+        rare, (F.col("_asked") == F.col("_key")) & (F.col("_spread") == F.col("_zero")), "left"
+    )
+    value = F.coalesce("_frequent", "_rare")
+    kept = [c for c in rows.columns if c != f"value_{n}"]
+    return met.select(*kept, value["code"].alias(f"code_{n}"), value["rank"].alias(f"rank_{n}"))
 
 
 def spearman(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Rank correlation with average ranks, and its p-value, for each pair of columns."""
-    cells = cut_lineage(pair_cells(df, pairs))
-    ranked = cells.join(_average_ranks(cells, "x"), [*PAIR, "x"]).join(_average_ranks(cells, "y"), [*PAIR, "y"])
-    n, rx, ry = F.col("n"), F.col("r_x"), F.col("r_y")
-    sums = ranked.groupBy(*PAIR).agg(
-        F.sum("n").alias("effectif"),
-        F.sum(n * rx * ry).alias("xy"),
-        F.sum(n * rx * rx).alias("xx"),
-        F.sum(n * ry * ry).alias("yy"),
+    """Rank correlation with average ranks, and its p-value, for each pair of columns.
+
+    Pairs without a row that has both values have no row in the result.
+    """
+    ranking = _ranking(df, pairs)
+    moments = ranking.of_pairs(
+        lambda i: {"rx": F.col(f"rank_{ranking.sides[i][0]}"), "ry": F.col(f"rank_{ranking.sides[i][1]}")}
+    )
+    rx, ry = F.col("rx"), F.col("ry")
+    sums = (
+        moments.groupBy("pair")
+        .agg(
+            F.count(F.lit(1)).alias("effectif"),
+            F.sum(rx * ry).alias("xy"),
+            F.sum(rx * rx).alias("xx"),
+            F.sum(ry * ry).alias("yy"),
+        )
+        .join(F.broadcast(ranking.names()), "pair")
     )
     rho = F.try_divide(F.col("xy"), F.sqrt("xx") * F.sqrt("yy"))
     degrees = F.col("effectif") - 2
@@ -246,43 +337,30 @@ def spearman(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     )
 
 
-def _discordant_pairs(cells: DataFrame, sizes: DataFrame) -> DataFrame:
+def _discordant_pairs(cells: DataFrame, places: Sequence[int]) -> DataFrame:
     """Number of discordant pairs of observations, counted digit by digit.
 
     Two observations with different y differ first in one base-4 digit of the
-    position of y: they share all higher digits, and the larger y has the
+    code of y: they share all higher digits, and the larger y has the
     larger digit there. The pair is discordant if the larger y comes with the
     smaller x. So, for every digit place and every value of the higher digits,
     each observation counts the larger digits at smaller x. One running total
     over (place, higher digits, x) serves all places together; a cell is
-    repeated once per digit, never per partner. ``sizes`` holds the number of
-    distinct values of both columns, one row per pair of columns.
+    repeated once per digit, never per partner. ``places`` holds the number of
+    digits of each pair's y, whose column should be the one with fewer values.
     """
-    # The count is the same with x and y exchanged; the column with fewer values needs fewer digits.
-    turned = F.col("size_x") < F.col("size_y")
-    oriented = cells.join(F.broadcast(sizes), PAIR).select(
-        *PAIR,
-        F.when(turned, F.col("y")).otherwise(F.col("x")).alias("x"),
-        F.when(turned, F.col("x")).otherwise(F.col("y")).alias("y"),
-        "n",
-        F.least("size_x", "size_y").alias("size"),
-    )
-    codes = with_position(oriented.select(*PAIR, "y").distinct(), ["y"], name="code", by=PAIR)
-    codes = codes.withColumn("code", F.col("code") - 1)
-    last_place = F.floor((F.length(F.bin(F.col("size") - 1)) - 1) / _DIGIT_BITS).cast("int")
-    coded = oriented.join(codes, [*PAIR, "y"]).select(
-        *PAIR, "x", "n", "code", F.explode(F.sequence(F.lit(0), last_place)).alias("place")
-    )
+    last = F.array(*[F.lit(n - 1) for n in places])[F.col("pair")]
+    coded = cells.withColumn("place", F.explode(F.sequence(F.lit(0), last)))
 
     def shifted(by: Column) -> Column:
-        return F.call_function("shiftright", F.col("code"), by)
+        return F.call_function("shiftright", F.col("y"), by)
 
     digit = shifted(F.col("place") * _DIGIT_BITS) % _DIGITS
     names = [f"d{d}" for d in range(_DIGITS)]
-    levels = coded.groupBy(
-        *PAIR, "place", shifted((F.col("place") + 1) * _DIGIT_BITS).alias("prefix"), "x"
-    ).agg(*[F.sum(F.when(digit == d, F.col("n")).otherwise(0)).alias(names[d]) for d in range(_DIGITS)])
-    running = with_running_total(levels, [*PAIR, "place", "prefix", "x"], names[1:])
+    levels = coded.groupBy("pair", "place", shifted((F.col("place") + 1) * _DIGIT_BITS).alias("prefix"), "x").agg(
+        *[F.sum(F.when(digit == d, F.col("n")).otherwise(0)).alias(names[d]) for d in range(_DIGITS)]
+    )
+    running = with_running_total(levels, ["pair", "place", "prefix", "x"], names[1:])
 
     def exact(name: str) -> Column:
         return F.col(name).cast("decimal(19,0)")
@@ -292,36 +370,59 @@ def _discordant_pairs(cells: DataFrame, sizes: DataFrame) -> DataFrame:
 
     lower = range(_DIGITS - 1)
     weighted = reduce(lambda a, b: a + b, [exact(names[d]) * above(d, "before") for d in lower])
-    groups = running.groupBy(*PAIR, "place", "prefix").agg(
+    groups = running.groupBy("pair", "place", "prefix").agg(
         F.sum(weighted).alias("weighted"),
         *[F.sum(names[d]).alias(names[d]) for d in lower],
         *[F.min(f"before_{n}").alias(f"base_{n}") for n in names[1:]],
     )
     outside = reduce(lambda a, b: a + b, [exact(names[d]) * above(d, "base") for d in lower])
-    return groups.groupBy(*PAIR).agg(F.sum(F.col("weighted") - outside).cast("decimal(38,0)").alias("discordant"))
+    return groups.groupBy("pair").agg(F.sum(F.col("weighted") - outside).cast("decimal(38,0)").alias("discordant"))
 
 
-def _tie_sums(counts: DataFrame, name: str) -> DataFrame:
+def _tie_sums(counts: DataFrame, key: str) -> DataFrame:
+    """Sums over the groups of ``t`` equal values: rows, pairs and the terms of the variance."""
     t = F.col("t").cast("decimal(19,0)")
     d = F.col("t").cast("double")
-    return counts.groupBy(*PAIR).agg(
-        F.sum("t").alias(f"sum_{name}"),
-        F.count(F.lit(1)).alias(f"size_{name}"),
-        F.sum(t * (t - 1)).cast("decimal(38,0)").alias(f"pairs_{name}"),
-        F.sum(d * (d - 1) * (d - 2)).alias(f"cube_{name}"),
-        F.sum(d * (d - 1) * (2 * d + 5)).alias(f"var_{name}"),
+    return counts.groupBy(key).agg(
+        F.sum("t").alias("sum"),
+        F.sum(t * (t - 1)).cast("decimal(38,0)").alias("pairs"),
+        F.sum(d * (d - 1) * (d - 2)).alias("cube"),
+        F.sum(d * (d - 1) * (2 * d + 5)).alias("var"),
     )
 
 
 def kendall(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Tau-b of each pair of columns; the p-value is the tie-corrected normal approximation."""
-    cells = cut_lineage(pair_cells(df, pairs))
-    by_x = cells.groupBy(*PAIR, "x").agg(F.sum("n").alias("t"))
-    by_y = cells.groupBy(*PAIR, "y").agg(F.sum("n").alias("t"))
-    ties = _tie_sums(cells.withColumnRenamed("n", "t"), "xy")
-    ties = cut_lineage(ties.join(_tie_sums(by_x, "x"), PAIR).join(_tie_sums(by_y, "y"), PAIR))
-    discordant = _discordant_pairs(cells, ties.select(*PAIR, "size_x", "size_y"))
-    table = ties.join(discordant, PAIR).withColumnRenamed("sum_xy", "effectif")
+    """Tau-b of each pair of columns and its p-value.
+
+    Without ties, the p-value of at most ``EXACT`` rows, or of at most one discordant or concordant pair, is that of the
+    exact distribution; otherwise it is the tie-corrected normal approximation. Pairs with fewer than two rows have no row.
+    """
+    ranking = _ranking(df, pairs)
+    short = [min(sides, key=lambda r: ranking.sizes.get(r, 0)) for sides in ranking.sides]
+    long = [a if s == b else b for s, (a, b) in zip(short, ranking.sides, strict=True)]
+    cells = cut_lineage(
+        # The count is the same with x and y exchanged; the column with fewer values needs fewer digits.
+        ranking.of_pairs(lambda i: {"x": F.col(f"code_{long[i]}"), "y": F.col(f"code_{short[i]}")})
+        .groupBy("pair", "x", "y")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    places = [max(1, -(-(max(1, ranking.sizes.get(s, 0)) - 1).bit_length() // _DIGIT_BITS)) for s in short]
+    discordant = _discordant_pairs(cells, places)
+    of_columns = cut_lineage(_tie_sums(ranking.ranks, "ranking"))
+
+    def side(name: str) -> DataFrame:
+        renamed = of_columns.drop("sum").withColumnsRenamed({c: f"{c}_{name}" for c in ("pairs", "cube", "var")})
+        return renamed.withColumnRenamed("ranking", f"ranking_{name}")
+
+    ties = _tie_sums(cells.withColumnRenamed("n", "t"), "pair").select(
+        "pair", F.col("sum").alias("effectif"), F.col("pairs").alias("pairs_xy")
+    )
+    table = (
+        ties.join(discordant, "pair")
+        .join(F.broadcast(ranking.names()), "pair")
+        .join(F.broadcast(side("x")), "ranking_x")
+        .join(F.broadcast(side("y")), "ranking_y")
+    )
     size = F.col("effectif").cast("decimal(19,0)")
     everything = (size * (size - 1)).cast("decimal(38,0)")
     # Every count of pairs is doubled here, so all of them stay whole numbers.
@@ -338,8 +439,15 @@ def kendall(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     )
     z = F.try_divide(balance / 2, F.sqrt(variance))
     tau = _within_one(F.try_divide(balance, F.sqrt(free_x) * F.sqrt(free_y)))
+    fewest = F.least(F.col("discordant"), everything / 2 - F.col("discordant"))
+    is_exact = (F.col("pairs_x") == 0) & (F.col("pairs_y") == 0) & ((F.col("effectif") <= EXACT) | (fewest <= 1))
+    asked = F.when(is_exact, F.col("discordant").cast("long"))
+    exact_p = inversions_two_sided(asked, F.when(is_exact, F.col("effectif")))
     return table.where(F.col("effectif") > 1).select(
-        *PAIR, "effectif", tau.alias("coefficient"), normal_two_sided(z).alias("p_value")
+        *PAIR,
+        "effectif",
+        tau.alias("coefficient"),
+        F.when(is_exact, exact_p).otherwise(normal_two_sided(z)).alias("p_value"),
     )
 
 
@@ -420,10 +528,15 @@ def _small_expected(totals: DataFrame) -> DataFrame:
 def chi_squares(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Tests of independence of pairs of columns: statistic (Yates-corrected for one degree), p, degrees, small cells.
 
-    Over the filled cells alone, chi-square is ``n * sum(o^2 / (r c)) - n``. In a table of two by two classes all gaps
-    between observed and expected counts are equal, and the corrected statistic follows from one of them.
+    The filled cells are summed up; an empty one adds its expected count, and those of a row class together follow from the
+    rows that its filled column classes leave, a whole number. In a table of two by two classes all gaps between observed and
+    expected counts are equal, and the corrected statistic follows from one of them.
     """
-    cells = _class_cells(df, pairs)
+    return _tested(_class_cells(df, pairs))
+
+
+def _tested(cells: DataFrame) -> DataFrame:
+    """The tests of the filled cells: pair, classes ``x`` and ``y``, rows ``o``."""
     sides = [
         cells.groupBy(*PAIR, F.col(s).alias("k")).agg(F.sum("o").alias("t")).withColumn("side", F.lit(s)) for s in ("x", "y")
     ]
@@ -435,8 +548,14 @@ def chi_squares(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 
     joined = cells.join(side("x", "r"), [*PAIR, "x"]).join(side("y", "c"), [*PAIR, "y"]).join(F.broadcast(sizes), list(PAIR))
     o, r, c, n = (F.col(k).cast("double") for k in "orcn")
-    sums = joined.groupBy(*PAIR, "n").agg(
-        F.sum(o * o / (r * c)).alias("share"), F.first(F.abs(o - r * c / n)).alias("gap")
+    expected = r * c / n
+    of_rows = joined.groupBy(*PAIR, "x", "r", "n").agg(
+        F.sum(F.pow(o - expected, F.lit(2.0)) / expected).alias("filled"),
+        (F.col("n") - F.sum("c")).alias("left"),
+        F.max(F.abs(o - expected)).alias("gap"),
+    )
+    sums = of_rows.groupBy(*PAIR, "n").agg(
+        F.sum(F.col("filled") + r * F.col("left") / n).alias("sum"), F.max("gap").alias("gap")
     )
     classes = totals.groupBy(*PAIR).agg(
         ((F.count_if(F.col("side") == "x") - 1) * (F.count_if(F.col("side") == "y") - 1)).alias("ddl"),
@@ -446,8 +565,7 @@ def chi_squares(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     small = _small_expected(totals.join(F.broadcast(sizes), list(PAIR)))
     corrected = F.col("gap") - F.least("gap", F.lit(0.5))
     yates = corrected * corrected * F.col("n") * F.col("rows_inverse") * F.col("columns_inverse")
-    plain = F.greatest(F.col("n") * F.col("share") - F.col("n"), F.lit(0.0))
-    statistic = F.when(F.col("ddl") == 1, yates).otherwise(plain)
+    statistic = F.when(F.col("ddl") == 1, yates).otherwise(F.col("sum"))
     tested = sums.join(F.broadcast(classes), list(PAIR)).join(F.broadcast(small), list(PAIR)).withColumn("khi2", statistic)
     return tested.select(
         *PAIR,

@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+from fractions import Fraction
 from statistics import NormalDist
 
 import pytest
@@ -41,6 +42,96 @@ def test_kendall_equals_all_pairs(spark):
     assert found["gap", "many"]["effectif"] == 119
 
 
+def test_kendall_exact_p_of_small_samples(spark):
+    """Against all orders of up to 8 values; ties and larger samples take the normal approximation."""
+    rng = random.Random(6)
+
+    def inversions(order):
+        return sum(order[i] > order[j] for i in range(len(order)) for j in range(i + 1, len(order)))
+
+    counts = {n: [inversions(p) for p in itertools.permutations(range(n))] for n in range(2, 9)}
+    samples = {f"n{n}_{k}": rng.sample(range(n), n) for n in range(2, 9) for k in range(3)}
+    for name, order in samples.items():
+        found = inversions(order)
+        n, fewer = len(order), min(found, len(order) * (len(order) - 1) // 2 - found)
+        samples[name] = (order, min(1.0, 2 * sum(c <= fewer for c in counts[n]) / len(counts[n])))
+    # Columns of different lengths in one table: each has nulls where the others go on.
+    df = spark.createDataFrame(
+        [tuple(float(o[i]) if i < len(o) else None for o, _ in samples.values()) + (float(i),) for i in range(9)],
+        ", ".join(f"{n} double" for n in [*samples, "place"]),
+    )
+    result = {r.variable_x: r for r in A.kendall(df, [(n, "place") for n in samples]).collect()}
+    for name, (order, p) in samples.items():
+        assert result[name].p_value == pytest.approx(p, rel=1e-12), name
+        assert result[name].coefficient == pytest.approx(brute_kendall(list(enumerate(order))), abs=1e-12)
+
+    def p_of(order):
+        rows = [(float(i), float(v)) for i, v in enumerate(order)]
+        return A.kendall(spark.createDataFrame(rows, "a double, b double"), [("a", "b")]).first().p_value
+
+    def normal(score, n):
+        return math.erfc(abs(score) / math.sqrt(n * (n - 1) * (2 * n + 5) / 18) / math.sqrt(2))
+
+    order = rng.sample(range(34), 34)
+    score = 34 * 33 // 2 - 2 * inversions(order)
+    assert p_of(order) == pytest.approx(normal(score, 34))
+    # Known values: 33 in order but for one exchange, and 40 wholly in order.
+    assert p_of([1, 0, *range(2, 33)]) == pytest.approx(2 / math.factorial(32))
+    assert p_of(range(40)) == pytest.approx(2 / math.factorial(40))
+
+
+def test_columns_are_ordered_once(spark, monkeypatch):
+    """However many pairs: one order of all columns; pairs with nulls add rankings of their columns only."""
+    calls = []
+    running = A.with_running_total
+    monkeypatch.setattr(A, "with_running_total", lambda *a, **k: calls.append(a[1]) or running(*a, **k))
+    rng = random.Random(9)
+    rows = [tuple(rng.choice([None, *range(9)]) if c > 2 else rng.random() for c in range(5)) for _ in range(200)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d int, e int")
+    pairs = A.all_pairs(list("abcde"))
+    found = {(r.variable_x, r.variable_y): r for r in A.spearman(df, pairs).collect()}
+    assert len(calls) == 1
+    ranking = A._ranking(df, pairs)
+    # a, b and c alone, each among the rows of d and of e, and d and e alone and among those of each other.
+    assert len(set(sum(ranking.sides, ()))) == 3 + 6 + 2 + 2
+    for a, b in pairs:
+        both = [(r["abcde".index(a)], r["abcde".index(b)]) for r in rows]
+        both = [p for p in both if None not in p]
+
+        def ranks(values):
+            return [sum(w < v for w in values) + (sum(w == v for w in values) + 1) / 2 for v in values]
+
+        x, y = ranks([p[0] for p in both]), ranks([p[1] for p in both])
+        mean = (len(both) + 1) / 2
+        top = sum((u - mean) * (v - mean) for u, v in zip(x, y))
+        bottom = math.sqrt(sum((u - mean) ** 2 for u in x) * sum((v - mean) ** 2 for v in y))
+        assert found[a, b].effectif == len(both) and found[a, b].coefficient == pytest.approx(top / bottom)
+
+
+def test_frequent_values_and_rare_ones(spark, monkeypatch):
+    monkeypatch.setattr(A, "FREQUENT", 4)
+    rng = random.Random(1)
+    rows = [(float(rng.choice([0, 0, 0, rng.randrange(50)])), float(rng.randrange(30))) for _ in range(150)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    assert A.kendall(df, [("a", "b")]).first().coefficient == pytest.approx(brute_kendall(rows), abs=1e-12)
+    assert A.kendall(df.where("false"), [("a", "b")]).collect() == A.spearman(df.where("false"), [("a", "b")]).collect() == []
+
+
+def test_large_tables_keep_their_digits(spark):
+    """Nearly independent classes of 10^12 rows: the statistic is small beside the number of rows."""
+    n = 10**12
+    table = {("a", "x"): n // 4 + 10**6, ("a", "y"): n // 4, ("a", "z"): n // 4, ("b", "x"): n // 12, ("b", "y"): n // 12, ("b", "z"): n // 12}
+    total = sum(table.values())
+    exact = 0
+    for (r, c), o in table.items():
+        row = sum(v for (a, _), v in table.items() if a == r)
+        column = sum(v for (_, b), v in table.items() if b == c)
+        exact += Fraction((o * total - row * column) ** 2, row * column * total)
+    cells = spark.createDataFrame([("p", "q", r, c, o) for (r, c), o in table.items()], "variable_x string, variable_y string, x string, y string, o long")
+    found = A._tested(cells).first()
+    assert found.khi2 == pytest.approx(float(exact), rel=1e-9) and found.ddl == 2
+
+
 def test_spearman_uses_average_ranks(spark):
     rows = [(1.0, 2.0), (2.0, 1.0), (2.0, 3.0), (4.0, 3.0), (5.0, None)]
     row = A.spearman(spark.createDataFrame(rows, "a double, b double"), [("a", "b")]).first()
