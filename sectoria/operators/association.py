@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.conditions import all_present
@@ -32,6 +33,8 @@ EXACT = 33
 FREQUENT = 1000
 _SPREAD = 1 << 16
 _CHUNK = 65_536
+# Distinct values whose running sums one task forms.
+_SLICE = 16_384
 _DIGIT_BITS = 2
 _DIGITS = 2**_DIGIT_BITS
 
@@ -344,39 +347,53 @@ def _discordant_pairs(cells: DataFrame, places: Sequence[int]) -> DataFrame:
     code of y: they share all higher digits, and the larger y has the
     larger digit there. The pair is discordant if the larger y comes with the
     smaller x. So, for every digit place and every value of the higher digits,
-    each observation counts the larger digits at smaller x. One running total
-    over (place, higher digits, x) serves all places together; a cell is
+    each observation counts the larger digits at smaller x; a cell is
     repeated once per digit, never per partner. ``places`` holds the number of
     digits of each pair's y, whose column should be the one with fewer values.
+
+    Codes of x are dense, so ``x div _SLICE`` cuts their order into even slices without a sort of all rows: one exchange, running sums
+    inside the slices, and then over the slices' totals.
     """
     last = F.array(*[F.lit(n - 1) for n in places])[F.col("pair")]
-    coded = cells.withColumn("place", F.explode(F.sequence(F.lit(0), last)))
 
     def shifted(by: Column) -> Column:
         return F.call_function("shiftright", F.col("y"), by)
 
-    digit = shifted(F.col("place") * _DIGIT_BITS) % _DIGITS
     names = [f"d{d}" for d in range(_DIGITS)]
-    levels = coded.groupBy("pair", "place", shifted((F.col("place") + 1) * _DIGIT_BITS).alias("prefix"), "x").agg(
-        *[F.sum(F.when(digit == d, F.col("n")).otherwise(0)).alias(names[d]) for d in range(_DIGITS)]
+    lower = range(_DIGITS - 1)
+    group = ["pair", "place", "prefix"]
+    digit = shifted(F.col("place") * _DIGIT_BITS) % _DIGITS
+    coded = cells.withColumn("place", F.explode(F.sequence(F.lit(0), last))).select(
+        "pair",
+        "place",
+        shifted((F.col("place") + 1) * _DIGIT_BITS).alias("prefix"),
+        F.floor(F.col("x") / _SLICE).alias("slice"),
+        "x",
+        *[F.when(digit == d, F.col("n")).otherwise(0).alias(names[d]) for d in range(_DIGITS)],
+    )
+    tasks = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    levels = (
+        coded.repartition(tasks, *group, "slice")
+        .groupBy(*group, "slice", "x")
+        .agg(*[F.sum(n).alias(n) for n in names])
     )
-    running = with_running_total(levels, ["pair", "place", "prefix", "x"], names[1:])
 
     def exact(name: str) -> Column:
         return F.col(name).cast("decimal(19,0)")
 
-    def above(d: int, prefix: str) -> Column:
-        return reduce(lambda a, b: a + b, [F.col(f"{prefix}_d{e}") for e in range(d + 1, _DIGITS)]).cast("decimal(19,0)")
+    def with_sums_before(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+        earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumns({f"before_{n}": F.coalesce(F.sum(n).over(earlier), F.lit(0)) for n in names[1:]})
 
-    lower = range(_DIGITS - 1)
-    weighted = reduce(lambda a, b: a + b, [exact(names[d]) * above(d, "before") for d in lower])
-    groups = running.groupBy("pair", "place", "prefix").agg(
-        F.sum(weighted).alias("weighted"),
-        *[F.sum(names[d]).alias(names[d]) for d in lower],
-        *[F.min(f"before_{n}").alias(f"base_{n}") for n in names[1:]],
-    )
-    outside = reduce(lambda a, b: a + b, [exact(names[d]) * above(d, "base") for d in lower])
-    return groups.groupBy("pair").agg(F.sum(F.col("weighted") - outside).cast("decimal(38,0)").alias("discordant"))
+    def met() -> Column:
+        """Rows of each digit times the rows of larger digits before."""
+        larger = [[exact(f"before_{names[e]}") for e in range(d + 1, _DIGITS)] for d in lower]
+        return reduce(add, [exact(names[d]) * reduce(add, larger[d]).cast("decimal(19,0)") for d in lower])
+
+    inside = with_sums_before(levels, [*group, "slice"], "x")
+    slices = inside.groupBy(*group, "slice").agg(F.sum(met()).alias("met"), *[F.sum(n).alias(n) for n in names])
+    across = with_sums_before(slices, group, "slice")
+    return across.groupBy("pair").agg(F.sum(F.col("met") + met()).cast("decimal(38,0)").alias("discordant"))
 
 
 def _tie_sums(counts: DataFrame, key: str) -> DataFrame:

@@ -110,6 +110,7 @@ def test_columns_are_ordered_once(spark, monkeypatch):
 
 def test_frequent_values_and_rare_ones(spark, monkeypatch):
     monkeypatch.setattr(A, "FREQUENT", 4)
+    monkeypatch.setattr(A, "_SLICE", 7)
     rng = random.Random(1)
     rows = [(float(rng.choice([0, 0, 0, rng.randrange(50)])), float(rng.randrange(30))) for _ in range(150)]
     df = spark.createDataFrame(rows, "a double, b double")
