@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -80,63 +80,207 @@ def all_places(main: DataFrame, overseas: DataFrame, countries: DataFrame) -> Da
     ).distinct()
 
 
-def code_chains(changes: DataFrame, max_depth: int | None = None) -> DataFrame:
-    """All chains of code changes: origin, last code, length and path.
-
-    Chains are followed to their end, or to ``max_depth`` changes. Every level
-    is one equi-join of the stored level before with the stored changes; a
-    chain never returns to a code on its path, so the levels come to an end.
-    """
-    edges = changes.select(
+def _distinct_changes(changes: DataFrame) -> DataFrame:
+    return changes.select(
         F.col("num_insee_avant").alias("avant"),
         F.col("nom_commune_en_clair_avant").alias("nom_avant"),
         F.col("num_insee_apres").alias("apres"),
         F.col("nom_commune_en_clair_apres").alias("nom_apres"),
     ).distinct()
-    edges = cut_lineage(edges)
-    level = edges.select(
-        F.col("avant").alias("origine"),
-        F.col("nom_avant").alias("nom_origine"),
-        F.col("apres").alias("actuel"),
-        F.col("nom_apres").alias("nom_actuel"),
-        F.lit(1).alias("niveau"),
-        F.array("avant", "apres").alias("chemin"),
-    )
-    chains, depth = level, 1
-    while depth != max_depth:
-        depth += 1
-        level = cut_lineage(
-            level.join(edges, (F.col("actuel") == F.col("avant")) & ~F.array_contains("chemin", F.col("apres")))
+
+
+def _stored_with(df: DataFrame, measure: Column) -> tuple[DataFrame, int]:
+    """The stored rows and one measure of them, taken while they are written."""
+    seen = Observation()
+    stored = cut_lineage(df.observe(seen, measure.alias("measure")))
+    return stored, seen.get["measure"]
+
+
+def code_chains(changes: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """All chains of code changes: origin, last code, length and path.
+
+    Chains are followed to their end, or to ``max_depth`` changes; a chain never returns to a code on its path. Every round
+    doubles their length: the longest chains so far go on by all chains that start at their end. So a chain of n changes
+    takes log2 n rounds.
+    """
+    chains, grown = cut_lineage(
+        _distinct_changes(changes).select(
+            F.col("avant").alias("origine"),
+            F.col("nom_avant").alias("nom_origine"),
+            F.col("apres").alias("actuel"),
+            F.col("nom_apres").alias("nom_actuel"),
+            F.lit(1).alias("niveau"),
+            F.array("avant", "apres").alias("chemin"),
+        )
+    ), 1
+    length = 1
+    while grown and (max_depth is None or length < max_depth):
+        longest = chains.where(F.col("niveau") == length).alias("a")
+        onward = (chains if max_depth is None else chains.where(F.col("niveau") <= max_depth - length)).alias("b")
+        beyond = F.slice("b.chemin", 2, F.col("b.niveau"))
+        meets = (F.col("a.actuel") == F.col("b.origine")) & ~F.arrays_overlap("a.chemin", beyond)
+        longer, grown = _stored_with(
+            longest.join(onward, meets)
             .select(
-                "origine",
-                "nom_origine",
-                F.col("apres").alias("actuel"),
-                F.col("nom_apres").alias("nom_actuel"),
-                F.lit(depth).alias("niveau"),
-                F.array_append("chemin", F.col("apres")).alias("chemin"),
+                "a.origine",
+                "a.nom_origine",
+                "b.actuel",
+                "b.nom_actuel",
+                (F.col("a.niveau") + F.col("b.niveau")).alias("niveau"),
+                F.concat("a.chemin", beyond).alias("chemin"),
             )
-            .distinct()
+            .distinct(),
+            F.count(F.lit(1)),
         )
-        if level.isEmpty():
-            break
-        chains = chains.unionByName(level)
+        chains, length = chains.unionByName(longer), length * 2
     return chains
 
 
-def latest_codes(chains: DataFrame) -> DataFrame:
+def _longest(chains: DataFrame) -> DataFrame:
     """Longest chain of each origin; ties by code, then names."""
     order = F.struct((-F.col("niveau")).alias("n"), "actuel", "nom_actuel", "nom_origine")
-    latest = F.min_by(F.struct("nom_origine", "actuel", "nom_actuel"), order).alias("l")
     return (
         chains.groupBy("origine")
-        .agg(latest)
-        .select(
-            F.col("origine").alias("num_insee_invalide"),
-            F.col("l.nom_origine").alias("nom_invalide"),
-            F.col("l.actuel").alias("num_insee_valide"),
-            F.col("l.nom_actuel").alias("nom_valide"),
+        .agg(F.min_by(F.struct("nom_origine", "actuel", "nom_actuel", "niveau"), order).alias("l"))
+        .select("origine", "l.*")
+    )
+
+
+def latest_codes(chains: DataFrame) -> DataFrame:
+    """Longest chain of each origin; ties by code, then names."""
+    return _longest(chains).select(
+        F.col("origine").alias("num_insee_invalide"),
+        F.col("nom_origine").alias("nom_invalide"),
+        F.col("actuel").alias("num_insee_valide"),
+        F.col("nom_actuel").alias("nom_valide"),
+    )
+
+
+def _followed(arcs: DataFrame) -> DataFrame:
+    """Where each code with one successor leads: ``at``, by how many ``steps``, and whether it is ``open`` (in or before a cycle).
+
+    Every round each pointer is replaced by that of the code it points to. Unless cycles alone are left, some pointers come to
+    their end in every round.
+    """
+    pointers, moving, before = arcs.where("ways = 1").select(
+        F.col("avant").alias("origine"),
+        F.col("apres").alias("at"),
+        F.col("nom_apres").alias("nom_at"),
+        F.lit(1).cast("long").alias("steps"),
+        F.lit(True).alias("open"),
+    ), -1, None
+    while moving and moving != before:
+        before, further = moving, F.col("q.origine").isNotNull()
+        pointers, moving = _stored_with(
+            pointers.alias("p")
+            .join(pointers.alias("q"), F.col("p.at") == F.col("q.origine"), "left")
+            .select(
+                "p.origine",
+                F.coalesce("q.at", "p.at").alias("at"),
+                F.when(further, F.col("q.nom_at")).otherwise(F.col("p.nom_at")).alias("nom_at"),
+                (F.col("p.steps") + F.coalesce("q.steps", F.lit(0))).alias("steps"),
+                further.alias("open"),
+            ),
+            F.coalesce(F.count_if(F.col("open")), F.lit(0)),
         )
+    return pointers
+
+
+def latest_of_changes(changes: DataFrame) -> DataFrame:
+    """What :func:`latest_codes` gives for all chains of ``changes``, without listing the chains.
+
+    Codes with one successor all the way to a last code are followed by pointers that double. Only codes from which a code
+    with several successors, or a cycle, can be reached have their chains listed, and only among each other: once a chain
+    leaves them, the rest is one pointer. Changes without an old code are left out.
+    """
+    known = _distinct_changes(changes).where(F.col("avant").isNotNull())
+    # Of several names for one change the first takes part; both names of a chain of one change come from one row.
+    names = [
+        F.min(F.struct("nom_avant"))["nom_avant"].alias("nom_avant"),
+        F.min(F.struct("nom_apres"))["nom_apres"].alias("nom_apres"),
+        F.min(F.struct("nom_apres", "nom_avant"))["nom_avant"].alias("nom_seul"),
+    ]
+    reduced = cut_lineage(known.groupBy("avant", "apres").agg(*names))
+    # A change of a code to itself only matters as the first one of a chain.
+    ways = F.count(F.lit(1)).over(Window.partitionBy("avant"))
+    arcs = cut_lineage(reduced.where("avant <> apres").withColumn("ways", ways))
+    pointers = _followed(arcs)
+    branching = arcs.where("ways > 1").select(F.col("avant").alias("at")).distinct()
+    plain = cut_lineage(pointers.where("NOT open").join(branching, "at", "left_anti"))
+    first = arcs.select(F.col("avant").alias("origine"), "nom_avant", "nom_seul")
+    straight = (
+        plain.join(first, "origine")
+        .withColumn("nom_origine", F.when(F.col("steps") == 1, F.col("nom_seul")).otherwise(F.col("nom_avant")))
+        .select("origine", "nom_origine", F.col("at").alias("actuel"), F.col("nom_at").alias("nom_actuel"), F.col("steps").alias("niveau"))
+    )
+    of_plain = plain.withColumnRenamed("origine", "avant")
+    mixed, several = _stored_with(arcs.join(of_plain, "avant", "left_anti"), F.count(F.lit(1)))
+    chains = straight
+    if several:
+        codes = mixed.select(F.col("avant").alias("apres")).distinct()
+        within = mixed.join(codes, "apres", "left_semi")
+        # Chains that leave the listed codes end where the pointer of their next code does.
+        ends = plain.select(F.col("origine").alias("apres"), "at", "nom_at", "steps")
+        leaving = (
+            mixed.join(codes, "apres", "left_anti")
+            .join(ends, "apres", "left")
+            .select(
+                "avant",
+                "nom_avant",
+                "nom_seul",
+                F.coalesce("at", "apres").alias("actuel"),
+                F.when(F.col("steps").isNull(), F.col("nom_apres")).otherwise(F.col("nom_at")).alias("nom_actuel"),
+                (F.coalesce("steps", F.lit(0)) + 1).alias("niveau"),
+            )
+        )
+        listed = code_chains(
+            within.select(
+                F.col("avant").alias("num_insee_avant"),
+                F.col("nom_avant").alias("nom_commune_en_clair_avant"),
+                F.col("apres").alias("num_insee_apres"),
+                F.col("nom_apres").alias("nom_commune_en_clair_apres"),
+            )
+        ).drop("chemin")
+        names = ["origine", "nom_origine", "actuel", "nom_actuel", "niveau"]
+        alone = F.when(F.col("niveau") == 1, F.col("nom_seul")).otherwise(F.col("nom_avant"))
+        left = leaving.select(F.col("avant").alias("origine"), alone.alias("nom_origine"), "actuel", "nom_actuel", "niveau")
+        one = within.select(
+            F.col("avant").alias("origine"),
+            F.col("nom_seul").alias("nom_origine"),
+            F.col("apres").alias("actuel"),
+            F.col("nom_apres").alias("nom_actuel"),
+            F.lit(1).cast("long").alias("niveau"),
+        )
+        more = listed.where("niveau > 1").select(*names)
+        out = (
+            listed.alias("c")
+            .join(leaving.alias("l"), F.col("c.actuel") == F.col("l.avant"))
+            .select("c.origine", "c.nom_origine", "l.actuel", "l.nom_actuel", (F.col("c.niveau") + F.col("l.niveau")).alias("niveau"))
+        )
+        for part in (left, one, more, out):
+            chains = chains.unionByName(part)
+    best = _longest(chains)
+    loops = reduced.where("avant = apres").select(
+        F.col("avant").alias("origine"), F.col("nom_avant").alias("tour"), F.col("nom_apres").alias("nom_tour"), F.col("nom_seul").alias("tour_seul")
+    )
+    joined = best.join(loops.withColumn("is_loop", F.lit(True)), "origine", "full_outer")
+    has_chain = F.col("niveau").isNotNull()
+    with_loops = joined.select(
+        "origine",
+        F.when(has_chain & F.col("is_loop"), F.col("tour")).when(has_chain, F.col("nom_origine")).otherwise(F.col("tour_seul")).alias("nom_origine"),
+        F.when(has_chain, F.col("actuel")).otherwise(F.col("origine")).alias("actuel"),
+        F.when(has_chain, F.col("nom_actuel")).otherwise(F.col("nom_tour")).alias("nom_actuel"),
+        (F.coalesce("niveau", F.lit(0)) + F.coalesce(F.col("is_loop").cast("int"), F.lit(0))).alias("niveau"),
+    )
+    # A change to no code is a chain of one change.
+    ended = reduced.where(F.col("apres").isNull()).select(
+        F.col("avant").alias("origine"),
+        F.col("nom_seul").alias("nom_origine"),
+        F.col("apres").alias("actuel"),
+        F.col("nom_apres").alias("nom_actuel"),
+        F.lit(1).cast("long").alias("niveau"),
     )
+    return latest_codes(with_loops.unionByName(ended))
 
 
 def search_table(places: DataFrame, latest: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from ..functions.text import (
     strip_decimal_suffix,
 )
 from ..operators.cleaning import arranged, with_overrides
-from ..operators.places import all_places, code_chains, latest_codes, merge_place_lists, search_table
+from ..operators.places import all_places, latest_of_changes, merge_place_lists, search_table
 from ..operators.positions import with_position
 from ..session import small_table
 
@@ -147,4 +147,4 @@ def searchable_codes(
 ) -> DataFrame:
     """All codes, current and obsolete, with their valid place."""
     places = all_places(merge_place_lists(main, yearly), overseas, country_table)
-    return search_table(places, latest_codes(code_chains(changes)))
+    return search_table(places, latest_of_changes(changes))

@@ -179,7 +179,7 @@ def code_chains_of_five(spark, folder):
 
 @query("J4 J3", f"WITH RECURSIVE {_CHAINS} SELECT * FROM latest")
 def latest_codes(spark, folder):
-    return L.latest_codes(L.code_chains(_changes(spark, folder)))
+    return L.latest_of_changes(_changes(spark, folder))
 
 
 @query(
@@ -196,7 +196,7 @@ def latest_codes(spark, folder):
   FROM codes LEFT JOIN places ON num_insee_valide = num_insee""",
 )
 def search_table(spark, folder):
-    return L.search_table(_places(spark, folder), L.latest_codes(L.code_chains(_changes(spark, folder))))
+    return L.search_table(_places(spark, folder), L.latest_of_changes(_changes(spark, folder)))
 
 
 def _facts(spark, folder):

@@ -1,3 +1,8 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
 from sectoria.operators import places as L
 
 
@@ -39,6 +44,42 @@ def test_latest_code_depth_cycle_and_ties(spark):
     assert got["X"] == "Y" and got["SELF"] == "SELF"
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_latest_without_listing_chains(spark, seed):
+    """Random graphs with loops, cycles, branches, several names for a change and changes to nothing."""
+    rng = random.Random(seed)
+    codes = [f"c{i:02}" for i in range(24)]
+    rows = [
+        (a, rng.choice("pqr"), rng.choice([*codes, a, None]) if rng.random() < 0.5 else codes[codes.index(a) // 2], rng.choice(["x", "y", None]))
+        for a in rng.sample(codes, 20) + rng.sample(codes, 4 * seed)
+    ]
+    df = changes(spark, []).unionByName(spark.createDataFrame(rows, changes(spark, []).schema))
+    listed = L.latest_codes(L.code_chains(df)).collect()
+    assert sorted(L.latest_of_changes(df).collect(), key=str) == sorted(listed, key=str) and listed
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    """1,000 changes in a row, with a cycle and a branch beside them: rounds grow with the logarithm."""
+    stored = []
+    cut = L.cut_lineage
+    monkeypatch.setattr(L, "cut_lineage", lambda df: stored.append(1) or cut(df))
+    long = [(f"L{i}", f"L{i + 1}") for i in range(1000)]
+    latest = {r["num_insee_invalide"]: r["num_insee_valide"] for r in L.latest_of_changes(changes(spark, long + CYCLE + BRANCH)).collect()}
+    assert all(latest[f"L{i}"] == "L1000" for i in range(1000))
+    assert latest["A"] == "B" and latest["X"] == "Y" and latest["SELF"] == "SELF"
+    assert len(stored) <= 20
+
+
+def test_chains_double(spark, monkeypatch):
+    stored = []
+    cut = L.cut_lineage
+    monkeypatch.setattr(L, "cut_lineage", lambda df: stored.append(1) or cut(df))
+    long = [(f"L{i:02}", f"L{i + 1:02}") for i in range(40)]
+    chains = L.code_chains(changes(spark, long))
+    assert chains.count() == 40 * 41 // 2 and len(stored) <= 8
+    assert L.code_chains(changes(spark, long), max_depth=7).agg(F.max("niveau")).first()[0] == 7
+
+
 def test_search_table_flags_and_completion(spark):
     places = spark.createDataFrame(
         [("P", "Paris", "Dep", "Reg", 1.0, 2.0, "75", "11"), ("S", "Seul", None, None, None, None, None, None)],
@@ -119,3 +160,8 @@ def test_all_places_fills_only_the_main_list(spark):
         "4": (None, None),
     }
     assert rows["4"]["nom_region"] == "CHILI" and rows["1"]["nom_commune_postal"] == "UN"
+
+
+def test_chains_of_no_changes(spark):
+    none = changes(spark, []).where("num_insee_avant = 'x'")
+    assert L.latest_of_changes(none).collect() == [] and L.code_chains(none).collect() == []
