@@ -130,7 +130,7 @@ def code_chains(changes: DataFrame, max_depth: int | None = None) -> DataFrame:
                 F.concat("a.chemin", beyond).alias("chemin"),
             )
             .distinct(),
-            F.count(F.lit(1)),
+            F.coalesce(F.count_if(F.col("niveau") == 2 * length), F.lit(0)),
         )
         chains, length = chains.unionByName(longer), length * 2
     return chains
@@ -157,12 +157,12 @@ def latest_codes(chains: DataFrame) -> DataFrame:
 
 
 def _followed(arcs: DataFrame) -> DataFrame:
-    """Where each code with one successor leads: ``at``, by how many ``steps``, and whether it is ``open`` (in or before a cycle).
+    """Where codes with one successor each lead: ``at``, by how many ``steps``, and whether it is ``open`` (in or before a cycle).
 
     Every round each pointer is replaced by that of the code it points to. Unless cycles alone are left, some pointers come to
     their end in every round.
     """
-    pointers, moving, before = arcs.where("ways = 1").select(
+    pointers, moving, before = arcs.select(
         F.col("avant").alias("origine"),
         F.col("apres").alias("at"),
         F.col("nom_apres").alias("nom_at"),
@@ -200,11 +200,11 @@ def latest_of_changes(changes: DataFrame) -> DataFrame:
         F.min(F.struct("nom_apres"))["nom_apres"].alias("nom_apres"),
         F.min(F.struct("nom_apres", "nom_avant"))["nom_avant"].alias("nom_seul"),
     ]
-    reduced = cut_lineage(known.groupBy("avant", "apres").agg(*names))
     # A change of a code to itself only matters as the first one of a chain.
-    ways = F.count(F.lit(1)).over(Window.partitionBy("avant"))
-    arcs = cut_lineage(reduced.where("avant <> apres").withColumn("ways", ways))
-    pointers = _followed(arcs)
+    ways = F.count_if(F.col("avant") != F.col("apres")).over(Window.partitionBy("avant"))
+    reduced = cut_lineage(known.groupBy("avant", "apres").agg(*names).withColumn("ways", ways))
+    arcs = reduced.where("avant <> apres")
+    pointers = _followed(arcs.where("ways = 1"))
     branching = arcs.where("ways > 1").select(F.col("avant").alias("at")).distinct()
     plain = cut_lineage(pointers.where("NOT open").join(branching, "at", "left_anti"))
     first = arcs.select(F.col("avant").alias("origine"), "nom_avant", "nom_seul")
