@@ -23,15 +23,13 @@ from ..functions.inference import (
     student_two_sided,
 )
 from ..session import cut_lineage, small_table
+from .lookups import FREQUENT, look_up
 from .positions import with_running_total
 
 ALPHA = 0.05
 PAIR = ["variable_x", "variable_y"]
 # Kendall's test without ties takes the exact distribution for at most so many rows.
 EXACT = 33
-# A value that more than one in so many rows holds is sent to every task; there are fewer than so many of them.
-FREQUENT = 1000
-_SPREAD = 1 << 16
 _CHUNK = 65_536
 # Distinct values whose running sums one task forms.
 _SLICE = 16_384
@@ -285,29 +283,11 @@ def _ranking(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> _Ranking:
     sizes = {r.ranking: r.n for r in ranks.groupBy("ranking").agg(F.count(F.lit(1)).alias("n")).collect()}
     rows = values.select(*values.columns, *[value.alias(f"value_{n}") for n, value in ranked.items()])
     for n in ranked:
-        rows = _looked_up(rows, ranks.where(F.col("ranking") == n), n, values.columns)
+        found = ranks.where(F.col("ranking") == n).withColumnsRenamed({"code": f"code_{n}", "rank": f"rank_{n}"})
+        rows = look_up(rows, F.col(f"value_{n}"), found, [f"code_{n}", f"rank_{n}"]).drop(f"value_{n}")
     return _Ranking(list(pairs), sides, rows, ranks, sizes)
 
 
-def _looked_up(rows: DataFrame, ranks: DataFrame, n: int, others: Sequence[str]) -> DataFrame:
-    """Code and rank of one column. Its frequent values, fewer than FREQUENT, go to every task; so no join is crowded by one."""
-    found = F.struct("code", "rank")
-    frequent = ranks.where("frequent").select(F.col("value").alias("_value"), found.alias("_frequent"))
-    rare = ranks.where("NOT frequent").select(
-        F.col("value").alias("_key"), found.alias("_rare"), F.lit(0).cast("long").alias("_zero")
-    )
-    met = rows.join(F.broadcast(frequent), F.col(f"value_{n}") == F.col("_value"), "left")
-    key = F.when(F.col("_frequent").isNull(), F.col(f"value_{n}"))
-    # Rows without a key meet nothing; they are spread over all tasks.
-    spread = F.when(key.isNull(), F.pmod(F.xxhash64(*others), F.lit(_SPREAD)) + 1).otherwise(0)
-    met = met.withColumns({"_asked": key, "_spread": spread}).join(
-        rare, (F.col("_asked") == F.col("_key")) & (F.col("_spread") == F.col("_zero")), "left"
-    )
-    value = F.coalesce("_frequent", "_rare")
-    kept = [c for c in rows.columns if c != f"value_{n}"]
-    return met.select(*kept, value["code"].alias(f"code_{n}"), value["rank"].alias(f"rank_{n}"))
-
-
 def spearman(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Rank correlation with average ranks, and its p-value, for each pair of columns.
 

@@ -11,6 +11,8 @@ from ..functions.conditions import all_present
 from ..functions.dates import season
 from ..functions.numeric import round_even
 from ..functions.text import dms_to_degrees
+from ..session import cut_lineage
+from .lookups import FREQUENT, class_of_values, look_up
 
 CITY = ["CITY", "CN_NAME", "CN", "CAPITALE"]
 
@@ -193,15 +195,15 @@ def rows_of_cities(df: DataFrame, selected: DataFrame, lower: str, upper: str, k
 def class_from_table(df: DataFrame, value: str, classes: DataFrame, name: str = "classe") -> DataFrame:
     """Class whose range ``]low, high]`` holds the value, 0 if none.
 
-    The class table (``borne_inf_strict``, ``borne_sup_egale``, ``la_borne``)
-    is read as one array, so each row finds its class without a range join;
-    with overlapping ranges the last class wins.
+    The class table (``borne_inf_strict``, ``borne_sup_egale``, ``la_borne``) may hold any number of ranges; of overlapping
+    ones the last class wins. Distinct values are looked up, then brought back to the rows. Empty ranges, and those without a
+    bound, hold nothing.
     """
-    ranges = classes.agg(
-        F.sort_array(F.collect_list(F.struct("la_borne", "borne_inf_strict", "borne_sup_egale"))).alias("r")
-    ).scalar()
-    holds = F.filter(
-        "_ranges", lambda r: (F.col(value) > r["borne_inf_strict"]) & (F.col(value) <= r["borne_sup_egale"])
-    )
-    found = F.try_element_at(holds, F.lit(-1))["la_borne"]
-    return df.withColumn("_ranges", ranges).withColumn(name, F.coalesce(found, F.lit(0))).drop("_ranges")
+    number = F.col(value).cast("double")
+    counted = df.where(number.isNotNull()).groupBy(number.alias("value")).agg(F.count(F.lit(1)).alias("_t"))
+    counted = cut_lineage(counted)
+    total = F.coalesce(counted.agg(F.sum("_t")).scalar(), F.lit(0))
+    found = class_of_values(counted, classes).withColumn("frequent", F.col("_t") * FREQUENT > total)
+    found = found.select("value", F.col("classe").alias("_classe"), "frequent")
+    looked = look_up(df, number, found, ["_classe"])
+    return looked.withColumn(name, F.coalesce("_classe", F.lit(0))).drop("_classe")

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, small_table
 
 
 def _merged(left: DataFrame, right: DataFrame, key: str, columns: Sequence[tuple[str, Column]]) -> DataFrame:
@@ -354,15 +356,75 @@ def locate_persons(persons: DataFrame, search: DataFrame, keep_all: bool = False
     return with_native_flags(located)
 
 
+# Flags of a located person and the names whose equality they tell.
+FLAG_NAMES = {"origine_ville": "ville", "origine_departement": "nom_departement", "origine_region": "nom_region"}
+
+
+def count_all_matches(persons: DataFrame, search: DataFrame) -> DataFrame:
+    """Combinations of a person with a birth and a death place, counted by the three native flags.
+
+    The counts of ``locate_persons(..., keep_all=True)`` without a row for any combination: persons are counted by their codes,
+    places by code and names. For every choice of flags, places agree on the names of that choice by an equi-join, and the
+    products of the counts add up to the combinations that have at least these flags; differences of these sums give the rest.
+    """
+    # The person's own city counts where a code has no place, or a place without name.
+    nameless = search.groupBy(F.col("num_insee_search").alias("_code")).agg(F.bool_or(F.col("commune_valide").isNull()).alias("_own"))
+    people = persons
+    for side in ("naissance", "deces"):
+        own = F.coalesce("_own", F.lit(True))
+        city = F.when(F.col(f"ville_{side}").isNull(), "0").otherwise(F.concat(F.lit("="), f"ville_{side}"))
+        people = (
+            people.join(nameless, F.col(f"num_insee_{side}") == F.col("_code"), "left")
+            .withColumn(f"_city_{side}", F.when(own, city).otherwise(""))
+            .drop("_own", "_code")
+        )
+    # Missing codes meet no place, like unknown ones.
+    keys = {side: [F.coalesce(f"num_insee_{side}", F.lit("")).alias(f"code_{side}"), F.col(f"_city_{side}").alias(f"own_{side}")] for side in ("naissance", "deces")}
+    counted = cut_lineage(
+        people.select(*keys["naissance"], *keys["deces"])
+        .groupBy("code_naissance", "own_naissance", "code_deces", "own_deces")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    choices = range(1 << len(FLAG_NAMES))
+
+    def weights(side: str) -> DataFrame:
+        """Places of every code by the names of every choice of flags; a name outside of the choice is left blank."""
+        asked = counted.select(F.col(f"code_{side}").alias("code"), F.col(f"own_{side}").alias("own")).distinct()
+        own = F.when(F.col("own").startswith("="), F.expr("substring(own, 2)"))
+        placed = asked.join(search, F.col("code") == F.col("num_insee_search"), "left").select(
+            "code", "own", F.coalesce("commune_valide", own).alias("ville"), "nom_departement", "nom_region"
+        )
+        named = placed.groupBy(*placed.columns).agg(F.count(F.lit(1)).alias("w"))
+
+        def chosen(choice: int) -> Column:
+            parts = [F.when(F.lit(bool(choice >> i & 1)), F.col(c)).otherwise("") for i, c in enumerate(FLAG_NAMES.values())]
+            fields = [p.alias(f"name_{i}") for i, p in enumerate(parts)]
+            return F.when(reduce(and_, [p.isNotNull() for p in parts]), F.struct(F.lit(choice).alias("choice"), *fields))
+
+        each = F.explode(F.array_compact(F.array(*[chosen(c) for c in choices])))
+        names = ["choice", *[f"name_{i}" for i in range(len(FLAG_NAMES))]]
+        rows = named.select("code", "own", "w", each.alias("c")).select("code", "own", "c.*", "w")
+        summed = rows.groupBy("code", "own", *names).agg(F.sum("w").alias("w"))
+        return summed.withColumnsRenamed({"code": f"code_{side}", "own": f"own_{side}", "w": f"w_{side}"})
+
+    names = ["choice", *[f"name_{i}" for i in range(len(FLAG_NAMES))]]
+    met = counted.join(weights("naissance"), ["code_naissance", "own_naissance"]).join(
+        weights("deces"), ["code_deces", "own_deces", *names]
+    )
+    product = F.col("n").cast("decimal(38,0)") * F.col("w_naissance") * F.col("w_deces")
+    least = met.groupBy("choice").agg(F.sum(product).alias("least"))
+    # Combinations with just these flags: at least these, less those with one more, and so on.
+    terms = [(flags, choice, -1 if (choice ^ flags).bit_count() % 2 else 1) for flags in choices for choice in choices if choice & flags == flags]
+    table = small_table(persons.sparkSession, terms, "flags int, choice int, sign int")
+    exact = least.join(F.broadcast(table), "choice").groupBy("flags").agg(F.sum(F.col("least") * F.col("sign")).cast("long").alias("nb"))
+    shown = [F.when(F.expr(f"shiftright(flags, {i}) % 2 = 1"), "O").otherwise("N").alias(c) for i, c in enumerate(FLAG_NAMES)]
+    return exact.where("nb > 0").select(*shown, "nb")
+
+
 def with_native_flags(located: DataFrame) -> DataFrame:
     """``O`` where birth and death agree on city, department or region; a missing name gives ``N``."""
-    pairs = {
-        "origine_ville": "ville",
-        "origine_departement": "nom_departement",
-        "origine_region": "nom_region",
-    }
     flags = {}
-    for flag, name in pairs.items():
+    for flag, name in FLAG_NAMES.items():
         same = F.col(f"{name}_naissance") == F.col(f"{name}_deces")
         flags[flag] = F.when(same, "O").otherwise("N")
     return located.withColumns(flags)

@@ -297,10 +297,7 @@ def located_persons(spark, folder):
 )
 def located_persons_all_matches(spark, folder):
     """Every birth match with every death match, counted by flags."""
-    located = L.locate_persons(_facts(spark, folder), _search(spark, folder), keep_all=True)
-    return located.groupBy("origine_ville", "origine_departement", "origine_region").agg(
-        F.count(F.lit(1)).alias("nb")
-    )
+    return L.count_all_matches(_facts(spark, folder), _search(spark, folder))
 
 
 @query("J8", _LOCATED + "SELECT * FROM analysis")

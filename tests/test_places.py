@@ -165,3 +165,21 @@ def test_all_places_fills_only_the_main_list(spark):
 def test_chains_of_no_changes(spark):
     none = changes(spark, []).where("num_insee_avant = 'x'")
     assert L.latest_of_changes(none).collect() == [] and L.code_chains(none).collect() == []
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_counted_matches_equal_the_listed_ones(spark, seed):
+    """Codes with several, equal, nameless and no places; persons without code or city."""
+    rng = random.Random(seed)
+    codes, names = ["a", "b", "c", "d", "none", None], ["x", "y", None]
+    people = [
+        (i, rng.choice(codes), rng.choice(["x", "q", "", None]), "P", rng.choice(codes), rng.choice(["x", "y", ""])) for i in range(60)
+    ]
+    places = [
+        (rng.choice("abcd"), "v", rng.choice(names), 1.0, 1.0, "1", rng.choice(names), "1", rng.choice(names)) for _ in range(12)
+    ]
+    facts = spark.createDataFrame(people, persons(spark).schema)
+    found = spark.createDataFrame(places, search(spark).schema)
+    flags = ["origine_ville", "origine_departement", "origine_region"]
+    listed = L.locate_persons(facts, found, keep_all=True).groupBy(*flags).count().collect()
+    assert sorted(map(tuple, L.count_all_matches(facts, found).collect())) == sorted(map(tuple, listed))

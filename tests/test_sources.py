@@ -1,4 +1,5 @@
 import io
+import random
 import zipfile
 
 import pytest
@@ -113,3 +114,35 @@ def test_class_table(spark):
     classes = spark.createDataFrame([(1, 0, 10), (2, 10, 20)], "la_borne int, borne_inf_strict int, borne_sup_egale int")
     df = spark.createDataFrame([(0,), (1,), (10,), (11,), (21,), (None,)], "x int")
     assert [r["classe"] for r in V.class_from_table(df, "x", classes).collect()] == [0, 1, 1, 2, 0, 0]
+
+
+@pytest.mark.parametrize("frequent", [2, 1000])
+def test_overlapping_classes(spark, monkeypatch, frequent):
+    """Of overlapping ranges the last class wins; empty ranges and missing bounds hold nothing."""
+    monkeypatch.setattr(V, "FREQUENT", frequent)
+    rng = random.Random(4)
+    ranges = [(rng.randrange(9), *sorted((rng.randrange(60), rng.randrange(60)))) for _ in range(25)]
+    ranges += [(50, 5, 5), (51, None, 9), (52, 30, 20), (8, 40, 41), (8, 40, 42)]
+    classes = spark.createDataFrame(ranges, "la_borne int, borne_inf_strict int, borne_sup_egale int")
+    values = [rng.choice([7, 7, rng.randrange(-2, 63), None]) for _ in range(200)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x int")
+    found = {r.i: r.classe for r in V.class_from_table(df, "x", classes).collect()}
+
+    def plain(v):
+        held = [r for r in ranges if None not in (v, *r) and r[1] < v <= r[2]]
+        return max(held)[0] if held else 0
+
+    assert found == {i: plain(v) for i, v in enumerate(values)}
+
+
+def test_many_classes(spark):
+    """100,000 classes, with a wide one below them all."""
+    classes = spark.range(100_000).selectExpr("id + 2 AS la_borne", "id * 3 AS borne_inf_strict", "id * 3 + 2 AS borne_sup_egale")
+    classes = classes.unionByName(spark.createDataFrame([(1, -10, 200_000)], classes.schema))
+    df = spark.range(-20, 300_020).select(F.col("id").alias("x"))
+    found = V.class_from_table(df, "x", classes)
+    inside = (F.col("x") > 0) & (F.col("x") < 300_000) & (F.col("x") % 3 != 0)
+    wide = (F.col("x") > -10) & (F.col("x") <= 200_000)
+    wanted = F.when(inside, F.floor(F.col("x") / 3) + 2).when(wide, 1).otherwise(0)
+    assert found.where(wanted != F.col("classe")).count() == 0 and found.count() == 300_040
+    assert V.class_from_table(df, "x", classes.where("false")).where("classe <> 0").count() == 0
