@@ -75,31 +75,77 @@ def missing_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
+def automatic_bins(df: DataFrame, column: str) -> Column:
+    """Number of equal-width bins that suits the values, as a one-row scalar.
+
+    The smaller width of two rules: Sturges' (range / (log2 n + 1)) and that of Freedman and Diaconis (twice the distance of
+    the quartiles / cube root of n), the latter only if the quartiles differ. At least one bin; null without values.
+    """
+    value = F.col(column).cast("double")
+    ends = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"), F.count(value).alias("n")).alias("e")).scalar()
+    quartiles = quantiles(df, column, [0.25, 0.75]).withColumn("e", ends)
+    reach, n = F.col("e.high") - F.col("e.low"), F.col("e.n")
+    sturges = reach / (F.log2(n.cast("double")) + 1)
+    between = 2 * (F.col("quantiles")[1] - F.col("quantiles")[0]) / F.cbrt(n.cast("double"))
+    width = F.when(between > 0, F.least(between, sturges)).otherwise(sturges)
+    bins = F.when(reach > 0, F.ceil(F.try_divide(reach, width))).when(n > 0, F.lit(1))
+    return quartiles.select(F.greatest(bins, F.lit(1)).cast("long").alias("bins")).scalar()
+
+
+def histogram(df: DataFrame, column: str, bins: int | None = 10) -> DataFrame:
     """Equal-width bins from the least to the greatest value, the last one closed; empty bins count 0.
 
-    If all values are equal, all fall in the first of ``bins`` bins of width 0; without values there are no bins.
+    Without a number of ``bins`` it is :func:`automatic_bins`; a single far value then makes many of them. If all values are
+    equal, all fall in the first bin, of width 0; without values there are no bins.
     """
-    ends = df.agg(F.struct(F.min(column).alias("low"), F.max(column).alias("high")).alias("e")).scalar()
-    placed = df.where(F.col(column).isNotNull()).select(F.col(column).alias("v"), ends.alias("e"))
-    width = (F.col("e.high") - F.col("e.low")) / bins
-    number = F.when(width == 0, 0).otherwise(
-        F.least(F.floor(F.try_divide(F.col("v") - F.col("e.low"), width)).cast("int"), F.lit(bins - 1))
+    value = F.col(column).cast("double")
+    number = automatic_bins(df, column) if bins is None else F.lit(bins).cast("long")
+    ends = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high")).alias("e")).scalar()
+    # One row with the ends and the number of bins, that every row sees.
+    layout = df.sparkSession.range(1).select(F.struct(ends.alias("e"), number.alias("bins")).alias("l")).scalar()
+    width = (F.col("l.e.high") - F.col("l.e.low")) / F.col("l.bins")
+    place = F.when(width == 0, F.lit(0).cast("long")).otherwise(
+        F.least(F.floor(F.try_divide(F.col("v") - F.col("l.e.low"), width)), F.col("l.bins") - 1)
     )
-    counts = placed.select(number.alias("classe")).groupBy("classe").agg(F.count(F.lit(1)).alias("effectif"))
-    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("classe"), ends.alias("e"))
+    placed = df.where(value.isNotNull()).select(value.alias("v"), layout.alias("l"))
+    counts = placed.select(place.alias("classe")).groupBy("classe").agg(F.count(F.lit(1)).alias("effectif"))
+    every = df.sparkSession.range(1).select(layout.alias("l")).where(F.col("l.e.low").isNotNull())
     return (
-        every.where(F.col("e.low").isNotNull())
+        every.select("l", F.explode(F.sequence(F.lit(0).cast("long"), F.col("l.bins") - 1)).alias("classe"))
         .join(counts, "classe", "left")
         .select(
-            (F.col("classe") + 1).alias("classe"),
-            (F.col("e.low") + F.col("classe") * width).alias("debut"),
-            (F.col("e.low") + (F.col("classe") + 1) * width).alias("fin"),
+            (F.col("classe") + 1).cast("int").alias("classe"),
+            (F.col("l.e.low") + F.col("classe") * width).alias("debut"),
+            (F.col("l.e.low") + (F.col("classe") + 1) * width).alias("fin"),
             F.coalesce("effectif", F.lit(0)).alias("effectif"),
         )
     )
 
 
+def density_curve(df: DataFrame, column: str, points: int = 200, cells: int = 4096) -> DataFrame:
+    """Gaussian density at ``points`` equally spaced places from the least to the greatest value: ``x``, ``densite``.
+
+    The bandwidth is Scott's (standard deviation / fifth root of n). The values are counted once in ``cells`` narrow cells,
+    and the curve is the sum of the cells' counts under the kernel; so its work does not grow with the rows. No curve for less than
+    two values, or equal ones.
+    """
+    value = F.col(column).cast("double")
+    moments = df.agg(
+        F.struct(F.min(value).alias("low"), F.max(value).alias("high"), F.stddev_samp(value).alias("std"), F.count(value).alias("n")).alias("m")
+    ).scalar()
+    reach = F.col("m.high") - F.col("m.low")
+    placed = df.where(value.isNotNull()).select(value.alias("v"), moments.alias("m")).where(reach > 0)
+    cell = F.least(F.floor((F.col("v") - F.col("m.low")) / (reach / cells)), F.lit(cells - 1))
+    counts = placed.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("c"))
+    centre = F.col("m.low") + (F.col("cell") + 0.5) * (reach / cells)
+    x = F.col("m.low") + F.col("point") * (reach / (points - 1))
+    width = F.col("m.std") / F.pow(F.col("m.n").cast("double"), F.lit(0.2))
+    seen = counts.select("cell", "c", moments.alias("m"), F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    height = F.col("c") * F.exp(-F.pow((x - centre) / width, F.lit(2.0)) / 2)
+    scaled = height / (F.col("m.n") * width * F.sqrt(2 * F.pi()))
+    return seen.groupBy("point", x.alias("x")).agg(F.sum(scaled).alias("densite")).select("x", "densite")
+
+
 def pivot_table(
     df: DataFrame,
     index: Sequence[str],

@@ -250,6 +250,23 @@ def file_family(spark, folder):
     return files.read_family(spark, f"{path}/*", "n_nationkey int, n_name string", r"n_regionkey=(\d+)", "pays")
 
 
+@query(
+    "S5 U1",
+    """SELECT c_custkey, c_name, CASE WHEN c_nationkey % 3 = 2 THEN NULL ELSE c_acctbal END AS c_acctbal,
+  CAST(c_nationkey AS VARCHAR) AS pays FROM customer""",
+)
+def shuffled_family(spark, folder):
+    """Customers in files of three layouts: in order, turned round with a further column, and without the balance."""
+    path = shared_folder(spark, "pays")
+    customers = table(spark, folder, "customer")
+    layouts = [["c_custkey", "c_name", "c_acctbal"], ["c_mktsegment", "c_acctbal", "c_name", "c_custkey"], ["c_name", "c_custkey"]]
+    for k, columns in enumerate(layouts):
+        part = customers.where(F.col("c_nationkey") % 3 == k).select(*columns, "c_nationkey")
+        part.repartition("c_nationkey").write.partitionBy("c_nationkey").mode("append").csv(path, header=True)
+    schema = "c_custkey bigint, c_name string, c_acctbal double"
+    return files.read_family(spark, f"{path}/*", schema, r"c_nationkey=(\d+)", "pays")
+
+
 # ---------------------------------------------------------------- documents
 
 

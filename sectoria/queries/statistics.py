@@ -114,6 +114,37 @@ def histogram(spark, folder):
     return found.select("classe", rounded("debut", 6), rounded("fin", 6), "effectif")
 
 
+@query(
+    "A32",
+    """WITH e AS (SELECT min(value) AS low, max(value) AS high, count(value) AS n,
+    quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iqr FROM events),
+  w AS (SELECT low, high, CAST(ceil((high - low) / CASE WHEN iqr > 0 THEN least(2 * iqr / cbrt(n), (high - low) / (log2(n) + 1))
+    ELSE (high - low) / (log2(n) + 1) END) AS INTEGER) AS k FROM e),
+  counts AS (SELECT least(floor((value - low) / ((high - low) / k)), k - 1) AS i, count(*) AS n FROM events, w GROUP BY 1)
+  SELECT CAST(r.i + 1 AS INTEGER) AS classe, round_even(low + r.i * ((high - low) / k), 6) AS debut,
+    round_even(low + (r.i + 1) * ((high - low) / k), 6) AS fin, coalesce(n, 0) AS effectif
+  FROM (SELECT low, high, k, unnest(range(k)) AS i FROM w) r LEFT JOIN counts c ON c.i = r.i""",
+)
+def automatic_histogram(spark, folder):
+    found = U.histogram(table(spark, folder, "events"), "value", bins=None)
+    return found.select("classe", rounded("debut", 6), rounded("fin", 6), "effectif")
+
+
+@query(
+    "A32",
+    """WITH m AS (SELECT min(value) AS low, max(value) AS high, stddev_samp(value) / power(count(value), 0.2) AS h, count(value) AS n
+    FROM events),
+  cells AS (SELECT least(floor((value - low) / ((high - low) / 4096)), 4095) AS cell, count(*) AS c FROM events, m GROUP BY 1)
+  SELECT round_even(low + i * ((high - low) / 199), 6) AS x,
+    round_even(sum(c * exp(-power((low + i * ((high - low) / 199) - (low + (cell + 0.5::DOUBLE) * ((high - low) / 4096))) / h, 2) / 2)
+      / (n * h * sqrt(2 * pi()))), 9) AS densite
+  FROM cells, m, range(200) AS r(i) GROUP BY low, high, i""",
+)
+def density_curve(spark, folder):
+    curve = U.density_curve(table(spark, folder, "events"), "value")
+    return curve.select(rounded("x", 6), rounded("densite", 9))
+
+
 @query(
     "A33",
     """SELECT p_type, count(*) FILTER (WHERE p_size <= 10) AS petit, count(*) FILTER (WHERE p_size > 10) AS grand,

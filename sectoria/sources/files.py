@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LINE_WIDTH = 200
+# Files whose headers are read at the same time.
+HEADERS_AT_ONCE = 16
 
 
 def read_lines(
@@ -98,8 +103,49 @@ def unzip_rows(archives: DataFrame, schema: str | T.StructType, chunk: int = 50_
     return rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target.fields])
 
 
-def read_family(spark: SparkSession, path: str, schema: str | T.StructType, pattern: str, key: str) -> DataFrame:
-    """Union of files of one layout; ``key`` is the part of the file path that ``pattern`` captures."""
-    rows = spark.read.schema(schema).csv(path, header=True)
-    found = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
-    return rows.select("*", F.nullif(found, F.lit("")).alias(key))
+def file_headers(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files below ``path`` by their header line; files without one are left out.
+
+    One line of every file is read, several files at a time; only paths and headers come to the driver.
+    """
+    listed = spark.read.format("binaryFile").load(path).select("path").collect()
+    paths = sorted(row.path for row in listed)
+
+    def header(file: str) -> tuple[str, ...]:
+        first = spark.read.text(file).first()
+        return tuple(next(csv.reader([first.value.removeprefix("\ufeff")]), ())) if first else ()
+
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        headers = list(pool.map(header, paths))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for names, file in zip(headers, paths, strict=True):
+        if names:
+            found.setdefault(names, []).append(file)
+    return found
+
+
+def read_family(
+    spark: SparkSession, path: str | list[str], schema: str | T.StructType, pattern: str, key: str
+) -> DataFrame:
+    """Union of the files of a family by column names; ``key`` is the part of the file path that ``pattern`` captures.
+
+    Files of one header are read together. Columns may stand in any order; a declared column that a file lacks is null there, other
+    columns are left out. Of columns of one name the first counts.
+    """
+    target = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    found = F.nullif(F.regexp_extract(F.col("_metadata.file_path"), pattern, 1), F.lit("")).alias(key)
+    parts = []
+    for names, files in sorted(file_headers(spark, path).items()):
+        # Columns are read by their place in this header, under the name that stands there for the first time.
+        layout = T.StructType()
+        for place, name in enumerate(names):
+            first = name in target.names and names.index(name) == place
+            layout.add(name if first else f"_other_{place}", target[name].dataType if first else T.StringType())
+        rows = spark.read.schema(layout).csv(files, header=True, encoding="UTF-8")
+        columns = [
+            F.col(f"`{f.name}`") if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in target.fields
+        ]
+        parts.append(rows.select(*columns, found))
+    if not parts:
+        return spark.createDataFrame([], T.StructType([*target.fields, T.StructField(key, T.StringType())]))
+    return reduce(DataFrame.unionByName, parts)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sectoria.operators import quantiles as Q
+from sectoria.operators import summaries as U
 from sectoria.operators.positions import with_position, with_running_total
 
 
@@ -115,3 +116,22 @@ def test_outliers_and_zscore(spark):
     assert [r["x"] for r in Q.iqr_outliers(df, "x").collect()] == [100.0]
     scores = [r["zscore"] for r in Q.with_zscore(df, "x").collect()]
     assert sum(scores) == pytest.approx(0) and sum(s * s for s in scores) == pytest.approx(6)
+
+
+def test_automatic_bins_and_density(spark):
+    """The larger number of bins of numpy's two rules, the curve against the sum over all values, and columns without spread."""
+    rng = random.Random(4)
+    for values in ([rng.gauss(5, 2) for _ in range(400)], [1.0] * 30 + [2.0, 9.0], [rng.expovariate(1) for _ in range(50)]):
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+        rules = ["sturges", "fd"] if np.ptp(np.quantile(values, [0.25, 0.75])) else ["sturges"]
+        counts, edges = max((np.histogram(values, bins=rule) for rule in rules), key=lambda h: len(h[0]))
+        rows = U.histogram(df, "v", bins=None).orderBy("classe").collect()
+        assert [r.effectif for r in rows] == counts.tolist()
+        assert [r.debut for r in rows] == pytest.approx(edges[:-1].tolist())
+        width = np.std(values, ddof=1) / len(values) ** 0.2
+        for r in U.density_curve(df, "v", points=20).collect():
+            exact = np.exp(-(((r.x - np.array(values)) / width) ** 2) / 2).sum() / (len(values) * width * math.sqrt(2 * math.pi))
+            assert r.densite == pytest.approx(exact, abs=1e-3)
+    same = spark.createDataFrame([(3.0,), (3.0,)], "v double")
+    assert [tuple(r) for r in U.histogram(same, "v", bins=None).collect()] == [(1, 3.0, 3.0, 2)]
+    assert U.density_curve(same, "v").collect() == [] == U.histogram(same.where("false"), "v", bins=None).collect()

@@ -48,6 +48,21 @@ def test_family_key_comes_from_the_file(spark, tmp_path):
     assert {tuple(r) for r in rows} == {(2, "FR"), (2, "IT")}
 
 
+def test_family_is_united_by_names(spark, tmp_path):
+    files_ = {
+        "FR": "b,a\n1,x\n2,\n",
+        "IT": "a,b\ny,3\n",
+        "ES": "other,b\nq,4\n",
+        "PT": "b,b,a\n5,6,z\n",
+        "SE": "",
+    }
+    for country, text in files_.items():
+        (tmp_path / f"meteo_{country}.csv").write_text(text)
+    rows = files.read_family(spark, str(tmp_path), "a string, b int", r"meteo_([A-Z]+)\.csv", "CN").collect()
+    wanted = [("x", 1, "FR"), (None, 2, "FR"), ("y", 3, "IT"), (None, 4, "ES"), ("z", 5, "PT")]
+    assert sorted(map(tuple, rows), key=str) == sorted(wanted, key=str)
+
+
 def test_catalogue_and_default(spark):
     doc = """{"resources": [{"title": "deces-2023.txt", "latest": "", "url": "u23"}, {"title": "deces-2024.txt", "latest": "l24", "url": "u24"},
       {"title": "deces-2023.txt", "latest": "again"}, {"title": "deces-2024-m01.txt", "url": "no"}, {"title": "deces-2022.txt"}]}"""
