@@ -285,6 +285,11 @@ def latest_of_changes(changes: DataFrame) -> DataFrame:
     return latest_codes(with_loops.unionByName(ended))
 
 
+SEARCH_COLUMNS = (
+    "num_insee_search num_insee_valide commune_valide origine latitude longitude code_departement nom_departement code_region nom_region"
+).split()
+
+
 def search_table(places: DataFrame, latest: DataFrame) -> DataFrame:
     """Every known code with its valid code and the place of the valid code.
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import places as L
 from ..operators.summaries import distinct_values, top_groups
+from ..sources.tables import publish_view, read_table, replace_table
 from .base import table
 from .registry import query
 
@@ -72,8 +73,12 @@ def merged_place_lists(spark, folder):
     return L.merge_place_lists(*_lists(spark, folder))
 
 
-def _places(spark, folder):
+def _merged(spark, folder):
     main, yearly = _lists(spark, folder)
+    return L.merge_place_lists(main.withColumn("code_departement", F.coalesce("code_departement", F.lit("nan"))), yearly)
+
+
+def _places(spark, folder, merged=None):
     o, c = F.col("n_nationkey"), F.col("r_regionkey")
     overseas = table(spark, folder, "nation").select(
         _code(o * 999, 9).alias("num_insee"),
@@ -89,8 +94,7 @@ def _places(spark, folder):
         c.cast("double").alias("latitude"),
         (-c).cast("double").alias("longitude"),
     )
-    main = main.withColumn("code_departement", F.coalesce("code_departement", F.lit("nan")))
-    return L.all_places(L.merge_place_lists(main, yearly), overseas, countries)
+    return L.all_places(_merged(spark, folder) if merged is None else merged, overseas, countries)
 
 
 _PLACES = (
@@ -182,8 +186,7 @@ def latest_codes(spark, folder):
     return L.latest_of_changes(_changes(spark, folder))
 
 
-@query(
-    "J5 K4",
+_SEARCH = (
     _PLACES.replace("WITH main", "WITH RECURSIVE main")
     + ", "
     + _CHAINS
@@ -193,12 +196,26 @@ def latest_codes(spark, folder):
     FROM places FULL OUTER JOIN latest ON num_insee = num_insee_invalide)
   SELECT num_insee_search, num_insee_valide, upper(commune_valide) AS commune_valide, origine, latitude, longitude,
     code_departement, upper(nom_departement) AS nom_departement, code_region, upper(nom_region) AS nom_region
-  FROM codes LEFT JOIN places ON num_insee_valide = num_insee""",
+  FROM codes LEFT JOIN places ON num_insee_valide = num_insee"""
 )
+
+
+@query("J5 K4", _SEARCH)
 def search_table(spark, folder):
     return L.search_table(_places(spark, folder), L.latest_of_changes(_changes(spark, folder)))
 
 
+@query("K1 K4 S10 J1 J2 J5", _SEARCH)
+def table_chain(spark, folder):
+    """The search table as a chain of stored tables and a view, each read from the ones before; one is rebuilt from itself."""
+    replace_table(_merged(spark, folder), "listes_fusionnees")
+    replace_table(_places(spark, folder, spark.table("listes_fusionnees")), "lieux")
+    replace_table(spark.table("lieux").where("num_insee IS NOT NULL"), "lieux")
+    replace_table(L.latest_of_changes(_changes(spark, folder)), "codes_actuels")
+    publish_view(L.search_table(spark.table("lieux"), spark.table("codes_actuels")), "recherche")
+    return read_table(spark, "recherche", L.SEARCH_COLUMNS)
+
+
 def _facts(spark, folder):
     """Order lines with a birth code (supplier) and a death code (customer)."""
 

@@ -208,12 +208,26 @@ def yearly_refresh(spark, folder):
 # ---------------------------------------------------------------- delimited files
 
 
-@query("S3 K3", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
+@query(
+    "S3 K3",
+    """SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 5 > 0 THEN o_orderstatus END AS o_orderstatus, o_totalprice,
+  strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, CASE WHEN o_orderkey % 7 > 0 THEN '"' || o_orderpriority || '", x' END AS o_orderpriority
+  FROM orders""",
+)
 def csv_round_trip(spark, folder):
+    """Dates, nulls, quotes and separators through a file; an empty text comes back as null."""
     path = shared_folder(spark, "csv")
-    orders = table(spark, folder, "orders").drop("o_orderdate")
-    tables.replace_csv(orders, path)
-    return files.read_delimited(spark, path, orders.schema)
+    k = F.col("o_orderkey")
+    orders = table(spark, folder, "orders").withColumns(
+        {
+            "o_orderdate": F.col("o_orderdate").cast("date"),
+            "o_orderstatus": F.when(k % 5 > 0, F.col("o_orderstatus")),
+            "o_orderpriority": F.when(k % 7 > 0, F.concat(F.lit('"'), "o_orderpriority", F.lit('", x'))).otherwise(""),
+        }
+    )
+    tables.replace_csv(orders, path, escape='"')
+    back = files.read_delimited(spark, path, orders.schema, escape='"')
+    return back.withColumn("o_orderdate", iso("o_orderdate"))
 
 
 @query("S4", "SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part")
@@ -351,6 +365,30 @@ def html_rows(spark, folder):
     )
 
 
+@query(
+    "S8",
+    r"""SELECT n_name AS page, c_custkey AS cle, c_name || ' & <' || c_mktsegment || '>' AS nom,
+  CASE WHEN c_custkey % 3 = 0 THEN 'oui é détail ' || c_name || ' fin' ELSE '' END AS note FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+)
+def html_tables(spark, folder):
+    """Customers in a page for each nation: tables inside of cells, references, cells without end tags, other tables before."""
+    name = F.concat("c_name", F.lit(" &amp; &lt;"), "c_mktsegment", F.lit("&#62;"))
+    inner = F.concat(F.lit("oui &eacute; <table class='wikitable'><tr><td>d&#xe9;tail<td>"), "c_name", F.lit("</td></tr></table> fin"))
+    note = F.when(F.col("c_custkey") % 3 == 0, inner).otherwise("")
+    row = F.concat(F.lit("<TR class=x><td> "), F.col("c_custkey").cast("string"), F.lit("\n<th>"), name, F.lit("</th>\n<td>"), note)
+    closed = F.concat(row, F.when(F.col("c_custkey") % 2 == 0, "</td></tr>").otherwise("<!-- </table> -->"))
+    rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", closed.alias("h")))), lambda r: r["h"]), "\n")
+    head = "<html></table><table><tr><td>autre</td><td>table</td></tr></table><p>x</p><table class='a wikitable'><tr><th>cle</th><th>nom</th></tr>"
+    pages = (
+        table(spark, folder, "customer")
+        .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .groupBy(F.col("n_name").alias("page"))
+        .agg(F.concat(F.lit(head), rows, F.lit("</table><table class='wikitable'><tr><td>a<td>b</table>")).alias("html"))
+    )
+    found = D.html_table_rows(pages, "html", {"cle": 0, "nom": 1, "note": 2}, keep=("page",))
+    return found.select("page", F.col("cle").cast("bigint").alias("cle"), "nom", "note")
+
+
 @query(
     "S9",
     """SELECT c_mktsegment AS groupe, n_name AS nom, CAST(n_nationkey AS VARCHAR) AS code, count(*) AS nb

@@ -72,9 +72,11 @@ def parse_death_lines(lines: DataFrame, line: str = "value", keep: tuple[str, ..
     return cut.select(*keep, F.inline(F.array(F.struct(*[value.alias(name) for name, value in fields.items()]))))
 
 
-def read_delimited(spark: SparkSession, path: str | list[str], schema: str | T.StructType, sep: str = ",") -> DataFrame:
+def read_delimited(
+    spark: SparkSession, path: str | list[str], schema: str | T.StructType, sep: str = ",", **options: str
+) -> DataFrame:
     """UTF-8 file with a header and a declared schema."""
-    return spark.read.schema(schema).csv(path, header=True, sep=sep, encoding="UTF-8")
+    return spark.read.schema(schema).csv(path, header=True, sep=sep, encoding="UTF-8", **options)
 
 
 def read_zipped(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:

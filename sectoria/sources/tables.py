@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Tasks that share the rows of one year when years are written.
-YEAR_FILES = 8
+from ..session import shared_folder
+
+# Rows of a file when years are written: some hundred MB of records.
+ROWS_PER_FILE = 2_000_000
 
 
 def read_table(spark: SparkSession, name: str, columns: Sequence[str]) -> DataFrame:
@@ -32,7 +34,18 @@ def read_database(
 
 
 def replace_table(df: DataFrame, name: str) -> None:
-    df.write.mode("overwrite").saveAsTable(name)
+    """Replace the catalog table ``name`` by the rows of ``df``, which may be read from the table itself.
+
+    Every version is written to a folder of its own; then the name is pointed to it in one step. A run that fails leaves the
+    version before, and readers that have begun keep theirs. Folders of earlier versions stay in the shared folder.
+    """
+    spark = df.sparkSession
+    path = shared_folder(spark, name.replace(".", "_"))
+    df.write.parquet(path)
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")
+    columns = ", ".join(f"`{c.replace('`', '``')}`" for c in df.columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{path}`")
 
 
 def replace_folder(df: DataFrame, path: str) -> None:
@@ -47,15 +60,24 @@ def replace_csv(df: DataFrame, path: str, **options: str) -> None:
     df.write.mode("overwrite").csv(path, header=True, encoding="UTF-8", **options)
 
 
-def replace_years(df: DataFrame, path: str, year: str = "annee") -> None:
+def replace_years(df: DataFrame, path: str, year: str = "annee", rows_per_file: int = ROWS_PER_FILE) -> None:
     """Replace only the years present in ``df``; other years of the folder stay.
 
-    Rows of a year are brought to ``YEAR_FILES`` tasks, which keeps the files few and a large year spread.
+    The rows of every year are counted first; a year is then written by as many tasks as it takes at ``rows_per_file`` rows
+    each, so that small years have one file and no task holds a large year.
     """
     others = [F.col(f"`{c}`") for c in df.columns if c != year]
-    share = F.pmod(F.xxhash64(*others), F.lit(YEAR_FILES)) if others else F.lit(0)
-    grouped = df.repartition(F.col(year), share)
-    grouped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year).parquet(path)
+    files = F.ceil(F.count(F.lit(1)) / rows_per_file)
+    # One entry for every year; a missing year has the key of an empty text.
+    key = F.coalesce(F.col(f"`{year}`").cast("string"), F.lit(""))
+    counts = df.groupBy(key.alias("y")).agg(files.cast("long").alias("n"))
+    shares = counts.agg(F.map_from_entries(F.collect_list(F.struct("y", "n")))).scalar()
+    share = F.pmod(F.xxhash64(*others), F.try_element_at(F.col("_shares"), key)) if others else F.lit(0)
+    spread = df.withColumn("_shares", shares).withColumn("_share", share).drop("_shares")
+    years = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    grouped = spread.repartition(int(years), F.col(f"`{year}`"), "_share").drop("_share")
+    writer = grouped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year)
+    writer.option("maxRecordsPerFile", 2 * rows_per_file).parquet(path)
 
 
 def publish_view(df: DataFrame, name: str) -> None:
