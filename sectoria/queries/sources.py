@@ -230,14 +230,14 @@ def csv_round_trip(spark, folder):
     return back.withColumn("o_orderdate", iso("o_orderdate"))
 
 
-@query("S4", "SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part")
+@query("S4", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
 def zipped_csv(spark, folder):
     """Parts as zip archives of a thousand keys each, written by the tasks and read back."""
     import io
     import zipfile
 
     def archive(pdf):
-        text = pdf[["p_partkey", "p_name", "p_brand", "p_size", "p_retailprice"]].to_csv(index=False)
+        text = pdf[["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]].to_csv(index=False)
         buffer = io.BytesIO()
         with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as target:
             target.writestr("part.csv", text)
@@ -245,7 +245,7 @@ def zipped_csv(spark, folder):
 
     path = shared_folder(spark, "zip")
     part = table(spark, folder, "part")
-    columns = "p_partkey bigint, p_name string, p_brand string, p_size int, p_retailprice double"
+    columns = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
     lots = part.withColumn("lot", F.floor(F.col("p_partkey") / 1000).cast("bigint"))
     packed = lots.groupBy("lot").applyInPandas(archive, "lot bigint, content binary")
     packed.write.parquet(f"{path}/packed")

@@ -68,10 +68,10 @@ def _text_sql(c: str) -> str:
 
 @query(
     "A29",
-    " UNION ALL ".join([_number_sql(c) for c in ("p_size", "p_retailprice")] + [_text_sql(c) for c in ("p_brand", "p_type", "p_name")]),
+    " UNION ALL ".join([_number_sql(c) for c in ("p_partkey", "p_size", "p_retailprice")] + [_text_sql(c) for c in ("p_brand", "p_type", "p_name")]),
 )
 def describe(spark, folder):
-    found = U.describe(table(spark, folder, "part"), ["p_size", "p_retailprice"], ["p_brand", "p_type", "p_name"])
+    found = U.describe(table(spark, folder, "part"), ["p_partkey", "p_size", "p_retailprice"], ["p_brand", "p_type", "p_name"])
     return found.withColumns({c: rounded(c, 3) for c in ("mean", "std", "q25", "q50", "q75")})
 
 
@@ -158,6 +158,30 @@ def contingency(spark, folder):
 # ---------------------------------------------------------------- tests
 
 
+def _simpson(f: str, start: str, width: float, steps: int = 4000) -> str:
+    """Integral of ``f`` (an expression of u) from ``start`` on by Simpson's rule, in SQL."""
+    h = width / steps
+    weight = f"CASE WHEN i = 0 OR i = {steps} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    body = f.replace("<u>", f"({start} + i * {h!r}::DOUBLE)")
+    return f"({h / 3!r}::DOUBLE * list_sum(list_transform(range({steps + 1}), lambda i: {weight} * {body})))"
+
+
+def _normal_tail(z: str) -> str:
+    return _simpson("exp(-<u> * <u> / 2) / sqrt(2 * pi())", z, 14.0)
+
+
+def _student_tail(t: str, degrees: str) -> str:
+    """Upper tail for many degrees, beyond which nothing is left after 40."""
+    density = f"""exp(lgamma(({degrees} + 1) / 2) - lgamma({degrees} / 2) - ({degrees} + 1) / 2 * ln(1 + <u> * <u> / {degrees}))
+      / sqrt({degrees} * pi())"""
+    return _simpson(density, t, 40.0, 8000)
+
+
+def _chi_tail(x: str, degrees: str) -> str:
+    """Upper tail of the root of chi-square."""
+    return _simpson(f"power(2, 1 - {degrees} / 2) * power(<u>, {degrees} - 1) * exp(-<u> * <u> / 2) / gamma({degrees} / 2)", f"sqrt({x})", 14.0)
+
+
 def _horner(coefficients, x: str) -> str:
     value = repr(float(coefficients[-1]))
     for c in reversed(coefficients[:-1]):
@@ -170,10 +194,10 @@ _QUANTILE = f"""CASE WHEN abs(q) <= 0.425 THEN q * {_horner(A._CENTRE_UP, "r")}
   ELSE sign(q) * {_horner(A._FAR_UP, "(s - 5.0)")} / {_horner(A._FAR_DOWN, "(s - 5.0)")} END"""
 
 
-def _shapiro_sql(column: str, source: str) -> str:
+def _shapiro_sql(column: str, source: str, digits: int = 7) -> str:
     return f"""SELECT '{column}' AS variable, n, round_even(power(an * (h1 - l1) + ap * (h2 - l2)
       + (mx - m1 * (h1 - l1) - m2 * (h2 - l2)) / sqrt((s2 - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * an * an - 2 * ap * ap)), 2)
-      / spread, 7) AS "W"
+      / spread, {digits}) AS "W"
   FROM (SELECT *, {_horner([0, 0.221157, -0.147981, -2.07119, 4.434685, -2.706056], "u")} + m1 / sqrt(s2) AS an,
       {_horner([0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633], "u")} + m2 / sqrt(s2) AS ap
     FROM (SELECT n, 1 / sqrt(n) AS u, sum(m * m) AS s2, sum(m * x) AS mx, var_pop(x) * n AS spread,
@@ -191,10 +215,21 @@ def shapiro_statistics(spark, folder):
     return found.select("variable", "n", rounded("W", 7))
 
 
-@query("T1 T6")
+_SHAPIRO_Z = f"""(ln(1 - "W") - {_horner([-1.5861, -0.31082, -0.083751, 0.0038915], "ln(n)")})
+  / exp({_horner([-0.4803, -0.082676, 0.0030302], "ln(n)")})"""
+
+
+@query(
+    "T1 T6",
+    f"""SELECT variable, n, round_even("W", 7) AS "W", round_even(p, 6) AS p_value, n > 5000 AS extrapolated,
+  CASE WHEN p < 0.05 THEN 'non normale' ELSE 'normale' END AS decision
+  FROM (SELECT *, CASE WHEN z < 0 THEN 1 - {_normal_tail("(-z)")} ELSE {_normal_tail("z")} END AS p
+    FROM (SELECT *, {_SHAPIRO_Z} AS z FROM ({" UNION ALL ".join(_shapiro_sql(c, "part", 12) for c in ("p_size", "p_retailprice"))})))""",
+)
 def shapiro_tests(spark, folder):
     found = A.shapiro_wilk(table(spark, folder, "part"), ["p_size", "p_retailprice"])
-    return found.withColumn("decision", A.decision(F.col("p_value"), "non normale", "normale"))
+    decided = found.withColumn("decision", A.decision(F.col("p_value"), "non normale", "normale"))
+    return decided.withColumns({"W": rounded("W", 7), "p_value": rounded("p_value", 6)})
 
 
 _LINE_PAIRS = [("l_quantity", "l_extendedprice"), ("l_discount", "l_tax"), ("l_linenumber", "l_extendedprice")]
@@ -228,9 +263,23 @@ def _with_decision(found):
     )
 
 
-@query("T2 T6")
+def _rounded_test(found):
+    return found.withColumns({"coefficient": rounded("coefficient", 8), "p_value": rounded("p_value", 6)})
+
+
+_DECISION = """CASE WHEN p < 0.05 THEN 'correlation monotone' ELSE 'pas de correlation monotone' END AS decision,
+  CASE WHEN r > 0 THEN 'positive' ELSE 'negative' END AS sens"""
+
+
+@query(
+    "T2 T6",
+    f"""SELECT variable_x, variable_y, effectif, round_even(r, 8) AS coefficient, round_even(p, 6) AS p_value, {_DECISION}
+  FROM (SELECT *, 2 * {_student_tail("abs(r * sqrt((effectif - 2) / (1 - r * r)))", "(effectif - 2.0::DOUBLE)")} AS p FROM ({" UNION ALL ".join(
+      f"SELECT '{a}' AS variable_x, '{b}' AS variable_y, count(*) AS effectif, corr({a}, {b}) AS r FROM (SELECT {_rank_sql(a)}, {_rank_sql(b)} FROM lineitem)"
+      for a, b in _LINE_PAIRS)}))""",
+)
 def spearman_tests(spark, folder):
-    return _with_decision(A.spearman(table(spark, folder, "lineitem"), _LINE_PAIRS))
+    return _rounded_test(_with_decision(A.spearman(table(spark, folder, "lineitem"), _LINE_PAIRS)))
 
 
 _PART_MEASURES = """(SELECT p_size, p_retailprice, p_partkey % 37 AS reste, length(p_name) AS lettres,
@@ -266,9 +315,57 @@ def kendall_coefficients(spark, folder):
     return found.select("variable_x", "variable_y", rounded("coefficient", 8))
 
 
-@query("T3 T6")
+def _kendall_test_sql(a: str, b: str, source: str) -> str:
+    """Tau and its normal deviate from running counts over the grid of both columns' values."""
+
+    def ties(c: str) -> str:
+        return f"""(SELECT sum(t * (t - 1)) AS p, sum(CAST(t AS DOUBLE) * (t - 1) * (t - 2)) AS c,
+      sum(CAST(t AS DOUBLE) * (t - 1) * (2 * t + 5)) AS v FROM (SELECT count(*) AS t FROM {source} GROUP BY {c}))"""
+
+    before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    return f"""SELECT '{a}' AS variable_x, '{b}' AS variable_y, n AS effectif,
+    s / (sqrt((CAST(n AS DOUBLE) * (n - 1) - x.p) / 2) * sqrt((CAST(n AS DOUBLE) * (n - 1) - y.p) / 2)) AS r,
+    s / sqrt((CAST(n AS DOUBLE) * (n - 1) * (2 * n + 5) - x.v - y.v) / 18 + CAST(x.p AS DOUBLE) * y.p / (2 * CAST(n AS DOUBLE) * (n - 1))
+      + x.c * y.c / (9 * CAST(n AS DOUBLE) * (n - 1) * (n - 2))) AS z
+    FROM (SELECT CAST(sum(n) AS BIGINT) AS n, CAST(sum(n * (coalesce(low, 0) - coalesce(high, 0))) AS DOUBLE) AS s FROM (
+      SELECT n, sum(less) OVER (PARTITION BY {a} ORDER BY {b} {before}) AS low, sum(less) OVER (PARTITION BY {a} ORDER BY {b} DESC {before}) AS high
+      FROM (SELECT {a}, {b}, n, sum(n) OVER (PARTITION BY {b} ORDER BY {a} {before}) AS less FROM (
+        SELECT g.{a}, g.{b}, coalesce(c.n, 0) AS n FROM (SELECT * FROM (SELECT DISTINCT {a} FROM {source}), (SELECT DISTINCT {b} FROM {source})) g
+        LEFT JOIN (SELECT {a}, {b}, count(*) AS n FROM {source} GROUP BY ALL) c ON c.{a} = g.{a} AND c.{b} = g.{b})))) t, {ties(a)} x, {ties(b)} y"""
+
+
+@query(
+    "T3 T6",
+    f"""SELECT variable_x, variable_y, effectif, round_even(r, 8) AS coefficient, round_even(p, 6) AS p_value, {_DECISION}
+  FROM (SELECT *, 2 * {_normal_tail("abs(z)")} AS p FROM ({" UNION ALL ".join(_kendall_test_sql(a, b, "lineitem") for a, b in _LINE_PAIRS)}))""",
+)
 def kendall_tests(spark, folder):
-    return _with_decision(A.kendall(table(spark, folder, "lineitem"), _LINE_PAIRS))
+    return _rounded_test(_with_decision(A.kendall(table(spark, folder, "lineitem"), _LINE_PAIRS)))
+
+
+_SMALL_SAMPLES = """(SELECT sum(p_partkey) AS cles, sum(p_partkey * p_size) AS tailles, sum(p_partkey * p_partkey) AS carres
+    FROM part GROUP BY p_brand)"""
+
+
+@query(
+    "T3 T6",
+    f"""WITH RECURSIVE s AS {_SMALL_SAMPLES}, orders_of AS (SELECT 1 AS k, [CAST(1 AS HUGEINT)] AS ways
+    UNION ALL SELECT k + 1, list_transform(range(CAST((k + 1) * k // 2 + 1 AS BIGINT)), lambda i: CAST(list_sum(list_transform(range(k + 1),
+      lambda j: coalesce(ways[i - j + 1], CAST(0 AS HUGEINT)) * CAST(i >= j AS INTEGER))) AS HUGEINT)) FROM orders_of WHERE k < 25),
+  pairs AS ({" UNION ALL ".join(
+      f"SELECT 'cles' AS variable_x, '{c}' AS variable_y, sum((a.{c} > b.{c})::INT) AS d, (SELECT count(*) FROM s) AS n FROM s a, s b WHERE a.cles < b.cles"
+      for c in ("tailles", "carres"))})
+  SELECT variable_x, variable_y, n AS effectif, round_even(1 - 4.0::DOUBLE * d / (n * (n - 1)), 8) AS coefficient,
+    round_even(least(1, 2 * CAST(list_sum(ways[1:CAST(least(d, n * (n - 1) // 2 - d) + 1 AS BIGINT)]) AS DOUBLE) / CAST(list_sum(ways) AS DOUBLE)), 12) AS p_value
+  FROM pairs JOIN orders_of ON k = n""",
+)
+def kendall_small_samples(spark, folder):
+    """Totals of the brands, few rows without ties: the exact distribution."""
+    k = F.col("p_partkey")
+    totals = [F.sum(k).alias("cles"), F.sum(k * F.col("p_size")).alias("tailles"), F.sum(k * k).alias("carres")]
+    brands = table(spark, folder, "part").groupBy("p_brand").agg(*totals)
+    found = A.kendall(brands, [("cles", "tailles"), ("cles", "carres")])
+    return found.withColumns({"coefficient": rounded("coefficient", 8), "p_value": rounded("p_value", 12)})
 
 
 _ALL = [(a, b) for a in _PART_COLUMNS for b in _PART_COLUMNS]
@@ -332,17 +429,25 @@ _CRITICAL = {1: 3.841458820694124, 2: 5.991464547107979, 3: 7.814727903251179, 4
 )
 def chi_square_decisions(spark, folder):
     """Decisions by p-value; the SQL takes them by the critical value."""
-    tested = chi_square_tests(spark, folder)
-    return tested.select("x", "y", "ddl", "decision")
+    return _chi_square_tests(spark, folder).select("x", "y", "ddl", "decision")
 
 
-@query("T5 T6")
-def chi_square_tests(spark, folder):
+def _chi_square_tests(spark, folder):
     return _chi_squares(spark, folder).withColumn(
         "decision", A.decision(F.col("p_value"), "variables dependantes", "variables independantes")
     )
 
 
+@query(
+    "T5 T6",
+    f"""SELECT x, y, effectif, round_even(khi2, 7) AS khi2, ddl, round_even(p, 6) AS p_value, nb_cellules_inf5,
+  CASE WHEN p < 0.05 THEN 'variables dependantes' ELSE 'variables independantes' END AS decision
+  FROM (SELECT *, {_chi_tail("khi2", "CAST(ddl AS DOUBLE)")} AS p FROM ({" UNION ALL ".join(_chi_square_sql(a, b) for a, b in _TABLES)}))""",
+)
+def chi_square_tests(spark, folder):
+    return _chi_square_tests(spark, folder).withColumns({"khi2": rounded("khi2", 7), "p_value": rounded("p_value", 6)})
+
+
 @query(
     "T5 A33",
     f"""SELECT l_linenumber, l_returnflag, observe, round_even(attendu, 6) AS attendu
