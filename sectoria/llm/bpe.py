@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Iterator
-from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -25,7 +24,6 @@ WORD_END = "</w>"
 KEPT_WORDS = 200_000
 KEPT_PAIRS = 500_000
 BATCH_BYTES = 1_000_000
-CHUNKS_AT_ONCE = 100_000
 # Symbols of a word: the bytes as they are, and from here on the bytes that end a word.
 ENDING = 256
 CODED = "doc_id long, n_tokens long, ids array<int>, decoded string"
@@ -73,7 +71,6 @@ class PrefixCoder:
                 self.id_of[symbols(left + right)] = whole
         self.pairs: dict[tuple[int, int], bool] = {}
         self.words: dict[str, tuple[list[int], str]] = {}
-        self.chunks: dict[str, tuple[list[int], str]] = {}
         self.specials = {t["content"]: t["id"] for t in tokenizer["added_tokens"]}
         self.text_of |= {i: t for t, i in self.specials.items()}
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
@@ -149,27 +146,8 @@ class PrefixCoder:
         """Tokens without a decoder are joined by a space."""
         return " ".join(self.text_of[i] for i in ids)
 
-    def encode_chunk(self, chunk: str) -> tuple[list[int], str]:
-        """Ids of a stretch without blanks, lower-cased, and their decoded text."""
-        ids: list[int] = []
-        decoded: list[str] = []
-        for word in self.word.findall(chunk):
-            coded = self.words.get(word)
-            if coded is None:
-                if len(self.words) >= KEPT_WORDS:
-                    self.words.clear()
-                coded = self.encode_word(word)
-                if len(word) <= 64:
-                    self.words[word] = coded
-            ids += coded[0]
-            decoded.append(coded[1])
-        return ids, " ".join(decoded)
-
     def encode(self, text: str) -> tuple[list[int], str]:
-        """Ids of a text and their decoded text; special tokens in the text stand for themselves.
-
-        No word holds a blank, so the stretches between blanks are coded on their own and looked up afterwards.
-        """
+        """Ids of a text and their decoded text; special tokens in the text stand for themselves."""
         ids: list[int] = []
         decoded: list[str] = []
         for part in self.special.split(text) if self.special else [text]:
@@ -178,23 +156,18 @@ class PrefixCoder:
                 decoded.append(part)
                 continue
             # Lower case is taken character by character, so a sigma never takes its final form.
-            chunks = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower().split(" ")
-            known = self.chunks
-            for i in range(0, len(chunks), CHUNKS_AT_ONCE):
-                coded = []
-                for chunk in chunks[i : i + CHUNKS_AT_ONCE]:
-                    found = known.get(chunk)
-                    if found is None:
-                        if len(known) >= KEPT_WORDS:
-                            known.clear()
-                        found = self.encode_chunk(chunk)
-                        if len(chunk) <= 64:
-                            known[chunk] = found
-                    if found[0]:
-                        coded.append(found)
-                ids += chain.from_iterable([c[0] for c in coded])
-                if coded:
-                    decoded.append(" ".join([c[1] for c in coded]))
+            words = self.word.findall(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
+            known = self.words
+            for word in words:
+                coded = known.get(word)
+                if coded is None:
+                    if len(known) >= KEPT_WORDS:
+                        known.clear()
+                    coded = self.encode_word(word)
+                    if len(word) <= 64:
+                        known[word] = coded
+                ids += coded[0]
+                decoded.append(coded[1])
         return ids, " ".join(decoded)
 
 
