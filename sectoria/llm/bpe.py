@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 WORD_END = "</w>"
 KEPT_WORDS = 200_000
 KEPT_PAIRS = 500_000
+PAIR_BITS = 32
 BATCH_BYTES = 1_000_000
 # Symbols of a word: the bytes as they are, and from here on the bytes that end a word.
 ENDING = 256
@@ -69,8 +70,8 @@ class PrefixCoder:
                 self.rank[whole] = place
                 self.parts[whole] = (a, b)
                 self.id_of[symbols(left + right)] = whole
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, tuple[list[int], str]] = {}
+        self.pairs: dict[int, bool] = {}
+        self.words: dict[str, tuple[tuple[int, ...], str]] = {}
         self.specials = {t["content"]: t["id"] for t in tokenizer["added_tokens"]}
         self.text_of |= {i: t for t, i in self.specials.items()}
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
@@ -111,40 +112,44 @@ class PrefixCoder:
                 limit = min(limit, self.rank[right] + 1)
                 right = self.parts[right][0]
 
-    def compatible(self, left: int, right: int) -> bool:
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self._compatible(left, right)
-        return known
-
     def encode_symbols(self, text: str) -> list[int]:
         """Ids of one word given as symbols: last token of every prefix, then the way back."""
         last = [-1] * (len(text) + 1)
         size = [0] * (len(text) + 1)
+        pairs = self.pairs
         for end, (length, token) in self.matches.iter(text):
             end += 1
             if size[end]:
                 continue
-            before = last[end - length]
-            if end == length or (before >= 0 and self.compatible(before, token)):
-                last[end], size[end] = token, length
+            if end != length:
+                before = last[end - length]
+                if before < 0:
+                    continue
+                pair = before << PAIR_BITS | token
+                fits = pairs.get(pair)
+                if fits is None:
+                    if len(pairs) >= KEPT_PAIRS:
+                        pairs.clear()
+                    fits = pairs[pair] = self._compatible(before, token)
+                if not fits:
+                    continue
+            last[end], size[end] = token, length
         ids, end = [], len(text)
         while end:
             ids.append(last[end])
             end -= size[end]
-        return ids[::-1]
+        ids.reverse()
+        return ids
 
     def encode_word(self, word: str) -> tuple[list[int], str]:
         """Ids of a word and the decoded text of these ids."""
         data = word.encode()
-        ids = self.encode_symbols("".join(map(chr, data[:-1])) + chr(data[-1] + ENDING))
+        ids = self.encode_symbols(data[:-1].decode("latin-1") + chr(data[-1] + ENDING))
         return ids, self.decode(ids)
 
     def decode(self, ids: list[int]) -> str:
         """Tokens without a decoder are joined by a space."""
-        return " ".join(self.text_of[i] for i in ids)
+        return " ".join([self.text_of[i] for i in ids])
 
     def encode(self, text: str) -> tuple[list[int], str]:
         """Ids of a text and their decoded text; special tokens in the text stand for themselves."""
@@ -163,7 +168,9 @@ class PrefixCoder:
                 if coded is None:
                     if len(known) >= KEPT_WORDS:
                         known.clear()
-                    coded = self.encode_word(word)
+                    found, back = self.encode_word(word)
+                    # Tuples of numbers and texts are nothing that the garbage collector has to follow.
+                    coded = (tuple(found), back)
                     if len(word) <= 64:
                         known[word] = coded
                 ids += coded[0]
