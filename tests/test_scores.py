@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from sectoria.operators import profiles as P
 from sectoria.operators import scores as S
-from sectoria.operators.association import pair_cells
+from sectoria.operators.association import spearman
 from sectoria.plans.dashboard import sector_pages
 
 FLAGS = ["origine_ville", "origine_departement", "origine_region", "origine_nationale"]
@@ -128,6 +128,6 @@ def test_selection_summary(spark):
     assert tuple(row) == (50, True, 10.0, 2.0, 3.0)
 
 
-def test_pair_cells_leave_out_missing_values(spark):
+def test_pairs_leave_out_missing_values(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (1, None)], "a int, b int")
-    assert [r["n"] for r in pair_cells(df, [("a", "b")]).collect()] == [2]
+    assert [r["effectif"] for r in spearman(df, [("a", "b")]).collect()] == [2]
