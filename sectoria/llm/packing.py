@@ -10,6 +10,7 @@ given texts this needs 0.1 % more sequences than there are tokens for; single pi
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -27,6 +28,9 @@ from .bpe import byte_alphabet
 OPEN_BINS = 4096
 SHARE = 100_000
 END_ID = 2
+# Longer runs of blanks are beyond the pattern's stack; they are cut out before it. Unicode's white space.
+LONG_RUN = 100_000
+BLANKS = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
 
 
@@ -74,6 +78,26 @@ def encoding_of(described: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("described", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=specials)
 
 
+def text_ids(encoding: tiktoken.Encoding, text: str) -> list[int]:
+    """Ids of a text; special tokens in it stand for themselves.
+
+    The pattern takes a run of blanks as one word, but leaves its last one to a word that follows. Long runs are coded as
+    such words here.
+    """
+    if len(text) < LONG_RUN:
+        return encoding.encode(text, allowed_special="all")
+    specials = tuple(encoding.special_tokens_set)
+    ids, done = [], 0
+    for run in BLANKS.finditer(text):
+        stop = run.end()
+        if stop < len(text) and not text.startswith(specials, stop):
+            stop -= 1
+        ids += encoding.encode(text[done : run.start()], allowed_special="all")
+        ids += encoding._encode_single_piece(text[run.start() : stop])
+        done = stop
+    return ids + encoding.encode(text[done:], allowed_special="all")
+
+
 def cut_points(total: int, size: int) -> list[int]:
     """Starts of the pieces of ``total`` tokens, and the end; only the first piece may be shorter than ``size``."""
     first = total % size or size
@@ -111,7 +135,7 @@ def _pieces(described, size: int, with_ids: bool):
 
         for batch in batches:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = np.array([*encoding.encode(text.as_py() or "", allowed_special="all"), END_ID], dtype="<u4")
+                ids = np.array([*text_ids(encoding, text.as_py() or ""), END_ID], dtype="<u4")
                 points = cut_points(len(ids), size)
                 for piece, (start, stop) in enumerate(zip(points[:-1], points[1:], strict=True)):
                     part = ids[start:stop]

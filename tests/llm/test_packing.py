@@ -9,6 +9,7 @@ from public_tokenizers import path
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from sectoria.llm import packing
 from sectoria.llm.packing import BestFit, cut_points, packed, token_pieces
 
 
@@ -84,3 +85,21 @@ def test_best_fit_by_a_plain_version():
             if not bins[number]:
                 del bins[number]
             assert len(bins) <= limit and packer.open == len(bins)
+
+
+def test_long_runs_of_blanks_equal_the_library():
+    """A run alone, before a word, before a special token, of mixed blanks, and runs around the cut."""
+    name = path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(name)
+    with open(name, encoding="utf-8") as file:
+        encoding = packing.encoding_of(file.read())
+    n = packing.LONG_RUN
+    texts = [
+        " " * 1_000_000,
+        "a" + " " * 1_000_000 + "b",
+        "a" + " \t" * n + "\nword " + "\u3000\n" * n + "!",
+        "x" + " " * (n - 1) + "y" + " " * n + "<|endoftext|>" + " " * (n + 1) + "z<|endoftext|>",
+        "q" + "\n" * (n + 5) + "12 " * 40_000,
+    ]
+    for text in texts:
+        assert packing.text_ids(encoding, text) == library.encode(text, add_special_tokens=False).ids
