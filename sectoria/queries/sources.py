@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators.cleaning import error_counts
 from ..operators.places import one_row_per_code
 from ..plans import climate, mortality, place_tables, survey
-from ..session import shared_folder
+from ..session import cut_lineage, shared_folder
 from ..sources import documents as D
 from ..sources import files, tables
 from .base import PERSONS, iso, persons, rounded, table
@@ -187,7 +187,8 @@ def yearly_refresh(spark, folder):
     """The whole yearly refresh: lines to clean persons, places, distances and yearly profiles, stored by year."""
     profiles = mortality.yearly_profiles(mortality.death_people(written_lines(spark, folder)), _code_places(spark, folder))
     path = shared_folder(spark, "profils")
-    tables.replace_years(profiles, path)
+    # Stored, since the years are counted before they are written.
+    tables.replace_years(cut_lineage(profiles), path)
     return (
         spark.read.parquet(path)
         .withColumn("annee", F.col("annee").cast("string"))

@@ -64,7 +64,8 @@ def replace_years(df: DataFrame, path: str, year: str = "annee", rows_per_file:
     """Replace only the years present in ``df``; other years of the folder stay.
 
     The rows of every year are counted first; a year is then written by as many tasks as it takes at ``rows_per_file`` rows
-    each, so that small years have one file and no task holds a large year.
+    each, so that small years have one file and no task holds a large year. ``df`` is read twice: store it before if it is
+    costly to form.
     """
     others = [F.col(f"`{c}`") for c in df.columns if c != year]
     files = F.ceil(F.count(F.lit(1)) / rows_per_file)
