@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import lru_cache, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,30 @@ def text_chunks(offsets: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[
         first = last
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def release_memory() -> None:
+    """Gives memory that is free inside this process back to the system, as far as its libraries can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def released(work: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``work`` on the batches of a task, whose worker keeps no free memory for the tasks and stages that follow."""
+
+    @wraps(work)
+    def run(batches: Batches) -> Batches:
+        try:
+            yield from work(batches)
+        finally:
+            release_memory()
+
+    return run
+
+
 @lru_cache(maxsize=4)
 def _powers(size: int, base: int) -> np.ndarray:
     steps = np.full(size, base, dtype=np.uint64)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .bytetext import LOWER, Rolling, byte_column, mixed, text_chunks, word_spans
+from .bytetext import LOWER, Rolling, byte_column, mixed, released, text_chunks, word_spans
 
 TREES = 8
 LEVELS = 3
@@ -343,7 +343,7 @@ def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def common_buckets(sets: DataFrame) -> np.ndarray:
     """One bit for every bucket: whether its shingles stand in more than ``COMMON`` of the sets."""
-    counts = sets.mapInArrow(_bucket_counts, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counts = sets.mapInArrow(released(_bucket_counts), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     common = counts.where(F.col("n") > COMMON).select("bucket").toPandas()["bucket"].to_numpy()
     bits = np.zeros(1 << BUCKET_BITS, dtype=bool)
     bits[common] = True
@@ -464,7 +464,7 @@ def _core_pairs(alone: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
         .unionByName(against(right, 1, "head_block", "row_block", left_blocks))
         .repartition(parts, "row_block", "head_block")
         .sortWithinPartitions("row_block", "head_block")
-        .mapInArrow(_core_blocks(percent), "a long, b long")
+        .mapInArrow(released(_core_blocks(percent)), "a long, b long")
     )
 
 
@@ -476,7 +476,7 @@ def crowd_links(sets: DataFrame, links: DataFrame, compare, percent: int) -> Dat
     member with the smallest one, which keeps the components, and different cores are compared in blocks.
     """
     bits = sets.sparkSession.sparkContext.broadcast(common_buckets(sets))
-    profiles = cut_lineage(sets.mapInArrow(_profile(percent, bits), PROFILE))
+    profiles = cut_lineage(sets.mapInArrow(released(_profile(percent, bits)), PROFILE))
 
     def labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
         known = rows.join(connected(links).withColumnRenamed("v", "rep"), "rep", "left")
@@ -518,14 +518,14 @@ def linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int
     pairs = cut_lineage(_close_pairs(groups, percent))
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        return cut_lineage(of_ids(docs, ids, "left_semi").mapInArrow(_sets(width), "rep long, shingles binary"))
+        return cut_lineage(of_ids(docs, ids, "left_semi").mapInArrow(released(_sets(width)), "rep long, shingles binary"))
 
     def compare(members: DataFrame, sets: DataFrame) -> DataFrame:
         return (
             members.join(sets, "rep")
             .repartition(parts, "node")
             .sortWithinPartitions("node", "rep")
-            .mapInArrow(_compare(percent), "a long, b long")
+            .mapInArrow(released(_compare(percent)), "a long, b long")
             .distinct()
         )
 
@@ -566,7 +566,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     rows that share a doc_id get a row each. Further columns of ``docs`` are not looked at.
     """
     texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = cut_lineage(texts.mapInArrow(_sign(width), SIGNED))
+    signed = cut_lineage(texts.mapInArrow(released(_sign(width)), SIGNED))
     classes = cut_lineage(
         signed.where("n_shingles > 0")
         .groupBy("digest", "n_shingles")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
-from .bytetext import LOWER, byte_column, text_chunks
+from .bytetext import LOWER, byte_column, released, text_chunks
 
 BUCKETS = 1 << 14
 # Every byte stands in three trigrams, so a third of their sum is taken as independent.
@@ -106,7 +106,7 @@ def text_model(items: DataFrame, languages: list[str]) -> np.ndarray:
     """Log probability of every bucket in every language, add-one smoothed; the last bucket weighs nothing."""
     declared = items.where(F.col("declared").isin(languages)).select("text", "declared")
     counts = (
-        declared.mapInArrow(_counts(languages), "language long, bucket long, n long")
+        declared.mapInArrow(released(_counts(languages)), "language long, bucket long, n long")
         .groupBy("language", "bucket")
         .agg(F.sum("n").alias("n"))
         .toPandas()
@@ -220,7 +220,7 @@ def fused_languages(items: DataFrame, ids: Sequence[str]) -> DataFrame:
     model = spark.sparkContext.broadcast(text_model(items, languages))
     schema = items.drop("text").schema.add("letters", T.LongType()).add("trigrams", T.LongType())
     schema = schema.add("texts_log", T.ArrayType(T.DoubleType()))
-    scored = items.mapInArrow(_likelihoods(model), schema)
+    scored = items.mapInArrow(released(_likelihoods(model)), schema)
     best = (F.array_position("texts_log", F.array_max("texts_log")) - 1).cast("int")
     background = F.col("trigrams") * F.lit(-math.log(BUCKETS) * TEXT_SCALE) + F.lit(math.log(BACKGROUND))
     speaks = (F.col("letters") > 0) & (F.array_max("texts_log") * F.lit(TEXT_SCALE) >= background)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bytetext import Rolling, byte_column, text_chunks, word_spans
+from .bytetext import Rolling, byte_column, released, text_chunks, word_spans
 
 BUCKETS = 4096
 # One more feature counts the words that repeat the word before; it weighs as much as so many trigrams.
@@ -92,7 +92,10 @@ def _bucket_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 def rarity_of(docs: DataFrame) -> np.ndarray:
     """Inverse document frequency of every bucket over all documents."""
     counted = (
-        docs.select("text").mapInArrow(_bucket_documents, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+        docs.select("text")
+        .mapInArrow(released(_bucket_documents), "bucket long, n long")
+        .groupBy("bucket")
+        .agg(F.sum("n").alias("n"))
     )
     found = {r.bucket: r.n for r in counted.collect()}
     holding = np.array([found.get(b, 0) for b in range(FEATURES)])
@@ -177,7 +180,7 @@ def scored(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> DataFra
     """All columns of ``docs`` and its ``score``; a column of that name is replaced."""
     model = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, bound))
     rows = docs.drop("score")
-    return rows.mapInArrow(_scores(model), T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType())]))
+    return rows.mapInArrow(released(_scores(model)), T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType())]))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .bpe import byte_alphabet
+from .bytetext import released
 
 OPEN_BINS = 4096
 SHARE = 100_000
@@ -179,7 +180,7 @@ def token_pieces(docs: DataFrame, size: int = 1024, tokenizer: str | None = None
     with open(tokenizer or public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
         described = docs.sparkSession.sparkContext.broadcast(file.read())
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pieces = texts.mapInArrow(_pieces(described, size, with_ids), PIECES)
+    pieces = texts.mapInArrow(released(_pieces(described, size, with_ids)), PIECES)
     return pieces if with_ids else pieces.drop("ids")
 
 
@@ -196,5 +197,5 @@ def packed(pieces: DataFrame, size: int = 1024, open_bins: int = OPEN_BINS) -> D
         pieces.withColumn("dealt", dealt)
         .repartition(tasks, "dealt")
         .sortWithinPartitions("dealt", "doc_id", "piece")
-        .mapInArrow(_pack(size, open_bins), schema)
+        .mapInArrow(released(_pack(size, open_bins)), schema)
     )

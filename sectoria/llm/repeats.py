@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
-from .bytetext import BASE, CHUNK_BYTES, Rolling, byte_column, mixed, text_chunks
+from .bytetext import BASE, CHUNK_BYTES, Rolling, byte_column, mixed, released, text_chunks
 
 GRAM = 48
 HELD = 400_000
@@ -266,7 +266,7 @@ def repeated_runs(docs: DataFrame, length: int = 100) -> DataFrame:
     if not GRAM < length < 1 << RUN_BITS:
         raise ValueError(f"length must lie between {GRAM} and {1 << RUN_BITS}")
     texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    parsed = texts.mapInArrow(_parse(length), PARSE)
+    parsed = texts.mapInArrow(released(_parse(length)), PARSE)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     entry, hook = Window.partitionBy("trigger", "phrase"), Window.partitionBy("trigger")
     ranked = (
@@ -285,7 +285,7 @@ def repeated_runs(docs: DataFrame, length: int = 100) -> DataFrame:
     marks = cut_lineage(ranked)
     open_runs = marks.where(~F.col("repeats")).groupBy("doc_id").agg(F.collect_list("run").alias("open"))
     suffixes = texts.join(open_runs, "doc_id").mapInArrow(
-        _suffixes(length), "suffix long, half int, doc_id long, run long, later boolean"
+        released(_suffixes(length)), "suffix long, half int, doc_id long, run long, later boolean"
     )
     # As for phrases, suffixes settled inside a task are dealt out by their place.
     suffixes = suffixes.withColumn(
@@ -320,4 +320,4 @@ def remove_repeats(
     joined = texts.join(repeated_runs(docs, length), "doc_id", "left")
     fields = [texts.schema[c] for c in ("doc_id", *carried)]
     schema = T.StructType([*fields, *T.StructType.fromDDL(REMOVED + (", kept_text string" if with_text else ""))])
-    return joined.mapInArrow(_removal(length, with_text, list(carried)), schema)
+    return joined.mapInArrow(released(_removal(length, with_text, list(carried))), schema)
