@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .bytetext import LOWER, Rolling, byte_column, mixed, released, text_chunks, word_spans
+from .bytetext import LOWER, byte_column, mixed, released, text_chunks, word_hashes, word_spans
 
 TREES = 8
 LEVELS = 3
@@ -56,7 +56,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.n
     """Sorted hashes of the distinct shingles of each text, A-Z lower-cased; texts with fewer words have one shingle."""
     lowered = LOWER[data]
     starts, stops, before = word_spans(lowered, offsets)
-    words = Rolling(lowered).ranges(starts, stops) if len(starts) else np.zeros(0, dtype=np.uint64)
+    words = word_hashes(lowered, starts, stops)
     rows = max(0, len(words) - width + 1)
     joined = np.zeros(rows, dtype=np.uint64)
     for k in range(width):

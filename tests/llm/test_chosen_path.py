@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sectoria.llm import chosen_path
+from sectoria.llm import bytetext, chosen_path
 from sectoria.llm.chosen_path import connected, near_duplicates
 
 from .brute import components
@@ -115,3 +116,20 @@ def test_links_of_a_crowd_by_common_shingles_only(documents, monkeypatch):
     monkeypatch.setattr(chosen_path, "BLOCK", 20)
     monkeypatch.setattr(chosen_path, "COMMON", 20)
     check(documents, texts)
+
+
+def test_words_that_collide_under_every_polynomial_are_not_linked(documents):
+    """A Thue-Morse word and its complement have equal polynomial hashes modulo 2^64 for every odd base."""
+    morse = "".join("ab"[i.bit_count() % 2] for i in range(2048))
+    other = morse.translate(str.maketrans("ab", "ba"))
+    rows = near_duplicates(documents((1, f"x {morse} z"), (2, f"x {other} z"), (3, f"X {morse} z"))).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {1: 1, 2: 2, 3: 1}
+
+
+def test_hashes_of_words_do_not_depend_on_blocks_or_places():
+    data = np.frombuffer(b"one two  three one\x00 \x00 one " + "é".encode() * 3, dtype=np.uint8)
+    starts, stops, _ = bytetext.word_spans(data, np.array([0, len(data)]))
+    whole = bytetext.word_hashes(data, starts, stops)
+    assert (whole == bytetext.word_hashes(data, starts, stops, block=2)).all()
+    words = [data[a:b].tobytes() for a, b in zip(starts, stops, strict=True)]
+    assert len(set(words)) == len(set(whole.tolist())) == len(set(zip(words, whole.tolist(), strict=True)))
