@@ -145,12 +145,11 @@ def _likelihoods(model):
     return run
 
 
-def declared_languages(items: DataFrame) -> tuple[list[str], list[str]]:
-    """Declared codes with at least ``LEAST_TRIGRAMS`` trigrams of text, and those with less."""
+def declared_languages(items: DataFrame) -> list[str]:
+    """Declared codes with at least ``LEAST_TRIGRAMS`` trigrams of text."""
     trigrams = F.greatest(F.octet_length(F.coalesce("text", F.lit(""))) - 2, F.lit(0)).cast("long")
     counts = items.where(F.col("declared").isNotNull()).groupBy("declared").agg(F.sum(trigrams).alias("n")).collect()
-    enough = sorted(r.declared for r in counts if r.n >= LEAST_TRIGRAMS)
-    return enough, sorted(r.declared for r in counts if r.n < LEAST_TRIGRAMS)
+    return sorted(r.declared for r in counts if r.n >= LEAST_TRIGRAMS)
 
 
 def _votes(size: int) -> Column:
@@ -169,7 +168,7 @@ def _logs(shares: Column) -> Column:
 
 def evidence_tables(decided: DataFrame, size: int) -> tuple[list[float], DataFrame, DataFrame, DataFrame]:
     """Share of each language, and the logarithms that a declaration, a suffix and a host add to the languages."""
-    rows = decided.where(F.col("decided").isNotNull())
+    rows = decided.where(F.col("decided").isNotNull()).withColumn("declared", F.when(F.col("modelled"), F.col("declared")))
     overall = rows.agg(_votes(size)).first().votes or [0.0] * size
     totals = [(n or 0.0) + 1.0 for n in overall]
     shares = [n / sum(totals) for n in totals]
@@ -194,11 +193,13 @@ def evidence_tables(decided: DataFrame, size: int) -> tuple[list[float], DataFra
 def fused_languages(items: DataFrame, ids: Sequence[str]) -> DataFrame:
     """Language of every row of ``items``: columns ``ids``, ``text``, ``declared``, ``suffix``, ``host``.
 
-    Returns ``ids``, ``declared`` (as a code, null if it is none), ``language``, ``confidence`` (posterior share of the
+    Returns ``ids``, ``declared`` (as a code, null if it is none), ``modelled`` (whether that code has
+    ``LEAST_TRIGRAMS`` trigrams of text, null without a code), ``language``, ``confidence`` (posterior share of the
     language) and ``kept``. A row without any letter, or of no language with at least ``LEAST_CONFIDENCE``, is not kept.
-    The language is null and the confidence 0 without letters, where the background is more likely than every language, and
-    where the declared code has less than ``LEAST_TRIGRAMS`` trigrams of text, so that it can't be told from others. Null evidence adds nothing, null text has no letters. If no
-    row declares a language, none is known and no row is kept. Ties go to the first language in alphabetical order.
+    The language is null and the confidence 0 without letters and where the background is more likely than every language.
+    A code that is not modelled counts as no declaration: text, suffix and host decide. Null evidence adds nothing, null
+    text has no letters. If no code is modelled, no language is known and no row is kept. Ties go to the first language in
+    alphabetical order.
     """
     spark = items.sparkSession
     items = items.select(
@@ -208,11 +209,13 @@ def fused_languages(items: DataFrame, ids: Sequence[str]) -> DataFrame:
         F.col("suffix").cast("string").alias("suffix"),
         F.col("host").cast("string").alias("host"),
     )
-    languages, scarce = declared_languages(items)
+    languages = declared_languages(items)
+    modelled = F.col("declared").isin(languages).alias("modelled")
     if not languages:
         return items.select(
             *ids,
             "declared",
+            F.when(F.col("declared").isNotNull(), False).alias("modelled"),
             F.lit(None).cast("string").alias("language"),
             F.lit(0.0).alias("confidence"),
             F.lit(False).alias("kept"),
@@ -226,7 +229,7 @@ def fused_languages(items: DataFrame, ids: Sequence[str]) -> DataFrame:
     speaks = (F.col("letters") > 0) & (F.array_max("texts_log") * F.lit(TEXT_SCALE) >= background)
     decided = cut_lineage(
         scored.withColumns(
-            {"decided": F.when(speaks, best), "domain": domain_of(F.col("host"))}
+            {"decided": F.when(speaks, best), "domain": domain_of(F.col("host")), "modelled": modelled}
         )
     )
     size = len(languages)
@@ -248,16 +251,15 @@ def fused_languages(items: DataFrame, ids: Sequence[str]) -> DataFrame:
     fused = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), parts)
     top = F.array_max("fused")
     told = (F.col("letters") > 0) & (F.col("top") >= F.col("background"))
-    if scarce:
-        told &= F.col("declared").isNull() | ~F.col("declared").isin(scarce)
     names = F.array(*[F.lit(x) for x in languages])
     share = F.lit(1.0) / F.aggregate("fused", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
     return (
-        known.select(*ids, "declared", "letters", background.alias("background"), fused.alias("fused"))
+        known.select(*ids, "declared", "modelled", "letters", background.alias("background"), fused.alias("fused"))
         .withColumn("top", top)
         .select(
             *ids,
             "declared",
+            "modelled",
             F.when(told, F.element_at(names, F.array_position("fused", F.col("top")).cast("int"))).alias("language"),
             F.when(told, share).otherwise(0.0).alias("confidence"),
         )

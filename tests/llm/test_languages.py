@@ -146,12 +146,16 @@ def test_foreign_scripts_and_random_letters_are_of_no_language(spark, folder):
     assert all(r.kept for r in rows if r.doc_id >= 0)
 
 
-def test_rare_declarations_keep_their_language_or_get_none(spark):
-    """Far fewer than one in a thousand rows declare Finnish; Basque has too little text to be told."""
+def test_rare_declarations_keep_their_language_or_count_as_none(spark):
+    """Far fewer than one in a thousand rows declare Finnish; codes with too little text leave the rest to decide."""
     finnish = "ja on ei se että hän oli mutta niin kuin myös vain tämä ovat".split()
     rng = np.random.default_rng(5)
     made = [(1000 + i, t, "en", None, None) for i in range(250) for _, t, d, _, _ in rows()[:60] if d == "en"]
     made += rows() + [(-1 - i, " ".join(rng.choice(finnish, size=60)), "fi", None, None) for i in range(2)]
-    found = {r.doc_id: r for r in L.fused_languages(spark.createDataFrame(made + [(-9, "eta da", "eu", None, None)], SCHEMA), ["doc_id"]).collect()}
-    assert all(found[i].language == "fi" and found[i].kept for i in (-1, -2))
-    assert (found[-9].language, found[-9].confidence, found[-9].kept, found[-9].declared) == (None, 0.0, False, "eu")
+    english = next(t for _, t, d, _, _ in rows() if d == "en" and t and len(t) > 40)[:200]
+    made += [(-9, english, "xx", None, None), (-10, "12 34", "eu", None, None), (-11, english, None, None, None)]
+    found = {r.doc_id: r for r in L.fused_languages(spark.createDataFrame(made, SCHEMA), ["doc_id"]).collect()}
+    assert all(found[i].language == "fi" and found[i].kept and found[i].modelled for i in (-1, -2))
+    assert (found[-9].declared, found[-9].modelled, found[-9].language, found[-9].kept) == ("xx", False, "en", True)
+    assert (found[-9].confidence, found[-11].modelled) == (found[-11].confidence, None)
+    assert (found[-10].language, found[-10].confidence, found[-10].kept, found[-10].modelled) == (None, 0.0, False, False)
