@@ -34,7 +34,10 @@ GRAM = 48
 HELD = 400_000
 PLACE_BITS = 24
 RUN_BITS = 12
-PARSE = "trigger long, phrase long, doc_id long, run long, later boolean"
+# Phrases of strings up to this length stay below 1,024 bytes, from which on texts can be made whose polynomials are equal.
+LONGEST = 512
+PARSE = "trigger long, phrase long, doc_id long, version long, run long, later boolean"
+SUFFIXES = "suffix long, half int, doc_id long, version long, run long, later boolean"
 REMOVED = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -110,7 +113,7 @@ def later_rows(keys: tuple[np.ndarray, ...], doc: np.ndarray, start: np.ndarray)
 def _parsed(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
     if not parts:
         return
-    doc, begin, count, trigger, phrase = (np.concatenate(x) for x in zip(*parts, strict=True))
+    doc, version, begin, count, trigger, phrase = (np.concatenate(x) for x in zip(*parts, strict=True))
     parts.clear()
     later = later_rows((phrase, trigger), doc, begin)
     # Phrases that are settled already are dealt out by their place: copies of one text don't meet in one task.
@@ -123,10 +126,11 @@ def _parsed(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
                 pa.array(trigger[cut].view(np.int64)),
                 pa.array(phrase[cut].view(np.int64)),
                 pa.array(doc[cut].astype(np.int64)),
+                pa.array(version[cut]),
                 pa.array((begin[cut] << RUN_BITS) | count[cut]),
                 pa.array(later[cut]),
             ],
-            names=["trigger", "phrase", "doc_id", "run", "later"],
+            names=["trigger", "phrase", "doc_id", "version", "run", "later"],
         )
 
 
@@ -138,9 +142,10 @@ def _parse(length: int):
         for batch in batches:
             data, offsets = byte_column(batch.column("text"))
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            versions = batch.column("version").to_numpy(zero_copy_only=False)
             for first, shift, part, places in slices(data, offsets, length):
                 text, begin, stop, trigger, phrase = parse_bytes(part, places, length)
-                parts.append((ids[first + text], begin + shift, stop - begin, trigger, phrase))
+                parts.append((ids[first + text], versions[first + text], begin + shift, stop - begin, trigger, phrase))
                 held += len(text)
                 if held >= HELD:
                     yield from _parsed(parts)
@@ -164,6 +169,7 @@ def _suffixes(length: int):
         for batch in batches:
             data, offsets = byte_column(batch.column("text"))
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            versions = batch.column("version").to_numpy(zero_copy_only=False)
             lists = batch.column("open")
             bounds = lists.offsets.to_numpy()
             runs = lists.values.to_numpy(zero_copy_only=False)
@@ -182,22 +188,24 @@ def _suffixes(length: int):
                 suffix = np.lib.stride_tricks.sliding_window_view(part, length)[at].view(f"S{length}").ravel()
                 _, rank = np.unique(suffix, return_inverse=True)
                 doc = ids[first + text].astype(np.int64)
+                version = versions[first + text]
                 later = later_rows((rank,), doc, start)
                 # Settled suffixes in a row become one run; the others go on one by one.
                 new = np.ones(len(at), dtype=bool)
                 new[1:] = ~(later[1:] & later[:-1] & (at[1:] == at[:-1] + 1) & (owner[1:] == owner[:-1]))
                 head = np.flatnonzero(new)
                 count = np.diff(np.append(head, len(at)))
-                at, doc, start, later = at[head], doc[head], start[head], later[head]
+                at, doc, version, start, later = at[head], doc[head], version[head], start[head], later[head]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(rolling.ranges(at, at + length).view(np.int64)),
                         pa.array((rolling.ranges(at, at + length // 2) >> np.uint64(33)).astype(np.int32)),
                         pa.array(doc),
+                        pa.array(version),
                         pa.array((start << RUN_BITS) | count),
                         pa.array(later),
                     ],
-                    names=["suffix", "half", "doc_id", "run", "later"],
+                    names=["suffix", "half", "doc_id", "version", "run", "later"],
                 )
 
     return run
@@ -256,18 +264,30 @@ def _place() -> Column:
     return F.struct("doc_id", F.shiftright("run", RUN_BITS).alias("start"))
 
 
-def repeated_runs(docs: DataFrame, length: int = 100) -> DataFrame:
-    """Starts of strings of ``length`` bytes that also start earlier: ``doc_id``, ``runs`` (start and count, packed).
+def versioned(docs: DataFrame) -> DataFrame:
+    """Rows with a doc_id and its ``version``: a hash of the text where the id has different texts, else 0."""
+    named = docs.where(F.col("doc_id").isNotNull()).withColumn("doc_id", F.col("doc_id").cast("long"))
+    digest = F.xxhash64(F.coalesce("text", F.lit("")))
+    digests = named.select("doc_id", digest.alias("digest")).groupBy("doc_id")
+    several = digests.agg((F.min("digest") != F.max("digest")).alias("several")).where("several")
+    # Usually no row: the optimizer knows the size of the stored table and leaves the texts where they are.
+    several = cut_lineage(several)
+    version = F.when(F.col("several"), digest).otherwise(F.lit(0)).alias("version")
+    return named.join(several, "doc_id", "left").select(*named.columns, version)
 
-    A place is earlier if its doc_id is smaller, or in the same document if it stands before. Rows that share a
-    doc_id count as versions of one document: a place that repeats in one of them repeats in all. Rows without
-    doc_id are left out, null text counts as empty.
+
+def repeated_runs(texts: DataFrame, length: int = 100) -> DataFrame:
+    """Starts of strings of ``length`` bytes that also start earlier: ``doc_id``, ``version``, ``runs`` (start and count, packed).
+
+    ``texts`` are rows of ``versioned``. A place is earlier if its doc_id is smaller, or in the same document if it stands
+    before. Rows that share a doc_id count as versions of one document: the same place of another version is not earlier,
+    a smaller one is. Null text counts as empty.
     """
-    if not GRAM < length < 1 << RUN_BITS:
-        raise ValueError(f"length must lie between {GRAM} and {1 << RUN_BITS}")
-    texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if not GRAM < length <= LONGEST:
+        raise ValueError(f"length must lie between {GRAM + 1} and {LONGEST}")
+    texts = texts.select("doc_id", "version", "text")
     parsed = texts.mapInArrow(released(_parse(length)), PARSE)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     entry, hook = Window.partitionBy("trigger", "phrase"), Window.partitionBy("trigger")
     ranked = (
         parsed.repartition(parts, "trigger")
@@ -280,13 +300,12 @@ def repeated_runs(docs: DataFrame, length: int = 100) -> DataFrame:
             | (F.shiftright("first.run", RUN_BITS) != F.shiftright("run", RUN_BITS)),
         )
         .where(F.col("repeats") | F.col("shared"))
-        .select("doc_id", "run", "repeats")
+        .select("doc_id", "version", "run", "repeats")
     )
     marks = cut_lineage(ranked)
-    open_runs = marks.where(~F.col("repeats")).groupBy("doc_id").agg(F.collect_list("run").alias("open"))
-    suffixes = texts.join(open_runs, "doc_id").mapInArrow(
-        released(_suffixes(length)), "suffix long, half int, doc_id long, run long, later boolean"
-    )
+    named = ["doc_id", "version"]
+    open_runs = marks.where(~F.col("repeats")).groupBy(named).agg(F.collect_list("run").alias("open"))
+    suffixes = texts.join(open_runs, named).mapInArrow(released(_suffixes(length)), SUFFIXES)
     # As for phrases, suffixes settled inside a task are dealt out by their place.
     suffixes = suffixes.withColumn(
         "suffix", F.when(F.col("later"), F.xxhash64("doc_id", "run")).otherwise(F.col("suffix"))
@@ -295,13 +314,13 @@ def repeated_runs(docs: DataFrame, length: int = 100) -> DataFrame:
     late = (
         suffixes.withColumn("first", F.min(_place()).over(equal))
         .where(F.col("later") | (F.col("first") != _place()))
-        .select("doc_id", "run")
+        .select("doc_id", "version", "run")
     )
     return (
         marks.where("repeats")
-        .select("doc_id", "run")
+        .select("doc_id", "version", "run")
         .unionByName(late)
-        .groupBy("doc_id")
+        .groupBy(named)
         .agg(F.collect_list("run").alias("runs"))
     )
 
@@ -315,9 +334,8 @@ def remove_repeats(
     ``kept_sha256`` of the bytes left; with ``with_text`` also ``kept_text``, in which a character stays unless all its
     bytes are removed. Other columns of ``docs`` are not looked at. A row for each row of ``docs`` that has a doc_id.
     """
-    numbered = docs.where(F.col("doc_id").isNotNull()).withColumn("doc_id", F.col("doc_id").cast("long"))
-    texts = numbered.select("doc_id", "text", *carried)
-    joined = texts.join(repeated_runs(docs, length), "doc_id", "left")
+    texts = versioned(docs.select("doc_id", "text", *carried))
+    joined = texts.join(repeated_runs(texts, length), ["doc_id", "version"], "left")
     fields = [texts.schema[c] for c in ("doc_id", *carried)]
     schema = T.StructType([*fields, *T.StructType.fromDDL(REMOVED + (", kept_text string" if with_text else ""))])
     return joined.mapInArrow(released(_removal(length, with_text, list(carried))), schema)

@@ -81,3 +81,23 @@ def test_clashing_columns_null_ids_and_no_rows(documents):
 def test_rows_of_one_id_are_versions_of_one_document(documents):
     rows = remove_repeats(documents((4, "z1" * 80), (4, "z1" * 80))).collect()
     assert len(rows) == 2 and len({r.n_removed for r in rows}) == 1 and rows[0].n_removed == 158
+
+
+def test_different_texts_of_one_id_keep_their_own_runs(documents):
+    rng = random.Random(4)
+    shared, other = words(rng, 40), words(rng, 30)
+    rows = [(4, "head " + shared), (4, shared[20:] + other), (4, "tiny"), (4, None), (5, other + shared), (3, other), (6, "x")]
+    first = {}
+    for doc, text in rows:
+        data = (text or "").encode()
+        for i in range(len(data) - 99):
+            key = data[i : i + 100]
+            first[key] = min(first.get(key, (doc, i)), (doc, i))
+    expected = []
+    for doc, text in rows:
+        data = (text or "").encode()
+        gone = {k for i in range(len(data) - 99) if first[data[i : i + 100]] < (doc, i) for k in range(i, i + 100)}
+        expected.append((doc, len(data), len(gone), hashlib.sha256(bytes(b for k, b in enumerate(data) if k not in gone)).hexdigest()))
+    found = remove_repeats(documents(*rows).repartition(3)).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in found) == sorted(expected)
+    assert sum(n > 0 for _, _, n, _ in expected) >= 2
