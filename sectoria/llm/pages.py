@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html as references
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -32,6 +33,7 @@ CONTAINERS = frozenset(
 )
 BREAKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th caption figcaption pre hr address summary legend".split())
 NEVER = frozenset("head nav footer aside dialog menu fieldset".split())
+CONTROLS = frozenset("button label output meter progress".split())
 # Words of classes, ids and roles that name what is not the article.
 BESIDE = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar side aside menu nav navbar "
@@ -45,9 +47,11 @@ OUTSIDE = 0.1
 WEAK, STRONG = 1, 2
 LIKELY = frozenset("article content entry main post story text".split())
 
+# A tag that lacks its end stops before the next one, so that no search for an end goes on to the end of the page each time.
+QUOTED = r"""\"[^\"]*+\"|'[^']*+'"""
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>%s)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>" % "|".join(RAW),
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{'|'.join(RAW)})\b(?:(?:{QUOTED}|[^<>\"'])*+>|[^<>]*+>).*?(?:</(?P=raw)\s*+>|\Z)"
+    rf"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<rest>(?:{QUOTED}|[^<>\"'])*+)(?:>|(?=<))|<[!?][^<>]*+(?:>|(?=<))",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
@@ -57,7 +61,9 @@ CAMEL = re.compile(r"([a-z])([A-Z])")
 
 @dataclass(slots=True)
 class Container:
-    path: str
+    label: str
+    # Length of this container's path if the path asked for starts with it, else -1.
+    matched: int
     tag: str
     parent: int
     beside: bool
@@ -65,6 +71,7 @@ class Container:
     depth: int
     hidden: bool
     suspect: int
+    in_article: bool
 
 
 @dataclass(slots=True)
@@ -72,6 +79,21 @@ class Page:
     containers: list[Container] = field(default_factory=list)
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
 
+    def path(self, place: int) -> str:
+        """Labels from the root down to a container."""
+        labels = []
+        while place > 0:
+            labels.append(self.containers[place].label)
+            place = self.containers[place].parent
+        return "".join(f">{label}" for label in reversed(labels))
+
+    def summed(self, own: list) -> list:
+        """Sum of ``own`` over each container and all below it; containers come before those below them."""
+        total = list(own)
+        for i in range(len(total) - 1, 0, -1):
+            total[self.containers[i].parent] += total[i]
+        return total
+
 
 def _described(tag: str, rest: str, in_article: bool) -> tuple[str, bool, int, float]:
     """Generalised name of an element, whether it is never read, whether it is suspect, and a factor for likely names."""
@@ -116,37 +138,49 @@ def _below(page: Page, tops: set[int]) -> list[bool]:
 def settle(page: Page, path: str | None) -> None:
     """Decides which suspect containers stand beside the article; those around ``path`` and on it do not."""
     containers = page.containers
-    suspects = [
-        i
-        for i, c in enumerate(containers)
-        if c.suspect and not c.hidden and (path is None or not f"{path}>".startswith(f"{c.path}>"))
-    ]
+
+    def around(c: Container) -> bool:
+        return path is not None and c.matched >= 0 and (c.matched == len(path) or path[c.matched] == ">")
+
+    suspects = [i for i, c in enumerate(containers) if c.suspect and not c.hidden and not around(c)]
     blocks = [b for b in page.blocks if not containers[b[0]].hidden]
-    text, links = [0] * len(containers), [0] * len(containers)
-    for place, words, linked in blocks if suspects else ():
-        while place >= 0:
-            text[place] += len(words)
-            links[place] += linked
-            place = containers[place].parent
-
-    def sentences(left_out: set[int], articles: bool) -> int:
-        out = _below(page, left_out)
-        main = _below(page, {i for i, c in enumerate(containers) if c.tag in ("article", "main")} if articles else {0})
-        return sum(len(words) for place, words, _ in blocks if main[place] and not out[place] and _is_sentence(words))
-
-    out = {i for i in suspects if 2 * text[i] < text[0]}
-    # Outer ones first: what stands outside a wrapper says nothing about the boxes in it.
-    for i in suspects:
-        if i not in out and text[i]:
-            outside = sentences(out | {i}, containers[i].suspect == WEAK)
+    out: set[int] = set()
+    if suspects:
+        own, own_links = [0] * len(containers), [0] * len(containers)
+        for place, words, linked in blocks:
+            own[place] += len(words)
+            own_links[place] += linked
+        text, links = page.summed(own), page.summed(own_links)
+        out = {i for i in suspects if 2 * text[i] < text[0]}
+        gone = _below(page, out)
+        main = _below(page, {i for i, c in enumerate(containers) if c.tag in ("article", "main")})
+        anywhere, in_main = [0] * len(containers), [0] * len(containers)
+        for place, words, _ in blocks:
+            if not gone[place] and _is_sentence(words):
+                anywhere[place] += len(words)
+                in_main[place] += len(words) if main[place] else 0
+        anywhere, in_main = page.summed(anywhere), page.summed(in_main)
+        last = page.summed([1] * len(containers))
+        left, left_main, covered = anywhere[0], in_main[0], 0
+        # Outer ones first: what stands outside a wrapper says nothing about the boxes in it.
+        for i in suspects:
+            if i in out or not text[i]:
+                continue
+            inner = i < covered or gone[i]
+            if containers[i].suspect == WEAK:
+                outside = left_main - (0 if inner else in_main[i])
+            else:
+                outside = left - (0 if inner else anywhere[i])
             if outside and (outside >= OUTSIDE * text[i] or 2 * links[i] > text[i]):
                 out.add(i)
-    if out and sentences(out, False) < OUTSIDE * text[0]:
-        # Names of layouts on all parts of the text.
-        out = {i for i in out if containers[i].suspect == STRONG}
-        beside = _below(page, out)
-        if all(beside[place] for place, _, _ in blocks):
-            out = set()
+                if not inner:
+                    left, left_main, covered = left - anywhere[i], left_main - in_main[i], i + last[i]
+        if out and left < OUTSIDE * text[0]:
+            # Names of layouts on all parts of the text.
+            out = {i for i in out if containers[i].suspect == STRONG}
+            beside = _below(page, out)
+            if all(beside[place] for place, _, _ in blocks):
+                out = set()
     below = _below(page, out)
     for i, c in enumerate(containers):
         c.beside = c.hidden or below[i]
@@ -154,11 +188,14 @@ def settle(page: Page, path: str | None) -> None:
 
 def read_page(html: str, path: str | None = None) -> Page:
     """Containers and text blocks of a page in one pass; what is left open is closed by what contains it."""
-    page = Page([Container("", "", -1, False, 1.0, 0, False, 0)])
+    page = Page([Container("", 0, "", -1, False, 1.0, 0, False, 0, False)])
     stack = [0]
+    # How many containers of a tag are open, and which tags came up at all.
+    opened: Counter[str] = Counter()
+    seen: set[str] = set()
     text: list[str] = []
     linked = 0
-    in_link = False
+    in_link = in_control = False
     end = 0
 
     def flush() -> None:
@@ -172,7 +209,7 @@ def read_page(html: str, path: str | None = None) -> Page:
 
     def add(piece: str) -> None:
         nonlocal linked
-        if piece:
+        if piece and not in_control:
             text.append(piece)
             if in_link:
                 linked += len(piece)
@@ -186,33 +223,41 @@ def read_page(html: str, path: str | None = None) -> Page:
         tag = tag.lower()
         if tag == "a":
             in_link = not token["close"]
+        elif tag in CONTROLS:
+            in_control = not token["close"]
         elif tag == "br":
             text.append(" ")
         elif tag in BREAKS:
             flush()
-            in_link = False
+            in_link = in_control = False
             if tag not in CONTAINERS:
                 continue
             if token["close"]:
-                at = next((i for i in range(len(stack) - 1, 0, -1) if page.containers[stack[i]].tag == tag), 0)
-                if at:
-                    del stack[at:]
+                closing = opened[tag] > 0
+                while closing:
+                    last = page.containers[stack.pop()].tag
+                    opened[last] -= 1
+                    closing = last != tag
                 continue
             if tag in ("html", "body"):
-                if any(c.tag == tag for c in page.containers):
+                if tag in seen:
                     continue
                 while len(stack) > 1 and page.containers[stack[-1]].tag != "html":
-                    stack.pop()
+                    opened[page.containers[stack.pop()].tag] -= 1
+            seen.add(tag)
             above = page.containers[stack[-1]]
-            inside = any(page.containers[i].tag == "article" for i in stack)
+            inside = above.in_article or above.tag == "article"
             label, beside, suspect, likely = _described(tag, token["rest"] or "", inside)
+            matched = -1
+            if path is not None and above.matched >= 0 and path.startswith(f">{label}", above.matched):
+                matched = above.matched + 1 + len(label)
+            hidden = above.hidden or beside
             page.containers.append(
-                Container(
-                    f"{above.path}>{label}", tag, stack[-1], False, likely, above.depth + 1, above.hidden or beside, suspect
-                )
+                Container(label, matched, tag, stack[-1], False, likely, above.depth + 1, hidden, suspect, inside)
             )
             if not token["rest"].endswith("/"):
                 stack.append(len(page.containers) - 1)
+                opened[tag] += 1
     add(html[end:])
     flush()
     settle(page, path)
@@ -221,15 +266,11 @@ def read_page(html: str, path: str | None = None) -> Page:
 
 def container_scores(page: Page) -> list[float]:
     """Text below each container; text of links and of short blocks that end like no sentence counts against it."""
-    scores = [0.0] * len(page.containers)
+    own = [0.0] * len(page.containers)
     for place, words, linked in page.blocks:
-        if page.containers[place].beside:
-            continue
-        weight = len(words) - 3.0 * linked if _is_sentence(words) or not linked else -2.0 * linked
-        while place >= 0:
-            scores[place] += weight
-            place = page.containers[place].parent
-    return [s * c.likely for s, c in zip(scores, page.containers, strict=True)]
+        if not page.containers[place].beside:
+            own[place] += len(words) - 3.0 * linked if _is_sentence(words) or not linked else -2.0 * linked
+    return [s * c.likely for s, c in zip(page.summed(own), page.containers, strict=True)]
 
 
 def ranked_containers(page: Page) -> list[tuple[float, int]]:
@@ -252,7 +293,7 @@ def page_votes(html: str) -> dict[str, float]:
         if text in seen and page.containers[i].likely == 1.0:
             continue
         seen.add(text)
-        votes.setdefault(page.containers[i].path, (score / ranked[0][0]) ** 2)
+        votes.setdefault(page.path(i), (score / ranked[0][0]) ** 2)
         if len(votes) == VOTES:
             break
     return votes
@@ -261,7 +302,7 @@ def page_votes(html: str) -> dict[str, float]:
 def main_text(html: str, path: str | None) -> str:
     """Blocks below all containers on ``path``, or else below the page's best container; what stands beside is left out."""
     page = read_page(html, path)
-    chosen = {i for i, c in enumerate(page.containers) if path is not None and c.path == path and not c.beside}
+    chosen = {i for i, c in enumerate(page.containers) if path is not None and c.matched == len(path) and not c.beside}
     if not chosen:
         chosen = {i for _, i in ranked_containers(page)[:1]}
     within = _below(page, chosen)

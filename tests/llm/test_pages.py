@@ -2,6 +2,7 @@
 
 import html as references
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,3 +110,30 @@ def test_names_of_layouts_and_forms_around_the_article(body):
 def test_the_path_of_the_host_is_not_left_out():
     html = page(f"<div class='promo-1'>{ARTICLE}</div><div class='x'><p>{'Another long box of text stands here. ' * 9}</p></div>")
     assert main_text(html, ">html>body>div.promo-#") == TEXT
+
+
+def test_parts_of_forms_inside_the_article_are_left_out():
+    body = f"<article>{ARTICLE.replace('Second one', '<button>Share this</button><label>Your mail</label>Second one')}</article>"
+    assert main_text(page(body), None) == TEXT
+    assert main_text(page(f"<article><button>open{ARTICLE}</article>"), None) == TEXT
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<div>" * 60_000 + "deep", "deep"),
+        ("<div>" * 20_000 + "</section>" * 20_000 + "deep", "deep"),
+        ("<a " * 100_000 + "<p>text", "text"),
+        ("<b " * 50_000 + '"' + "x" * 100_000 + "<p>text.", '<b "' + "x" * 100_000 + "\n\ntext."),
+        ("<!" * 50_000 + "<p>text", "text"),
+        ("<script " * 50_000 + "<p>text", "text"),
+        ("<body>" * 50_000 + "text", "text"),
+        ("<form>" * 20_000 + "Some text.", "Some text."),
+    ],
+    ids=["nested", "unmatched", "unclosed", "quote", "declarations", "scripts", "bodies", "forms"],
+)
+def test_time_grows_with_the_page(html, text):
+    """Each of them took minutes or gigabytes when work or paths grew with the depth."""
+    start = time.process_time()
+    assert main_text(html, next(iter(page_votes(html)), None)) == text
+    assert time.process_time() - start < 20
