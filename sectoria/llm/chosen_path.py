@@ -350,7 +350,9 @@ def common_buckets(sets: DataFrame) -> np.ndarray:
     return np.packbits(bits, bitorder="little")
 
 
-PROFILE = "rep long, n long, rare array<long>, digest binary, n_core long, core binary"
+PROFILE = "rep long, n long, rare array<long>, digest binary, n_core long, core binary, parity binary"
+# Bits of a set's parity: bit i says whether an odd number of its shingles fall on i.
+PARITY = 1024
 
 
 def _profile(percent: int, common):
@@ -367,17 +369,74 @@ def _profile(percent: int, common):
                 least = -(-percent * n // 100)
                 rare = tokens[~hot][: n - least + 1].view(np.int64)
                 alone = core.tobytes() if len(core) >= least else None
-                rows.append((rep, n, rare, alone and hashlib.md5(alone).digest(), len(core), alone))
-            types = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.int64(), pa.binary())
+                odd = np.bincount((tokens % PARITY).astype(np.int64), minlength=PARITY) & 1
+                parity = np.packbits(odd.astype(bool)).tobytes()
+                rows.append((rep, n, rare, alone and hashlib.md5(alone).digest(), len(core), alone, parity))
+            types = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.int64(), pa.binary(), pa.binary())
             columns = zip(*rows) if rows else [()] * len(types)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(c), type=t) for c, t in zip(columns, types)],
-                names=["rep", "n", "rare", "digest", "n_core", "core"],
+                names=["rep", "n", "rare", "digest", "n_core", "core", "parity"],
             )
 
     return run
 
 
+def possible_members(components: np.ndarray, sizes: np.ndarray, parities: np.ndarray, percent: int) -> np.ndarray:
+    """Members that may be linked with one of another component.
+
+    Two parities differ in no more bits than the sets have shingles apart, of which a link allows a share of all. So no link
+    is lost here.
+    """
+    found = np.zeros(len(sizes), dtype=bool)
+    for i in range(1, len(sizes)):
+        both = sizes[:i] + sizes[i]
+        apart = np.bitwise_count(parities[:i] ^ parities[i]).sum(axis=1, dtype=np.int64)
+        common = -(-percent * both // (100 + percent))
+        fits = (apart <= both - 2 * common) & (components[:i] != components[i])
+        if fits.any():
+            found[:i] |= fits
+            found[i] = True
+    return found
+
+
+def _possible(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come in the order of their node, which has few rows and may go over batches."""
+        node, rows = None, []
+
+        def members() -> tuple[list[int], list[int]]:
+            if len(rows) < 2:
+                return [], []
+            reps, components, sizes, parities = zip(*rows, strict=True)
+            bits = np.frombuffer(b"".join(parities), dtype=np.uint64).reshape(len(rows), -1)
+            found = np.flatnonzero(possible_members(np.array(components), np.array(sizes), bits, percent))
+            return [node] * len(found), [reps[i] for i in found]
+
+        for batch in batches:
+            nodes, reps = [], []
+            for key, *row in zip(*(batch.column(c).to_pylist() for c in ("node", "rep", "component", "n", "parity")), strict=True):
+                if key != node:
+                    for held, new in zip((nodes, reps), members(), strict=True):
+                        held += new
+                    node, rows = key, []
+                rows.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array(x, type=pa.int64()) for x in (nodes, reps)], names=["node", "rep"])
+        yield pa.RecordBatch.from_arrays([pa.array(x, type=pa.int64()) for x in members()], names=["node", "rep"])
+
+    return run
+
+
+def _distinct_groups(rows: DataFrame, *conditions) -> DataFrame:
+    """Groups of ``rep`` by ``node``, each set of members once; only groups that meet the conditions on their rows."""
+    members = F.sort_array(F.collect_set("rep")).alias("members")
+    tests = [c.alias(f"test_{i}") for i, c in enumerate(conditions)]
+    groups = rows.groupBy("node").agg(members, *tests)
+    for i in range(len(conditions)):
+        groups = groups.where(f"test_{i}")
+    return groups.groupBy("members").agg(F.min("node").alias("node")).select("node", F.explode("members").alias("rep"))
+
+
 def core_links(rows: list, heads: list, percent: int) -> Iterator[tuple[int, int]]:
     """Links that the cores alone give between ``rows`` and ``heads`` (id, component, size, core) of two components."""
     sizes = np.array([len(r[3]) for r in rows])
@@ -472,7 +531,7 @@ def crowd_links(sets: DataFrame, links: DataFrame, compare, percent: int) -> Dat
     """Links that connect all that ``links`` leave apart among ``sets`` (``rep``, ``shingles``), without loss.
 
     Shingles are ordered rare ones first, so two linked sets share one in their prefixes. Is it rare, they meet under it,
-    with at most ``COMMON`` others. Otherwise they share common shingles only: equal cores of common shingles link each
+    with at most ``COMMON`` others, and whole sets go there only if their parities allow a link. Otherwise they share common shingles only: equal cores of common shingles link each
     member with the smallest one, which keeps the components, and different cores are compared in blocks.
     """
     bits = sets.sparkSession.sparkContext.broadcast(common_buckets(sets))
@@ -483,17 +542,19 @@ def crowd_links(sets: DataFrame, links: DataFrame, compare, percent: int) -> Dat
         return known.withColumn("component", F.coalesce("component", "rep"))
 
     apart = F.min("component") != F.max("component")
-    met = (
-        labelled(profiles.select("rep", F.explode("rare").alias("node")), links)
-        .groupBy("node")
-        .agg(F.sort_array(F.collect_set("rep")).alias("members"), apart.alias("apart"))
-        .where("apart")
-        .groupBy("members")
-        .agg(F.min("node").alias("node"))
-        .select("node", F.explode("members").alias("rep"))
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = cut_lineage(labelled(profiles.select("rep", "n", "parity"), links))
+    under = profiles.select("rep", F.explode("rare").alias("node")).join(known.select("rep", "component"), "rep")
+    possible = (
+        _distinct_groups(under, apart)
+        .join(known, "rep")
+        .repartition(parts, "node")
+        .sortWithinPartitions("node")
+        .mapInArrow(released(_possible(percent)), "node long, rep long")
     )
+    met = cut_lineage(_distinct_groups(possible))
     links = links.unionByName(cut_lineage(compare(met)))
-    alone = profiles.where(F.col("core").isNotNull()).drop("rare")
+    alone = profiles.where(F.col("core").isNotNull()).drop("rare", "parity")
     heads = cut_lineage(
         alone.groupBy("digest").agg(F.min(F.struct("n", "rep")).alias("least")).select(
             "digest", F.col("least.rep").alias("head"), F.col("least.n").alias("head_n")

@@ -133,3 +133,23 @@ def test_hashes_of_words_do_not_depend_on_blocks_or_places():
     assert (whole == bytetext.word_hashes(data, starts, stops, block=2)).all()
     words = [data[a:b].tobytes() for a, b in zip(starts, stops, strict=True)]
     assert len(set(words)) == len(set(whole.tolist())) == len(set(zip(words, whole.tolist(), strict=True)))
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_parities_lose_no_link(percent):
+    rng = np.random.default_rng(3)
+    linked = 0
+    for size in (1, 2, 5, 40, 300, 3000):
+        for share in (0.0, 0.05, 0.1, 0.2, 0.5):
+            a = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+            b = np.concatenate([a[round(size * share) :], rng.integers(0, 1 << 63, round(size * share / 4), dtype=np.uint64)])
+            common = len(np.intersect1d(a, b))
+            odd = [np.packbits((np.bincount((x % 1024).astype(int), minlength=1024) & 1).astype(bool)).view(np.uint64) for x in (a, b)]
+            found = chosen_path.possible_members(np.array([1, 2]), np.array([len(a), len(b)]), np.array(odd), percent)
+            if 100 * common >= percent * (len(a) + len(b) - common):
+                linked += 1
+                assert found.all()
+            elif share == 0.5 and 40 <= size <= 300:
+                assert not found.any()
+            assert not chosen_path.possible_members(np.array([1, 1]), np.array([len(a), len(b)]), np.array(odd), percent).any()
+    assert linked > 10
