@@ -19,6 +19,7 @@ looked at.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -39,6 +40,8 @@ CHUNK = 10
 COMMON = 64
 BUCKET_BITS = 26
 BLOCK = 2000
+# More than the blocks of one size class; numbers of blocks stay below 2^31.
+BLOCKS = 1 << 20
 # Ids that may be sent to every task: at most some 20 MB.
 FEW_IDS = 1_000_000
 PER_TREE = 1 + (LEVELS - 1) * BRANCHES
@@ -493,7 +496,7 @@ def _core_pairs(alone: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
 
     A link of a with b means one of a with the head of b's core, which is no larger than b, and one of b with the head of
     a's core; so links to heads connect the same. Of the members of one core in one component the smallest is enough, and the largest
-    component is not compared with itself.
+    component is not compared with itself. Blocks meet blocks of their own and the neighbouring size classes only.
     """
     parts = int(alone.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     least = F.min(F.struct("n", "rep", "core")).alias("least")
@@ -501,26 +504,37 @@ def _core_pairs(alone: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
     largest = rows.groupBy("component").count().orderBy(F.desc("count"), "component").first()
     heads = heads.select(F.col("head").alias("rep")).join(alone, "rep").dropDuplicates(["rep"])
 
-    def blocks(of: DataFrame) -> tuple[DataFrame, list[int]]:
-        # Blocks of the largest component have odd numbers.
-        few = max(1, -(-of.count() // BLOCK))
-        block = F.pmod(F.xxhash64("rep"), F.lit(few)) * 2 + (F.col("component") == largest.component).cast("int")
-        return of.select("rep", "component", "n", "core", block.alias("block")), list(range(2 * few))
+    # Sizes of linked sets differ by a factor of 100 / percent at most, so by one class of a slightly larger factor.
+    width = math.log(100 / percent) + 1e-3
+    size_class = F.floor(F.log("n") / F.lit(width)).cast("int")
+
+    def blocks(of: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+        """Blocks of one size class each, and their number by class. Blocks of the largest component have odd numbers."""
+        of = of.select("rep", "component", "n", "core", size_class.alias("sizes"))
+        few = {r.sizes: -(-r["count"] // BLOCK) for r in of.groupBy("sizes").count().collect()}
+        share = F.create_map(*[F.lit(x) for item in few.items() for x in item])[F.col("sizes")]
+        number = F.col("sizes") * BLOCKS + F.pmod(F.xxhash64("rep"), share)
+        return of.withColumn("block", (number * 2 + (F.col("component") == largest.component).cast("int")).cast("int")), few
+
+    def near(few: dict[int, int], sizes: int) -> list[int]:
+        return [(c * BLOCKS + k) * 2 + odd for c in range(sizes - 1, sizes + 2) for k in range(few.get(c, 0)) for odd in (0, 1)]
 
     left, left_blocks = blocks(rows)
     right, right_blocks = blocks(cut_lineage(heads))
 
-    def against(of: DataFrame, head: int, mine: str, others: str, numbers: list[int]) -> DataFrame:
-        each = of.withColumn(others, F.explode(F.array(*[F.lit(k) for k in numbers])))
+    def against(of: DataFrame, head: int, mine: str, others: str, own: dict[int, int], few: dict[int, int]) -> DataFrame:
+        numbers = {c: F.array(*[F.lit(k) for k in near(few, c)]).cast("array<int>") for c in own}
+        choice = F.create_map(*[x for c, found in numbers.items() for x in (F.lit(c), found)])[F.col("sizes")]
+        each = of.withColumn(others, F.explode(choice))
         each = each.where((F.col("block") % 2 == 0) | (F.col(others) % 2 == 0))
         return each.select(
-            F.col("block").cast("int").alias(mine), F.col(others).cast("int").alias(others), F.lit(head).alias("head"),
+            F.col("block").alias(mine), F.col(others).alias(others), F.lit(head).alias("head"),
             "rep", "component", "n", "core",
         )
 
     return (
-        against(left, 0, "row_block", "head_block", right_blocks)
-        .unionByName(against(right, 1, "head_block", "row_block", left_blocks))
+        against(left, 0, "row_block", "head_block", left_blocks, right_blocks)
+        .unionByName(against(right, 1, "head_block", "row_block", right_blocks, left_blocks))
         .repartition(parts, "row_block", "head_block")
         .sortWithinPartitions("row_block", "head_block")
         .mapInArrow(released(_core_blocks(percent)), "a long, b long")
