@@ -280,11 +280,12 @@ def _ranking(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> _Ranking:
             (F.col("t") * FREQUENT > F.col("total_t")).alias("frequent"),
         )
     )
-    sizes = {r.ranking: r.n for r in ranks.groupBy("ranking").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counted = ranks.groupBy("ranking").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("frequent")).alias("rare")).collect()
+    sizes, rare = {r.ranking: r.n for r in counted}, {r.ranking: r.rare for r in counted}
     rows = values.select(*values.columns, *[value.alias(f"value_{n}") for n, value in ranked.items()])
     for n in ranked:
         found = ranks.where(F.col("ranking") == n).withColumnsRenamed({"code": f"code_{n}", "rank": f"rank_{n}"})
-        rows = look_up(rows, F.col(f"value_{n}"), found, [f"code_{n}", f"rank_{n}"]).drop(f"value_{n}")
+        rows = look_up(rows, F.col(f"value_{n}"), found, [f"code_{n}", f"rank_{n}"], rare.get(n, 0) > 0).drop(f"value_{n}")
     return _Ranking(list(pairs), sides, rows, ranks, sizes)
 
 

@@ -14,23 +14,28 @@ FREQUENT = 1000
 _SPREAD = 1 << 16
 
 
-def look_up(rows: DataFrame, key: Column, values: DataFrame, found: Sequence[str]) -> DataFrame:
+def look_up(rows: DataFrame, key: Column, values: DataFrame, found: Sequence[str], rare: bool = True) -> DataFrame:
     """``rows`` with the columns ``found`` of the row of ``values`` whose ``value`` is the key; null if there is none.
 
     ``values`` has each value once and tells by ``frequent`` which go to every task (fewer than FREQUENT, or all of a small
-    table). The others are joined; rows whose value was found, or is null, are spread over all tasks there.
+    table). The others are joined; rows whose value was found, or is null, are spread over all tasks there. With ``rare`` false
+    there are no others, which the caller has counted, and no row is moved.
     """
     payload = F.struct(*found)
     frequent = values.where("frequent").select(F.col("value").alias("_value"), payload.alias("_frequent"))
-    rare = values.where("NOT frequent").select(
-        F.col("value").alias("_key"), payload.alias("_rare"), F.lit(0).cast("long").alias("_zero")
-    )
     met = rows.withColumn("_looked", key)
     met = met.join(F.broadcast(frequent), F.col("_looked") == F.col("_value"), "left")
+    if not rare:
+        return met.select(*[F.col(f"`{c}`") for c in rows.columns], *[F.col("_frequent")[c].alias(c) for c in found])
+    # Always 0 here, but not a literal: the optimizer would take an equality with a literal out of the keys of the join,
+    # and all rows without a rare value would meet in one task.
+    others = values.where("NOT frequent").select(
+        F.col("value").alias("_key"), payload.alias("_rare"), F.col("frequent").cast("long").alias("_zero")
+    )
     asked = F.when(F.col("_frequent").isNull(), F.col("_looked"))
     spread = F.when(asked.isNull(), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(_SPREAD)) + 1)
     met = met.withColumns({"_asked": asked, "_spread": F.coalesce(spread, F.lit(0))}).join(
-        rare, (F.col("_asked") == F.col("_key")) & (F.col("_spread") == F.col("_zero")), "left"
+        others, (F.col("_asked") == F.col("_key")) & (F.col("_spread") == F.col("_zero")), "left"
     )
     value = F.coalesce("_frequent", "_rare")
     return met.select(*[F.col(f"`{c}`") for c in rows.columns], *[value[c].alias(c) for c in found])

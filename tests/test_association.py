@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sectoria.operators import association as A
+from sectoria.operators.lookups import look_up
 
 
 def sign(x):
@@ -239,3 +240,30 @@ def test_chi_squares_equal_the_whole_table(spark):
         assert (r.ddl, r.effectif) == (ddl, sum(t.observe for t in table))
         assert r.khi2 == pytest.approx(statistic, abs=1e-9)
         assert r.nb_cellules_inf5 == sum(t.attendu < 5 for t in table)
+
+
+def test_rows_without_a_rare_value_are_spread(spark):
+    """Rows whose value was found among the frequent ones, or is missing, do not meet in one task of the join."""
+    rows = spark.range(4000).select("id", F.when(F.col("id") % 3 > 0, (F.col("id") % 2).cast("double")).alias("x"))
+    values = spark.range(1500).select(
+        F.col("id").cast("double").alias("value"), (F.col("id") * 10).alias("code"), (F.col("id") < 2).alias("frequent")
+    )
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = look_up(rows, F.col("x"), values, ["code"]).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    assert sorted((r.id, r.code) for r in found) == [(i, i % 2 * 10 if i % 3 else None) for i in range(4000)]
+    held = [sum(r.task == t for r in found) for t in {r.task for r in found}]
+    assert max(held) < len(found) / 2
+
+
+def test_values_that_are_all_frequent_move_no_row(spark):
+    rows = spark.range(100).select((F.col("id") % 5).alias("a"), (F.col("id") % 7).alias("b"))
+    ranking = A._ranking(rows, [("a", "b")])
+    assert "SortMergeJoin" not in ranking.rows._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in ranking.rows._jdf.queryExecution().executedPlan().toString()
+    assert {r.rank_0 for r in ranking.rows.collect()} == {-40.0, -20.0, 0.0, 20.0, 40.0}
