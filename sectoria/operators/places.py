@@ -369,7 +369,8 @@ def count_all_matches(persons: DataFrame, search: DataFrame) -> DataFrame:
     """Combinations of a person with a birth and a death place, counted by the three native flags.
 
     The counts of ``locate_persons(..., keep_all=True)`` without a row for any combination: persons are counted by their codes,
-    places by code and names. For every choice of flags, places agree on the names of that choice by an equi-join, and the
+    places by code and names. For every choice of flags, places agree on the names of that choice by equi-joins (so that names of
+    few codes meet no other code, and names of many codes only the codes that persons combine), and the
     products of the counts add up to the combinations that have at least these flags; differences of these sums give the rest.
     """
     # The person's own city counts where a code has no place, or a place without name.
@@ -413,11 +414,18 @@ def count_all_matches(persons: DataFrame, search: DataFrame) -> DataFrame:
         return summed.withColumnsRenamed({"code": f"code_{side}", "own": f"own_{side}", "w": f"w_{side}"})
 
     names = ["choice", *[f"name_{i}" for i in range(len(FLAG_NAMES))]]
-    met = counted.join(weights("naissance"), ["code_naissance", "own_naissance"]).join(
-        weights("deces"), ["code_deces", "own_deces", *names]
-    )
+    born, dead = ["code_naissance", "own_naissance"], ["code_deces", "own_deces"]
+    deaths = cut_lineage(weights("deces"))
+    # A name of a birth code meets either all death codes that hold the name, or all that go with the code, whichever are fewer.
+    holders = deaths.groupBy(*names).agg(F.count(F.lit(1)).alias("_holders"))
+    partners = counted.groupBy(*born).agg(F.count(F.lit(1)).alias("_partners"))
+    births = cut_lineage(weights("naissance").join(holders, names).join(partners, born))
+    by_name = F.col("_holders") <= F.col("_partners")
     product = F.col("n").cast("decimal(38,0)") * F.col("w_naissance") * F.col("w_deces")
-    least = met.groupBy("choice").agg(F.sum(product).alias("least"))
+    held = births.where(by_name).join(deaths, names).join(counted, [*born, *dead])
+    paired = births.where(~by_name).join(counted, born).join(deaths, [*dead, *names])
+    met = held.select("choice", product.alias("_product")).unionByName(paired.select("choice", product.alias("_product")))
+    least = met.groupBy("choice").agg(F.sum("_product").alias("least"))
     # Combinations with just these flags: at least these, less those with one more, and so on.
     terms = [(flags, choice, -1 if (choice ^ flags).bit_count() % 2 else 1) for flags in choices for choice in choices if choice & flags == flags]
     table = small_table(persons.sparkSession, terms, "flags int, choice int, sign int")

@@ -183,3 +183,40 @@ def test_counted_matches_equal_the_listed_ones(spark, seed):
     flags = ["origine_ville", "origine_departement", "origine_region"]
     listed = L.locate_persons(facts, found, keep_all=True).groupBy(*flags).count().collect()
     assert sorted(map(tuple, L.count_all_matches(facts, found).collect())) == sorted(map(tuple, listed))
+
+
+def _join_rows(plan):
+    """Rows that the joins of an executed plan put out, one number each."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return _join_rows(plan.executedPlan())
+    children = plan.children()
+    below = [plan.plan()] if "QueryStage" in plan.nodeName() else [children.apply(i) for i in range(children.size())]
+    found = [n for child in below for n in _join_rows(child)]
+    return found + ([plan.metrics().get("numOutputRows").get().value()] if "Join" in plan.nodeName() else [])
+
+
+def test_all_matches_of_codes_with_many_places(spark):
+    """Names of one code are not brought to all codes that go with it."""
+    codes, places = 12, 50
+    persons = spark.range(codes * codes).select(
+        F.concat(F.lit("c"), F.col("id") % codes).alias("num_insee_naissance"),
+        F.concat(F.lit("c"), (F.col("id") / codes).cast("int")).alias("num_insee_deces"),
+        F.lit("A").alias("ville_naissance"),
+        F.lit("B").alias("ville_deces"),
+    )
+    search = spark.range(codes * places).select(
+        F.concat(F.lit("c"), F.col("id") % codes).alias("num_insee_search"),
+        F.concat(F.lit("v"), "id").alias("commune_valide"),
+        F.concat(F.lit("d"), F.col("id") % codes).alias("nom_departement"),
+        F.concat(F.lit("r"), F.col("id") % codes % 3).alias("nom_region"),
+    )
+    counts = L.count_all_matches(persons, search)
+    found = {(r.origine_ville, r.origine_departement, r.origine_region): r.nb for r in counts.collect()}
+    pair, same, near = places * places, codes, codes * codes // 3
+    assert found == {
+        ("O", "O", "O"): same * places,
+        ("N", "O", "O"): same * (pair - places),
+        ("N", "N", "O"): (near - same) * pair,
+        ("N", "N", "N"): (codes * codes - near) * pair,
+    }
+    assert max(_join_rows(counts._jdf.queryExecution().executedPlan())) < codes * codes * places
