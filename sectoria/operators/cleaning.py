@@ -221,13 +221,17 @@ def date_flags(year: Column | str) -> list[Column]:
 
 def checked_dates(df: DataFrame, year: Column | str, limit: float = 5.0, by: Sequence[str] = ()) -> DataFrame:
     """Gates, dates, rows with both dates, no duplicates."""
-    dated = (
+    return dated_rows(df, year, limit, by).dropDuplicates()
+
+
+def dated_rows(df: DataFrame, year: Column | str, limit: float = 5.0, by: Sequence[str] = ()) -> DataFrame:
+    """Gates, dates, rows with both dates; duplicates are still there."""
+    return (
         through_gates(df, date_flags(year), "nom", limit, by)
         .withColumn("date_naissance_dt", dates.lenient_date(F.col("date_naissance")))
         .withColumn("date_deces_dt", dates.lenient_date(F.col("date_deces")))
         .where(all_present(["date_naissance_dt", "date_deces_dt"]))
     )
-    return dated.dropDuplicates()
 
 
 # ---------------------------------------------------------------- duplicates
@@ -325,13 +329,16 @@ def repaired_places(
 # ---------------------------------------------------------------- ids and load types
 
 
-def with_yearly_ids(df: DataFrame, year: str, order: Sequence[str], name: str = "idligne") -> DataFrame:
+def with_yearly_ids(
+    df: DataFrame, year: str, order: Sequence[str], name: str = "idligne", once: Sequence[str] | None = None
+) -> DataFrame:
     """Ids ``year * YEAR_FACTOR + position`` (position from 0 inside the year).
 
     The factor is the same for all data, so a year keeps its ids whatever the other years hold. The reference width of
-    six digits would let a year of more than a million rows run into the next one.
+    six digits would let a year of more than a million rows run into the next one. ``once`` drops duplicates on the way, see
+    :func:`with_position`.
     """
-    numbered = with_position(df, order, name="_position", by=[year])
+    numbered = with_position(df, order, name="_position", by=[year], once=once)
     first = F.col(year).cast("bigint") * YEAR_FACTOR
     return numbered.withColumn(name, first + F.col("_position") - 1).drop("_position")
 

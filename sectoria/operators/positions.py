@@ -23,11 +23,14 @@ def _as_columns(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def _sorted_slices(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
+def _sorted_slices(df: DataFrame, order: Sequence[str | Column], once: Sequence[str] | None = None) -> DataFrame:
     columns = _as_columns(order)
+    ranged = df.repartitionByRange(*columns)
+    if once is not None:
+        # Equal rows are in one slice already: they are dropped there, without a second exchange.
+        ranged = ranged.dropDuplicates().drop(*once)
     ordered = (
-        df.repartitionByRange(*columns)
-        .sortWithinPartitions(*columns)
+        ranged.sortWithinPartitions(*columns)
         .withColumn(_STAMP, F.monotonically_increasing_id())
         .withColumn(_SLICE, F.shiftright(_STAMP, _ROW_BITS).cast("int"))
     )
@@ -42,15 +45,22 @@ def _slice_offsets(slices: DataFrame, measures: dict[str, Column]) -> DataFrame:
 
 
 def with_position(
-    df: DataFrame, order: Sequence[str | Column], name: str = "position", by: Sequence[str] = ()
+    df: DataFrame,
+    order: Sequence[str | Column],
+    name: str = "position",
+    by: Sequence[str] = (),
+    once: Sequence[str] | None = None,
 ) -> DataFrame:
     """Number the rows from 1 in ``order``; with ``by``, from 1 inside each group.
 
+    With ``once``, rows that are equal in all columns are kept and numbered once; the columns it names only serve to tell
+    rows apart and are left out. ``order`` and ``by`` must then be names of columns.
+
     A group may be of any size: groups are neighbouring ranges of the same
     global order. List enough columns to tell the rows apart: rows equal on
     all of them are numbered in an arbitrary order and stay in one slice.
     """
-    slices = _sorted_slices(df, [*by, *order])
+    slices = _sorted_slices(df, [*by, *order], once)
     if by:
         parts = _group_parts(slices, by, {_OFFSET: F.count(F.lit(1))})
         return (

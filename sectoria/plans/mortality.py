@@ -11,7 +11,7 @@ from ..functions.dates import age_in_years
 from ..functions.numeric import haversine_km, round_even
 from ..operators.cleaning import (
     PERSON_CONTRACT,
-    checked_dates,
+    dated_rows,
     located_only,
     rejected_rows,
     repaired_places,
@@ -63,11 +63,20 @@ def refresh(lines: DataFrame, year: str = "annee") -> tuple[DataFrame, DataFrame
 
 
 def people_of(records: DataFrame, year: str = "annee") -> DataFrame:
-    """Persons from valid records, which should be stored: date gates per year, repairs, ages and ids."""
-    dated = repaired_places(checked_dates(records, F.col(year), by=[year]))
+    """Persons from valid records, which should be stored: date gates per year, no duplicates, repairs, ages and ids.
+
+    Duplicates are records with the same text. They are dropped where the ids are given, in the one exchange of the records;
+    so that a repair makes no two records equal, the places that it replaced go along till there.
+    """
+    place = ["num_insee_naissance", "pays_naissance"]
+    read = dated_rows(records, F.col(year), by=[year]).withColumn("_lu", F.struct(*place))
+    repaired = repaired_places(read)
+    replaced = ~F.col("_lu").eqNullSafe(F.struct(*place))
+    dated = repaired.withColumn("_lu", F.when(replaced, F.col("_lu")))
     aged = dated.withColumn("age", age_in_years(F.col("date_naissance_dt"), F.col("date_deces_dt")))
     order = ["date_deces_dt", "nom", "prenom", "date_naissance_dt", "num_insee_naissance", "num_insee_deces"]
-    numbered = with_yearly_ids(aged, year, [*order, "sex", "ville_naissance", "pays_naissance"])
+    texts = [c for c in aged.columns if c not in (*PERSON_COLUMNS, year)]
+    numbered = with_yearly_ids(aged, year, [*order, "sex", "ville_naissance", "pays_naissance"], once=texts)
     return (
         numbered.withColumn("pays_deces", F.lit("FRANCE"))
         .withColumn("ville_deces", F.lit(""))

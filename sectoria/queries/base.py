@@ -33,9 +33,10 @@ def persons(spark: SparkSession, folder: str, first_names: bool = False) -> Data
     )
 
     def located(df: DataFrame, key: str, nation: str, side: str) -> DataFrame:
+        """``df`` with the place of a key of a nation."""
         district = F.col(key) % 5
         return df.join(places, F.col(nation) == F.col("n_nationkey")).select(
-            F.col(key),
+            *[F.col(c) for c in df.columns],
             F.lpad((F.col(nation) * 5 + district).cast("string"), 5, "0").alias(f"num_insee_{side}"),
             F.concat_ws(" ", "n_name", district.cast("string")).alias(f"ville_{side}"),
             F.col("n_nationkey").cast("string").alias(f"code_departement_{side}"),
@@ -46,15 +47,24 @@ def persons(spark: SparkSession, folder: str, first_names: bool = False) -> Data
             ((F.col(key) * 53) % 360 - 180).cast("double").alias(f"longitude_{side}"),
         )
 
-    births = located(table(spark, folder, "supplier"), "s_suppkey", "s_nationkey", "naissance")
-    deaths = located(table(spark, folder, "customer"), "c_custkey", "c_nationkey", "deces")
-    dated = table(spark, folder, "orders").join(deaths, F.col("o_custkey") == F.col("c_custkey"))
-    lines = table(spark, folder, "lineitem").join(births, F.col("l_suppkey") == F.col("s_suppkey"))
+    # Only keys go through the large joins; the texts of the places are added to their result.
+    dated = (
+        table(spark, folder, "orders")
+        .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .select("o_orderkey", "o_orderdate", "c_custkey", "c_nationkey")
+    )
+    lines = (
+        table(spark, folder, "lineitem")
+        .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "s_suppkey", "s_nationkey")
+    )
     if first_names:
         lines = lines.join(
             table(spark, folder, "part").select("p_partkey", first_word(F.col("p_name")).alias("prenom")),
             F.col("l_partkey") == F.col("p_partkey"),
         )
+    met = lines.join(dated, F.col("l_orderkey") == F.col("o_orderkey"))
+    born = located(met, "s_suppkey", "s_nationkey", "naissance")
     sides = [
         f"{name}_{side}"
         for side in ("naissance", "deces")
@@ -62,7 +72,7 @@ def persons(spark: SparkSession, folder: str, first_names: bool = False) -> Data
             "num_insee ville code_departement nom_departement code_region nom_region latitude longitude".split()
         )
     ]
-    people = lines.join(dated, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    people = located(born, "c_custkey", "c_nationkey", "deces").select(
         *sides,
         *(["prenom"] if first_names else []),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("idligne"),

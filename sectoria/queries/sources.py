@@ -61,13 +61,14 @@ _WRITTEN: dict[tuple[str, str], str] = {}
 def written_lines(spark, folder):
     """The lines as Latin-1 text files, one folder per year, read back with the year of the folder.
 
-    They are written once for a session and folder, and then read by every query that starts from lines.
+    They are written once for a session and folder, and then read by every query that starts from lines; packed, since half of
+    a line is padding. A file holds the lines of one task and year.
     """
     written = (spark.sparkContext.applicationId, folder)
     if written not in _WRITTEN:
         path = shared_folder(spark, "lignes")
         lines = death_lines(spark, folder).write.partitionBy("annee")
-        lines.options(encoding="ISO-8859-1", sep="\u0001", quote="").csv(path)
+        lines.options(encoding="ISO-8859-1", sep="\u0001", quote="", compression="gzip").csv(path)
         _WRITTEN[written] = path
     return files.read_lines(spark, _WRITTEN[written], keep=("annee",))
 

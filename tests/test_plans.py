@@ -9,6 +9,9 @@ from sectoria.operators import cleaning as C
 from sectoria.operators import scores as S
 from sectoria.queries import REGISTRY
 from sectoria.queries.base import persons, table
+from sectoria.operators import positions
+from sectoria.plans import mortality
+from sectoria.session import cut_lineage
 
 
 def plan_of(df):
@@ -64,3 +67,31 @@ def test_quantiles_order_no_rows(spark, folder, monkeypatch):
     for name in ("quantile_classes", "iqr_outliers", "describe"):
         plan = plan_of(REGISTRY[name].run(spark, folder))
         assert "rangepartitioning" not in plan and "CartesianProduct" not in plan
+
+
+def test_duplicates_go_without_an_exchange_of_their_own(spark):
+    """Equal records are dropped where ids are given; records that only a repair makes equal both stay."""
+    columns = "nom prenom sex date_naissance num_insee_naissance ville_naissance pays_naissance date_deces num_insee_deces annee".split()
+    city = "ANCIEN DEPARTEMENT ALGER"
+    rows = [("A", "B", "1", "19500101", code, city, country, "20200102", "75056", "2020") for code, country in (
+        ("91352", "ALGERIE"), ("99352", "ALGERIE"), ("99352", "FRANCE"), ("99352", "FRANCE"), ("91352", "ALGERIE"))]
+    rows += [("C", "D", "2", "19400101", "13055", "MARSEILLE", "FRANCE", "20200102", "75056", "2020")] * 3
+    records = cut_lineage(spark.createDataFrame(rows, columns))
+    people = mortality.people_of(records).collect()
+    assert sorted((p.idligne % 10**10, p.nom, p.num_insee_naissance, p.pays_naissance) for p in people) == [
+        (0, "A", "99352", "ALGERIE"), (1, "A", "99352", "ALGERIE"), (2, "A", "99352", "ALGERIE"), (3, "C", "13055", "FRANCE")
+    ]
+    ranged = spark.createDataFrame(rows, columns).repartitionByRange("annee", "nom")
+    once = ranged.dropDuplicates().drop("sex").sortWithinPartitions("annee", "nom")
+    assert plan_of(once).split("Initial Plan")[0].count("Exchange") == 1
+
+
+def test_ids_and_duplicates_share_one_exchange(spark, monkeypatch):
+    """Neither the stored slices of the numbered persons nor anything before them is exchanged a second time."""
+    stored = []
+    monkeypatch.setattr(positions, "cut_lineage", lambda df: stored.append(plan_of(df)) or cut_lineage(df))
+    columns = "nom prenom sex date_naissance num_insee_naissance ville_naissance pays_naissance date_deces num_insee_deces annee".split()
+    row = ("A", "B", "1", "19500101", "13055", "MARSEILLE", "FRANCE", "20200102", "75056", "2020")
+    mortality.people_of(cut_lineage(spark.createDataFrame([row, row], columns))).collect()
+    assert "rangepartitioning" in stored[0]
+    assert "hashpartitioning(nom" not in stored[0]
