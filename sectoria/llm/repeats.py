@@ -110,15 +110,44 @@ def later_rows(keys: tuple[np.ndarray, ...], doc: np.ndarray, start: np.ndarray)
     return later
 
 
-def _parsed(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+def byte_classes(data: np.ndarray, at: np.ndarray, length: int, hashes: np.ndarray, block: int = 1 << 14) -> tuple[np.ndarray, ...]:
+    """Keys that are equal for equal strings of ``length`` bytes of ``data``, and for these only.
+
+    Those are the hashes, if strings of one hash have the same bytes, which is looked up in blocks; else the bytes.
+    """
+    order = np.argsort(hashes, kind="stable")
+    ordered = hashes[order]
+    same = np.flatnonzero(ordered[1:] == ordered[:-1])
+    strings = np.lib.stride_tricks.sliding_window_view(data, length)
+    for low in range(0, len(same), block):
+        pair = same[low : low + block]
+        if (strings[at[order[pair]]] != strings[at[order[pair + 1]]]).any():
+            return tuple(strings[at, i] for i in range(length))
+    return (hashes,)
+
+
+def _parsed(parts: list[tuple[np.ndarray, ...]], length: int) -> Iterator[pa.RecordBatch]:
     if not parts:
         return
     doc, version, begin, count, trigger, phrase = (np.concatenate(x) for x in zip(*parts, strict=True))
     parts.clear()
+    if not len(doc):
+        return
     later = later_rows((phrase, trigger), doc, begin)
-    # Phrases that are settled already are dealt out by their place: copies of one text don't meet in one task.
+    # Settled phrases that follow each other become one run, as long as its count has room.
+    stop = begin + count
+    follows = np.zeros(len(doc), dtype=bool)
+    follows[1:] = later[1:] & later[:-1] & (begin[1:] == stop[:-1]) & (doc[1:] == doc[:-1]) & (version[1:] == version[:-1])
+    chain = np.flatnonzero(~follows)
+    within = np.arange(len(doc)) - np.repeat(chain, np.diff(np.append(chain, len(doc))))
+    head = np.flatnonzero(within % (((1 << RUN_BITS) - 1) // (length - GRAM + 1)) == 0)
+    last = np.append(head[1:], len(doc)) - 1
+    count = stop[last] - begin[head]
+    doc, version, begin, later, trigger, phrase = (x[head] for x in (doc, version, begin, later, trigger, phrase))
+    # They are dealt out by their place, and need no hash: copies of one text don't meet in one task.
     place = mixed(doc.astype(np.uint64) * np.uint64(BASE) + begin.astype(np.uint64))
     trigger = np.where(later, place, trigger)
+    phrase = np.where(later, np.uint64(0), phrase)
     for low in range(0, len(doc), 50_000):
         cut = slice(low, low + 50_000)
         yield pa.RecordBatch.from_arrays(
@@ -148,9 +177,9 @@ def _parse(length: int):
                 parts.append((ids[first + text], versions[first + text], begin + shift, stop - begin, trigger, phrase))
                 held += len(text)
                 if held >= HELD:
-                    yield from _parsed(parts)
+                    yield from _parsed(parts, length)
                     held = 0
-        yield from _parsed(parts)
+        yield from _parsed(parts, length)
 
     return run
 
@@ -184,22 +213,21 @@ def _suffixes(length: int):
                 if not len(at):
                     continue
                 rolling = Rolling(part)
-                # A part of at most two chunks holds few open suffixes; all of them are put in byte order at once.
-                suffix = np.lib.stride_tricks.sliding_window_view(part, length)[at].view(f"S{length}").ravel()
-                _, rank = np.unique(suffix, return_inverse=True)
+                suffix = rolling.ranges(at, at + length)
+                half = (rolling.ranges(at, at + length // 2) >> np.uint64(33)).astype(np.int32)
                 doc = ids[first + text].astype(np.int64)
                 version = versions[first + text]
-                later = later_rows((rank,), doc, start)
+                later = later_rows(byte_classes(part, at, length, suffix), doc, start)
                 # Settled suffixes in a row become one run; the others go on one by one.
                 new = np.ones(len(at), dtype=bool)
                 new[1:] = ~(later[1:] & later[:-1] & (at[1:] == at[:-1] + 1) & (owner[1:] == owner[:-1]))
                 head = np.flatnonzero(new)
                 count = np.diff(np.append(head, len(at)))
-                at, doc, version, start, later = at[head], doc[head], version[head], start[head], later[head]
+                suffix, half, doc, version, start, later = (x[head] for x in (suffix, half, doc, version, start, later))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(rolling.ranges(at, at + length).view(np.int64)),
-                        pa.array((rolling.ranges(at, at + length // 2) >> np.uint64(33)).astype(np.int32)),
+                        pa.array(suffix.view(np.int64)),
+                        pa.array(half),
                         pa.array(doc),
                         pa.array(version),
                         pa.array((start << RUN_BITS) | count),
@@ -279,14 +307,14 @@ def versioned(docs: DataFrame) -> DataFrame:
 def repeated_runs(texts: DataFrame, length: int = 100) -> DataFrame:
     """Starts of strings of ``length`` bytes that also start earlier: ``doc_id``, ``version``, ``runs`` (start and count, packed).
 
-    ``texts`` are rows of ``versioned``. A place is earlier if its doc_id is smaller, or in the same document if it stands
+    ``texts`` are rows of ``versioned``; all their columns go through the join with the open phrases, so that its exchange of the
+    texts also serves a join of the same rows with the result. A place is earlier if its doc_id is smaller, or in the same document if it stands
     before. Rows that share a doc_id count as versions of one document: the same place of another version is not earlier,
     a smaller one is. Null text counts as empty.
     """
     if not GRAM < length <= LONGEST:
         raise ValueError(f"length must lie between {GRAM + 1} and {LONGEST}")
-    texts = texts.select("doc_id", "version", "text")
-    parsed = texts.mapInArrow(released(_parse(length)), PARSE)
+    parsed = texts.select("doc_id", "version", "text").mapInArrow(released(_parse(length)), PARSE)
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     entry, hook = Window.partitionBy("trigger", "phrase"), Window.partitionBy("trigger")
     ranked = (

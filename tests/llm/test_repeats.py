@@ -2,8 +2,10 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,3 +103,58 @@ def test_different_texts_of_one_id_keep_their_own_runs(documents):
     found = remove_repeats(documents(*rows).repartition(3)).collect()
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in found) == sorted(expected)
     assert sum(n > 0 for _, _, n, _ in expected) >= 2
+
+
+def batch(texts, **more):
+    rows = pa.array(range(len(texts)), pa.int64())
+    return pa.RecordBatch.from_pydict({"doc_id": rows, "version": pa.array([0] * len(texts), pa.int64()), "text": texts, **more})
+
+
+@pytest.mark.parametrize("length", [49, 100, 512])
+def test_settled_phrases_in_a_row_are_one_run(length):
+    text = words(random.Random(3), 4000)
+    rows = pa.Table.from_batches(repeats._parse(length)(iter([batch([text, text, text])]))).to_pandas()
+    starts = len(text.encode()) - length + 1
+    for doc, late in ((0, False), (1, True), (2, True)):
+        own = rows[rows.doc_id == doc]
+        begin, count = own.run.to_numpy() >> repeats.RUN_BITS, own.run.to_numpy() & ((1 << repeats.RUN_BITS) - 1)
+        assert sorted(np.concatenate([np.arange(b, b + c) for b, c in zip(begin, count)])) == list(range(starts))
+        assert (own.later == late).all()
+    assert 5 * (rows.doc_id == 2).sum() < (rows.doc_id == 0).sum()
+
+
+def test_strings_of_one_hash_are_told_apart_by_their_bytes():
+    data = np.frombuffer(b"abcabdabcabd", dtype=np.uint8)
+    at = np.array([0, 3, 6, 9])
+    for hashes in (np.zeros(4, np.uint64), np.array([5, 7, 5, 7], np.uint64)):
+        later = repeats.later_rows(repeats.byte_classes(data, at, 3, hashes), np.zeros(4, np.int64), at)
+        assert later.tolist() == [False, False, True, True]
+
+
+def test_open_suffixes_are_not_copied():
+    size = 900_000
+    rng = np.random.default_rng(1)
+    text = rng.integers(97, 123, size, dtype=np.uint8).tobytes().decode()
+    runs = [(at << repeats.RUN_BITS) | min(50, size - 99 - at) for at in range(0, size - 99, 50)]
+    rows = batch([text], open=pa.array([runs], pa.list_(pa.int64())))
+    tracemalloc.start()
+    found = sum(x.num_rows for x in repeats._suffixes(100)(iter([rows])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == size - 99
+    assert peak < 200 * size, peak / size
+
+
+def test_texts_are_exchanged_once_for_both_joins(spark, documents):
+    rng = random.Random(8)
+    shared = words(rng, 60)
+    rows = [(i, words(rng, 30) + shared[i:] + words(rng, 20)) for i in range(40)]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = remove_repeats(documents(*rows).withColumn("lang", F.lit("en")), with_text=True, carried=("lang",))
+        assert len(found.collect()) == 40
+        plan = found._jdf.queryExecution().executedPlan().toString().split("\n")
+        assert any("ReusedExchange" in line and "text#" in line and "version#" in line for line in plan)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
