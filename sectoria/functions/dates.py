@@ -23,9 +23,18 @@ SEASONS = {
 
 def lenient_date(text: Column, pattern: str = "yyyyMMdd") -> Column:
     """Date, or null when the text is no date or outside the nanosecond timestamp range."""
-    parsed = F.try_to_timestamp(text, F.lit(pattern)).cast("date")
-    inside = (parsed >= F.lit(FIRST_DAY).cast("date")) & (parsed <= F.lit(LAST_DAY).cast("date"))
-    return F.when(inside, parsed)
+    return plausible_date(parsed_date(text, pattern))
+
+
+def parsed_date(text: Column, pattern: str = "yyyyMMdd") -> Column:
+    """Date, or null when the text is no date."""
+    return F.try_to_timestamp(text, F.lit(pattern)).cast("date")
+
+
+def plausible_date(day: Column) -> Column:
+    """The date, or null when it is outside the nanosecond timestamp range; reads ``day`` several times."""
+    inside = (day >= F.lit(FIRST_DAY).cast("date")) & (day <= F.lit(LAST_DAY).cast("date"))
+    return F.when(inside, day)
 
 
 def zero_part_flag(text: Column) -> Column:

@@ -226,11 +226,16 @@ def checked_dates(df: DataFrame, year: Column | str, limit: float = 5.0, by: Seq
 
 def dated_rows(df: DataFrame, year: Column | str, limit: float = 5.0, by: Sequence[str] = ()) -> DataFrame:
     """Gates, dates, rows with both dates; duplicates are still there."""
+    kept = through_gates(df, date_flags(year), "nom", limit, by)
+    # One-element inline: each text is read as a date once, not for every condition and result that looks at the date.
+    texts = ["date_naissance", "date_deces"]
+    read = F.inline(F.array(F.struct(*[dates.parsed_date(F.col(c)).alias(f"{c}_dt") for c in texts])))
+    named = [f"{c}_dt" for c in texts]
     return (
-        through_gates(df, date_flags(year), "nom", limit, by)
-        .withColumn("date_naissance_dt", dates.lenient_date(F.col("date_naissance")))
-        .withColumn("date_deces_dt", dates.lenient_date(F.col("date_deces")))
-        .where(all_present(["date_naissance_dt", "date_deces_dt"]))
+        kept.drop(*named)
+        .select("*", read)
+        .withColumns({c: dates.plausible_date(F.col(c)) for c in named})
+        .where(all_present(named))
     )
 
 

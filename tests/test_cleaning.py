@@ -164,3 +164,13 @@ def test_load_types(spark):
     loaded = C.load_types(df, drop=["t", "absent"])
     assert dict(loaded.dtypes) == {"k": "int", "v": "double", "d": "date"}
     assert sorted([r["v"] for r in loaded.collect()], key=str) == [1.5, None]
+
+
+def test_dates_are_read_once_for_all_their_conditions(spark):
+    rows = [("2001", "A", "19500102", "20010304"), ("2001", "B", "19501340", "20010304"), ("2001", "C", "19500102", "16000101"), ("2001", "D", None, "20010305")]
+    df = spark.createDataFrame(rows, "annee string, nom string, date_naissance string, date_deces string")
+    found = C.dated_rows(df, "0000").withColumn("age", F.datediff("date_deces_dt", "date_naissance_dt"))
+    assert [(r.nom, str(r.date_naissance_dt), str(r.date_deces_dt), r.age) for r in found.collect()] == [("A", "1950-01-02", "2001-03-04", 18689)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # Each of the two texts once; a date is named twice in the plan of its one reading.
+    assert plan.count("gettimestamp(date_") + plan.count("try_to_timestamp(date_") <= 4
