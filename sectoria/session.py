@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# Spark's option to remove the shuffle files of a query when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8, driver_memory: str = "8g") -> SparkSession:
     """Session for tests and the bench; on a cluster use the session the cluster hands out."""
@@ -46,15 +50,31 @@ def checkpoint_root(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that end inside leave no shuffle files; otherwise these stay until the driver collects its garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def cut_lineage(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write the rows to the shared folder and read them back.
 
     The stored table survives the loss of any executor, later passes read only
-    the columns they need, and its size is known to the optimizer.
+    the columns they need, and its size is known to the optimizer. What was
+    exchanged to form the rows is removed as soon as they are stored.
     """
     path = shared_folder(df.sparkSession, "etape")
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(path)
+    with shuffles_removed(df.sparkSession):
+        writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
 
 
