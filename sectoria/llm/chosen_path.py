@@ -145,13 +145,19 @@ def _sets(width: int):
     return run
 
 
-def _root(parents: list[int], i: int) -> int:
+def _root(parents: list[int] | dict[int, int], i: int) -> int:
     while parents[i] != i:
         parents[i] = parents[parents[i]]
         i = parents[i]
     return i
 
 
+def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sets have ``percent`` of their union in common."""
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
 def linked_pairs(reps: list[int], sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
     """Links that connect the members of one group; a pair that is connected already is not compared."""
     parents = list(range(len(reps)))
@@ -161,8 +167,7 @@ def linked_pairs(reps: list[int], sets: list[np.ndarray], percent: int) -> Itera
             small, large = sorted((len(a), len(b)))
             if 100 * small < percent * large or _root(parents, i) == _root(parents, j):
                 continue
-            common = len(np.intersect1d(a, b, assume_unique=True))
-            if 100 * common >= percent * (len(a) + len(b) - common):
+            if linked(a, b, percent):
                 parents[_root(parents, i)] = _root(parents, j)
                 yield reps[j], reps[i]
 
@@ -385,21 +390,27 @@ def _profile(percent: int, common):
     return run
 
 
-def possible_members(components: np.ndarray, sizes: np.ndarray, parities: np.ndarray, percent: int) -> np.ndarray:
-    """Members that may be linked with one of another component.
+def possible_pairs(components: np.ndarray, sizes: np.ndarray, parities: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of members of two components that may be linked, as their places.
 
     Two parities differ in no more bits than the sets have shingles apart, of which a link allows a share of all. So no link
     is lost here.
     """
-    found = np.zeros(len(sizes), dtype=bool)
+    first, second = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
     for i in range(1, len(sizes)):
         both = sizes[:i] + sizes[i]
         apart = np.bitwise_count(parities[:i] ^ parities[i]).sum(axis=1, dtype=np.int64)
         common = -(-percent * both // (100 + percent))
-        fits = (apart <= both - 2 * common) & (components[:i] != components[i])
-        if fits.any():
-            found[:i] |= fits
-            found[i] = True
+        fits = np.flatnonzero((apart <= both - 2 * common) & (components[:i] != components[i]))
+        first.append(fits)
+        second.append(np.full(len(fits), i))
+    return np.concatenate(first), np.concatenate(second)
+
+
+def possible_members(components: np.ndarray, sizes: np.ndarray, parities: np.ndarray, percent: int) -> np.ndarray:
+    """Members that may be linked with one of another component."""
+    found = np.zeros(len(sizes), dtype=bool)
+    found[np.concatenate(possible_pairs(components, sizes, parities, percent))] = True
     return found
 
 
@@ -408,28 +419,76 @@ def _possible(percent: int):
         """Rows come in the order of their node, which has few rows and may go over batches."""
         node, rows = None, []
 
-        def members() -> tuple[list[int], list[int]]:
+        def pairs() -> np.ndarray:
             if len(rows) < 2:
-                return [], []
+                return np.zeros((2, 0), dtype=np.int64)
             reps, components, sizes, parities = zip(*rows, strict=True)
             bits = np.frombuffer(b"".join(parities), dtype=np.uint64).reshape(len(rows), -1)
-            found = np.flatnonzero(possible_members(np.array(components), np.array(sizes), bits, percent))
-            return [node] * len(found), [reps[i] for i in found]
+            return np.sort(np.array(reps)[np.array(possible_pairs(np.array(components), np.array(sizes), bits, percent))], axis=0)
+
+        def batch_of(found: list[np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in np.concatenate(found, axis=1)], names=["a", "b"])
 
         for batch in batches:
-            nodes, reps = [], []
+            found = [np.zeros((2, 0), dtype=np.int64)]
             for key, *row in zip(*(batch.column(c).to_pylist() for c in ("node", "rep", "component", "n", "parity")), strict=True):
                 if key != node:
-                    for held, new in zip((nodes, reps), members(), strict=True):
-                        held += new
+                    found.append(pairs())
                     node, rows = key, []
                 rows.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array(x, type=pa.int64()) for x in (nodes, reps)], names=["node", "rep"])
-        yield pa.RecordBatch.from_arrays([pa.array(x, type=pa.int64()) for x in members()], names=["node", "rep"])
+            yield batch_of(found)
+        yield batch_of([pairs()])
+
+    return run
+
+
+def _compare_pairs(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come in the order of their pair of blocks, sets (without ``b``) before the pairs to compare."""
+        block, sets, parents = None, {}, {}
+        for batch in batches:
+            found = []
+            names = ("row_block", "head_block", "a", "b")
+            for i, j, a, b, shingles in zip(*(batch.column(c).to_pylist() for c in names), batch.column("shingles"), strict=True):
+                if (i, j) != block:
+                    block, sets, parents = (i, j), {}, {}
+                if b is None:
+                    # Different texts of one id have a set each.
+                    sets.setdefault(a, []).append(np.frombuffer(shingles.as_buffer(), dtype=np.uint64))
+                    parents[a] = a
+                    continue
+                x, y = _root(parents, a), _root(parents, b)
+                if x != y and any(linked(s, t, percent) for s in sets[a] for t in sets[b]):
+                    parents[x] = y
+                    found.append((a, b))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f[k] for f in found], type=pa.int64()) for k in (0, 1)], names=["a", "b"]
+            )
 
     return run
 
 
+def _pair_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links among ``pairs`` (``a``, ``b``, stored) that connect the same as all links among them.
+
+    Members fall into blocks. A set is sent once to every pair of blocks in which a pair needs it, however many pairs that
+    are.
+    """
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    members = F.explode(F.array("a", "b")).alias("rep")
+    blocks = max(1, -(-pairs.select(members).distinct().count() // BLOCK))
+    number = [F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int").alias(n) for c, n in (("a", "row_block"), ("b", "head_block"))]
+    placed = pairs.select(*number, "a", "b", F.lit(None).cast("binary").alias("shingles"))
+    needed = placed.select("row_block", "head_block", members).distinct().join(sets, "rep")
+    given = needed.select("row_block", "head_block", F.col("rep").alias("a"), F.lit(None).cast("long").alias("b"), "shingles")
+    return (
+        placed.unionByName(given)
+        .repartition(parts, "row_block", "head_block")
+        .sortWithinPartitions("row_block", "head_block", F.col("b").isNotNull())
+        .mapInArrow(released(_compare_pairs(percent)), "a long, b long")
+    )
+
+
 def _distinct_groups(rows: DataFrame, *conditions) -> DataFrame:
     """Groups of ``rep`` by ``node``, each set of members once; only groups that meet the conditions on their rows."""
     members = F.sort_array(F.collect_set("rep")).alias("members")
@@ -541,11 +600,11 @@ def _core_pairs(alone: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def crowd_links(sets: DataFrame, links: DataFrame, compare, percent: int) -> DataFrame:
+def crowd_links(sets: DataFrame, links: DataFrame, percent: int) -> DataFrame:
     """Links that connect all that ``links`` leave apart among ``sets`` (``rep``, ``shingles``), without loss.
 
     Shingles are ordered rare ones first, so two linked sets share one in their prefixes. Is it rare, they meet under it,
-    with at most ``COMMON`` others, and whole sets go there only if their parities allow a link. Otherwise they share common shingles only: equal cores of common shingles link each
+    with at most ``COMMON`` others; pairs whose parities allow a link are compared once, however many shingles they meet under. Otherwise they share common shingles only: equal cores of common shingles link each
     member with the smallest one, which keeps the components, and different cores are compared in blocks.
     """
     bits = sets.sparkSession.sparkContext.broadcast(common_buckets(sets))
@@ -564,10 +623,9 @@ def crowd_links(sets: DataFrame, links: DataFrame, compare, percent: int) -> Dat
         .join(known, "rep")
         .repartition(parts, "node")
         .sortWithinPartitions("node")
-        .mapInArrow(released(_possible(percent)), "node long, rep long")
+        .mapInArrow(released(_possible(percent)), "a long, b long")
     )
-    met = cut_lineage(_distinct_groups(possible))
-    links = links.unionByName(cut_lineage(compare(met)))
+    links = links.unionByName(cut_lineage(_pair_links(cut_lineage(possible.distinct()), sets, percent)))
     alone = profiles.where(F.col("core").isNotNull()).drop("rare", "parity")
     heads = cut_lineage(
         alone.groupBy("digest").agg(F.min(F.struct("n", "rep")).alias("least")).select(
@@ -629,7 +687,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, width: int, percent: int
     if not left.limit(1).count():
         return labels
     crowded = sets_of(left)
-    return connected(crowd_links(crowded, links, lambda rows: compare(rows, crowded), percent))
+    return connected(crowd_links(crowded, links, percent))
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataFrame:
