@@ -10,7 +10,10 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
+from itertools import islice
+from sys import getsizeof
 
 import ahocorasick
 import numpy as np
@@ -20,11 +23,19 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bytetext import release_memory, released
+
 WORD_END = "</w>"
-KEPT_WORDS = 200_000
-KEPT_PAIRS = 500_000
+# What a worker keeps at most: bytes of coded words, about half of them of those used last, and pairs of tokens.
+KEPT_BYTES = 40_000_000
+KEPT_ENTRY = 64
+KEPT_PAIRS = 150_000
 PAIR_BITS = 32
+# A batch of results ends after so many characters or rows; the words of a longer text are listed in blocks of so many.
 BATCH_BYTES = 1_000_000
+BATCH_ROWS = 10_000
+LONG_TEXT = 1_000_000
+WORDS_AT_ONCE = 100_000
 # Symbols of a word: the bytes as they are, and from here on the bytes that end a word.
 ENDING = 256
 CODED = "doc_id long, n_tokens long, ids array<int>, decoded string"
@@ -46,6 +57,7 @@ class PrefixCoder:
         if model["end_of_word_suffix"] != WORD_END or model["type"] != "BPE":
             raise ValueError("a BPE vocabulary with word ends is needed")
         self.text_of: dict[int, str] = {i: t for t, i in model["vocab"].items()}
+        places = max(self.text_of) + 1
 
         def symbols(token: str) -> str:
             body = token.removesuffix(WORD_END)
@@ -55,43 +67,46 @@ class PrefixCoder:
             return "".join(map(chr, codes))
 
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.id_of: dict[str, int] = {}
+        id_of: dict[str, int] = {}
         self.rank: dict[int, int] = {}
-        self.merge_rank: dict[tuple[int, int], int] = {}
-        self.parts: dict[int, tuple[int, int]] = {}
+        self.merge_rank: dict[int, int] = {}
+        # The tokens that a merged token was made of, by its id.
+        self.left, self.right = [-1] * places, [-1] * places
         for token, i in model["vocab"].items():
             if len(token.removesuffix(WORD_END)) == 1 and token.removesuffix(WORD_END) in alphabet:
-                self.id_of[symbols(token)] = i
+                id_of[symbols(token)] = i
                 self.rank[i] = -1
         for place, (left, right) in enumerate(merges):
             whole, a, b = (model["vocab"][t] for t in (left + right, left, right))
-            self.merge_rank.setdefault((a, b), place)
+            self.merge_rank.setdefault(a << PAIR_BITS | b, place)
             if whole not in self.rank:
                 self.rank[whole] = place
-                self.parts[whole] = (a, b)
-                self.id_of[symbols(left + right)] = whole
+                self.left[whole], self.right[whole] = a, b
+                id_of[symbols(left + right)] = whole
         self.pairs: dict[int, bool] = {}
-        self.words: dict[str, tuple[tuple[int, ...], str]] = {}
+        # Coded words: ids as the bytes of 32-bit numbers, which the garbage collector need not follow.
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.kept = 0
         self.specials = {t["content"]: t["id"] for t in tokenizer["added_tokens"]}
         self.text_of |= {i: t for t, i in self.specials.items()}
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
         self.word = regex.compile(tokenizer["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.matches = ahocorasick.Automaton()
-        self._add_tokens()
+        self._add_tokens(id_of)
 
-    def _add_tokens(self) -> None:
+    def _add_tokens(self, id_of: dict[str, int]) -> None:
         """Only tokens that are the encoding of their own symbols can end a prefix; shorter ones are settled first."""
-        self.single: set[int] = set()
-        for text, i in sorted(self.id_of.items(), key=lambda x: len(x[0])):
-            if i not in self.parts or (
-                {*self.parts[i]} <= self.single and self._last_merge(self.parts[i], self.rank[i])
-            ):
-                self.single.add(i)
+        single: set[int] = set()
+        for text, i in sorted(id_of.items(), key=lambda x: len(x[0])):
+            left, right = self.left[i], self.right[i]
+            if left < 0 or (left in single and right in single and self._last_merge(left, right, self.rank[i])):
+                single.add(i)
                 self.matches.add_word(text, (len(text), i))
         self.matches.make_automaton()
 
-    def _last_merge(self, parts: tuple[int, int], rank: int) -> bool:
-        return self.merge_rank[parts] == rank and self._compatible(*parts, before=rank)
+    def _last_merge(self, left: int, right: int, rank: int) -> bool:
+        return self.merge_rank[left << PAIR_BITS | right] == rank and self._compatible(left, right, before=rank)
 
     def _compatible(self, left: int, right: int, before: int | None = None) -> bool:
         """No merge over the border of two tokens comes before the merges that closed the border's sides.
@@ -100,17 +115,17 @@ class PrefixCoder:
         """
         limit = len(self.merge_rank) if before is None else before
         while True:
-            over = self.merge_rank.get((left, right))
+            over = self.merge_rank.get(left << PAIR_BITS | right)
             if over is not None and over < limit:
                 return False
             if self.rank[left] < 0 and self.rank[right] < 0:
                 return True
             if self.rank[left] > self.rank[right]:
                 limit = min(limit, self.rank[left])
-                left = self.parts[left][1]
+                left = self.right[left]
             else:
                 limit = min(limit, self.rank[right] + 1)
-                right = self.parts[right][0]
+                right = self.left[right]
 
     def encode_symbols(self, text: str) -> list[int]:
         """Ids of one word given as symbols: last token of every prefix, then the way back."""
@@ -141,41 +156,57 @@ class PrefixCoder:
         ids.reverse()
         return ids
 
-    def encode_word(self, word: str) -> tuple[list[int], str]:
-        """Ids of a word and the decoded text of these ids."""
-        data = word.encode()
-        ids = self.encode_symbols(data[:-1].decode("latin-1") + chr(data[-1] + ENDING))
-        return ids, self.decode(ids)
+    def encode_word(self, word: str) -> bytes:
+        """Ids of a word; those of words that are not too long are kept as long as they are used and ``KEPT_BYTES`` allow."""
+        ids = self.older.get(word)
+        if ids is None:
+            data = word.encode()
+            ids = array("i", self.encode_symbols(data[:-1].decode("latin-1") + chr(data[-1] + ENDING))).tobytes()
+        if len(word) <= 64:
+            size = getsizeof(word) + getsizeof(ids) + KEPT_ENTRY
+            if self.kept + size > KEPT_BYTES // 2:
+                self.older, self.words, self.kept = self.words, {}, 0
+            self.words[word] = ids
+            self.kept += size
+        return ids
 
     def decode(self, ids: list[int]) -> str:
         """Tokens without a decoder are joined by a space."""
-        return " ".join([self.text_of[i] for i in ids])
-
-    def encode(self, text: str) -> tuple[list[int], str]:
-        """Ids of a text and their decoded text; special tokens in the text stand for themselves."""
-        ids: list[int] = []
-        decoded: list[str] = []
+        return " ".join(map(self.text_of.__getitem__, ids))
+
+    def _word_lists(self, text: str) -> Iterator[list[str]]:
+        """The words of a text, at once or for a long text in blocks."""
+        if len(text) <= LONG_TEXT:
+            yield self.word.findall(text)
+            return
+        words = (found.group() for found in self.word.finditer(text))
+        while block := list(islice(words, WORDS_AT_ONCE)):
+            yield block
+
+    def token_ids(self, text: str) -> np.ndarray:
+        """Ids of a text; special tokens in the text stand for themselves."""
+        ids: list[bytes] = []
         for part in self.special.split(text) if self.special else [text]:
             if part in self.specials:
-                ids.append(self.specials[part])
-                decoded.append(part)
+                ids.append(array("i", [self.specials[part]]).tobytes())
                 continue
             # Lower case is taken character by character, so a sigma never takes its final form.
-            words = self.word.findall(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
-            known = self.words
-            for word in words:
-                coded = known.get(word)
-                if coded is None:
-                    if len(known) >= KEPT_WORDS:
-                        known.clear()
-                    found, back = self.encode_word(word)
-                    # Tuples of numbers and texts are nothing that the garbage collector has to follow.
-                    coded = (tuple(found), back)
-                    if len(word) <= 64:
-                        known[word] = coded
-                ids += coded[0]
-                decoded.append(coded[1])
-        return ids, " ".join(decoded)
+            for words in self._word_lists(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()):
+                known = self.words
+                coded = []
+                for word in words:
+                    found = known.get(word)
+                    if found is None:
+                        found = self.encode_word(word)
+                        known = self.words
+                    coded.append(found)
+                ids.append(b"".join(coded))
+        return np.frombuffer(b"".join(ids), dtype=np.int32)
+
+    def encode(self, text: str) -> tuple[list[int], str]:
+        """Ids of a text and their decoded text."""
+        ids = self.token_ids(text).tolist()
+        return ids, self.decode(ids)
 
 
 _CODERS: dict[int, PrefixCoder] = {}
@@ -187,6 +218,7 @@ def shared_coder(described) -> PrefixCoder:
     if key not in _CODERS:
         _CODERS.clear()
         _CODERS[key] = PrefixCoder(described.value)
+        release_memory()
     return _CODERS[key]
 
 
@@ -216,13 +248,14 @@ def _code(described):
         size = 0
         for batch in batches:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                found, back = coder.encode(text.as_py() or "")
+                found = coder.token_ids(text.as_py() or "")
+                back = coder.decode(found.tolist())
                 docs.append(doc)
                 counts.append(len(found))
-                ids.append(np.array(found, dtype=np.int32))
+                ids.append(found)
                 decoded.append(back)
                 size += len(back)
-                if size >= BATCH_BYTES:
+                if size >= BATCH_BYTES or len(docs) >= BATCH_ROWS:
                     yield ready()
                     size = 0
         if docs:
@@ -239,7 +272,7 @@ def encoded(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """
     with open(tokenizer or public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
         described = docs.sparkSession.sparkContext.broadcast(file.read())
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_code(described), CODED)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(released(_code(described)), CODED)
 
 
 def encoding_digests(coded: DataFrame) -> DataFrame:

@@ -2,12 +2,16 @@
 
 import hashlib
 import random
+from sys import getsizeof
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from public_tokenizers import path
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from sectoria.llm import bpe
 from sectoria.llm.bpe import PrefixCoder, encoded, encoding_digests
 
 NAME = path("word_bpe_49k.json")
@@ -81,3 +85,26 @@ def test_nulls_repeats_clashing_columns_and_no_rows(documents):
     empty = hashlib.sha256(b"").hexdigest()
     assert {r.ids_sha256 for r in encoding_digests(encoded(docs)).where("n_tokens = 0").collect()} == {empty}
     assert encoded(docs.where("false")).collect() == []
+
+
+def test_kept_words_and_open_batches_are_bounded(coder, monkeypatch):
+    with open(NAME, encoding="utf-8") as file:
+        described = file.read()
+    monkeypatch.setattr(bpe, "KEPT_BYTES", 100_000)
+    small = PrefixCoder(described)
+    words = [f"word{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}" for k in range(3000)]
+    assert small.encode(" ".join(words + words)) == coder.encode(" ".join(words + words))
+    kept = [x for known in (small.words, small.older) for item in known.items() for x in item]
+    assert 0 < sum(map(getsizeof, kept)) <= bpe.KEPT_BYTES
+
+    rows = pa.record_batch([pa.array(range(25_000), pa.int64()), pa.array([None] * 25_000, pa.string())], ["doc_id", "text"])
+    sizes = [batch.num_rows for batch in bpe._code(SimpleNamespace(value=described))(iter([rows]))]
+    assert sum(sizes) == 25_000 and max(sizes) <= bpe.BATCH_ROWS
+
+
+def test_long_text_in_blocks(coder, monkeypatch):
+    text = " ".join(texts())
+    wanted = coder.encode(text)
+    monkeypatch.setattr(bpe, "LONG_TEXT", 100)
+    monkeypatch.setattr(bpe, "WORDS_AT_ONCE", 7)
+    assert coder.encode(text) == wanted
