@@ -336,9 +336,10 @@ def locate_persons(persons: DataFrame, search: DataFrame, keep_all: bool = False
     A code with several places uses its first one; ``keep_all=True`` keeps
     every combination. The place table joins by broadcast only while it is
     below the session's broadcast limit; beyond it, adaptive execution splits
-    the partitions of frequent codes.
+    the partitions of frequent codes. It is stored, so that its size is known
+    before the persons are moved for the join.
     """
-    lookup = search if keep_all else one_row_per_code(search)
+    lookup = cut_lineage(search if keep_all else one_row_per_code(search))
     located = persons
     for side in ("naissance", "deces"):
         place = lookup.select(

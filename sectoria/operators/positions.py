@@ -121,7 +121,8 @@ def _group_parts(slices: DataFrame, by: Sequence[str], measures: dict[str, Colum
     over the groups before it in the slice (``_start``) and over the whole group (``_total``).
 
     A slice holds whole neighbouring groups and parts of two, so there are at most as many rows as slices and groups
-    together; rows find theirs by slice and group, which no large group can crowd.
+    together; rows find theirs by slice and group, which no large group can crowd. They are stored: taken for as large as the
+    rows they were counted from, few of them would make all rows move to meet them.
     """
     parts = slices.groupBy(_SLICE, *by).agg(
         F.min(_STAMP).alias(_FIRST), *[m.alias(f"{n}_part") for n, m in measures.items()]
@@ -137,7 +138,7 @@ def _group_parts(slices: DataFrame, by: Sequence[str], measures: dict[str, Colum
             F.coalesce(own.over(ahead), F.lit(0)).alias(f"{name}_start"),
             own.over(group).alias(f"{name}_total"),
         ]
-    return parts.select(_SLICE, *by, _FIRST, *columns)
+    return cut_lineage(parts.select(_SLICE, *by, _FIRST, *columns))
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

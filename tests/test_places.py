@@ -220,3 +220,20 @@ def test_all_matches_of_codes_with_many_places(spark):
         ("N", "N", "N"): (codes * codes - near) * pair,
     }
     assert max(_join_rows(counts._jdf.queryExecution().executedPlan())) < codes * codes * places
+
+
+def test_persons_do_not_move_for_few_places(spark):
+    """Few places counted from many rows: the persons meet them without an exchange."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "50000")
+    try:
+        found = search(spark)
+        many = found.crossJoin(spark.range(20_000)).drop("id")
+        plan = L.locate_persons(persons(spark), many)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        # Stored places give the same rows.
+        assert sorted(map(str, L.locate_persons(persons(spark), many).collect())) == sorted(
+            map(str, L.locate_persons(persons(spark), found).collect())
+        )
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

@@ -135,3 +135,15 @@ def test_automatic_bins_and_density(spark):
     same = spark.createDataFrame([(3.0,), (3.0,)], "v double")
     assert [tuple(r) for r in U.histogram(same, "v", bins=None).collect()] == [(1, 3.0, 3.0, 2)]
     assert U.density_curve(same, "v").collect() == [] == U.histogram(same.where("false"), "v", bins=None).collect()
+
+
+def test_rows_do_not_move_for_the_parts_of_groups(spark):
+    """The parts are few, and known to be: they are sent to the rows even if the rows are beyond the broadcast limit."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "50000")
+    try:
+        df = spark.range(200_000).select((F.col("id") % 3).cast("string").alias("g"), F.xxhash64("id").alias("v"))
+        plan = with_position(df, ["v"], by=["g"])._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
