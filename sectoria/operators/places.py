@@ -373,6 +373,8 @@ def count_all_matches(persons: DataFrame, search: DataFrame) -> DataFrame:
     places by code and names. For every choice of flags, places agree on the names of that choice by equi-joins (so that names of
     few codes meet no other code, and names of many codes only the codes that persons combine), and the
     products of the counts add up to the combinations that have at least these flags; differences of these sums give the rest.
+    Whatever grows with the places or the pairs of codes is merged and never broadcast: names that follow each other take a
+    few bytes a row where they are stored or exchanged, but some hundred in a broadcast, which the driver builds.
     """
     # The person's own city counts where a code has no place, or a place without name.
     nameless = search.groupBy(F.col("num_insee_search").alias("_code")).agg(F.bool_or(F.col("commune_valide").isNull()).alias("_own"))
@@ -396,10 +398,10 @@ def count_all_matches(persons: DataFrame, search: DataFrame) -> DataFrame:
 
     def weights(side: str) -> DataFrame:
         """Places of every code by the names of every choice of flags; a name outside of the choice is left blank."""
-        asked = counted.select(F.col(f"code_{side}").alias("code"), F.col(f"own_{side}").alias("own")).distinct()
+        asked = counted.groupBy(F.col(f"code_{side}").alias("code"), F.col(f"own_{side}").alias("own")).agg(F.count(F.lit(1)).alias("partners"))
         own = F.when(F.col("own").startswith("="), F.expr("substring(own, 2)"))
-        placed = asked.join(search, F.col("code") == F.col("num_insee_search"), "left").select(
-            "code", "own", F.coalesce("commune_valide", own).alias("ville"), "nom_departement", "nom_region"
+        placed = asked.join(search.hint("merge"), F.col("code") == F.col("num_insee_search"), "left").select(
+            "code", "own", "partners", F.coalesce("commune_valide", own).alias("ville"), "nom_departement", "nom_region"
         )
         named = placed.groupBy(*placed.columns).agg(F.count(F.lit(1)).alias("w"))
 
@@ -410,23 +412,25 @@ def count_all_matches(persons: DataFrame, search: DataFrame) -> DataFrame:
 
         each = F.explode(F.array_compact(F.array(*[chosen(c) for c in choices])))
         names = ["choice", *[f"name_{i}" for i in range(len(FLAG_NAMES))]]
-        rows = named.select("code", "own", "w", each.alias("c")).select("code", "own", "c.*", "w")
-        summed = rows.groupBy("code", "own", *names).agg(F.sum("w").alias("w"))
-        return summed.withColumnsRenamed({"code": f"code_{side}", "own": f"own_{side}", "w": f"w_{side}"})
+        rows = named.select("code", "own", "partners", "w", each.alias("c")).select("code", "own", "partners", "c.*", "w")
+        summed = rows.groupBy("code", "own", "partners", *names).agg(F.sum("w").alias("w"))
+        return summed.withColumnsRenamed({c: f"{c}_{side}" for c in ("code", "own", "partners", "w")})
 
     names = ["choice", *[f"name_{i}" for i in range(len(FLAG_NAMES))]]
     born, dead = ["code_naissance", "own_naissance"], ["code_deces", "own_deces"]
-    deaths = cut_lineage(weights("deces"))
+    deaths = cut_lineage(weights("deces").drop("partners_deces"))
     # A name of a birth code meets either all death codes that hold the name, or all that go with the code, whichever are fewer.
-    holders = deaths.groupBy(*names).agg(F.count(F.lit(1)).alias("_holders"))
-    partners = counted.groupBy(*born).agg(F.count(F.lit(1)).alias("_partners"))
-    births = cut_lineage(weights("naissance").join(holders, names).join(partners, born))
-    by_name = F.col("_holders") <= F.col("_partners")
-    product = F.col("n").cast("decimal(38,0)") * F.col("w_naissance") * F.col("w_deces")
-    held = births.where(by_name).join(deaths, names).join(counted, [*born, *dead])
-    paired = births.where(~by_name).join(counted, born).join(deaths, [*dead, *names])
-    met = held.select("choice", product.alias("_product")).unionByName(paired.select("choice", product.alias("_product")))
-    least = met.groupBy("choice").agg(F.sum("_product").alias("least"))
+    holders = deaths.groupBy(*names).agg(F.count(F.lit(1)).alias("holders"))
+    births = cut_lineage(weights("naissance").join(holders.hint("merge"), names))
+    # The blank name of the empty choice has all codes as holders: these go by code, not in one task.
+    by_name = (F.col("holders") == 1) | (F.col("holders") < F.col("partners_naissance"))
+    weight = F.col("w_naissance").cast("decimal(38,0)") * F.col("w_deces")
+    product = (F.col("n") * F.col("weight")).alias("product")
+    shared = births.where(by_name).join(deaths.hint("merge"), names)
+    held = shared.groupBy("choice", *born, *dead).agg(F.sum(weight).alias("weight")).join(counted.hint("merge"), [*born, *dead])
+    paired = births.where(~by_name).join(counted.hint("merge"), born).join(deaths.hint("merge"), [*dead, *names]).withColumn("weight", weight)
+    met = held.select("choice", product).unionByName(paired.select("choice", product))
+    least = met.groupBy("choice").agg(F.sum("product").alias("least"))
     # Combinations with just these flags: at least these, less those with one more, and so on.
     terms = [(flags, choice, -1 if (choice ^ flags).bit_count() % 2 else 1) for flags in choices for choice in choices if choice & flags == flags]
     table = small_table(persons.sparkSession, terms, "flags int, choice int, sign int")

@@ -222,6 +222,52 @@ def test_all_matches_of_codes_with_many_places(spark):
     assert max(_join_rows(counts._jdf.queryExecution().executedPlan())) < codes * codes * places
 
 
+def _broadcast_rows(plan):
+    """Rows of the broadcasts of an executed plan, one number each."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return _broadcast_rows(plan.executedPlan())
+    children = plan.children()
+    below = [plan.plan()] if "QueryStage" in plan.nodeName() else [children.apply(i) for i in range(children.size())]
+    found = [n for child in below for n in _broadcast_rows(child)]
+    return found + ([plan.metrics().get("numOutputRows").get().value()] if plan.nodeName() == "BroadcastExchange" else [])
+
+
+def test_names_of_places_are_not_broadcast(spark, monkeypatch):
+    """40,000 places of different names, stored in a few bytes each: their rows do not go through the driver."""
+    codes, places = 20, 40_000
+    persons = spark.range(codes * codes).select(
+        F.concat(F.lit("c"), F.col("id") % codes).alias("num_insee_naissance"),
+        F.concat(F.lit("c"), (F.col("id") / codes).cast("int")).alias("num_insee_deces"),
+        F.lit("A").alias("ville_naissance"),
+        F.lit("B").alias("ville_deces"),
+    )
+    search = spark.range(places).select(
+        F.concat(F.lit("c"), F.col("id") % codes).alias("num_insee_search"),
+        F.concat(F.lit("v"), "id").alias("commune_valide"),
+        F.concat(F.lit("d"), F.col("id") % codes).alias("nom_departement"),
+        F.lit("r").alias("nom_region"),
+    )
+    executed = []
+    cut = L.cut_lineage
+
+    def stored(df):
+        df.collect()
+        executed.append(df)
+        return cut(df)
+
+    monkeypatch.setattr(L, "cut_lineage", stored)
+    counts = L.count_all_matches(persons, search)
+    found = {(r.origine_ville, r.origine_departement, r.origine_region): r.nb for r in counts.collect()}
+    each = places // codes
+    assert found == {
+        ("O", "O", "O"): places,
+        ("N", "O", "O"): codes * each * (each - 1),
+        ("N", "N", "O"): codes * (codes - 1) * each * each,
+    }
+    rows = [n for df in [*executed, counts] for n in _broadcast_rows(df._jdf.queryExecution().executedPlan())]
+    assert rows and max(rows) < places // 10
+
+
 def test_persons_do_not_move_for_few_places(spark):
     """Few places counted from many rows: the persons meet them without an exchange."""
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
